@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from threatlens.functions.hashing import split_bucket
 from threatlens.models.features import LAGS
-from threatlens.session import scratch_path
+from threatlens.session import scratch_path, send_by_value
+
+send_by_value(__name__)
 
 # --- fixed values: feature columns of each model ---
 FORECAST_FEATURES = (

@@ -18,6 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from threatlens.session import send_by_value
+
+send_by_value(__name__)
+
 PARAMS = """
     p INT, d INT, q INT, seasonal INT, intercept DOUBLE,
     ar_lags ARRAY<INT>, ar ARRAY<DOUBLE>, ma_lags ARRAY<INT>, ma ARRAY<DOUBLE>,

@@ -81,12 +81,14 @@ def rank_points(points: DataFrame, name: str, k: int = 10, total: str = "total")
 def top_rows_per_series(points: DataFrame, name: str, k: int = 10) -> DataFrame:
     """The k largest rows inside each value of a tag."""
     rows = points.withColumn(name, tag(name))
-    return keep_top(rows, k, [F.col("value").desc(), "time", "batch_id"], [name])
+    return keep_top(rows, k, [F.col("value").desc(), F.col("time"), F.col("batch_id")], [name])
 
 
 def head_per_series(points: DataFrame, n: int = 100) -> DataFrame:
     """The first n rows, by time, of each series."""
-    return keep_top(points, n, ["time", "batch_id"], ["measurement", "tags", "field"])
+    # Maps cannot be sorted; their sorted entries can.
+    series = points.withColumn("_tags", F.array_sort(F.map_entries("tags")))
+    return keep_top(series, n, [F.col("time"), F.col("batch_id")], ["measurement", "_tags", "field"]).drop("_tags")
 
 
 def sum_per_day(points: DataFrame, name: str, total: str = "total") -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -65,3 +67,9 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def send_by_value(module: str) -> None:
+    """Let functions of a module travel to executors whole, so that grouped Python
+    functions also run where this package is not installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

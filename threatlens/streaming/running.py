@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threatlens.models.clusters import CLUSTER_FEATURES, update_clusters
 from threatlens.session import scratch_path
@@ -68,7 +69,7 @@ def drain(stream: DataFrame, mode: str, label: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    schema = stream.schema.add("batch_id", "bigint")
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(schema).parquet(path)
 
 
@@ -107,7 +108,7 @@ class OnlineClusters:
 
     def latest(self) -> DataFrame:
         """The newest version; the table holds a few rows per batch."""
-        versions = self.spark.read.schema(self.schema.add("version", "bigint")).parquet(self.path)
+        versions = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])).parquet(self.path)
         newest = versions.agg(F.max("version")).scalar()
         return versions.filter(F.col("version") == newest).drop("version")
 
