@@ -203,30 +203,29 @@ def read_trees(model: RandomForestRegressionModel, spark) -> dict[str, np.ndarra
         .orderBy("treeID", "id")
         .toPandas()
     )
-    roots = flat.groupby("treeID").size().cumsum().shift(fill_value=0).to_numpy()
-    base = roots[flat["treeID"].to_numpy()]
+    sizes = flat.groupby("treeID").size().to_numpy()
+    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    base = np.repeat(roots, sizes)
     leaf = flat["left"].to_numpy() < 0
     row = np.arange(len(flat))
+    children = np.where(leaf[:, None], row[:, None], flat[["left", "right"]].to_numpy() + base[:, None])
     return {
-        "roots": roots.astype(np.int64),
-        "left": np.where(leaf, row, flat["left"].to_numpy() + base),
-        "right": np.where(leaf, row, flat["right"].to_numpy() + base),
+        "roots": roots,
+        "children": children.ravel(),  # left and right of node i at 2 i and 2 i + 1; a leaf leads to itself
         "feature": np.where(leaf, 0, flat["feature"].to_numpy()),
         "threshold": flat["threshold"].to_numpy(dtype=float),
         "prediction": flat["prediction"].to_numpy(dtype=float),
+        "depth": np.array(model.getMaxDepth()),
     }
 
 
 def predict_rows(trees: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     """Mean prediction of all trees for each feature row, one level at a time."""
-    at = np.repeat(trees["roots"][None, :], len(rows), axis=0)
-    which = np.arange(len(rows))[:, None]
-    while True:
-        go_left = rows[which, trees["feature"][at]] <= trees["threshold"][at]
-        following = np.where(go_left, trees["left"][at], trees["right"][at])
-        if np.array_equal(following, at):
-            return trees["prediction"][at].mean(axis=1)
-        at = following
+    at = np.broadcast_to(trees["roots"], (len(rows), len(trees["roots"])))
+    for _ in range(int(trees["depth"])):
+        go_right = np.take_along_axis(rows, trees["feature"][at], axis=1) > trees["threshold"][at]
+        at = trees["children"][2 * at + go_right]
+    return trees["prediction"][at].mean(axis=1)
 
 
 def forecast_recursive(
@@ -238,20 +237,19 @@ def forecast_recursive(
     day: str = "date",
     value: str = "num_attacks",
     lags: Sequence[int] = LAGS,
-    groups: int | None = None,
+    keys_per_group: int = 128,
 ) -> DataFrame:
     """Forecast each key ``days`` ahead, feeding predictions back as lags.
 
     ``history`` holds a gap-free daily series per key with its code. Only the
     last max(lags) days of a key are needed, so only those are shuffled. Keys
-    are dealt to groups by hash; a group steps through the days once for all of
-    its keys together. Returns (key, day, num_attacks).
+    are dealt by hash to groups of about ``keys_per_group``; a group steps through
+    the days once for all of its keys together. Returns (key, day, num_attacks).
     """
     spark = history.sparkSession
     forest = next(stage for stage in model.stages if isinstance(stage, RandomForestRegressionModel))
     trees = spark.sparkContext.broadcast(read_trees(forest, spark))
     depth = max(lags)
-    groups = groups or 4 * spark.sparkContext.defaultParallelism
     last = history.groupBy(key).agg(F.max(day).alias("_last"))
     recent = (
         history.join(last, key)
@@ -266,25 +264,28 @@ def forecast_recursive(
                 lambda ago: F.coalesce(F.try_element_at("_ago", ago), F.lit(0.0)),
             ).alias("_recent"),
         )
-        .withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups)))
+        .withColumn("_groups", last.agg(F.ceil(F.count(F.lit(1)) / F.lit(keys_per_group))).scalar())
+        .withColumn("_group", F.pmod(F.xxhash64(key), F.greatest("_groups", F.lit(1))))
     )
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         arrays = trees.value
-        values = np.stack(pdf["_recent"].to_numpy()).astype(float)
+        values = np.zeros((len(pdf), depth + days))
+        values[:, :depth] = np.stack(pdf["_recent"].to_numpy())
         codes = pdf["_code"].to_numpy(dtype=float)
         start = pd.to_datetime(pdf["_last"])
         parts = []
         for step in range(1, days + 1):
             dates = start + pd.Timedelta(days=step)
             calendar = dates.dt
-            lagged = [values[:, -lag] for lag in lags]
+            now = depth + step - 1
+            lagged = [values[:, now - lag] for lag in lags]
             weekday = calendar.dayofweek.to_numpy()
             rows = np.column_stack(
                 [codes, *lagged, calendar.year, calendar.month, calendar.day, weekday, (weekday >= 5) * 1]
             ).astype(float)
             predicted = predict_rows(arrays, rows)
-            values = np.column_stack([values[:, 1:], predicted])
+            values[:, now] = predicted
             parts.append(pd.DataFrame({key: pdf[key].to_numpy(), day: dates.dt.date.to_numpy(), value: predicted}))
         return pd.concat(parts, ignore_index=True)
 
