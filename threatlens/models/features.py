@@ -15,6 +15,7 @@ from threatlens.operators.enrich import densify_daily
 from threatlens.operators.rollups import daily_counts
 from threatlens.operators.skew import hot_keys, salted_join
 from threatlens.schema import CLUSTER_FIELDS, NOT_FOR_MODELS
+from threatlens.session import materialize
 
 LAGS = (1, 7, 30)
 ENCODED = ("source_city", "source_country", "target_country", "malware_family")
@@ -69,44 +70,41 @@ def average_rank(
     key and instant are totalled by minute and by day instead; the rank is the
     rows on earlier days, plus those in earlier minutes of the day, plus those
     earlier in the minute. Each window covers one key's days, one day's minutes
-    or one minute's instants.
+    or one minute's instants. The counts are stored (jobs), so ``df`` is read
+    once for them and once for the result.
     """
-    instants = (
-        df.filter(F.col(ts).isNotNull())
+    instants = materialize(
+        df.filter(F.col(ts).isNotNull() & F.col(key).isNotNull())
         .groupBy(key, F.col(ts).alias("_ts"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumns({"_day": F.to_date("_ts"), "_minute": F.date_trunc("minute", "_ts")})
+        .withColumns({"_day": F.to_date("_ts"), "_minute": F.date_trunc("minute", F.col("_ts").cast("timestamp"))}),
+        "instants",
     )
-    minutes = instants.groupBy(key, "_day", "_minute").agg(F.sum("_n").alias("_in_minute"))
-    days = minutes.groupBy(key, "_day").agg(F.sum("_in_minute").alias("_in_day"))
+    minutes = materialize(instants.groupBy(key, "_day", "_minute").agg(F.sum("_n").alias("_in_minute")), "minutes")
 
     def earlier(column, partition, order):
         window = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    days = days.select(F.col(key).alias("_k1"), F.col("_day").alias("_d1"),
-                       earlier("_in_day", [key], "_day").alias("_days_before"))
-    minutes = (
+    days = (
+        minutes.groupBy(key, "_day").agg(F.sum("_in_minute").alias("_in_day"))
+        .select(key, "_day", earlier("_in_day", [key], "_day").alias("_days_before"))
+    )
+    before = (
         minutes.withColumn("_minutes_before", earlier("_in_minute", [key, "_day"], "_minute"))
-        .join(days, F.col(key).eqNullSafe(F.col("_k1")) & (F.col("_day") == F.col("_d1")))
-        .select(F.col(key).alias("_k2"), F.col("_minute").alias("_m2"),
-                (F.col("_days_before") + F.col("_minutes_before")).alias("_before"))
+        .join(days, [key, "_day"])
+        .select(key, "_minute", (F.col("_days_before") + F.col("_minutes_before")).alias("_before"))
     )
     ranks = (
         instants.withColumn("_instants_before", earlier("_n", [key, "_minute"], "_ts"))
-        .join(minutes, F.col(key).eqNullSafe(F.col("_k2")) & (F.col("_minute") == F.col("_m2")))
+        .join(before, [key, "_minute"])
         .select(
-            F.col(key),
-            F.col("_ts"),
-            F.col("_n"),
+            key, "_ts",
             (F.col("_before") + F.col("_instants_before") + (F.col("_n") + 1) / F.lit(2.0)).alias(name),
         )
     )
-    hot = hot_keys(instants.filter(F.col(key).isNotNull()), [key, "_ts"], "_n")
-    ranked = salted_join(
-        df.withColumn("_ts", F.col(ts)), ranks.filter(F.col(key).isNotNull()).drop("_n"),
-        [key, "_ts"], "left", hot=hot, spread=spread,
-    )
+    hot = hot_keys(instants, [key, "_ts"], "_n")
+    ranked = salted_join(df.withColumn("_ts", F.col(ts)), ranks, [key, "_ts"], "left", hot=hot, spread=spread)
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0))).drop("_ts")
 
 
@@ -134,20 +132,20 @@ def forecast_features(
 
 
 def prepare_features(df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """The whole preparation of events for the models, as one lazy plan.
+    """The whole preparation of events for the models.
 
     Drops the columns models do not use, parses time, adds the calendar, the
     epoch, the average rank, the numeric address and label codes, and
     standardises the coordinates. ``dictionary`` comes from ``fit_labels``.
+    Statistics and ranks are taken from the plain rows, before any join.
     """
     kept = project(df, drop=NOT_FOR_MODELS)
     if dict(kept.dtypes)["created_indicator"] == "string":
         kept = kept.withColumn("created_indicator", try_ts(F.col("created_indicator")))
-    timed = date_parts(kept, "created_indicator").withColumn(
+    scaled = standardize(kept, [c for c in CLUSTER_FIELDS if c in df.columns])
+    timed = date_parts(average_rank(scaled), "created_indicator").withColumn(
         "created_indicator_timestamp", epoch_seconds(F.col("created_indicator"))
     )
     if "ip" in df.columns:
         timed = timed.withColumn("ip_encoded", ip_to_long(F.col("ip")))
-    encoded = encode_labels(timed, dictionary, [c for c in ENCODED if c in df.columns])
-    ranked = average_rank(encoded)
-    return standardize(ranked, [c for c in CLUSTER_FIELDS if c in df.columns])
+    return encode_labels(timed, dictionary, [c for c in ENCODED if c in df.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threatlens.operators.enrich import union_all
-from threatlens.operators.skew import global_index, lookup_join
+from threatlens.operators.skew import BROADCAST_ROWS, global_index, lookup_join
 from threatlens.session import materialize
 
 MISSING = "None"  # the text a missing value is encoded under
@@ -42,15 +42,16 @@ def encode_labels(
     suffix: str = "_encoded",
 ) -> DataFrame:
     """Add the code of each column. Values the dictionary lacks get the next code
-    after the last one."""
+    after the last one. One job reads the size of the dictionary per column."""
+    sizes = {row["column"]: row["n"] for row in dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     for name in columns:
         codes = dictionary.filter(F.col("column") == name).select(
             F.col("value").alias("_label"), F.col("code").alias("_code")
         )
-        unseen = codes.agg(F.coalesce(F.max("_code") + 1, F.lit(0))).scalar()
+        size = sizes.get(name, 0)
         df = (
-            lookup_join(df.withColumn("_label", _as_label(name)), codes, ["_label"], "left")
-            .withColumn(name + suffix, F.coalesce("_code", unseen))
+            lookup_join(df.withColumn("_label", _as_label(name)), codes, ["_label"], fits=size <= BROADCAST_ROWS)
+            .withColumn(name + suffix, F.coalesce("_code", F.lit(size).cast("bigint")))
             .drop("_label", "_code")
         )
     return df

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from threatlens.functions.hashing import mix, split_bucket
 from threatlens.operators.rollups import keep_top
-from threatlens.operators.skew import global_index, hot_keys, salted_join
+from threatlens.operators.skew import global_index, hot_keys, lookup_join
+from threatlens.session import materialize
 
 
 def join_with_suffix(
@@ -20,13 +21,14 @@ def join_with_suffix(
     on: Sequence[tuple[str, str]] | Sequence[str],
     how: str = "inner",
     suffixes: tuple[str, str] = ("_x", "_y"),
-    salted: bool = True,
+    **lookup,
 ) -> DataFrame:
     """Equi-join that renames columns found on both sides.
 
     ``on`` lists common names, or (left, right) pairs; a right key with another
-    name is kept as a column. Hot left keys are salted unless ``salted`` is off,
-    which suits a left side whose keys are known to be spread.
+    name is kept as a column. The right side is counted first (pass a stored
+    table): small tables are broadcast, larger ones joined with hot left keys
+    salted. ``lookup`` goes to ``lookup_join``.
     """
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
     shared = [a for a, b in pairs if a == b]
@@ -46,14 +48,15 @@ def join_with_suffix(
     keyed = renamed_right.select(
         *[F.col(c).alias(name) for c, name in extra.items()], *shared, *[F.col(c) for c in kept]
     )
-    joined = salted_join(renamed_left, keyed, keys, how) if salted else renamed_left.join(keyed, keys, how)
+    joined = lookup_join(renamed_left, keyed, keys, how, **lookup)
     return joined.select(*renamed_left.columns, *kept)
 
 
 def join_on_key(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Bring two frames together on a real key. Row position has no meaning in a
-    distributed table, so frames are never aligned by it."""
-    return join_with_suffix(left, right, [key], how, salted=False)
+    distributed table, so frames are never aligned by it. A unique key cannot be
+    hot, so this is Spark's plain join."""
+    return join_with_suffix(left, right, [key], how, fits=False, hot=[])
 
 
 def with_daily_count(
@@ -65,14 +68,15 @@ def with_daily_count(
 ) -> DataFrame:
     """Write on each row the number of rows of its key and day.
 
-    The counts come from a map-side combined aggregate, and name the hot groups
-    at no extra cost; those are salted when the counts are joined back.
+    The counts come from a map-side combined aggregate and are stored (a job), so
+    that their size decides the join back: while they fit, they are broadcast and
+    the rows never move; beyond that the largest groups are salted.
     """
     keyed = df.withColumn("_day", F.to_date(ts))
-    counts = keyed.groupBy(key, "_day").agg(F.count(F.lit(1)).alias(name))
-    known = counts.filter(F.col(key).isNotNull() & F.col("_day").isNotNull())
-    hot = hot_keys(known, [key, "_day"], name)
-    return salted_join(keyed, known, [key, "_day"], "left", hot=hot, spread=spread).drop("_day")
+    known = keyed.filter(F.col(key).isNotNull() & F.col("_day").isNotNull())
+    counts = materialize(known.groupBy(key, "_day").agg(F.count(F.lit(1)).alias(name)), "daily-counts")
+    hot = hot_keys(counts, [key, "_day"], name)
+    return lookup_join(keyed, counts, [key, "_day"], "left", hot=hot, spread=spread).drop("_day")
 
 
 def densify_daily(
@@ -80,37 +84,47 @@ def densify_daily(
 ) -> DataFrame:
     """Add the missing days of each key, from its first to its last day, as 0.
 
-    ``df`` has one row per key and day. The calendar of a key is as long as its
-    history, so every group stays small.
+    ``df`` has one row per key and day. Each row fills the gap up to the next one,
+    so one pass does it, without a second look at the counts. A key is as long
+    as the calendar. ``until`` carries the last row on to a common end.
     """
-    spans = df.groupBy(key).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    last = F.col("_last") if until is None else until
-    calendar = spans.select(
-        key, F.explode(F.sequence(F.col("_first"), last, F.expr("interval 1 day"))).alias(day)
-    )
-    return calendar.join(df.select(key, day, value), [key, day], "left").withColumn(
-        value, F.coalesce(F.col(value), F.lit(0))
+    following = F.lead(day).over(W.partitionBy(key).orderBy(day))
+    last = F.col(day) if until is None else F.greatest(F.col(day), until)
+    gap = F.sequence(F.col(day), F.coalesce(F.date_sub("_next", 1), last), F.expr("interval 1 day"))
+    return (
+        df.select(key, day, value)
+        .withColumn("_next", following)
+        .withColumn("_each", F.explode(gap))
+        .select(
+            key, F.col("_each").alias(day),
+            F.when(F.col("_each") == F.col(day), F.col(value)).otherwise(0).alias(value),
+        )
     )
 
 
 def lag_by_date(
     df: DataFrame, key: str, day: str = "date", value: str = "num_attacks", lags: Sequence[int] = (1, 7, 30)
 ) -> DataFrame:
-    """The key's value ``lag`` days earlier, 0 where that day has no row.
+    """(key, day, value) with the value ``lag`` days earlier, 0 where that day has no row.
 
-    One equi-join serves all lags: each row is offered to the days it is a lag
-    of, and the offers are pivoted back by key and day.
+    Instead of one self-join per lag, each row is offered to its own day and to
+    the days it is a lag of; one aggregate per key and day brings them together.
     """
-    offers = df.select(
-        F.col(key),
-        F.col(value).alias("_value"),
-        F.explode(F.array(*[F.struct(F.lit(lag).alias("lag"), F.date_add(day, lag).alias("to")) for lag in lags])).alias("_o"),
-    )
-    wide = offers.groupBy(key, F.col("_o.to").alias(day)).agg(
-        *[F.max(F.when(F.col("_o.lag") == lag, F.col("_value"))).alias(f"lag_{lag}") for lag in lags]
-    )
-    return df.join(wide, [key, day], "left").withColumns(
-        {f"lag_{lag}": F.coalesce(F.col(f"lag_{lag}"), F.lit(0)) for lag in lags}
+    offers = F.array(*[F.struct(F.lit(lag).alias("lag"), F.date_add(day, lag).alias("to")) for lag in (0, *lags)])
+    offered = df.select(F.col(key), F.col(value).alias("_value"), F.inline(offers))
+
+    def at(lag):
+        return F.max(F.when(F.col("lag") == lag, F.col("_value")))
+
+    return (
+        offered.groupBy(key, F.col("to").alias(day))
+        .agg(
+            at(0).alias(value),
+            F.max(F.col("lag") == 0).alias("_own"),
+            *[F.coalesce(at(lag), F.lit(0)).alias(f"lag_{lag}") for lag in lags],
+        )
+        .filter("_own")
+        .drop("_own")
     )
 
 

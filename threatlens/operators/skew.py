@@ -3,33 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Tables up to this many rows may be copied to every executor (short rows only).
-BROADCAST_ROWS = 200_000
-# A key is hot from this share of the rows; at most 1 / HOT_SHARE keys can be.
-HOT_SHARE = 0.01
+BROADCAST_ROWS = 500_000
+# A key below this many rows is no burden for one task.
+HOT_ROWS = 1_000_000
+# At most this many keys are salted; every further key holds less than 1 percent.
+MAX_HOT = 100
 SALTS = 64
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, from a table of counts per key.
+def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, rows: int = HOT_ROWS) -> list[Row]:
+    """The largest keys with at least ``rows`` rows, from a table of counts per key.
 
-    The shares sum to 1, so the result has fewer than 1 / share rows whatever
-    the size of the data: it is always small enough to broadcast.
+    Shares sum to 1, so a key outside the 100 largest holds less than 1 percent:
+    the list is complete for every share that matters, and bounded for any data.
     """
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.filter(F.col(n) > total * F.lit(share)).select(*keys)
-
-
-def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for a, b in pairs:
-        condition = condition & left[a].eqNullSafe(right[b])
-    return condition
+    return counts.filter(F.col(n) >= rows).orderBy(F.col(n).desc()).limit(MAX_HOT).select(*keys).collect()
 
 
 def salted_join(
@@ -37,45 +34,55 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot: DataFrame | None = None,
+    hot: list[Row] | None = None,
     spread: Sequence[str] | None = None,
     salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Equi-join whose hot left keys are spread over ``salts`` tasks.
+    """Shuffle join whose hot left keys are spread over ``salts`` tasks.
 
     Rows of the right side with a hot key are repeated once per salt; all other
-    rows move once, as in a plain shuffle join. ``how`` is ``inner`` or ``left``.
-    ``hot`` lists the hot keys when the caller knows them; otherwise they come
-    from one count over the key columns of ``left``. ``spread`` names the columns
-    that tell rows of one key apart (all columns by default).
+    rows move once. Nulls form a key like any other and are spread as well.
+    ``hot`` lists the hot keys when the caller knows them; otherwise one job
+    counts the key columns of ``left``. Without hot keys it is a plain join.
+    ``spread`` names the columns that tell rows of one key apart (default: all).
     """
     on = list(on)
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
+    if left.isStreaming:
+        return left.join(right, on, how)
     if hot is None:
-        hot = hot_keys(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), on, "_n")
-    marks = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in on], F.lit(True).alias("_hot")))
-    pairs = [(k, f"_hot_{k}") for k in on]
-    mark_columns = ["_hot", *[f"_hot_{k}" for k in on]]
-
-    salt = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")
-    any_null = F.lit(False)
-    for k in on:
-        any_null = any_null | F.col(k).isNull()
-    spread_left = (
-        left.join(marks, _null_safe(left, marks, pairs), "left")
-        .withColumn("_salt", F.when(F.col("_hot") | any_null, salt).otherwise(0))
-        .drop(*mark_columns)
-    )
-    repeated = (
-        right.join(marks, _null_safe(right, marks, pairs), "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop(*mark_columns)
+        hot = hot_keys(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), on, "_n", hot_rows)
+    # A null key matches nothing, but would still meet all other nulls in one task.
+    spread_nulls = how == "left"
+    if not hot and not spread_nulls:
+        return left.join(right, on, how)
+
+    schema = T.StructType([T.StructField(f"_hot_{k}", left.schema[k].dataType) for k in on])
+
+    def marked(side: DataFrame) -> DataFrame:
+        if not hot:
+            return side.withColumn("_hot", F.lit(False))
+        # MAX_HOT rows at most.
+        rows = side.sparkSession.createDataFrame([tuple(row) for row in hot], schema)
+        marks = F.broadcast(rows.withColumn("_hot", F.lit(True)))
+        same = reduce(and_, [side[k].eqNullSafe(marks[f"_hot_{k}"]) for k in on])
+        return side.join(marks, same, "left").drop(*schema.names)
+
+    one_of = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts)).cast("int")
+    any_null = reduce(or_, [F.col(k).isNull() for k in on]) if spread_nulls else F.lit(False)
+    salted_left = (
+        marked(left).withColumn("_salt", F.when(F.col("_hot") | any_null, one_of).otherwise(0)).drop("_hot")
     )
-    return spread_left.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if hot:
+        each = F.sequence(F.lit(0), F.lit(salts - 1))
+        copies = F.explode(F.when(F.col("_hot"), each).otherwise(F.array(F.lit(0))))
+        salted_right = marked(right).withColumn("_salt", copies).drop("_hot")
+    else:
+        # Always 0, but not a constant the optimizer could take out of the join key.
+        salted_right = right.withColumn("_salt", F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -90,12 +97,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     rows: int = BROADCAST_ROWS,
+    fits: bool | None = None,
+    **salting,
 ) -> DataFrame:
-    """Join a stored lookup table: broadcast after its size has been checked,
-    salted shuffle join beyond that."""
-    if fits_broadcast(table, rows):
+    """Join a stored table to facts. Its size is counted first: a small table is
+    broadcast, so the facts are not shuffled at all; a larger one goes through
+    the salted join. ``fits`` gives the answer when the caller knows it."""
+    if fits_broadcast(table, rows) if fits is None else fits:
         return facts.join(F.broadcast(table), list(on), how)
-    return salted_join(facts, table, on, how)
+    return salted_join(facts, table, on, how, **salting)
 
 
 def global_index(df: DataFrame, order: str, name: str, splits: int = 255) -> DataFrame:

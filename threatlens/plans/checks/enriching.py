@@ -27,9 +27,10 @@ from threatlens.sources.views import daily_orders, incidents, table
 
 def _pulses(spark, sf_dir):
     """One row per pulse id, derived from the events themselves."""
-    return incidents(spark, sf_dir).groupBy(F.col("id_pulse").alias("id")).agg(
+    pulses = incidents(spark, sf_dir).groupBy(F.col("id_pulse").alias("id")).agg(
         F.min("author_name").alias("author_name"), F.count(F.lit(1)).alias("indicators")
     )
+    return materialize(pulses, "pulses")
 
 
 @query(
@@ -47,9 +48,10 @@ def indicators_pulses(spark, sf_dir):
 
 def _locations(spark, sf_dir):
     """A place for each address seen in a view; other addresses have none."""
-    return incidents(spark, sf_dir).filter(F.col("type") == "view").groupBy("ip").agg(
+    seen = incidents(spark, sf_dir).filter(F.col("type") == "view").groupBy("ip").agg(
         F.min("source_city").alias("source_city"), F.max("source_country").alias("countryName")
     )
+    return materialize(seen, "locations")
 
 
 LOCATIONS = """,

@@ -301,7 +301,7 @@ def with_history(spark, sf_dir):
 
 @query("country_study_forecasts")
 def study(spark, sf_dir):
-    return study_forecasts(study_series(daily_orders(spark, sf_dir), KEY), KEY)
+    return study_forecasts(study_series(materialize(daily_orders(spark, sf_dir), "daily-orders"), KEY), KEY)
 
 
 @query(

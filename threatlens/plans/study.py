@@ -48,7 +48,7 @@ def country_study(
     ts: str = "created_indicator", n: int = 10, steps: int = STEPS,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecasts of the top countries, and their family shares."""
-    daily = daily_counts(df, key, ts)
+    daily = materialize(daily_counts(df, key, ts), "study-counts")
     forecasts = study_forecasts(study_series(daily, key, n), key, steps)
     chosen = F.broadcast(top_countries(daily, key, n).select(key))
     shares = distribution(df.select(key, family).join(chosen, key, "left_semi"), key, family)
