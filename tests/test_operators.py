@@ -169,6 +169,7 @@ def test_global_index_numbers_without_gaps(spark):
 def test_labels_round_trip_and_unseen_values(spark):
     df = spark.createDataFrame([("b", "x"), ("a", None), ("10", "x"), ("2", "y")], "c STRING, d STRING")
     dictionary = fit_labels(df, ["c", "d"])
+    assert rows(dictionary) == rows(fit_labels(df, ["c", "d"], small=0)) == rows(fit_labels(df, ["c", "d"], small=3))
     coded = encode_labels(df, dictionary, ["c", "d"])
     assert [tuple(r) for r in coded.orderBy("c_encoded").select("c", "c_encoded").collect()] == [("10", 0), ("2", 1), ("a", 2), ("b", 3)]
     assert {r.d: r.d_encoded for r in coded.collect()} == {None: 0, "x": 1, "y": 2}

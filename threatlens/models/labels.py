@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.operators.enrich import union_all
 from threatlens.operators.skew import BROADCAST_ROWS, global_index, lookup_join
 from threatlens.session import materialize
 
+SMALL_DOMAIN = 200_000  # values one task may sort
 MISSING = "None"  # the text a missing value is encoded under
 
 
@@ -18,20 +20,25 @@ def _as_label(name: str):
     return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
 
 
-def fit_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fit_labels(df: DataFrame, columns: Sequence[str], small: int = SMALL_DOMAIN) -> DataFrame:
     """Learn the dictionary (column, value, code), once; a fit, so it runs jobs.
 
-    The distinct values of all columns come from one aggregate and are stored in
-    the shared folder; they are numbered range by range, not in one task.
+    The distinct values of all columns come from one aggregate, are stored in the
+    shared folder and counted. Columns with up to ``small`` values are numbered
+    by one window per column, larger ones range by range.
     """
     cells = F.array(*[F.struct(F.lit(c).alias("column"), _as_label(c).alias("value")) for c in columns])
     distinct = materialize(df.select(F.inline(cells)).distinct(), "label-values")
+    large = [row["column"] for row in distinct.groupBy("column").count().filter(F.col("count") > small).collect()]
+    window = W.partitionBy("column").orderBy("value")
     numbered = [
-        global_index(distinct.filter(F.col("column") == name).select("value"), "value", "code").select(
-            F.lit(name).alias("column"), "value", "code"
-        )
-        for name in columns
+        distinct.filter(~F.col("column").isin(large))
+        .withColumn("code", (F.row_number().over(window) - 1).cast("bigint"))
+        .select("column", "value", "code")
     ]
+    for name in large:
+        values = distinct.filter(F.col("column") == name).select("value")
+        numbered.append(global_index(values, "value", "code").select(F.lit(name).alias("column"), "value", "code"))
     return materialize(union_all(*numbered), "labels")
 
 

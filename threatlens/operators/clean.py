@@ -83,9 +83,12 @@ def conform(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFra
 
 
 def _at(document: Column, path: str, kind: str, default: Column) -> Column:
-    """A missing path gives the default; an explicit JSON null stays null."""
+    """A missing path gives the default; an explicit JSON null stays null.
+
+    The second look at the path is taken only where the first finds nothing.
+    """
     missing = F.try_variant_get(document, path, "variant").isNull()
-    return F.when(missing, default).otherwise(F.try_variant_get(document, path, kind))
+    return F.coalesce(F.try_variant_get(document, path, kind), F.when(missing, default))
 
 
 def flatten_document(
@@ -102,10 +105,10 @@ def flatten_document(
     the document's text.
     """
     number = F.pmod(F.xxhash64(value), F.lit(MODULUS)) if key is None else F.col(key)
+    # A filter on the parsed value would parse twice; an array of it drops the null.
     parsed = df.filter(F.ltrim(value).startswith("{")).select(
-        F.try_parse_json(value).alias("_document"),
-        number.alias("_key"),
-    ).filter(F.col("_document").isNotNull())
+        F.explode(F.array_compact(F.array(F.try_parse_json(value)))).alias("_document"), number.alias("_key")
+    )
     columns = []
     for position, (name, path, kind, default) in enumerate(paths):
         if default is None:

@@ -10,7 +10,7 @@ from threatlens.operators.clean import DEFAULT_COUNTRIES, cast_to, fill_missing,
 from threatlens.plans.checks.registry import incidents_sql, micro, query
 from threatlens.schema import ALTERNATE_TO_CANONICAL, struct_of
 from threatlens.sinks.files import as_messages
-from threatlens.sources.views import incidents, messages, table
+from threatlens.sources.views import facts, incidents, messages
 
 MESSAGES = """
 raw AS (
@@ -49,12 +49,12 @@ def _shown(parsed):
 
 @query("parse_events_keep_malformed", f"WITH {MESSAGES} {PARSED}")
 def parse_keep(spark, sf_dir):
-    return _shown(parse_events(messages(table(spark, sf_dir, "events")), MESSAGE_SCHEMA, "null"))
+    return _shown(parse_events(messages(facts(spark, sf_dir, "events")), MESSAGE_SCHEMA, "null"))
 
 
 @query("parse_events_drop_malformed", f"WITH {MESSAGES} {PARSED} WHERE ok")
 def parse_drop(spark, sf_dir):
-    return _shown(parse_events(messages(table(spark, sf_dir, "events")), MESSAGE_SCHEMA, "drop"))
+    return _shown(parse_events(messages(facts(spark, sf_dir, "events")), MESSAGE_SCHEMA, "drop"))
 
 
 @query(
@@ -253,7 +253,7 @@ def typed(spark, sf_dir):
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS parsed FROM events",
 )
 def strict_times(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("written", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+    events = facts(spark, sf_dir, "events").withColumn("written", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
     parsed = to_ts(F.col("written"), "dd/MM/yyyy HH:mm:ss")
     return events.select("event_id", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
@@ -265,7 +265,7 @@ def strict_times(spark, sf_dir):
 def lenient_times(spark, sf_dir):
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     written = F.when(F.col("event_id") % 5 == 0, F.lit("soon")).otherwise(iso)
-    events = table(spark, sf_dir, "events").withColumn("parsed", try_ts(written))
+    events = facts(spark, sf_dir, "events").withColumn("parsed", try_ts(written))
     return events.select("event_id", with_default(micro("parsed"), "none").alias("parsed"))
 
 
@@ -277,7 +277,7 @@ def lenient_times(spark, sf_dir):
        epoch_us(ts) / 1e6 AS epoch FROM events""",
 )
 def parts_of_dates(spark, sf_dir):
-    events = date_parts(table(spark, sf_dir, "events"), "ts")
+    events = date_parts(facts(spark, sf_dir, "events"), "ts")
     return events.select(
         "event_id", "year", "month", "day", "day_of_week", "is_weekend", "hour",
         year_month(F.col("year"), F.col("month")).alias("year_month"),

@@ -25,7 +25,7 @@ from threatlens.operators.rollups import (
     window_change,
 )
 from threatlens.plans.checks.registry import incidents_sql, micro, query, second, six
-from threatlens.sources.views import incidents, table
+from threatlens.sources.views import facts, incidents
 
 
 @query(
@@ -112,7 +112,7 @@ def per_country(spark, sf_dir):
     "SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, round(sum(value), 4) AS value FROM events GROUP BY 1, 2",
 )
 def sums(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("date", F.to_date("ts").cast("string"))
+    events = facts(spark, sf_dir, "events").withColumn("date", F.to_date("ts").cast("string"))
     return sum_by(events, ["event_type", "date"], "value").withColumn("value", F.round("value", 4))
 
 
@@ -121,7 +121,7 @@ def sums(spark, sf_dir):
     "SELECT o_custkey, round(sum(o_totalprice), 2) AS spend FROM orders GROUP BY 1 ORDER BY sum(o_totalprice) DESC, 1 LIMIT 10",
 )
 def spenders(spark, sf_dir):
-    top = top_n_by_sum(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", 10, "spend")
+    top = top_n_by_sum(facts(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", 10, "spend")
     return top.withColumn("spend", F.round("spend", 2))
 
 
@@ -212,7 +212,7 @@ def keys(spark, sf_dir):
     "SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_time FROM events",
 )
 def span(spark, sf_dir):
-    return time_span(table(spark, sf_dir, "events"), "ts").select(micro("first_time"), micro("last_time"))
+    return time_span(facts(spark, sf_dir, "events"), "ts").select(micro("first_time"), micro("last_time"))
 
 
 def _window_sql(column: str, width: str) -> str:

@@ -22,7 +22,7 @@ from threatlens.operators.enrich import (
 )
 from threatlens.plans.checks.registry import incidents_sql, orders_sql, query, six
 from threatlens.session import materialize
-from threatlens.sources.views import daily_orders, incidents, table
+from threatlens.sources.views import daily_orders, facts, incidents, table
 
 
 def _pulses(spark, sf_dir):
@@ -212,7 +212,7 @@ def sorted_rows(spark, sf_dir):
 def shuffled(spark, sf_dir):
     from threatlens.functions import mix
 
-    rows = shuffle(table(spark, sf_dir, "events"), "event_id", 42)
+    rows = shuffle(facts(spark, sf_dir, "events"), "event_id", 42)
     return rows.select("event_id", "event_type", mix(F.col("event_id"), 42).alias("place"))
 
 
@@ -228,12 +228,12 @@ SELECT d.event_id, p.c_custkey, p.c_mktsegment, p.c_nationkey FROM drawn d JOIN
 )
 def random_source(spark, sf_dir):
     places = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    return assign_random(table(spark, sf_dir, "events").select("event_id"), places, "event_id", "c_custkey")
+    return assign_random(facts(spark, sf_dir, "events").select("event_id"), places, "event_id", "c_custkey")
 
 
 @query("distinct_rows", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
 def distinct(spark, sf_dir):
-    return dedupe(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    return dedupe(facts(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 
 @query(
@@ -277,5 +277,5 @@ def ordered_split(spark, sf_dir):
     """SELECT event_id, ((((event_id % 2147483648) * 2654435761 + 42) % 4294967296) >> 16) % 100 < 80 AS is_train FROM events""",
 )
 def random_split(spark, sf_dir):
-    train, test = split_by_hash(table(spark, sf_dir, "events").select("event_id"), "event_id", 0.8, 42)
+    train, test = split_by_hash(facts(spark, sf_dir, "events").select("event_id"), "event_id", 0.8, 42)
     return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))

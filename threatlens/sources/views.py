@@ -6,8 +6,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Declared types of the tables used here; without them each read runs a job to find them.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table, dealt to all cores when its files give fewer splits than there
+    are cores. A large table has splits enough and is not shuffled."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+INCIDENTS = """
+SELECT e.event_id AS id_indicator,
+       concat('ioc-', e.user_id % 40) AS indicator,
+       e.event_type AS type,
+       e.ts AS created_indicator,
+       concat('pulse-', e.event_id % 97) AS id_pulse,
+       c.c_name AS author_name,
+       CASE e.k % 4 WHEN 0 THEN 'white' WHEN 1 THEN 'green' WHEN 2 THEN 'amber' ELSE 'red' END AS TLP,
+       p.p_brand AS malware_family,
+       concat_ws('.', '10', e.k, e.user_id % 256, e.event_id % 16) AS ip,
+       c.c_mktsegment AS source_city,
+       source.n_name AS source_country,
+       target.n_name AS target_country,
+       CAST(c.c_nationkey * 5 - 60 AS DOUBLE) AS source_latitude,
+       CAST(c.c_nationkey * 13 - 160 AS DOUBLE) AS source_longitude,
+       CAST(s.s_nationkey * 5 - 60 AS DOUBLE) AS target_latitude,
+       CAST(s.s_nationkey * 13 - 160 AS DOUBLE) AS target_longitude
+FROM (
+  SELECT *, CAST(get_json_object(props, '$.k') AS INT) AS k,
+         event_id % {parts} AS part_number, event_id % {suppliers} AS supplier_number
+  FROM {events}
+) e
+JOIN {customer} c ON e.user_id = c.c_custkey
+JOIN {nation} source ON c.c_nationkey = source.n_nationkey
+JOIN {supplier} s ON e.supplier_number = s.s_suppkey
+JOIN {nation} target ON s.s_nationkey = target.n_nationkey
+JOIN {part} p ON e.part_number = p.p_partkey
+"""
 
 
 def incidents(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
@@ -16,43 +66,17 @@ def incidents(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     Customer gives the source, supplier the target, part the family. No side is
     forced into a broadcast: Spark copies a table only while its files are small.
     """
-    events = table(spark, sf_dir, "events") if events is None else events
-    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("malware_family"))
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    parts, suppliers = part.count(), supplier.count()  # read from file footers
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    source = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("source_country"))
-    target = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("target_country"))
-    k = F.get_json_object("props", "$.k").cast("int")
-    tlp = F.when(k % 4 == 0, "white").when(k % 4 == 1, "green").when(k % 4 == 2, "amber").otherwise("red")
-    address = F.concat_ws(".", F.lit("10"), k, F.col("user_id") % 256, F.col("event_id") % 16)
-    return (
-        events.withColumns({"p_partkey": F.col("event_id") % parts, "s_suppkey": F.col("event_id") % suppliers})
-        .join(customer, F.col("user_id") == F.col("c_custkey"))
-        .join(source, "c_nationkey")
-        .join(supplier, "s_suppkey")
-        .join(target, "s_nationkey")
-        .join(part, "p_partkey")
-        .select(
-            F.col("event_id").alias("id_indicator"),
-            F.concat(F.lit("ioc-"), (F.col("user_id") % 40).cast("string")).alias("indicator"),
-            F.col("event_type").alias("type"),
-            F.col("ts").alias("created_indicator"),
-            F.concat(F.lit("pulse-"), (F.col("event_id") % 97).cast("string")).alias("id_pulse"),
-            F.col("c_name").alias("author_name"),
-            tlp.alias("TLP"),
-            "malware_family",
-            address.alias("ip"),
-            F.col("c_mktsegment").alias("source_city"),
-            "source_country",
-            "target_country",
-            (F.col("c_nationkey") * 5 - 60).cast("double").alias("source_latitude"),
-            (F.col("c_nationkey") * 13 - 160).cast("double").alias("source_longitude"),
-            (F.col("s_nationkey") * 5 - 60).cast("double").alias("target_latitude"),
-            (F.col("s_nationkey") * 13 - 160).cast("double").alias("target_longitude"),
-        )
-    )
+    events = facts(spark, sf_dir, "events") if events is None else events
+    lookups = {name: table(spark, sf_dir, name) for name in ("customer", "nation", "supplier", "part")}
+    # Row counts come from file footers: inside the plan, or before a stream starts.
+    counts = {"parts": "part", "suppliers": "supplier"}
+    if events.isStreaming:
+        sizes = {size: lookups[name].count() for size, name in counts.items()}
+        return spark.sql(INCIDENTS, events=events, **lookups, **sizes)
+    inside = INCIDENTS
+    for size, name in counts.items():
+        inside = inside.replace("{" + size + "}", "(SELECT count(*) FROM {" + name + "})")
+    return spark.sql(inside, events=events, **lookups)
 
 
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +85,7 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders are counted per customer before any join, so the shuffle carries
     counts and the two lookups see one row per customer and day.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = facts(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
