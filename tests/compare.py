@@ -37,8 +37,14 @@ def _rows(names, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def difference(frame, connection, sql: str) -> str | None:
-    """None when both sides agree in names, types of cells and values."""
+    """None when both sides agree in names, types and values."""
+    described = {row[0]: TYPES.get(row[1], row[1]) for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    if described != dict(frame.dtypes):
+        return f"types {sorted(dict(frame.dtypes).items())} against {sorted(described.items())}"
     result = connection.execute(sql)
     names = [column[0] for column in result.description]
     if sorted(names) != sorted(frame.columns):

@@ -104,7 +104,8 @@ def average_rank(
         )
     )
     hot = hot_keys(instants, [key, "_ts"], "_n")
-    ranked = salted_join(df.withColumn("_ts", F.col(ts)), ranks, [key, "_ts"], "left", hot=hot, spread=spread)
+    apart = [c for c in spread if c in df.columns]
+    ranked = salted_join(df.withColumn("_ts", F.col(ts)), ranks, [key, "_ts"], "left", hot=hot, spread=apart)
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0))).drop("_ts")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from threatlens.functions.hashing import mix, split_bucket
 from threatlens.operators.rollups import keep_top
-from threatlens.operators.skew import global_index, hot_keys, lookup_join
+from threatlens.operators.skew import BROADCAST_ROWS, global_index, hot_keys, lookup_join
 from threatlens.session import materialize
 
 
@@ -76,7 +76,8 @@ def with_daily_count(
     known = keyed.filter(F.col(key).isNotNull() & F.col("_day").isNotNull())
     counts = materialize(known.groupBy(key, "_day").agg(F.count(F.lit(1)).alias(name)), "daily-counts")
     hot = hot_keys(counts, [key, "_day"], name)
-    return lookup_join(keyed, counts, [key, "_day"], "left", hot=hot, spread=spread).drop("_day")
+    apart = [c for c in spread if c in df.columns]
+    return lookup_join(keyed, counts, [key, "_day"], "left", hot=hot, spread=apart).drop("_day")
 
 
 def densify_daily(
@@ -143,13 +144,14 @@ def assign_random(
 ) -> DataFrame:
     """Give each fact one row of ``choices``, drawn with replacement by its id.
 
-    The choices are numbered in the order of a unique column; Spark picks the
-    join from the measured size of that table. Pass a stored table.
+    The choices are counted and numbered in the order of a unique column; pass a
+    stored table. A small table is broadcast; draws are even, so beyond that size
+    no number is hot.
     """
+    total = choices.count()
     numbered = global_index(choices, order, "_number")
-    total = choices.agg(F.count(F.lit(1))).scalar()
-    drawn = facts.withColumn("_number", F.pmod(mix(F.col(key), seed), total))
-    return drawn.join(numbered, "_number", "left").drop("_number")
+    drawn = facts.withColumn("_number", F.pmod(mix(F.col(key), seed), F.lit(total)))
+    return lookup_join(drawn, numbered, ["_number"], fits=total <= BROADCAST_ROWS, hot=[]).drop("_number")
 
 
 def dedupe(df: DataFrame) -> DataFrame:

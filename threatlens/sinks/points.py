@@ -10,6 +10,7 @@ from __future__ import annotations
 import time as clock
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,16 @@ def ensure_bucket(spark: SparkSession, root: str, name: str) -> str:
     return path
 
 
-def _stored(spark: SparkSession, bucket: str) -> DataFrame:
-    return spark.read.schema(STORED_SCHEMA).parquet(bucket)
+def _stored(spark: SparkSession, bucket: str, measurement: str | None = None) -> DataFrame:
+    """The stored rows; for one measurement only its own folder is listed."""
+    reader = spark.read.schema(STORED_SCHEMA).option("basePath", bucket)
+    if measurement is None:
+        return reader.parquet(bucket)
+    try:
+        rows = reader.parquet(f"{bucket}/measurement={measurement}")
+    except AnalysisException:  # nothing has been written under this name
+        rows = reader.parquet(bucket)
+    return rows.filter(F.col("measurement") == measurement)
 
 
 def _write(rows: DataFrame, bucket: str) -> None:
@@ -61,9 +70,7 @@ def read_points(
 
     The range also bounds the month folders, so older ones are not listed.
     """
-    rows = _stored(spark, bucket).filter(F.col("field").isNotNull())
-    if measurement is not None:
-        rows = rows.filter(F.col("measurement") == measurement)
+    rows = _stored(spark, bucket, measurement).filter(F.col("field").isNotNull())
     if since is not None:
         start = F.to_timestamp(F.lit(since))
         rows = rows.filter((F.col("time") >= start) & (F.col("event_month") >= F.date_format(start, "yyyy-MM")))
@@ -87,7 +94,7 @@ def delete_points(
     """
     first, last = F.to_timestamp(F.lit(start)), F.to_timestamp(F.lit(stop))
     months = F.col("event_month").between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))
-    affected = _stored(spark, bucket).filter((F.col("measurement") == measurement) & months)
+    affected = _stored(spark, bucket, measurement).filter(months)
     kept = affected.filter(F.col("field").isNotNull() & ~((F.col("time") >= first) & (F.col("time") < last)))
     markers = affected.select(*PARTITIONS).distinct().select(
         *[F.lit(None).cast(STORED_SCHEMA[c].dataType).alias(c) if c not in PARTITIONS else F.col(c)
