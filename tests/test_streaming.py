@@ -14,7 +14,17 @@ from threatlens.plans.serving import serve
 from threatlens.schema import ALTERNATE_SCHEMA, CLUSTER_BUCKET, FORECAST_BUCKET, ROLLUP_BUCKET
 from threatlens.sinks.points import ensure_bucket, idempotent_batch_sink, read_points
 from threatlens.sources.streams import read_stream, replay_stream
-from threatlens.streaming.live import CLUSTERED, LivePath, canonical, element_points, run_rollups, start_stream
+from threatlens.streaming.live import (
+    CLUSTERED,
+    LivePath,
+    activity_points,
+    canonical,
+    element_points,
+    forest_forecaster,
+    run_rollups,
+    running_points,
+    start_stream,
+)
 from threatlens.streaming.rollups import ROLLUPS, rollup_counts, rollup_points
 from threatlens.streaming.running import OnlineClusters, drain, final_state, running_count, running_top_k, stream_count_by_window
 
@@ -186,3 +196,35 @@ def test_run_rollups_is_independent_of_partition_counts(spark, small, folder):
         results.append(rows(read_points(spark, bucket).select("measurement", F.to_json("tags"), "field", "value", "time")))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_points_of_alternate_records_and_running_counts(spark):
+    df = spark.createDataFrame([("1", "URL", None, None, "p", "3", None, None, None, 2.0)], ALTERNATE_SCHEMA)
+    at = F.lit("2024-01-01").cast("timestamp")
+    got = activity_points(df, 0, at).collect()
+    assert {p.field: p.value for p in got} == {"pulse_revision": 3.0, "latitude": 0.0, "longitude": 2.0}
+    assert got[0].tags == {"country": "Unknown", "indicator_id": "1", "pulse_name": "p"}
+    counts = spark.createDataFrame([("x", 5)], 'author_name STRING, `count` BIGINT')
+    point = running_points(counts, "top_sources", "author_name", 0, at).first()
+    assert (point.measurement, point.tags, point.field, point.value) == ("top_sources", {"country": "x"}, "count", 5.0)
+
+
+def test_live_forecast_continues_the_history(spark, folder):
+    from test_models import daily
+
+    from threatlens.models.features import forecast_features
+    from threatlens.models.forests import fit_forecast_forest
+    from threatlens.models.labels import encode_labels
+
+    counts = daily(spark)
+    dictionary = fit_labels(counts, ["target_country"])
+    model = fit_forecast_forest(encode_labels(forecast_features(counts, counted=True), dictionary, ["target_country"]), trees=4, depth=4)
+    forecast = forest_forecaster(model, dictionary, days=3, history=lambda: counts)
+    bucket = ensure_bucket(spark, folder, FORECAST_BUCKET)
+    live = LivePath(ensure_bucket(spark, folder, ROLLUP_BUCKET), forecast_bucket=bucket, forecast=forecast)
+    batch_ = canonical(spark.createDataFrame([(1, dt.datetime(2024, 4, 30, 5), "s", "a")], SCHEMA))
+    live(batch_, 0)
+    got = serve(spark, folder, "predictions").collect()
+    dates = {c: sorted(r["Timestamp"].date() for r in got if r["Country"] == c) for c in ("a", "b")}
+    assert dates["a"] == [dt.date(2024, 5, d) for d in (1, 2, 3)] and dates["b"] == [dt.date(2024, 4, 30), dt.date(2024, 5, 1), dt.date(2024, 5, 2)]
+    assert all(r["Number of Attacks"] > 0 for r in got)

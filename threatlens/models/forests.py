@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -228,8 +229,15 @@ def predict_rows(trees: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     return trees["prediction"][at].mean(axis=1)
 
 
+def share_trees(model: PipelineModel, spark) -> Broadcast:
+    """Copy the checked arrays of a pipeline's forest to the executors, once for many
+    forecasts."""
+    forest = next(stage for stage in model.stages if isinstance(stage, RandomForestRegressionModel))
+    return spark.sparkContext.broadcast(read_trees(forest, spark))
+
+
 def forecast_recursive(
-    model: PipelineModel,
+    model: PipelineModel | Broadcast,
     history: DataFrame,
     days: int = 730,
     key: str = "target_country",
@@ -246,9 +254,7 @@ def forecast_recursive(
     are dealt by hash to groups of about ``keys_per_group``; a group steps through
     the days once for all of its keys together. Returns (key, day, num_attacks).
     """
-    spark = history.sparkSession
-    forest = next(stage for stage in model.stages if isinstance(stage, RandomForestRegressionModel))
-    trees = spark.sparkContext.broadcast(read_trees(forest, spark))
+    trees = model if isinstance(model, Broadcast) else share_trees(model, history.sparkSession)
     depth = max(lags)
     last = history.groupBy(key).agg(F.max(day).alias("_last"))
     recent = (

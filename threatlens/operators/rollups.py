@@ -61,9 +61,8 @@ def top_indicator_per_target(df: DataFrame, k: int = 1, within: Sequence[str] =
 
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One (column, value) row per cell, as text."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    return df.select(F.inline(cells))
+    """One (column, value) row per cell, as text; nulls included."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
 
 
 def top_k_all(

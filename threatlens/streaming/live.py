@@ -6,13 +6,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from threatlens.functions import with_default
 from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters
+from threatlens.models.forests import forecast_recursive, share_trees
 from threatlens.models.labels import encode_labels
+from threatlens.operators.enrich import densify_daily, union_all
 from threatlens.operators.points import to_points
+from threatlens.operators.rollups import daily_counts, sum_by
 from threatlens.schema import CLUSTER_FIELDS, CLUSTER_TAGS, INDICATOR_SCHEMA
 from threatlens.sinks.points import with_retries, write_points
 from threatlens.streaming.rollups import ROLLUP_COLUMNS, rollup_counts, rollup_points
@@ -40,6 +45,49 @@ def element_points(events: DataFrame, batch_id: int = 0, time: str | Column | No
     )
 
 
+def activity_points(events: DataFrame, batch_id: int = 0, time: str | Column | None = None) -> DataFrame:
+    """One point per alternate record, tagged by country; absent coordinates are 0."""
+    known = events.select(
+        with_default(F.col("location_country"), "Unknown").alias("country"), "indicator_id", "pulse_name",
+        F.col("pulse_revision").try_cast("double").alias("pulse_revision"),
+        with_default(F.col("location_latitude"), 0.0).alias("latitude"),
+        with_default(F.col("location_longitude"), 0.0).alias("longitude"),
+        *([time] if isinstance(time, str) else []),
+    )
+    return to_points(
+        known, "indicator_activity", ["country", "indicator_id", "pulse_name"],
+        ["pulse_revision", "latitude", "longitude"], time, batch_id,
+    )
+
+
+def running_points(
+    counts: DataFrame, measurement: str, key: str, batch_id: int = 0, time: str | Column | None = None
+) -> DataFrame:
+    """Running counts or rankings as points tagged by country."""
+    return to_points(counts, measurement, {key: "country"}, ["count"], time, batch_id)
+
+
+def forest_forecaster(
+    model: PipelineModel, dictionary: DataFrame, days: int = 730, key: str = "target_country",
+    history: Callable[[], DataFrame] | None = None,
+) -> Callable[[DataFrame], DataFrame]:
+    """A batch -> forecast function from a fitted forest, for ``LivePath.forecast``.
+
+    The batch's daily counts are added to those of ``history`` (key, date,
+    num_attacks) when it is given. The trees are copied to the executors once.
+    """
+    trees = share_trees(model, dictionary.sparkSession)
+
+    def forecast(batch: DataFrame) -> DataFrame:
+        counts = daily_counts(batch, key)
+        if history is not None:
+            counts = sum_by(union_all(counts, history()), [key, "date"], "num_attacks")
+        series = encode_labels(densify_daily(counts, key), dictionary, [key])
+        return forecast_recursive(trees, series, days, key, f"{key}_encoded")
+
+    return forecast
+
+
 def run_rollups(batch: DataFrame, batch_id: int, bucket: str, written_at: Column | None = None) -> None:
     """Store all roll-ups of one batch: one scan, one aggregate, one write.
 
