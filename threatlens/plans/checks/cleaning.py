@@ -37,7 +37,7 @@ FROM parsed"""
 MESSAGE_SCHEMA = struct_of("id_indicator BIGINT, indicator STRING, type STRING, created_indicator TIMESTAMP, is_active INT")
 
 
-def _shown(parsed):
+def shown(parsed):
     return parsed.select(
         with_default(F.col("id_indicator"), -1).alias("id_indicator"),
         with_default(F.col("indicator"), "none").alias("indicator"),
@@ -49,12 +49,12 @@ def _shown(parsed):
 
 @query("parse_events_keep_malformed", f"WITH {MESSAGES} {PARSED}")
 def parse_keep(spark, sf_dir):
-    return _shown(parse_events(messages(facts(spark, sf_dir, "events")), MESSAGE_SCHEMA, "null"))
+    return shown(parse_events(messages(facts(spark, sf_dir, "events")), MESSAGE_SCHEMA, "null"))
 
 
 @query("parse_events_drop_malformed", f"WITH {MESSAGES} {PARSED} WHERE ok")
 def parse_drop(spark, sf_dir):
-    return _shown(parse_events(messages(facts(spark, sf_dir, "events")), MESSAGE_SCHEMA, "drop"))
+    return shown(parse_events(messages(facts(spark, sf_dir, "events")), MESSAGE_SCHEMA, "drop"))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from threatlens.models.clusters import CLUSTER_FEATURES, start_centers
 from threatlens.models.labels import encode_labels, fit_labels
 from threatlens.operators.clean import parse_events
-from threatlens.plans.checks.cleaning import MESSAGE_SCHEMA, MESSAGES, PARSED
+from threatlens.plans.checks.cleaning import MESSAGE_SCHEMA, MESSAGES, PARSED, shown
 from threatlens.plans.checks.registry import incidents_sql, query, second
 from threatlens.schema import ROLLUP_BUCKET
 from threatlens.session import scratch_path
@@ -53,10 +53,8 @@ def stream_authors(spark, sf_dir):
 
 @query("stream_parse_messages", f"WITH {MESSAGES} {PARSED} WHERE ok")
 def stream_parse(spark, sf_dir):
-    from threatlens.plans.checks.cleaning import _shown
-
     parsed = parse_events(messages(_stream(spark, sf_dir)), MESSAGE_SCHEMA, "drop")
-    return final_state(drain(_shown(parsed), "append", "parsed"), "append")
+    return final_state(drain(shown(parsed), "append", "parsed"), "append")
 
 
 @query(
@@ -72,8 +70,8 @@ FROM counted WHERE window_start + INTERVAL '10 minutes' <= date_trunc('milliseco
 )
 def stream_windows(spark, sf_dir):
     counts = stream_count_by_window(_incident_stream(spark, sf_dir), "target_country")
-    shown = final_state(drain(counts, "append", "windows"), "append")
-    return shown.select("target_country", second("window_start"), second("window_end"), "attack_count")
+    closed = final_state(drain(counts, "append", "windows"), "append")
+    return closed.select("target_country", second("window_start"), second("window_end"), "attack_count")
 
 
 def _rollups_sql() -> str:
