@@ -1,0 +1,486 @@
+"""The operators against brute force, on small tables with all the odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from compare import difference, duck
+
+from threatlens.llm import contamination, jaccard, mixing, neighbours, queries, repeats, resampling, sharding, tokens, toxicity
+
+SQL = queries.oracle_sql()
+ODD = [
+    (1, "A plain text of some words, said once and then again for good measure and length", "en", "s1", 80),
+    (2, None, None, None, None),
+    (3, "", "en", "s1", 0),
+    (4, "   \n\t ", None, "s2", 6),
+    (5, "a plain text of some words, said once and then again for good measure and length", "en", "s2", 80),
+    (5, "a plain text of some words, said once and then again for good measure and length", "en", "s2", 80),
+    (None, "No id here but a plain text of some words, said once and then again for good measure", "en", None, 80),
+    (7, "ünï cödé " * 40, "de", "s3", 360),
+    (8, "x" * 30_000 + " tail", "en", "s3", 30_005),
+    (9, "one two three", "en", "s1", 13),
+    (10, "One two THREE", "en", "s1", 13),
+    (11, "A plain text of some words, said once and then again for good measure and length", "en", "s1", 80),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def clashing(odd):
+    """Columns that carry the names of results."""
+    from pyspark.sql import functions as F
+
+    names = ["shard", "slot", "size", "score", "copies", "spans", "items", "n_words", "component_id", "kept", "predicted"]
+    return odd.withColumns({n: F.lit("mine") for n in names})
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def connection(small):
+    return duck(small)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_agrees_with_sql(spark, small, connection, name):
+    assert difference(queries.queries()[name](spark, small), connection, SQL[name]) is None
+
+
+def texts_of(spark, folder):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+
+
+# 1 token counts
+
+PIECES = [bytes([b]) for b in range(256)] + [b" a", b" ab", b"abc", b"bcd", b"ab", b"cd", b" the", b"here", b"her", b"re is", b"\xc3\xbc", b"xxxx", b"xx"]
+
+
+def greedy(word: bytes, pieces: set[bytes]) -> int:
+    n, count, most = 0, 0, max(map(len, pieces))
+    while n < len(word):
+        n += next(k for k in range(most, 0, -1) if word[n:n + k] in pieces)
+        count += 1
+    return count
+
+
+def test_token_counts_are_greedy_longest_matches(spark, odd, empty, clashing):
+    got = Counter(tuple(r) for r in tokens.count_tokens(odd, PIECES).collect())
+    expected = Counter()
+    for key, text, *_ in ODD:
+        raw = (text or "").encode()
+        found = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+        expected[(key, len(raw), len(found), sum(greedy(b" " + w, set(PIECES)) for w in found))] += 1
+    assert got == expected
+    assert tokens.count_tokens(empty, PIECES).count() == 0
+    assert tokens.count_tokens(clashing, PIECES).count() == len(ODD)
+
+
+def test_token_counts_with_the_real_vocabulary(spark, small):
+    pieces = tokens.read_vocabulary(queries.VOCABULARY)
+    known, texts = set(pieces), texts_of(spark, small)
+    most = max(len(p) for p in pieces)
+    assert most < 200
+    got = {r.doc_id: r.n_tokens for r in queries.op1_token_counts(spark, small).collect()}
+    for key, text in random.Random(3).sample(sorted(texts.items()), 25):
+        assert got[key] == sum(greedy(b" " + w, known) for w in re.findall(rb"[^\x20\x09-\x0D]+", text.encode()))
+
+
+def test_a_vocabulary_without_all_bytes_is_refused():
+    with pytest.raises(ValueError):
+        tokens.Automaton([b"a"])
+
+
+# 2 toxicity
+
+
+def test_toxicity_finds_held_out_toxic_texts(spark):
+    folder = "/root/testdata/sf0.1"
+    scored = {r.doc_id: r for r in queries.op2_toxicity(spark, folder).collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for k, r in scored.items())
+    held = [(scored[k].score, scored[k].predicted, t) for k, t in labels.items() if k in scored and scored[k].held_out]
+    hits = sum(p and t for _, p, t in held)
+    assert hits / sum(t for *_, t in held) > 0.9 and hits / sum(p for _, p, _ in held) > 0.9
+    order = sorted(held)
+    ranks = [i for i, (_, _, t) in enumerate(order) if t]
+    n1, n0 = len(ranks), len(order) - len(ranks)
+    assert (sum(ranks) - n1 * (n1 - 1) / 2) / (n1 * n0) > 0.97
+
+
+def test_toxicity_of_odd_rows(spark, odd, empty, clashing):
+    labels = spark.createDataFrame([(1, 1), (9, 0), (10, None), (None, 1), (5, 0), (5, 1)], "doc_id long, toxic int")
+    model = toxicity.train(odd, labels)
+    got = toxicity.score_texts(clashing, model)
+    assert got.count() == len(ODD) and got.columns.count("score") == 1
+    blank = {r.score for r in got.filter("doc_id IN (2, 3)").collect()}
+    assert len(blank) == 1
+    none = toxicity.train(odd, labels.limit(0))
+    assert {(r.score, r.predicted) for r in toxicity.score_texts(odd, none).collect()} == {(0.0, 0)}
+    assert toxicity.drop_toxic(empty, labels).count() == 0
+    assert toxicity.drop_toxic(clashing, labels.limit(0)).columns == clashing.columns
+
+
+def test_the_risk_never_rewards_below_zero():
+    rng = np.random.default_rng(1)
+    n = 400
+    positive = (np.arange(n) < 100).astype(float)
+    rows = np.arange(n)
+    columns = np.where((positive > 0) | (rng.random(n) < 0.2), 0, 1)
+    weights, bias = toxicity.fit(rows, columns, positive, 1 - positive, 0.2, 2)
+    scores = toxicity.sigmoid(weights + bias)
+    assert scores[0] > 0.8 and scores[1] < 0.1
+
+
+# 3 contamination
+
+
+def overlap(texts, items, window=10):
+    def split(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+    windows = defaultdict(set)
+    for item, text in items:
+        w = split(text)
+        n = min(len(w), window)
+        for i in range(len(w) - n + 1 if w else 0):
+            windows[tuple(w[i:i + n])].add("" if item is None else str(item))
+    sizes = {len(k) for k in windows}
+    out = Counter()
+    for key, text in texts:
+        w = split(text)
+        hit, found = set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in windows:
+                    hit |= set(range(i, i + n))
+                    found |= windows[tuple(w[i:i + n])]
+        out[(key, len(w), len(hit), tuple(sorted(found)))] += 1
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 20, 200])
+def test_matches_of_odd_rows(spark, odd, empty, clashing, block):
+    items = [
+        (1, "words, said once and then again for good measure and length"), (1, "words, said once and then again for good measure and length"),
+        (2, "one two"), (3, None), (4, ""), (None, "cödé ünï cödé ünï cödé ünï cödé ünï cödé ünï cödé ünï"), (5, "nothing like it is in any of these texts at all"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    got = contamination.find_matches(odd, benchmark, block_bytes=block)
+    rows = Counter((r.doc_id, r.n_words, sum(s.stop - s.start for s in r.spans), tuple(r["items"])) for r in got.collect())
+    assert rows == overlap([(k, t) for k, t, *_ in ODD], items)
+    assert contamination.find_matches(empty, benchmark).count() == 0
+    assert contamination.decontaminate(odd, benchmark.limit(0)).count() == len(ODD)
+    clean = contamination.decontaminate(clashing, benchmark)
+    assert clean.columns == clashing.columns and clean.count() == sum(n for (_, _, h, _), n in rows.items() if not h)
+
+
+def test_longest_matches_give_their_places(spark):
+    docs = spark.createDataFrame([(1, "x y " + " ".join(f"w{i}" for i in range(30)) + " z")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "q " + " ".join(f"w{i}" for i in range(3, 28)))], "item_id long, text string")
+    row = contamination.find_matches(docs, items).first()
+    assert [m.asDict() for m in row.matches] == [{"item_id": "7", "start": 5, "length": 25, "item_start": 1}]
+
+
+# 4 near duplicates
+
+
+def linked_classes(texts, length, over, under):
+    sets = {}
+    for key, text in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        if key is not None:
+            sets.setdefault(key, set()).add(frozenset(tuple(w[i:i + length]) for i in range(max(len(w) - length, 0) + 1)) if w else frozenset())
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1:]:
+            for x in sets[a]:
+                for y in sets[b]:
+                    c = len(x & y)
+                    if x and y and c * under >= over * (len(x) + len(y) - c):
+                        p, q = sorted((find(a), find(b)))
+                        root[q] = p
+    return {k: find(k) for k in keys}
+
+
+def near_copies(seed: int, families: int, each: int, size: int) -> list[tuple[int, str]]:
+    """Families of edited copies, and texts that share one long passage and little else."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(words) for _ in range(size // 2)]
+    out = []
+    for f in range(families):
+        base = [rng.choice(words) for _ in range(rng.randint(size // 3, size * 2))]
+        for _ in range(each):
+            text = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 60))):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            out.append(" ".join(text))
+    for _ in range(families * each // 2):
+        own = [rng.choice(words) for _ in range(rng.randint(3, 3 + size // 3))]
+        out.append(" ".join(own[:5] + passage + own[5:]))
+    rng.shuffle(out)
+    return list(enumerate(out, 1))
+
+
+@pytest.mark.parametrize(("length", "over", "size", "crowd"), [(4, 85, 120, 24), (5, 80, 120, 2), (2, 80, 12, 2), (4, 85, 9, 1)])
+def test_components_are_exact(spark, monkeypatch, length, over, size, crowd):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
+    rows = near_copies(length * size, 12, 14, size)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, length, over).collect()}
+    assert got == linked_classes(rows, length, over, 100)
+
+
+def test_components_of_odd_rows(spark, odd, empty, clashing):
+    got = jaccard.near_duplicates(clashing, 4, 85).collect()
+    assert len(got) == len(ODD)
+    classes = linked_classes([(k, t) for k, t, *_ in ODD], 4, 85, 100)
+    assert all(r.component_id == classes.get(r.doc_id) for r in got)
+    assert {r.doc_id: r.n_shingles for r in got if r.doc_id in (2, 3, 4, 9)} == {2: 0, 3: 0, 4: 0, 9: 1}
+    assert jaccard.near_duplicates(empty).count() == 0
+
+
+# 5 resampling
+
+
+def test_resampling_keeps_the_share_and_prefers_the_target(spark, small):
+    rows = queries.op5_importance_resampling(spark, small).collect()
+    assert sum(r.kept for r in rows) == math.ceil(0.8 * len(rows))
+    assert min(r.gumbel_key for r in rows if r.kept) > max(r.gumbel_key for r in rows if not r.kept)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    kept = {q: [r.kept for r in rows if labels.get(r.doc_id) == q] for q in (0, 1)}
+    assert np.mean(kept[1]) > np.mean(kept[0]) if kept[0] else True
+
+
+def test_log_weights_against_plain_counting(spark, odd, clashing, empty):
+    target = odd.filter("doc_id IN (1, 9)")
+    got = {(r.doc_id, r.n_chars): r for r in resampling.log_weights(clashing, target).collect()}
+    counts = {False: Counter(), True: Counter()}
+    each = {}
+    for key, text, _, _, n in ODD:
+        one = resampling.chunks
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        bucket = resampling.ngrams(raw, np.array([0, len(raw)]))[1].tolist()
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        assert len(bucket) == max(0, 2 * len(words) - 1)
+        each[(key, n)] = bucket
+        counts[False].update(bucket)
+        if key in (1, 9):
+            counts[True].update(bucket)
+    size = resampling.BUCKETS
+    total = {k: sum(c.values()) + size for k, c in counts.items()}
+    for k, bucket in each.items():
+        expected = sum(math.log((counts[True][b] + 1) / total[True]) - math.log((counts[False][b] + 1) / total[False]) for b in bucket)
+        assert got[k].log_weight == pytest.approx(expected, abs=1e-9) and got[k].n_grams == len(bucket)
+    assert resampling.resample(empty, empty.select("text")).count() == 0
+    assert {r.log_weight for r in resampling.log_weights(odd, odd.limit(0)).collect()} == {0.0}
+
+
+def test_kth_largest_with_many_rounds(spark, monkeypatch):
+    monkeypatch.setattr(resampling, "LAST_RANGE", 5)
+    monkeypatch.setattr(resampling, "RANGES", 4)
+    rng = random.Random(5)
+    values = [rng.gauss(0, 1) for _ in range(300)] + [1e6, -1e6] + [0.25] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v double").cache()
+    for k in (1, 2, 120, 200, len(values)):
+        assert resampling.kth_largest(df, "v", k) == sorted(values, reverse=True)[k - 1]
+
+
+# 6 repeated bytes
+
+
+def without_repeats(texts, length=50):
+    seen: dict[bytes, int] = {}
+    rows = sorted(((k, (t or "").encode()) for k, t in texts if k is not None), key=lambda r: r[0])
+    for key, raw in rows:
+        for i in range(len(raw) - length + 1):
+            seen.setdefault(raw[i:i + length], key)
+    out = Counter()
+    for key, text in texts:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if key is not None and seen[raw[i:i + length]] < key:
+                gone[i:i + length] = b"\x01" * length
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out[(key, len(raw), sum(gone), runs, hashlib.sha256(kept).hexdigest())] += 1
+    return out
+
+
+def digest(cut):
+    return Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), hashlib.sha256(r.kept).hexdigest()) for r in cut.collect())
+
+
+def test_repeats_of_odd_rows(spark, odd, empty, clashing):
+    assert digest(repeats.remove_repeats(clashing)) == without_repeats([(k, t) for k, t, *_ in ODD])
+    assert repeats.remove_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh"])
+def test_repeats_of_edited_copies(spark, letters):
+    rng = random.Random(len(letters))
+
+    def text(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    passages = [text(n) for n in (49, 50, 51, 80, 400, 3000)]
+    rows = []
+    for i in range(80):
+        parts = [text(rng.randint(0, 300))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            a = rng.randint(0, len(p) // 2)
+            parts += [p[a:rng.randint(a, len(p))] if rng.random() < 0.5 else p, text(rng.randint(0, 60))]
+        rows.append((i * 7 % 83, "".join(parts)))
+    rows += [(100, "z" * 500), (101, "z" * 300 + "y"), (102, "yz" * 200), (103, "yz" * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert digest(repeats.remove_repeats(docs)) == without_repeats(rows)
+
+
+def test_repeats_of_the_tables(spark, small):
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op6_repeated_bytes(spark, small).collect()}
+    assert got == {k: (gone, runs, sha) for k, _, gone, runs, sha in without_repeats(list(texts_of(spark, small).items()))}
+
+
+def test_a_hash_collision_is_found_and_mended(monkeypatch):
+    data = np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8)
+    monkeypatch.setattr(repeats.Suffixes, "agree", lambda self, a, b: np.full(len(a), repeats.LENGTH))
+    kinds = repeats.equal_windows(data, np.array([0, 5, 60, 65]), np.zeros(4, dtype=np.int64))
+    assert kinds[0] == kinds[1] != kinds[2] == kinds[3]
+
+
+# 7 nearest neighbours
+
+
+def test_neighbours_of_odd_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=8).astype(np.float32)]) for i in range(0, 200)]
+    rows += [(200, None), (220, [0.0] * 8), (240, [float("nan")] * 8), (260, [None] * 8), (280, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (300, []), (320, [1.0, 2.0])]
+    rows += [rows[20], rows[7], (400, rows[40][1]), (401, rows[40][1]), (402, [x * 1e-30 for x in rows[3][1]]), (403, [x * 1e20 for x in rows[3][1]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    vectors = {k: v for k, v in rows if k is not None and v and None not in v and all(map(math.isfinite, v)) and any(v)}
+    expected = []
+    for q, a in vectors.items():
+        if q % 20 == 0:
+            scored = []
+            for c, b in vectors.items():
+                if c != q and len(a) == len(b):
+                    s = 0.0
+                    for x, y in zip(a, b):
+                        s += x * y
+                    scored.append((-s, c))
+            expected += [(q, i, c, -s) for i, (s, c) in enumerate(sorted(scored)[:20], 1)]
+    from pyspark.sql import functions as F
+
+    for limit in (64 << 20, 500):
+        got = [tuple(r) for r in neighbours.nearest(df, F.col("_id") % 20 == 0, query_bytes=limit).collect()]
+        assert sorted(got) == sorted(expected)
+    assert neighbours.nearest(df.limit(0), F.col("_id") % 20 == 0).count() == 0
+
+
+# 8 sharding
+
+
+def shard_of(key, shards):
+    best = []
+    for s in range(shards):
+        u = (int(hashlib.md5(f"shard:{s}:{key}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+        best.append((-math.log(u), s))
+    return min(best)[1]
+
+
+def test_shards_follow_the_key_and_slots_have_no_gaps(spark, small):
+    rows = queries.op8_rendezvous_shards(spark, small).collect()
+    texts = texts_of(spark, small)
+    slots = defaultdict(list)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(raw) + 16, zlib.crc32(raw), "key")
+        assert (r.shard, r.grown_shard) == (shard_of(r.doc_id, 40), shard_of(r.doc_id, 41))
+        assert r.grown_shard in (r.shard, 40)
+        slots[r.shard].append(r.slot)
+    assert len(rows) == len(texts) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_shards_of_odd_rows(spark, odd, clashing, empty, monkeypatch):
+    rows = sharding.number_slots(sharding.assign_shards(clashing, weights=[1, 2, 1]), rows_per_range=2).collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert len(rows) == len(ODD) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert len({r.shard for r in rows if r.doc_id == 5}) == 1
+    assert sharding.shard_documents(empty).count() == 0
+    many = sharding.assign_shards(spark.range(20_000).withColumnRenamed("id", "doc_id"), weights=[1, 2, 1]).groupBy("shard").count().collect()
+    share = {r.shard: r["count"] / 20_000 for r in many}
+    assert share[1] == pytest.approx(0.5, abs=0.02) and share[0] == pytest.approx(0.25, abs=0.02)
+    copies = spark.createDataFrame([(1, "same")] * 5_000, "doc_id long, text string")
+    assert sorted(r.slot for r in sharding.shard_documents(copies).collect()) == list(range(5_000))
+
+
+# 10 mixing
+
+
+def test_mix_reaches_its_targets(spark, small):
+    rows = queries.op10_source_mix(spark, small).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    sizes = Counter()
+    for r in docs.values():
+        sizes[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+    targets = {}
+    left, share = dict(sizes), {s: i % 3 + 1 for i, s in enumerate(sorted(sizes))}
+    total = sum(sizes.values())
+    while True:
+        level = (total - sum(targets.values())) / sum(share[s] for s in left)
+        full = [s for s in left if share[s] * level > 3 * sizes[s]]
+        if not full:
+            break
+        for s in full:
+            targets[s] = 3.0 * left.pop(s)
+    targets |= {s: share[s] * level for s in left}
+    taken, most = Counter(), Counter()
+    for r in rows:
+        source = docs[r.doc_id].source
+        assert r.target == pytest.approx(targets[source]) and r.source_size == sizes[source]
+        assert r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
+        taken[source] += r.taken
+        most[source] = max(most[source], r.size)
+    assert all(abs(taken[s] - targets[s]) <= most[s] for s in targets)
+
+
+def test_mix_of_odd_rows(spark, odd, clashing, empty):
+    rows = mixing.copies_per_document(clashing).collect()
+    assert len(rows) == len(ODD)
+    assert all(r.copies == 0 for r in rows if r.doc_id in (2, 3, 4))
+    mixed = mixing.mix_sources(clashing)
+    assert mixed.columns == clashing.columns and {r["size"] for r in mixed.collect()} == {"mine"}
+    assert Counter(r.doc_id for r in mixed.collect()) == Counter({k: n for k, n in Counter({r.doc_id: 0 for r in rows}).items() if n}) + sum(
+        (Counter({r.doc_id: r.copies}) for r in rows), Counter()
+    )
+    assert mixing.mix_sources(empty).count() == 0
+    blank = odd.filter("doc_id IN (2, 3, 4)")
+    assert mixing.mix_sources(blank).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.llm import mixing, neighbours, sharding, tokens
+from threatlens.llm import contamination, jaccard, mixing, neighbours, repeats, resampling, sharding, tokens, toxicity
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -18,6 +18,95 @@ def op1_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABUL
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.read_vocabulary(vocabulary))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_texts(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op3_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS p FROM b WHERE len(w) > 0)
+),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+places AS (
+  SELECT r, p, n, array_to_string(w[p:p + n - 1], ' ') AS k
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d) x JOIN lengths l ON x.p + l.n - 1 <= len(w)
+),
+hits AS (SELECT r, p, n, item_id FROM places JOIN item_windows USING (n, k)),
+covered AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), length=4, over=85, under=100)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 0) + 2)) AS p FROM d WHERE len(w) > 0)
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+named AS MATERIALIZED (SELECT doc_id, hash(k) AS k FROM sh),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM named a JOIN named b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = d.doc_id
+"""
+
+
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, resampling.labelled_targets(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("_id") % 20 == 0, 20)
 
@@ -93,11 +182,16 @@ FROM drawn d JOIN needs n ON d.source IS NOT DISTINCT FROM n.source JOIN cuts c
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
+    "op3_benchmark_overlap": op3_benchmark_overlap,
+    "op4_jaccard_components": op4_jaccard_components,
+    "op5_importance_resampling": op5_importance_resampling,
+    "op6_repeated_bytes": op6_repeated_bytes,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_rendezvous_shards": op8_rendezvous_shards,
     "op10_source_mix": op10_source_mix,
 }
-ORACLE_SQL = {"op7_nearest_neighbours": OP7_SQL, "op10_source_mix": OP10_SQL}
+ORACLE_SQL = {"op3_benchmark_overlap": OP3_SQL, "op4_jaccard_components": OP4_SQL, "op7_nearest_neighbours": OP7_SQL, "op10_source_mix": OP10_SQL}
 
 
 def queries():

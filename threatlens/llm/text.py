@@ -97,10 +97,11 @@ def runs(values: np.ndarray, length: int) -> np.ndarray:
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each text the sorted, distinct hashes of its shingles of ``length`` words.
+    """For each text the sorted, distinct hashes of its shingles of ``length`` words, A-Z as a-z.
 
     A text of fewer words has its whole sequence as its one shingle; one without words has none.
     """
+    data = LOWER[data]
     starts, ends, first = words(data, at, SPACED)
     hashes = word_hashes(data, starts, ends)
     shingles = runs(hashes, length)
@@ -111,3 +112,25 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarr
         else:
             out.append(runs(hashes[a:b], b - a) if b > a else np.empty(0, np.uint64))
     return out
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of whole groups from rows sorted by ``keys``; small groups come together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.nbytes for b in held) < limit:
+            continue
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        same = np.ones(whole.num_rows, dtype=bool)
+        for k in keys:
+            values = whole.column(k).to_numpy(zero_copy_only=False)
+            same &= values == values[-1]
+        cut = int(np.argmax(same))
+        if cut:
+            yield whole.slice(0, cut)
+        held = [whole.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
