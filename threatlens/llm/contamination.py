@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threatlens.llm.text import ALNUM, LOWER, bytes_of, chunks, word_hashes, words
-from threatlens.session import materialize, send_by_value
+from threatlens.llm.text import ALNUM, LOWER, bytes_of, chunks, ship, ship_code, unpack, word_hashes, words
+from threatlens.session import materialize
 
 WINDOW = 10
 # Bytes of benchmark text that are sent to all tasks at once; a larger benchmark takes more rounds.
@@ -188,8 +188,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, te
     The benchmark goes out in blocks of bounded size, each searched in one pass
     over the documents; no row of the documents is shuffled.
     """
-    send_by_value("threatlens.llm.contamination")
-    send_by_value("threatlens.llm.text")
+    ship_code(__name__)
     spark = docs.sparkSession
     names = ["n_words", "spans", "items", "matches"]
     columns = [c for c in docs.columns if c not in names]
@@ -202,11 +201,12 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, te
     for i in range(rounds):
         block = (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == i) if rounds > 1 else items).toArrow().combine_chunks()
         texts = block["text"].combine_chunks() if block.num_rows else pa.array([], pa.string())
-        sent = spark.sparkContext.broadcast(BenchmarkSuffixes(block["item_id"].to_pylist(), texts, window))
+        sent = ship(spark, BenchmarkSuffixes(block["item_id"].to_pylist(), texts, window))
 
         def scan(batches, sent=sent, later=i > 0):
+            tests = unpack(sent)
             for rows, data, at in chunks(batches, text):
-                answers = search(sent.value, data, at)
+                answers = search(tests, data, at)
                 if later:
                     old = rows.select(names[1:]).to_pylist()
                     answers = [

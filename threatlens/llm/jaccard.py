@@ -33,8 +33,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.llm.graph import components
-from threatlens.llm.text import chunks, grouped, mix, shingle_sets
-from threatlens.session import materialize, send_by_value
+from threatlens.llm.text import chunks, grouped, mix, shingle_sets, ship_code
+from threatlens.session import materialize
 
 RATIO = 1.5
 # A block holds about this many sets, or fewer if their shingles exceed the other bound.
@@ -253,8 +253,7 @@ def linked(pairs: DataFrame, cells: DataFrame, measure: Measure) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; the component is the smallest id reachable."""
-    send_by_value("threatlens.llm.jaccard")
-    send_by_value("threatlens.llm.text")
+    ship_code(__name__)
     measure = Measure(length, over, under)
     rows = materialize(set_rows(docs, key, text, measure), "sets-of-rows")
     sets = materialize(

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.session import materialize, send_by_value
+from threatlens.llm.text import ship, ship_code, unpack
+from threatlens.session import materialize
 
 # Bytes of query vectors that are sent to all tasks at once; more queries take more rounds.
 QUERY_BYTES = 64 << 20
@@ -120,7 +121,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vect
     candidates once, tile by tile, and returns at most k rows per query.
     ``is_query`` is a condition on the column ``_id``.
     """
-    send_by_value("threatlens.llm.neighbours")
+    ship_code(__name__)
     spark = vectors.sparkSession
     stored = materialize(usable(vectors, key, vector), "vectors")
     queries = stored.filter(is_query)
@@ -130,10 +131,11 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vect
     for i in range(rounds):
         mine = queries.filter(F.pmod(F.xxhash64("_id"), F.lit(rounds)) == i) if rounds > 1 else queries
         table = mine.orderBy("_id").toArrow()
-        sent = spark.sparkContext.broadcast((table["_id"].to_numpy(), [v.values.to_numpy() for v in table["_v"]]))
+        sent = ship(spark, (table["_id"].to_numpy(), [v.values.to_numpy() for v in table["_v"]]))
 
         def search(batches, sent=sent):
-            asked = blocks(*sent.value) if len(sent.value[0]) else {}
+            ids, rows = unpack(sent)
+            asked = blocks(ids, rows) if len(ids) else {}
             best = {n: Best(len(q.ids), k) for n, q in asked.items()}
             for batch in batches:
                 for a in range(0, batch.num_rows, TILE):

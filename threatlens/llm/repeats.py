@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.llm.text import BASE, INVERSE, chunks, grouped, mix, powers
-from threatlens.session import materialize, send_by_value
+from threatlens.llm.text import BASE, INVERSE, chunks, grouped, mix, powers, ship_code
+from threatlens.session import materialize
 
 LENGTH = 50
 RUN = 18
@@ -293,8 +293,7 @@ def repeated_spans(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, spans``: for documents that repeat earlier ones, start and stop of the bytes, unmerged."""
-    send_by_value("threatlens.llm.repeats")
-    send_by_value("threatlens.llm.text")
+    ship_code(__name__)
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text).toDF("doc_id", "text").filter(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}")
     pieces = materialize(piece_rows(texts), "pieces")

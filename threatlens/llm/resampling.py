@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threatlens.llm.text import ALNUM, LOWER, chunks, mix, runs, word_hashes, words
-from threatlens.session import materialize, send_by_value
+from threatlens.llm.text import ALNUM, LOWER, chunks, mix, runs, ship_code, word_hashes, words
+from threatlens.session import materialize
 
 BUCKETS = 1 << 14
 # Bound on the labelled texts that the target model is fitted to.
@@ -61,8 +61,7 @@ def model_of(texts: DataFrame, text: str) -> np.ndarray:
 
 def log_weights(docs: DataFrame, target: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_grams`` and ``log_weight``."""
-    send_by_value("threatlens.llm.resampling")
-    send_by_value("threatlens.llm.text")
+    ship_code(__name__)
     wanted, raw = model_of(target, text), model_of(docs, text)
     ratio = np.zeros(BUCKETS)
     if wanted.sum():

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
+
+from threatlens.session import send_by_value
 
 # Bytes of text that one step works on; its temporary arrays take about 100 times as much.
 CHUNK = 1 << 20
@@ -24,6 +29,21 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[ord("0"):ord("9") + 1] = ALNUM[ord("a"):ord("z") + 1] = ALNUM[128:] = True
 
 
+def ship_code(module: str) -> None:
+    """Let the functions and classes of an operator's module run on executors without this package."""
+    send_by_value(module)
+    send_by_value(__name__)
+
+
+def ship(spark: SparkSession, thing):
+    """Broadcast an object whole, its class included; ``unpack`` gives it back in a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+
+def unpack(sent):
+    return pickle.loads(sent.value)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64."""
     out = np.full(max(n, 1), base, dtype=np.uint64)

@@ -18,8 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from threatlens.llm.text import SPACED, chunks, word_hashes, words
-from threatlens.session import send_by_value
+from threatlens.llm.text import SPACED, chunks, ship, ship_code, unpack, word_hashes, words
 
 # Longer words are read byte by byte on their own.
 LONG = 256
@@ -136,12 +135,11 @@ def count_tokens(docs: DataFrame, pieces: list[bytes], key: str = "doc_id", text
 
     The automaton is sent to the executors once; its size follows the vocabulary only.
     """
-    send_by_value("threatlens.llm.tokens")
-    send_by_value("threatlens.llm.text")
-    automaton = docs.sparkSession.sparkContext.broadcast(Automaton(pieces))
+    ship_code(__name__)
+    automaton = ship(docs.sparkSession, Automaton(pieces))
 
     def count(batches):
-        machine = automaton.value
+        machine = unpack(automaton)
         for rows, data, at in chunks(batches, text):
             starts, ends, first = words(data, at, SPACED)
             # Each different word is walked once a chunk.

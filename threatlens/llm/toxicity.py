@@ -25,17 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threatlens.llm.text import ALNUM, BASE, INVERSE, LOWER, chunks, mix, powers, word_hashes, words
-from threatlens.session import materialize, send_by_value
+from threatlens.llm.text import ALNUM, BASE, INVERSE, LOWER, chunks, mix, powers, ship, ship_code, unpack, word_hashes, words
+from threatlens.session import materialize
 
 # Bounds of the training sample: confirmed toxic texts, and texts without a label.
 POSITIVES = 6_000
 UNLABELLED = 12_000
 # Features are hashed to this many numbers; the most telling ones are kept.
 SPACE = 1 << 20
-FEATURES = 2_048
+FEATURES = 512
 GRAM = 5
 LEAST_Z = 4.0
+# A feature must be this many times as common among the positives as in the corpus.
+LEAST_LIFT = 2.0
 THRESHOLD = 0.3
 
 
@@ -84,7 +86,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, width: int, steps: int = 300, rate: float = 0.05, penalty: float = 2e-4) -> tuple[np.ndarray, float]:
+def fit(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, width: int, steps: int = 300, rate: float = 0.1, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk, by Adam over all rows at once.
 
     ``rows`` and ``columns`` say which text holds which feature. Where the
@@ -143,8 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     Which features to keep is counted in Spark over the sample; the driver fits
     weights to at most positives + unlabelled short lists of numbers.
     """
-    send_by_value("threatlens.llm.toxicity")
-    send_by_value("threatlens.llm.text")
+    ship_code(__name__)
     sample, prior = training_sample(docs, labels, key, text, label, positives, unlabelled)
     totals = sample.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
     if not totals[0] or not totals[1] or not 0 < prior < 1:
@@ -165,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = (
         sample.mapInArrow(tally, "feature long, p long, u long")
         .groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .withColumn("z", z).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect()
+        .withColumn("z", z).filter((F.col("z") >= LEAST_Z) & (F.col("p") / np_ >= LEAST_LIFT * F.col("u") / nu)).orderBy(F.col("z").desc(), "feature").limit(FEATURES).collect()
     )
     place = np.full(SPACE, -1, dtype=np.int32)
     place[[row.feature for row in chosen]] = np.arange(len(chosen))
@@ -186,13 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def score_texts(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` from 0 to 1 and ``predicted``, 1 from ``threshold`` on. Whole texts, no shuffle."""
-    send_by_value("threatlens.llm.toxicity")
-    send_by_value("threatlens.llm.text")
+    ship_code(__name__)
     columns = [c for c in docs.columns if c not in ("score", "predicted")]
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = ship(docs.sparkSession, model)
 
     def score(batches):
-        m = sent.value
+        m = unpack(sent)
         for rows, data, at in chunks(batches, text):
             which, number = features(data, at, m.place)
             scores = sigmoid(np.bincount(which, m.weights[number], minlength=rows.num_rows) + m.bias)
