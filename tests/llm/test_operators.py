@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from compare import difference, duck
 
-from threatlens.llm import contamination, jaccard, mixing, neighbours, queries, repeats, resampling, sharding, tokens, toxicity
+from threatlens.llm import contamination, jaccard, mixing, neighbours, personal, queries, repeats, resampling, sharding, tokens, toxicity
 
 SQL = queries.oracle_sql()
 ODD = [
@@ -485,3 +485,72 @@ def test_mix_of_odd_rows(spark, odd, clashing, empty):
     assert mixing.mix_sources(empty).count() == 0
     blank = odd.filter("doc_id IN (2, 3, 4)")
     assert mixing.mix_sources(blank).count() == 0
+
+
+# 9 personal data
+
+
+def plain_spans(text):
+    """The base by Python's own patterns, each match checked."""
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def numbers(m):
+        return re.sub("[^0-9]", "", m)
+
+    rules = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(numbers(m)) <= 19 and luhn(numbers(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(numbers(m)) <= 15),
+    ]
+    return [(kind, m.start(), m.end()) for kind, pattern, check in rules for m in re.finditer(pattern, text or "") if check(m[0])]
+
+
+def personal_row(r):
+    base = [s for s in r.spans.split(",") if s] if r.spans else []
+    return r.doc_id, (r.n_email, r.n_ip, r.n_card, r.n_phone), r.base_sha256, base
+
+
+def test_personal_data_of_the_tables(spark, small):
+    texts = texts_of(spark, small)
+    added = 0
+    for r in queries.op9_personal_data(spark, small).collect():
+        key, counts, sha, spans = personal_row(r)
+        base = plain_spans(texts[key])
+        assert counts == tuple(sum(k == kind for k, *_ in base) for kind in ("email", "ip", "card", "phone"))
+        names = [f"{k}:{a}:{b}" for k, a, b in base]
+        assert sha == hashlib.sha256(",".join(names).encode()).hexdigest() and set(names) <= set(spans)
+        added += len(spans) - len(names)
+    assert added < 200
+
+
+TRICKY = [
+    "a@b@c.d x.y+z@host-1.example.com_w@q.r", "ü é@x.y ñandú 1.2.3.4.5.6.7.8.9 999.1.1.1 0255.0.0.1 00256.1.1.1", "++1 (469) 555-8958 +12345678 +1 2", "4111 1111 1111 1111 and 4111-1111-1111-1112 4111111111111111 5",
+    "1" * 3000 + " " + "a" * 3000 + " " + "a.b" * 2000 + "@", "x@" + "y." * 3000 + "z", "+1" + " ." * 2000, "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0" * 50, "", None, "😀 a@b.co 😀 +1 23 45 67 890", "a@b.c" * 5, "%@-.-", "1.1.1.1" * 3,
+]
+
+
+def test_personal_data_of_tricky_texts(spark, clashing, empty):
+    from pyspark.sql import functions as F
+
+    rows = [(i, t) for i, t in enumerate(TRICKY)] + [(50, TRICKY[0]), (None, TRICKY[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = personal.personal_data(docs.withColumn("base", F.lit("mine"))).collect()
+    assert Counter((r.doc_id, tuple((s.kind, s.start, s.end) for s in r.base)) for r in got) == Counter((k, tuple(plain_spans(t))) for k, t in rows)
+    assert personal.personal_data(empty).count() == 0 and personal.personal_data(clashing).count() == len(ODD)
+    clean = {r.doc_id: r.text for r in personal.redact(docs).collect()}
+    assert clean[10].startswith("😀 [email] 😀 [phone]") and clean[9] is None
+
+
+def test_the_trees_add_what_looks_like_the_base_and_no_more(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        number = f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        shape = i % 4
+        rows.append((i, [f"call +1 {number} now", f"call 00{rng.randint(10, 99)} {rng.randint(100, 999)} {rng.randint(100, 999)} {rng.randint(100, 999)} now", f"part {rng.randint(10**7, 10**8)}x is here", "nothing at all"][shape]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in personal.personal_data(docs).collect()}
+    assert all(len(found[i].base) == 1 for i in found if i % 4 == 0)
+    assert not any(found[i].added for i in found if i % 4 in (2, 3))

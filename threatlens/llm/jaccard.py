@@ -5,8 +5,9 @@
    sets; large groups are cut into blocks of bounded size.
 3. The shingles of a set are dealt into parts. Two sets within the allowed
    difference D leave all but D parts untouched, so with more than D parts they
-   share a whole part. Groups that share no part can't hold similar sets, and
-   parts of which too many groups have the same content are divided again.
+   share whole parts; how many they must share is counted. Groups that share no part
+   can't hold similar sets, and parts of which many groups have the same content are
+   dealt again.
 4. Inside a block similar sets are linked into cells. Of the cells left, a query
    set is held against the union of a cell's tokens: only if that bound allows the
    similarity is the cell opened and are its sets compared one by one. Cells that
@@ -40,7 +41,7 @@ RATIO = 1.5
 # A block holds about this many sets, or fewer if their shingles exceed the other bound.
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 1 << 18
-# Parts with equal content in more groups than this are divided again.
+# Parts with equal content in more groups than this are dealt again.
 CROWD = 24
 
 
@@ -88,24 +89,27 @@ def pair_key(tokens: np.ndarray) -> int:
     return int(mix(tokens[:1] * np.uint64(3) + tokens[min(1, len(tokens) - 1)], 11)[0].view(np.int64))
 
 
-def part_keys(tokens: np.ndarray, measure: Measure, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each class (keys, part of each token): what a set holds in each part, as a hash.
+def part_keys(tokens: np.ndarray, measure: Measure, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, need): what a set holds in each part of each of its classes, as a hash.
 
-    A part without tokens has a key only if so many are empty that two similar sets
-    might have nothing but empty parts in common.
+    Two similar sets agree in at least parts - differences parts of a class. Parts that
+    are empty have no key, so ``need`` counts how many keys are left for a similar set to
+    share. Only where that would be none, empty parts have keys as well.
     """
-    out = []
+    keys, needs = [], []
     where = mix(tokens, 21 + seed) >> np.uint64(32)
     what = mix(tokens, 22 + seed)
     for name, differences, parts in measure.classes(len(tokens)):
         part = ((where * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
         sums, held = np.zeros(parts, dtype=np.uint64), np.bincount(part, minlength=parts)
         np.add.at(sums, part, what)
-        keys = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(name << 32), 23))
-        if parts - int(np.count_nonzero(held)) < parts - differences:
-            keys = keys[held > 0]
-        out.append((keys, part))
-    return out
+        found = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(name << 32), 23 + seed))
+        need = parts - differences - int((held == 0).sum())
+        if need > 0:
+            found = found[held > 0]
+        keys.append(found)
+        needs.append(np.full(len(found), max(need, 1), dtype=np.int32))
+    return np.concatenate(keys), np.concatenate(needs)
 
 
 def set_rows(docs: DataFrame, key: str, text: str, measure: Measure) -> DataFrame:
@@ -132,9 +136,9 @@ def part_rows(docs: DataFrame, text: str, measure: Measure) -> DataFrame:
             keys, groups = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for tokens in shingle_sets(data, at, measure.length):
                 if len(tokens):
-                    for found, _ in part_keys(tokens, measure):
-                        keys.append(found)
-                        groups.append(np.full(len(found), pair_key(tokens), dtype=np.int64))
+                    found, _ = part_keys(tokens, measure)
+                    keys.append(found)
+                    groups.append(np.full(len(found), pair_key(tokens), dtype=np.int64))
             key, group = np.concatenate(keys).view(np.int64), np.concatenate(groups)
             order = np.lexsort((group, key))
             key, group = key[order], group[order]
@@ -177,14 +181,16 @@ def cells_of(ids: list[int], sets: list[np.ndarray], measure: Measure) -> np.nda
 
 
 def block_cells(sets: DataFrame, measure: Measure) -> DataFrame:
-    """Sets of each block with their ``cell``, tokens, and new keys for crowded parts.
+    """Sets of each block with their ``cell``, tokens, and the ``keys`` that other groups may share.
 
-    ``sets`` has set_id, h1, grp, block, crowded and text.
+    ``sets`` has set_id, h1, grp, block, text and two lists of the group's parts:
+    ``shared`` by few groups, and ``crowded``. A crowded part is replaced by the parts of
+    another dealing, each joined with it: similar sets agree in as many of those.
     """
 
     def work(batches):
         for batch in grouped(batches, ["grp", "block"]):
-            yield from cells(batch)
+            yield cells(batch)
 
     def cells(batch):
         tokens = []
@@ -194,31 +200,38 @@ def block_cells(sets: DataFrame, measure: Measure) -> DataFrame:
         h1 = np.array([int(mix(t, 31).sum(dtype=np.uint64).view(np.int64)) if len(t) else 0 for t in tokens], dtype=np.int64)
         right = np.flatnonzero(h1 == batch.column("h1").to_numpy())
         ids, groups, block = (batch.column(c).to_numpy()[right] for c in ("set_id", "grp", "block"))
-        crowded = batch.column("crowded").take(pa.array(right))
         sets = [tokens[i] for i in right.tolist()]
         order = np.lexsort((ids, block, groups))
         cut = np.flatnonzero((np.diff(groups[order]) != 0) | (np.diff(block[order]) != 0)) + 1
         cell = np.empty(len(ids), dtype=np.int64)
         for rows in np.split(order, cut) if len(order) else []:
-            found = cells_of(ids[rows].tolist(), [sets[i] for i in rows.tolist()], measure)
-            cell[rows] = ids[rows][found]
-        again = []
-        for i, hot in enumerate(crowded.to_pylist()):
-            keys = [np.empty(0, np.int64)]
-            if hot:
-                finer = part_keys(sets[i], measure, 1)
-                for (found, _), (fine, _) in zip(part_keys(sets[i], measure), finer):
-                    for key in np.intersect1d(found.view(np.int64), hot).view(np.uint64):
+            cell[rows] = ids[rows][cells_of(ids[rows].tolist(), [sets[i] for i in rows.tolist()], measure)]
+        all_keys, all_needs = [], []
+        for i, t in zip(right.tolist(), sets):
+            few, many = (batch.column(c)[i].values.to_numpy() for c in ("shared", "crowded"))
+            keys, needs = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+            if len(few) or len(many):
+                found, need = part_keys(t, measure)
+                mine = np.isin(found.view(np.int64), few)
+                keys.append(found[mine].view(np.int64))
+                needs.append(need[mine])
+                hot = np.intersect1d(found.view(np.int64), many)
+                if len(hot):
+                    fine, fine_need = part_keys(t, measure, 100)
+                    for key in hot.view(np.uint64):
                         keys.append(mix(fine ^ key, 41).view(np.int64))
-            again.append(np.concatenate(keys))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(groups), pa.array(cell), pa.array([t.tobytes() for t in sets], pa.binary()), pa.array(again, pa.list_(pa.int64()))],
-            names=["set_id", "grp", "cell", "tokens", "again"],
+                        needs.append(fine_need)
+            all_keys.append(np.concatenate(keys))
+            all_needs.append(np.concatenate(needs))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids), pa.array(groups), pa.array(block), pa.array(cell), pa.array([t.tobytes() for t in sets], pa.binary()),
+             pa.array(all_keys, pa.list_(pa.int64())), pa.array(all_needs, pa.list_(pa.int32()))],
+            names=["set_id", "grp", "block", "cell", "tokens", "keys", "needs"],
         )
 
     n = sets.sparkSession.conf.get("spark.sql.shuffle.partitions")
     placed = sets.repartition(int(n), "grp", "block").sortWithinPartitions("grp", "block")
-    return placed.mapInArrow(work, "set_id long, grp long, cell long, tokens binary, again array<long>")
+    return placed.mapInArrow(work, "set_id long, grp long, block long, cell long, tokens binary, keys array<long>, needs array<int>")
 
 
 def linked(pairs: DataFrame, cells: DataFrame, measure: Measure) -> DataFrame:
@@ -265,40 +278,52 @@ def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int
     several = F.min("grp").over(of_part) < F.max("grp").over(of_part)
     shared = materialize(parts.withColumn("several", several).filter("several").select("part", "grp").distinct(), "shared-parts")
     crowds = materialize(shared.groupBy("part").agg(F.count(F.lit(1)).alias("groups")).filter(F.col("groups") > CROWD).select("part"), "crowds")
-    hot = shared.join(crowds, "part").groupBy("grp").agg(F.collect_set("part").alias("crowded"))
+    none = F.array().cast("array<bigint>")
+    crowded = F.col("crowded").isNotNull()
+    marked = shared.join(crowds.withColumn("crowded", F.lit(True)), "part", "left")
+    lists = marked.groupBy("grp").agg(F.collect_list(F.when(~crowded, F.col("part"))).alias("shared"), F.collect_list(F.when(crowded, F.col("part"))).alias("crowded"))
     # Blocks of the groups that need a look: several sets, or a part in common with other groups.
     sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     wanted = (
-        sizes.join(shared.select("grp").distinct().withColumn("shared", F.lit(True)), "grp", "left").join(hot, "grp", "left")
-        .filter(F.col("shared").isNotNull() | (F.col("sets") > 1))
+        sizes.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("sets") > 1))
         .withColumn("blocks", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
-        .select("grp", "blocks", F.coalesce("crowded", F.array().cast("array<bigint>")).alias("crowded"))
+        .select("grp", "blocks", F.coalesce("shared", none).alias("shared"), F.coalesce("crowded", none).alias("crowded"))
     )
-    chosen = sets.join(wanted, "grp").select("set_id", "h1", "grp", F.pmod(F.xxhash64("set_id"), F.col("blocks")).alias("block"), "crowded")
+    blocks = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long")
+    chosen = sets.join(wanted, "grp").select("set_id", "h1", "grp", blocks.alias("block"), "shared", "crowded")
     texts = docs.select(F.col(key).cast("long").alias("set_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = materialize(block_cells(texts.join(chosen, "set_id"), measure).dropDuplicates(["set_id", "grp", "cell"]), "cells")
     inside = found.select(F.col("set_id").alias("a"), F.col("cell").alias("b")).filter("a <> b")
     cells = materialize(found.groupBy("cell").agg(F.collect_list("tokens").alias("sets")), "cell-sets")
-    of_group = found.select("grp", "cell").distinct()
-    # Cells that may hold similar sets have a key in common: a group, a shared part, or a finer part of a crowded one.
+    # Cells of several blocks of a group, and cells with keys in common, may hold similar sets.
+    several = wanted.filter("blocks > 1").select("grp")
     keyed = materialize(
-        shared.join(crowds, "part", "left_anti").join(of_group, "grp").select(F.col("part").alias("key"), "cell")
-        .union(of_group.select(F.col("grp").alias("key"), "cell"))
-        .union(found.select(F.explode("again").alias("key"), "cell")).distinct(),
+        found.select("cell", F.explode(F.arrays_zip("keys", "needs")).alias("k")).select(F.col("k.keys").alias("key"), "cell", F.col("k.needs").alias("need"))
+        .union(found.join(several, "grp").select("grp", "cell", F.lit(1)))
+        .groupBy("key", "cell").agg(F.min("need").alias("need")),
         "cell-keys",
     )
+
+    def enough(pairs: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` that share as many keys as similar sets must."""
+        counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("keys"), F.min("need").alias("need"))
+        return counted.filter("keys >= need").select("a", "b")
+
     # First each key's smallest cell against the others: families of copies become one component.
-    firsts = keyed.groupBy("key").agg(F.min("cell").alias("a"))
-    stars = keyed.join(firsts, "key").filter("a <> cell").select("a", F.col("cell").alias("b")).distinct()
+    firsts = keyed.groupBy("key").agg(F.min("cell").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    stars = enough(keyed.join(firsts, "key").filter("a <> cell").select("a", F.col("cell").alias("b"), "need"))
     heads = cells.select("cell", F.slice("sets", 1, 1).alias("sets"))
     links = materialize(inside.union(linked(stars, heads, measure)), "first-links")
     known = components(links)
     # Then all pairs of a key that are not connected yet.
-    labelled = keyed.join(known, keyed["cell"] == known["node"], "left").select("key", "cell", F.coalesce("component", "cell").alias("component"))
+    labelled = keyed.join(known, keyed["cell"] == known["node"], "left").select("key", "cell", "need", F.coalesce("component", "cell").alias("component"))
     split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     open_ = materialize(labelled.join(split, "key"), "open-keys")
-    other = open_.select("key", F.col("cell").alias("b"), F.col("component").alias("other"))
-    pairs = open_.join(other, "key").filter("component < other").select(F.col("cell").alias("a"), "b").distinct()
+    other = open_.select("key", F.col("cell").alias("b"), F.col("need").alias("other_need"), F.col("component").alias("other"))
+    pairs = enough(
+        open_.join(other, "key").filter("component < other")
+        .select(F.col("cell").alias("a"), "b", F.greatest("need", "other_need").alias("need"))
+    )
     links = materialize(links.union(linked(pairs, cells, measure)), "all-links")
     final = components(links).select(F.col("node").alias("set_id"), "component")
     of_set = sets.join(final, "set_id", "left").select("n", "h1", "h2", F.coalesce("component", "set_id").alias("_component"))
@@ -307,3 +332,13 @@ def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id")).alias("component_id"))
     )
 
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **measure) -> DataFrame:
+    """``docs`` with one document of each component: the one of the smallest id, in one row.
+
+    Rows without an id are in no component and stay.
+    """
+    found = near_duplicates(docs.select(key, text), key=key, text=text, **measure)
+    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(first, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))

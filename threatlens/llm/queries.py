@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.llm import contamination, jaccard, mixing, neighbours, repeats, resampling, sharding, tokens, toxicity
+from threatlens.llm import contamination, jaccard, mixing, neighbours, personal, repeats, resampling, sharding, tokens, toxicity
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -135,6 +135,22 @@ def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(rows).withColumn("law", F.lit("key"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    spans = personal.find_spans(docs.select("text"))
+    rows = docs.select("doc_id", personal.text_key(F.col("text")).alias("tk")).join(spans, "tk", "left")
+
+    def listed(*columns: str):
+        each = [F.transform(c, lambda s: F.struct(s["number"], s["start"], s["end"], s["kind"])) for c in columns]
+        ordered = F.array_sort(F.concat(*[F.coalesce(e, F.array().cast("array<struct<number:int,start:bigint,end:bigint,kind:string>>")) for e in each]))
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str):
+        return F.coalesce(F.size(F.filter("base", lambda s: s["kind"] == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
+
+    return rows.select("doc_id", *map(count, personal.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("base", "added").alias("spans"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.copies_per_document(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -189,6 +205,7 @@ QUERIES = {
     "op6_repeated_bytes": op6_repeated_bytes,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_rendezvous_shards": op8_rendezvous_shards,
+    "op9_personal_data": op9_personal_data,
     "op10_source_mix": op10_source_mix,
 }
 ORACLE_SQL = {"op3_benchmark_overlap": OP3_SQL, "op4_jaccard_components": OP4_SQL, "op7_nearest_neighbours": OP7_SQL, "op10_source_mix": OP10_SQL}
