@@ -105,12 +105,22 @@ def test_batch_sink_does_not_count_twice(spark, folder):
     assert read_points(spark, bucket).count() == 2
 
 
-def test_write_frame_picks_tags_and_fields(spark, folder):
-    bucket = ensure_bucket(spark, folder, "b")
+def test_write_frame_stores_all_columns_as_fields_unless_told(spark, folder):
     df = counts(spark, ("a", 1, 1, 5)).withColumnRenamed("at", "created_indicator")
-    write_frame(df, bucket)
-    point = read_points(spark, bucket).first()
-    assert (point.measurement, point.tags, point.field, point.value) == ("indicators", {"country": "a"}, "n", 5.0)
+    plain, tagged = ensure_bucket(spark, folder, "b"), ensure_bucket(spark, folder, "c")
+    write_frame(df, plain)
+    assert sorted((p.measurement, p.field, p.value, p.text) for p in read_points(spark, plain).collect()) == [("indicators", "country", None, "a"), ("indicators", "n", 5.0, None)]
+    write_frame(df, tagged, tags=("country",))
+    point = read_points(spark, tagged).first()
+    assert (point.tags, point.field, point.value, point.text) == ({"country": "a"}, "n", 5.0, None)
+
+
+def test_text_fields_are_replaced_like_numbers(spark):
+    df = counts(spark, ("a", 1, 1, 5)).withColumn("note", F.lit("old"))
+    later = df.withColumn("note", F.lit("new")).withColumn("n", F.lit(1.0))
+    points = to_points(df, "m", ["country"], ["n", "note"], "at", 0).unionByName(to_points(later, "m", ["country"], ["n", "note"], "at", 1))
+    assert sorted((p.field, p.value, p.text, p.batch_id) for p in latest_points(points).collect()) == [("n", 1.0, None, 1), ("note", None, "new", 1)]
+    assert pivot_fields(points, ["n"]).first().n == 1.0
 
 
 def test_csv_round_trip_with_quotes_and_lines(spark, folder):

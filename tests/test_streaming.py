@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from threatlens.models.labels import fit_labels
 from threatlens.operators import rollups
 from threatlens.operators.clean import parse_events
-from threatlens.operators.points import latest_points, tag
+from threatlens.operators.points import latest_points, rank_points, tag
 from threatlens.plans.serving import serve
 from threatlens.schema import ALTERNATE_SCHEMA, CLUSTER_BUCKET, FORECAST_BUCKET, ROLLUP_BUCKET
-from threatlens.sinks.points import ensure_bucket, idempotent_batch_sink, read_points
+from threatlens.sinks.points import ensure_bucket, idempotent_batch_sink, read_points, write_points
 from threatlens.sources.streams import read_stream, replay_stream
 from threatlens.streaming.live import (
     CLUSTERED,
@@ -20,6 +20,7 @@ from threatlens.streaming.live import (
     activity_points,
     canonical,
     element_points,
+    forecast_points,
     forest_forecaster,
     run_rollups,
     running_points,
@@ -103,13 +104,17 @@ def test_one_pass_rollups_equal_the_single_functions(spark, small):
         chosen = points.filter(F.col("measurement") == name)
         return rows(chosen.select(*[tag(t) for t in tags], F.col("value").cast("bigint")))
 
-    assert of("top_10_target_countries", "target_country", "indicator") == rows(rollups.top_indicator_per_target(df))
-    assert of("top_10_source_countries", "source_country") == rows(rollups.top_k(df, "source_country", 10, nulls=True))
-    assert of("top_10_active_ips", "ip") == rows(rollups.top_k(df, "ip"))
-    assert of("top_attack_type", "type") == rows(rollups.top_k(df, "type", 1))
-    assert of("top_10_authors", "author_name") == rows(rollups.top_k(df, "author_name"))
-    assert of("top_10_cities", "source_city") == rows(rollups.top_k(df, "source_city"))
-    assert of("top_10_pulse_tlp", "TLP") == rows(rollups.top_k(df, "TLP"))
+    def ranked(name, label):
+        """The ranking read from all counts."""
+        return rows(rank_points(points.filter(F.col("measurement") == name), label, 10).select(label, F.col("total").cast("bigint")))
+
+    assert ranked("top_10_source_countries", "source_country") == rows(rollups.top_k(df, "source_country", 10, nulls=True))
+    assert ranked("top_10_active_ips", "ip") == rows(rollups.top_k(df, "ip"))
+    assert ranked("top_10_authors", "author_name") == rows(rollups.top_k(df, "author_name"))
+    assert ranked("top_10_cities", "source_city") == rows(rollups.top_k(df, "source_city"))
+    assert ranked("top_10_pulse_tlp", "TLP") == rows(rollups.top_k(df, "TLP"))
+    pairs = points.filter("measurement = 'top_10_target_countries'").groupBy(tag("target_country"), tag("indicator")).agg(F.sum("value").cast("bigint"))
+    assert rows(pairs) == rows(df.groupBy("target_country", "indicator").count())
     assert of("attacks_by_creation_month", "year", "month") == rows(
         rollups.count_by_month(df).select(F.col("year").cast("string"), F.col("month").cast("string"), "attack_count"))
     assert of("attack_by_creation_day", "created_date") == rows(
@@ -123,6 +128,28 @@ def test_one_pass_rollups_equal_the_single_functions(spark, small):
     points.unpersist()
 
 
+def test_rankings_are_global_over_batches(spark, folder):
+    """A is first in batch 0, C in batch 1; B, second in both, has the most in all."""
+    bucket = ensure_bucket(spark, folder, ROLLUP_BUCKET)
+    live = LivePath(bucket)
+    for n, first in enumerate("AC"):
+        data = [(i, dt.datetime(2024, 1, 1, 0, 1), kind, kind) for i, kind in enumerate(first * 5 + "B" * 4)]
+        batch_ = spark.createDataFrame(data, "id_indicator INT, created_indicator TIMESTAMP, type STRING, target_country STRING")
+        live(canonical(batch_), n)
+    assert [tuple(r) for r in serve(spark, folder, "top_attack_type").collect()] == [("B", 8.0)]
+    assert [r["Attack Count"] for r in serve(spark, folder, "top_10_targets_per_country").collect()] == [8.0, 5.0, 5.0]
+    windows = {r["Country"]: r["Change Count"] for r in serve(spark, folder, "target_country_changes").collect()}
+    assert windows == {"A": 5.0, "B": 8.0, "C": 5.0}
+
+
+def test_newest_forecast_is_served(spark, folder):
+    bucket = ensure_bucket(spark, folder, FORECAST_BUCKET)
+    for n, value in enumerate((90.0, 10.0)):
+        rows_ = spark.createDataFrame([("X", dt.date(2024, 1, 1), value)], "target_country STRING, date DATE, num_attacks DOUBLE")
+        write_points(forecast_points(rows_, batch_id=n), bucket)
+    assert [r["Number of Attacks"] for r in serve(spark, folder, "predictions").collect()] == [10.0]
+
+
 def test_rollups_with_null_times_and_dimensions(spark):
     df = canonical(spark.createDataFrame([(1, None, None, "x"), (2, None, None, None)], SCHEMA))
     points = {}
@@ -202,8 +229,9 @@ def test_points_of_alternate_records_and_running_counts(spark):
     df = spark.createDataFrame([("1", "URL", None, None, "p", "3", None, None, None, 2.0)], ALTERNATE_SCHEMA)
     at = F.lit("2024-01-01").cast("timestamp")
     got = activity_points(df, 0, at).collect()
-    assert {p.field: p.value for p in got} == {"pulse_revision": 3.0, "latitude": 0.0, "longitude": 2.0}
-    assert got[0].tags == {"country": "Unknown", "indicator_id": "1", "pulse_name": "p"}
+    assert {p.field: p.value for p in got if p.value is not None} == {"pulse_revision": 3.0, "latitude": 0.0, "longitude": 2.0}
+    assert got[0].tags == {"country": "Unknown"}
+    assert {p.field: p.text for p in got if p.text} == {"indicator_id": "1", "pulse_name": "p"}
     counts = spark.createDataFrame([("x", 5)], 'author_name STRING, `count` BIGINT')
     point = running_points(counts, "top_sources", "author_name", 0, at).first()
     assert (point.measurement, point.tags, point.field, point.value) == ("top_sources", {"country": "x"}, "count", 5.0)

@@ -17,68 +17,77 @@ from threatlens.operators.points import (
     to_points,
     top_rows_per_series,
 )
-from threatlens.operators.rollups import count_by_day, count_by_month, count_by_window, daily_counts, top_indicator_per_target, top_k
+from threatlens.operators.rollups import count_by_day, count_by_month, count_by_window, daily_counts
 from threatlens.plans.checks.registry import incidents_sql, query, second
 from threatlens.plans.serving import serve, table_of
 from threatlens.schema import ROLLUP_BUCKET
 from threatlens.session import materialize, scratch_path
 from threatlens.sinks.points import delete_points, ensure_bucket, read_points, write_points
 from threatlens.sources.views import incidents
-from threatlens.streaming.live import CLUSTERED, cluster_points, run_rollups
+from threatlens.streaming.live import CLUSTERED, cluster_points, forecast_points
+from threatlens.streaming.rollups import rollup_counts, rollup_points
 
 
 
-def _batches(spark, sf_dir):
-    """Incidents with the day they arrived on, as if each day were one batch."""
+def _days(spark, sf_dir):
     return incidents(spark, sf_dir).withColumn("day", F.to_date("created_indicator"))
 
 
-def _daily_points(spark, sf_dir, column, k, measurement, field="attack_count", nulls=False):
-    """The ranking of every daily batch as points."""
-    top = top_k(_batches(spark, sf_dir), column, k, field, nulls, within=["day"])
-    return to_points(top, measurement, [column], [field], "day", F.datediff("day", F.lit("2024-01-01").cast("date")))
+def _rollups(spark, sf_dir):
+    """All roll-ups of two batches that share days, windows and keys: what one live path stores."""
+    rows = incidents(spark, sf_dir)
+    early = F.col("malware_family") < "Brand#3"
+    parts = [rollup_points(rollup_counts(rows.filter(half)), F.timestamp_seconds(F.lit(0)), i) for i, half in enumerate((early, ~early))]
+    return parts[0].unionByName(parts[1])
 
 
-def _daily_sql(column: str, k: int) -> str:
-    return f""",
-counted AS (SELECT CAST(created_indicator AS DATE) AS day, {column}, count(*) AS n FROM incidents WHERE {column} IS NOT NULL GROUP BY 1, 2),
+def _of(points, measurement):
+    return points.filter(F.col("measurement") == measurement)
+
+
+DAILY = """,
+points AS (SELECT CAST(created_indicator AS DATE) AS day, source_country, CAST(count(*) AS DOUBLE) AS value FROM incidents GROUP BY 1, 2)"""
+HALVES = """,
 points AS (
-  SELECT day, {column}, CAST(n AS DOUBLE) AS value FROM (
-    SELECT *, row_number() OVER (PARTITION BY day ORDER BY n DESC, {column}) AS place FROM counted
-  ) WHERE place <= {k}
+  SELECT CAST(created_indicator AS DATE) AS day, source_country, CASE WHEN malware_family < 'Brand#3' THEN 0 ELSE 1 END AS batch_id,
+    CAST(count(*) AS DOUBLE) AS value FROM incidents GROUP BY 1, 2, 3
 )"""
 
 
-SOURCES = ("source_country", 10, "top_10_source_countries")
+def _daily_counts(spark, sf_dir):
+    """All counts per source country and day as points of one batch."""
+    counts = _days(spark, sf_dir).groupBy("day", "source_country").agg(F.count(F.lit(1)).alias("attack_count"))
+    return to_points(counts, "source_counts", ["source_country"], ["attack_count"], "day")
 
 
 @query(
     "points_of_daily_rankings",
-    incidents_sql(_daily_sql("source_country", 10) + """
+    incidents_sql(HALVES + """
 SELECT 'top_10_source_countries' AS measurement, source_country, 'attack_count' AS field, value,
-  strftime(day, '%Y-%m-%d %H:%M:%S') AS time, CAST(day - DATE '2024-01-01' AS BIGINT) AS batch_id FROM points"""),
+  strftime(day, '%Y-%m-%d %H:%M:%S') AS time, CAST(batch_id AS BIGINT) AS batch_id FROM points"""),
 )
 def ranking_points(spark, sf_dir):
-    points = _daily_points(spark, sf_dir, *SOURCES)
+    """What a ranking is read from: every count of every day and batch."""
+    points = _of(_rollups(spark, sf_dir), "top_10_source_countries")
     return points.select("measurement", tag("source_country").alias("source_country"), "field", "value", second("time"), "batch_id")
 
 
 @query(
     "latest_points",
-    incidents_sql(_daily_sql("source_country", 10) + """,
+    incidents_sql(DAILY + """,
 written AS (
   SELECT source_country, day, value, 0 AS batch_id FROM points
-  UNION ALL SELECT source_country, day, value * 2, 1 FROM points WHERE source_country < 'K'
-  UNION ALL SELECT source_country, day, value * 3, 2 FROM points WHERE source_country < 'F'
+  UNION ALL SELECT source_country, day, value / 2, 1 FROM points WHERE source_country < 'K'
+  UNION ALL SELECT source_country, day, value - 100, 2 FROM points WHERE source_country < 'F'
 )
 SELECT source_country, strftime(day, '%Y-%m-%d %H:%M:%S') AS time, arg_max(value, batch_id) AS value, CAST(max(batch_id) AS BIGINT) AS batch_id
 FROM written GROUP BY 1, 2"""),
 )
 def last_written(spark, sf_dir):
-    first = _daily_points(spark, sf_dir, *SOURCES).withColumn("batch_id", F.lit(0).cast("bigint"))
+    first = _daily_counts(spark, sf_dir)
     country = tag("source_country")
-    second_write = first.filter(country < "K").withColumns({"value": F.col("value") * 2, "batch_id": F.lit(1).cast("bigint")})
-    third_write = first.filter(country < "F").withColumns({"value": F.col("value") * 3, "batch_id": F.lit(2).cast("bigint")})
+    second_write = first.filter(country < "K").withColumns({"value": F.col("value") / 2, "batch_id": F.lit(1).cast("bigint")})
+    third_write = first.filter(country < "F").withColumns({"value": F.col("value") - 100, "batch_id": F.lit(2).cast("bigint")})
     points = latest_points(first.unionByName(second_write).unionByName(third_write))
     return points.select(country.alias("source_country"), second("time"), "value", "batch_id")
 
@@ -118,51 +127,52 @@ def after_delete(spark, sf_dir):
 @query(
     "pivot_point_fields",
     incidents_sql("""
-SELECT indicator, strftime(created_indicator, '%Y-%m-%d %H:%M:%S') AS time, count(*) AS rows_at_time,
-  max(source_latitude) AS source_latitude, max(target_longitude) AS target_longitude
-FROM incidents GROUP BY id_indicator, indicator, created_indicator"""),
+SELECT indicator, strftime(created_indicator, '%Y-%m-%d %H:%M:%S') AS time,
+  CASE WHEN target_country < 'K' THEN source_latitude - 1000 ELSE source_latitude END AS source_latitude, target_longitude
+FROM incidents"""),
 )
 def pivoted(spark, sf_dir):
-    points = to_points(
-        incidents(spark, sf_dir), "indicator_predictions", ["id_indicator", "indicator"],
-        ["source_latitude", "target_longitude"], "created_indicator",
-    )
-    wide = pivot_fields(points, ["source_latitude", "target_longitude"])
-    return wide.select(
-        tag("indicator").alias("indicator"), second("time"), F.lit(1).cast("bigint").alias("rows_at_time"),
-        "source_latitude", "target_longitude",
-    )
+    """Fields of two batches; the second writes smaller values over a part of the first."""
+    rows = incidents(spark, sf_dir)
+    fields = ["source_latitude", "target_longitude"]
+
+    def written(df, names, batch_id):
+        return to_points(df, "indicator_predictions", ["id_indicator", "indicator"], names, "created_indicator", batch_id)
+
+    later = rows.filter(F.col("target_country") < "K").withColumn("source_latitude", F.col("source_latitude") - 1000)
+    wide = pivot_fields(written(rows, fields, 0).unionByName(written(later, fields[:1], 1)), fields)
+    return wide.select(tag("indicator").alias("indicator"), second("time"), *fields)
 
 
 @query(
     "rank_points_across_batches",
-    incidents_sql(_daily_sql("source_country", 10) + "SELECT source_country, sum(value) AS total FROM points GROUP BY 1 ORDER BY total DESC, source_country LIMIT 10"),
+    incidents_sql("SELECT source_country, CAST(count(*) AS DOUBLE) AS total FROM incidents GROUP BY 1 ORDER BY total DESC, source_country LIMIT 10"),
 )
 def ranked(spark, sf_dir):
-    return rank_points(_daily_points(spark, sf_dir, *SOURCES), "source_country", 10)
+    return rank_points(_of(_rollups(spark, sf_dir), "top_10_source_countries"), "source_country", 10)
 
 
 @query(
     "largest_points_per_series",
-    incidents_sql(_daily_sql("source_country", 10) + """
+    incidents_sql(HALVES + """
 SELECT source_country, strftime(day, '%Y-%m-%d') AS date, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY source_country ORDER BY value DESC, day) AS place FROM points
+  SELECT *, row_number() OVER (PARTITION BY source_country ORDER BY value DESC, day, batch_id) AS place FROM points
 ) WHERE place <= 3"""),
 )
 def largest(spark, sf_dir):
-    rows = top_rows_per_series(_daily_points(spark, sf_dir, *SOURCES), "source_country", 3)
+    rows = top_rows_per_series(_of(_rollups(spark, sf_dir), "top_10_source_countries"), "source_country", 3)
     return rows.select("source_country", F.date_format("time", "yyyy-MM-dd").alias("date"), "value")
 
 
 @query(
     "first_points_per_series",
-    incidents_sql(_daily_sql("source_country", 10) + """
+    incidents_sql(HALVES + """
 SELECT source_country, strftime(day, '%Y-%m-%d') AS date, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY source_country ORDER BY day) AS place FROM points
+  SELECT *, row_number() OVER (PARTITION BY source_country ORDER BY day, batch_id) AS place FROM points
 ) WHERE place <= 5"""),
 )
 def heads(spark, sf_dir):
-    rows = head_per_series(_daily_points(spark, sf_dir, *SOURCES), 5)
+    rows = head_per_series(_of(_rollups(spark, sf_dir), "top_10_source_countries"), 5)
     return rows.select(tag("source_country").alias("source_country"), F.date_format("time", "yyyy-MM-dd").alias("date"), "value")
 
 
@@ -178,71 +188,64 @@ def daily_sums(spark, sf_dir):
 
 @query(
     "point_keys",
-    "SELECT * FROM (VALUES ('tag', 'indicator'), ('tag', 'target_country'), ('field', 'attack_count')) v(kind, key)",
+    incidents_sql("""
+SELECT DISTINCT 'tag' AS kind, unnest(['indicator', 'target_country']) AS key FROM incidents WHERE indicator IS NOT NULL AND target_country IS NOT NULL
+UNION ALL SELECT DISTINCT 'field', 'attack_count' FROM incidents"""),
 )
 def keys_of_points(spark, sf_dir):
-    top = top_indicator_per_target(_batches(spark, sf_dir), within=["day"])
-    points = to_points(top, "top_10_target_countries", ["target_country", "indicator"], ["attack_count"], "day")
-    return point_keys(points, "top_10_target_countries")
-
-
-@query(
-    "serve_top_10_targets_per_country",
-    incidents_sql(""",
-counted AS (SELECT CAST(created_indicator AS DATE) AS day, target_country, indicator, count(*) AS n FROM incidents GROUP BY 1, 2, 3),
-points AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day, target_country ORDER BY n DESC, indicator) AS place FROM counted) WHERE place = 1)
-SELECT target_country AS "Country", CAST(sum(n) AS DOUBLE) AS "Attack Count" FROM points GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
-)
-def serve_targets(spark, sf_dir):
-    top = top_indicator_per_target(_batches(spark, sf_dir), within=["day"])
-    points = to_points(top, "top_10_target_countries", ["target_country", "indicator"], ["attack_count"], "day")
-    return table_of("top_10_targets_per_country", points)
+    return point_keys(_rollups(spark, sf_dir), "top_10_target_countries")
 
 
 def _register_rankings() -> None:
     tabs = [
-        ("top_10_threat_sources", "source_country", 10, "top_10_source_countries", "attack_count", "Country", "Attack Count", 10),
-        ("top_10_active_ips", "ip", 10, "top_10_active_ips", "attack_count", "IP Address", "Attack Count", 10),
-        ("top_attack_type", "type", 1, "top_attack_type", "attack_count", "Attack Type", "Attack Count", 1),
-        ("top_10_authors", "author_name", 10, "top_10_authors", "indicator_count", "Author Name", "Indicator Count", 10),
-        ("top_10_cities", "source_city", 10, "top_10_cities", "attack_count", "City", "Attack Count", 10),
+        ("top_10_targets_per_country", "target_country", "top_10_target_countries", "Country", "Attack Count", 10),
+        ("top_10_threat_sources", "source_country", "top_10_source_countries", "Country", "Attack Count", 10),
+        ("top_10_active_ips", "ip", "top_10_active_ips", "IP Address", "Attack Count", 10),
+        ("top_attack_type", "type", "top_attack_type", "Attack Type", "Attack Count", 1),
+        ("top_10_authors", "author_name", "top_10_authors", "Author Name", "Indicator Count", 10),
+        ("top_10_cities", "source_city", "top_10_cities", "City", "Attack Count", 10),
     ]
 
-    def serving(name, column, k, measurement, field):
-        return lambda spark, sf_dir: table_of(name, _daily_points(spark, sf_dir, column, k, measurement, field))
+    def serving(name):
+        return lambda spark, sf_dir: table_of(name, _rollups(spark, sf_dir))
 
-    for name, column, k, measurement, field, label, total, shown in tabs:
-        sql = incidents_sql(_daily_sql(column, k) + f"""
-SELECT {column} AS "{label}", sum(value) AS "{total}" FROM points GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {shown}""")
-        query(f"serve_{name}", sql)(serving(name, column, k, measurement, field))
+    for name, column, _, label, total, shown in tabs:
+        sql = incidents_sql(f"""
+SELECT {column} AS "{label}", CAST(count(*) AS DOUBLE) AS "{total}" FROM incidents WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {shown}""")
+        query(f"serve_{name}", sql)(serving(name))
 
 
 _register_rankings()
 
 
-def _changes_sql(column: str) -> str:
-    return incidents_sql(f"""
-SELECT strftime(time_bucket(INTERVAL '10 minutes', created_indicator, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS "Timestamp",
-  {column} AS "Country", CAST(count(*) AS DOUBLE) AS "Change Count" FROM incidents GROUP BY 1, 2""")
-
-
 def _register_changes() -> None:
-    def serving(column: str, measurement: str, field: str, name: str):
-        def build(spark, sf_dir):
-            counts = count_by_window(incidents(spark, sf_dir), column, name=field).withColumn("window", F.col("window_start").cast("string"))
-            points = to_points(counts, measurement, [column, "window"], [field], "window_start")
-            return table_of(name, points).withColumn("Timestamp", second("Timestamp"))
-
-        return build
+    def serving(name: str):
+        return lambda spark, sf_dir: table_of(name, _rollups(spark, sf_dir)).withColumn("Timestamp", second("Timestamp"))
 
-    for side, field in (("target", "count"), ("source", "attack_count")):
-        column, name = f"{side}_country", f"{side}_country_changes"
-        query(f"serve_{name}", _changes_sql(column))(serving(column, f"detect_{name}", field, name))
+    for side in ("target", "source"):
+        name = f"{side}_country_changes"
+        query(f"serve_{name}", incidents_sql(f"""
+SELECT strftime(time_bucket(INTERVAL '10 minutes', created_indicator, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS "Timestamp",
+  {side}_country AS "Country", CAST(count(*) AS DOUBLE) AS "Change Count" FROM incidents GROUP BY 1, 2"""))(serving(name))
 
 
 _register_changes()
 
 
+@query(
+    "serve_newest_forecast",
+    incidents_sql("""
+SELECT strftime(CAST(created_indicator AS DATE), '%Y-%m-%d %H:%M:%S') AS "Timestamp", target_country AS "Country",
+  CAST(CASE WHEN target_country < 'K' THEN count(*) - 50 ELSE count(*) END AS DOUBLE) AS "Number of Attacks" FROM incidents GROUP BY 1, 2, target_country"""),
+)
+def serve_newest(spark, sf_dir):
+    """Two batches forecast the same days; the later one, with smaller numbers, is shown."""
+    counts = daily_counts(incidents(spark, sf_dir), "target_country")
+    later = counts.filter(F.col("target_country") < "K").withColumn("num_attacks", F.col("num_attacks") - 50)
+    points = forecast_points(counts, batch_id=0).unionByName(forecast_points(later, batch_id=1))
+    return table_of("predictions", points).withColumn("Timestamp", second("Timestamp"))
+
+
 @query(
     "serve_attacks_by_creation_day",
     incidents_sql("""SELECT strftime(CAST(created_indicator AS DATE), '%Y-%m-%d') AS "Date", CAST(count(*) AS DOUBLE) AS "Attack Count" FROM incidents GROUP BY 1"""),
@@ -309,9 +312,12 @@ def serve_clusters(spark, sf_dir):
 
 @query(
     "serve_from_stored_rollups",
-    incidents_sql("""SELECT source_city AS "City", CAST(count(*) AS DOUBLE) AS "Attack Count" FROM incidents GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
+    incidents_sql("""
+SELECT ip AS "IP Address", CAST(count(*) AS DOUBLE) AS "Attack Count" FROM incidents
+WHERE CAST(created_indicator AS DATE) >= DATE '2024-01-05' AND CAST(created_indicator AS DATE) < DATE '2024-01-15' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
 )
 def serve_stored(spark, sf_dir):
+    """A ranking over a range of days, from what two batches stored."""
     root = scratch_path(spark, "buckets")
-    run_rollups(incidents(spark, sf_dir), 0, ensure_bucket(spark, root, ROLLUP_BUCKET))
-    return serve(spark, root, "top_10_cities", since="2020-01-01", as_of="2025-01-01")
+    write_points(_rollups(spark, sf_dir), ensure_bucket(spark, root, ROLLUP_BUCKET))
+    return serve(spark, root, "top_10_active_ips", since="2024-01-05", as_of="2024-01-15")

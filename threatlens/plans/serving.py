@@ -1,7 +1,8 @@
 """The tables behind each dashboard tab, by name.
 
 Each takes points (stored or computed) and returns a table with display names.
-Rankings are global over all batches.
+Roll-ups of several batches add up, so rankings are global over all batches and days
+read. Clusters and forecasts written again replace what was there: the last batch counts.
 """
 
 from __future__ import annotations

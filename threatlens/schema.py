@@ -64,7 +64,7 @@ CLUSTER_BUCKET = "clusters"
 FORECAST_BUCKET = "forecasts"
 
 POINT_FIELDS = """
-    measurement STRING, tags MAP<STRING,STRING>, field STRING, value DOUBLE,
+    measurement STRING, tags MAP<STRING,STRING>, field STRING, value DOUBLE, text STRING,
     time TIMESTAMP, batch_id BIGINT
 """
 

@@ -18,7 +18,7 @@ from threatlens.operators.points import POINT_COLUMNS, to_points
 from threatlens.schema import struct_of
 from threatlens.session import materialize
 
-STORED = "tags MAP<STRING,STRING>, field STRING, value DOUBLE, time TIMESTAMP"
+STORED = "tags MAP<STRING,STRING>, field STRING, value DOUBLE, text STRING, time TIMESTAMP"
 PARTITIONS = ["measurement", "event_month", "batch_id"]
 STORED_SCHEMA = struct_of(f"{STORED}, measurement STRING, event_month STRING, batch_id BIGINT")
 
@@ -105,16 +105,12 @@ def delete_points(
 
 def write_frame(
     df: DataFrame, bucket: str, time_col: str = "created_indicator", measurement: str = "indicators",
-    tags: tuple[str, ...] | None = None, batch_id: int = 0,
+    tags: tuple[str, ...] = (), batch_id: int = 0,
 ) -> None:
-    """Write a whole frame under one measurement: text columns become tags and
-    numeric columns become fields."""
-    kinds = dict(df.dtypes)
-    names = [c for c in df.columns if c != time_col]
-    labels = list(tags) if tags is not None else [c for c in names if kinds[c] == "string"]
-    numeric = ("int", "bigint", "double", "float", "smallint", "tinyint", "decimal")
-    fields = [c for c in names if c not in labels and kinds[c].startswith(numeric)]
-    write_points(to_points(df, measurement, labels, fields, time_col, batch_id), bucket)
+    """Write a whole frame under one measurement: the columns named in ``tags`` become
+    tags, every other one a field, text as text."""
+    fields = [c for c in df.columns if c != time_col and c not in tags]
+    write_points(to_points(df, measurement, list(tags), fields, time_col, batch_id), bucket)
 
 
 def with_retries(action: Callable[[], None], tries: int = 3, pause: float = 5.0) -> None:
@@ -122,6 +118,8 @@ def with_retries(action: Callable[[], None], tries: int = 3, pause: float = 5.0)
     for attempt in range(1, tries + 1):
         try:
             return action()
+        except (AnalysisException, ValueError, TypeError):  # trying again can't mend these
+            raise
         except Exception:
             if attempt == tries:
                 raise

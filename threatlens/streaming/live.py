@@ -55,8 +55,8 @@ def activity_points(events: DataFrame, batch_id: int = 0, time: str | Column | N
         *([time] if isinstance(time, str) else []),
     )
     return to_points(
-        known, "indicator_activity", ["country", "indicator_id", "pulse_name"],
-        ["pulse_revision", "latitude", "longitude"], time, batch_id,
+        known, "indicator_activity", ["country"],
+        ["indicator_id", "pulse_name", "pulse_revision", "latitude", "longitude"], time, batch_id,
     )
 
 
@@ -91,18 +91,12 @@ def forest_forecaster(
 def run_rollups(batch: DataFrame, batch_id: int, bucket: str, written_at: Column | None = None) -> None:
     """Store all roll-ups of one batch: one scan, one aggregate, one write.
 
-    The counts are kept while they are ranked. The default time of a ranking is
-    the latest event of the batch, so a replay writes the same points.
+    Counts of several batches add up. Rows without a time are counted under the start of
+    the epoch unless a time of writing is given, so a replay writes the same points.
     """
-    counts = rollup_counts(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if written_at is None:
-            latest = counts.agg(F.max("time")).first()[0]
-            written_at = F.lit(latest).cast("timestamp") if latest is not None else F.current_timestamp()
-        points = rollup_points(counts, written_at, batch_id)
-        with_retries(lambda: write_points(points, bucket))
-    finally:
-        counts.unpersist()
+    written_at = F.timestamp_seconds(F.lit(0)) if written_at is None else written_at
+    points = rollup_points(rollup_counts(batch), written_at, batch_id)
+    with_retries(lambda: write_points(points, bucket))
 
 
 @dataclass

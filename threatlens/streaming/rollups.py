@@ -1,31 +1,31 @@
 """All roll-ups of a batch in one scan and one aggregation.
 
 Each roll-up counts rows by some key. Every row is offered once to each of them
-as (measurement, key 1, key 2, time); one map-side combined aggregate counts
-them all, and only the small table of counts is ranked.
+as (measurement, key 1, key 2, time); one map-side combined aggregate counts them
+all. All counts are stored, those behind rankings per day: ranking is left to the
+reader, so that a sum over any days and batches is the true count.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.operators.points import POINT_COLUMNS
 
-# --- fixed values: measurement, tags, field, rows kept (0 keeps all) ---
+# --- fixed values: measurement, tags, field ---
 ROLLUPS = [
-    ("top_10_target_countries", ["target_country", "indicator"], "attack_count", 1),
-    ("top_10_source_countries", ["source_country"], "attack_count", 10),
-    ("top_10_active_ips", ["ip"], "attack_count", 10),
-    ("top_attack_type", ["type"], "attack_count", 1),
-    ("detect_target_country_changes", ["target_country", "window"], "count", 0),
-    ("detect_source_country_changes", ["source_country", "window"], "attack_count", 0),
-    ("attack_by_creation_day", ["created_date"], "attack_count", 0),
-    ("attacks_by_creation_month", ["year", "month"], "attack_count", 0),
-    ("top_10_authors", ["author_name"], "indicator_count", 10),
-    ("top_10_cities", ["source_city"], "attack_count", 10),
-    ("top_10_pulse_tlp", ["TLP"], "tlp_count", 10),
+    ("top_10_target_countries", ["target_country", "indicator"], "attack_count"),
+    ("top_10_source_countries", ["source_country"], "attack_count"),
+    ("top_10_active_ips", ["ip"], "attack_count"),
+    ("top_attack_type", ["type"], "attack_count"),
+    ("detect_target_country_changes", ["target_country", "window"], "count"),
+    ("detect_source_country_changes", ["source_country", "window"], "attack_count"),
+    ("attack_by_creation_day", ["created_date"], "attack_count"),
+    ("attacks_by_creation_month", ["year", "month"], "attack_count"),
+    ("top_10_authors", ["author_name"], "indicator_count"),
+    ("top_10_cities", ["source_city"], "attack_count"),
+    ("top_10_pulse_tlp", ["TLP"], "tlp_count"),
 ]
 NULLS_COUNT = ("top_10_source_countries", "attacks_by_creation_month")
 ROLLUP_COLUMNS = [
@@ -41,78 +41,62 @@ def _window_start(ts: Column, seconds: int) -> Column:
 
 
 def rollup_counts(batch: DataFrame, window_seconds: int = 600) -> DataFrame:
-    """(measurement, k1, k2, time, n). The time is that of the day, month or window;
-    it is null for rankings, whose time is that of the batch."""
+    """(measurement, k1, k2, time, n). The time is that of the day, month or window,
+    and null for the rows of a ranking whose time is null.
+
+    Windows stay numbers until they are counted; their texts are made afterwards.
+    """
     ts = F.col("created_indicator").cast("timestamp")
-    start = _window_start(ts, window_seconds)
-    window = F.concat_ws(
-        "/",
-        F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.date_format(F.timestamp_micros(F.unix_micros(start) + window_seconds * 1_000_000), "yyyy-MM-dd'T'HH:mm:ss"),
-    )
-    window = F.when(ts.isNotNull(), window)
+    day, start = F.date_trunc("day", ts), _window_start(ts, window_seconds)
+    nothing = F.lit(None).cast("string")
     cells = {
-        "top_10_target_countries": (F.col("target_country"), F.col("indicator"), None),
-        "top_10_source_countries": (F.col("source_country"), None, None),
-        "top_10_active_ips": (F.col("ip"), None, None),
-        "top_attack_type": (F.col("type"), None, None),
-        "detect_target_country_changes": (F.when(ts.isNotNull(), F.col("target_country")), window, start),
-        "detect_source_country_changes": (F.when(ts.isNotNull(), F.col("source_country")), window, start),
-        "attack_by_creation_day": (F.to_date(ts).cast("string"), None, F.date_trunc("day", ts)),
-        "attacks_by_creation_month": (
-            F.year(ts).cast("string"), F.month(ts).cast("string"), F.date_trunc("month", ts),
-        ),
-        "top_10_authors": (F.col("author_name"), None, None),
-        "top_10_cities": (F.col("source_city"), None, None),
-        "top_10_pulse_tlp": (F.col("TLP"), None, None),
+        "top_10_target_countries": (F.col("target_country"), F.col("indicator"), day),
+        "top_10_source_countries": (F.col("source_country"), nothing, day),
+        "top_10_active_ips": (F.col("ip"), nothing, day),
+        "top_attack_type": (F.col("type"), nothing, day),
+        "detect_target_country_changes": (F.when(ts.isNotNull(), F.col("target_country")), nothing, start),
+        "detect_source_country_changes": (F.when(ts.isNotNull(), F.col("source_country")), nothing, start),
+        "attack_by_creation_day": (F.when(ts.isNotNull(), F.lit("")), nothing, day),
+        "attacks_by_creation_month": (nothing, nothing, F.date_trunc("month", ts)),
+        "top_10_authors": (F.col("author_name"), nothing, day),
+        "top_10_cities": (F.col("source_city"), nothing, day),
+        "top_10_pulse_tlp": (F.col("TLP"), nothing, day),
     }
     structs = [
-        F.struct(
-            F.lit(name).alias("measurement"),
-            k1.alias("k1"),
-            (F.lit(None).cast("string") if k2 is None else k2).alias("k2"),
-            (F.lit(None).cast("timestamp") if at is None else at).alias("time"),
-        )
+        F.struct(F.lit(name).alias("measurement"), k1.alias("k1"), k2.alias("k2"), at.alias("time"))
         for name, (k1, k2, at) in cells.items()
     ]
-    return (
+    counts = (
         batch.select(F.inline(F.array(*structs)))
         .filter(F.col("k1").isNotNull() | F.col("measurement").isin(list(NULLS_COUNT)))
         .groupBy("measurement", "k1", "k2", "time")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    end = F.timestamp_micros(F.unix_micros("time") + window_seconds * 1_000_000)
+    window = F.concat_ws("/", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss"), F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss"))
+    name = F.col("measurement")
+    return counts.select(
+        "measurement",
+        F.when(name == "attack_by_creation_day", F.to_date("time").cast("string"))
+        .when(name == "attacks_by_creation_month", F.year("time").cast("string")).otherwise(F.col("k1")).alias("k1"),
+        F.when(name.isin("detect_target_country_changes", "detect_source_country_changes"), window)
+        .when(name == "attacks_by_creation_month", F.month("time").cast("string")).otherwise(F.col("k2")).alias("k2"),
+        "time", "n",
+    )
 
 
 def rollup_points(counts: DataFrame, written_at: Column, batch_id: int = 0) -> DataFrame:
-    """Rank the counts and turn them into points."""
-    ranked = [name for name, _, _, keep in ROLLUPS if keep and name != "top_10_target_countries"]
-    per_target = "top_10_target_countries"
-    limits = F.create_map(*[F.lit(x) for name, _, _, keep in ROLLUPS if name in ranked for x in (name, keep)])
-    order = [F.col("n").desc(), F.col("k1").asc_nulls_first(), F.col("k2").asc_nulls_first()]
-
-    def first(rows, keep, *within):
-        place = F.row_number().over(W.partitionBy(*within).orderBy(*order))
-        return rows.withColumn("_place", place).filter(F.col("_place") <= keep)
-
-    most = max(keep for _, _, _, keep in ROLLUPS)
-    top = first(counts.filter(F.col("measurement").isin(ranked)), most, "measurement")
-    top = top.filter(F.col("_place") <= limits[F.col("measurement")]).drop("_place")
-    target = first(counts.filter(F.col("measurement") == per_target), 1, "k1").drop("_place")
-    whole = counts.filter(~F.col("measurement").isin([*ranked, per_target]))
-
-    names = F.create_map(*[x for name, tags, _, _ in ROLLUPS for x in (F.lit(name), F.array(*map(F.lit, tags)))])
-    fields = F.create_map(*[F.lit(x) for name, _, field, _ in ROLLUPS for x in (name, field)])
+    """All counts as points; those without a time get that of writing."""
+    names = F.create_map(*[x for name, tags, _ in ROLLUPS for x in (F.lit(name), F.array(*map(F.lit, tags)))])
+    fields = F.create_map(*[F.lit(x) for name, _, field in ROLLUPS for x in (name, field)])
     chosen = names[F.col("measurement")]
     tags = F.map_from_arrays(chosen, F.slice(F.array("k1", "k2"), F.lit(1), F.size(chosen)))
-    return (
-        top.unionByName(target).unionByName(whole)
-        .select(
-            "measurement",
-            F.map_filter(tags, lambda _, v: v.isNotNull()).alias("tags"),
-            fields[F.col("measurement")].alias("field"),
-            F.col("n").cast("double").alias("value"),
-            F.coalesce("time", written_at).alias("time"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        .select(*POINT_COLUMNS)
-    )
+    return counts.select(
+        "measurement",
+        F.map_filter(tags, lambda _, v: v.isNotNull()).alias("tags"),
+        fields[F.col("measurement")].alias("field"),
+        F.col("n").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("text"),
+        F.coalesce("time", written_at).alias("time"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+    ).select(*POINT_COLUMNS)
