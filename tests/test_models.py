@@ -19,26 +19,21 @@ from threatlens.models.clusters import (
 )
 from threatlens.models.forests import (
     ATTACK_COUNT_FEATURES,
-    FORECAST_FEATURES,
-    _filled,
+    direct_features,
     fit_attack_count,
+    fit_direct_forest,
     fit_family,
     fit_forecast_forest,
-    forecast_recursive,
-    predict_rows,
-    read_trees,
+    forecast_direct,
     score,
     with_random_split,
 )
 from threatlens.models.metrics import accuracy, regression_metrics
 from threatlens.models.series import (
     candidate_orders,
-    differences_needed,
     fit_ar1_diff,
     fit_series,
-    fit_values,
     forecast_series,
-    forecast_values,
     select_order,
 )
 from threatlens.models.store import load_model, save_model
@@ -112,35 +107,26 @@ def forecasting(spark):
     return coded, fit_forecast_forest(coded, trees=8, depth=5)
 
 
-def test_tree_walk_equals_spark(spark, forecasting):
+def test_scoring_treats_nulls_as_the_fit_does(forecasting):
     frame, model = forecasting
-    scored = score(model, _filled(frame, FORECAST_FEATURES))
-    table = scored.select(*FORECAST_FEATURES, "predicted").toPandas()
-    walked = predict_rows(read_trees(model.stages[1], spark), table[list(FORECAST_FEATURES)].to_numpy(float))
-    assert np.allclose(walked, table["predicted"])
+    holes = frame.withColumn("lag_7", F.lit(None).cast("bigint"))
+    zeros = frame.withColumn("lag_7", F.lit(0).cast("bigint"))
+    assert rows(score(model, holes).select("target_country", "date", "predicted")) == rows(score(model, zeros).select("target_country", "date", "predicted"))
 
 
-def test_recursive_forecast_feeds_its_own_lags(spark, forecasting):
-    frame, model = forecasting
-    days = 40
-    got = forecast_recursive(model, frame, days)
-    assert got.count() == 2 * days and got.filter("num_attacks IS NULL").isEmpty()
-    low, high = frame.agg(F.min("num_attacks"), F.max("num_attacks")).first()
-    assert got.filter((F.col("num_attacks") < low) | (F.col("num_attacks") > high)).isEmpty()
-    one_each = forecast_recursive(model, frame, days, keys_per_group=1)
-    assert rows(got) == rows(one_each)
-
-    # Step by step with Spark's own transform for one key.
-    past = {r.date: float(r.num_attacks) for r in frame.filter("target_country = 'b'").collect()}
-    future = {r.date: r.num_attacks for r in got.filter("target_country = 'b'").collect()}
-    date = max(past) + dt.timedelta(days=1)
-    for _ in range(3):
-        at = lambda lag: past.get(date - dt.timedelta(days=lag), 0.0)  # noqa: B023, E731
-        row = (1.0, at(1), at(7), at(30), float(date.year), float(date.month), float(date.day), float(date.weekday()), float(date.weekday() >= 5))
-        value = score(model, spark.createDataFrame([row], list(FORECAST_FEATURES))).first().predicted
-        assert future[date] == pytest.approx(value)
-        past[date] = value
-        date += dt.timedelta(days=1)
+def test_direct_forecast_covers_the_grid_and_knows_no_more_than_it_may(spark):
+    counts = daily(spark)
+    dense = encode_labels(densify_daily(counts, "target_country"), fit_labels(counts, ["target_country"]), ["target_country"])
+    frame = direct_features(dense, horizons=(1, 7, 30))
+    day = {(r.target_country, r.date): r.num_attacks for r in dense.collect()}
+    for r in frame.filter("target_country = 'a'").limit(50).collect():
+        for lag in (1, 7, 30):
+            assert r[f"lag_{lag}"] == day["a", r.date - dt.timedelta(days=r.horizon + lag - 1)]
+    got = forecast_direct(fit_direct_forest(frame, trees=8, depth=5), dense, 40)
+    ends = {r.target_country: r.end for r in counts.groupBy("target_country").agg(F.max("date").alias("end")).collect()}
+    assert {(r.target_country, r.date) for r in got.collect()} == {(k, end + dt.timedelta(days=d)) for k, end in ends.items() for d in range(1, 41)}
+    low, high = counts.agg(F.min("num_attacks"), F.max("num_attacks")).first()
+    assert got.filter(~F.col("num_attacks").between(low, high)).isEmpty()
 
 
 def prepared(spark, n=600):
@@ -166,14 +152,12 @@ def test_attack_count_model_and_store(spark, folder):
     assert rows(a.select("id_indicator", "predicted")) == rows(b.select("id_indicator", "predicted"))
 
 
-def test_family_classifier_folds_rare_classes(spark, folder):
+def test_family_classifier_knows_all_classes(spark, folder):
     df = prepared(spark)
     forest = fit_family(df, trees=10, depth=5)
     scored = forest.predict(df)
     assert accuracy(scored, "malware_family_encoded").first().accuracy > 0.9
-    assert {r.predicted for r in scored.select("predicted").distinct().collect()} <= {0.0, 1.0, 2.0, 3.0, 7.0}
-    few = fit_family(df, trees=5, depth=5, classes=2)
-    assert -1.0 in {r.predicted for r in few.predict(df).select("predicted").distinct().collect()}
+    assert {r.predicted for r in scored.select("predicted").distinct().collect()} == {0.0, 1.0, 2.0, 3.0, 7.0}
     save_model(forest, f"{folder}/c")
     loaded = load_model(spark, f"{folder}/c", "classes")
     assert rows(loaded.predict(df).select("id_indicator", "predicted")) == rows(scored.select("id_indicator", "predicted"))
@@ -184,24 +168,40 @@ def test_weighted_accuracy(spark):
     assert tuple(accuracy(df, weight="w").first()) == (4, 0.75) and tuple(accuracy(df).first()) == (2, 0.5)
 
 
-def test_series_fit_recovers_an_autoregression():
-    rng = np.random.default_rng(1)
-    w = np.zeros(3000)
-    for t in range(1, len(w)):
-        w[t] = 0.6 * w[t - 1] + rng.normal()
-    fit = fit_values(np.cumsum(w), 1, 1, 0)
-    assert abs(fit["ar"][0] - 0.6) < 0.05 and not fit["fallback"]
-    e = rng.normal(size=4000)
-    fit = fit_values(e[1:] + 0.5 * e[:-1], 0, 0, 1)
-    assert abs(fit["ma"][0] - 0.5) < 0.07
-    assert differences_needed(e) == 0 and differences_needed(np.cumsum(e)) >= 1
+def series_of(spark, key, values):
+    data = [(key, dt.date(2024, 1, 1) + dt.timedelta(days=d), float(v)) for d, v in enumerate(values)]
+    return spark.createDataFrame(data, "source_country STRING, date DATE, num_attacks DOUBLE")
 
 
-def test_series_forecasts_by_hand():
-    walk = {"p": 1, "d": 1, "q": 0, "seasonal": 0, "intercept": 0.0, "ar_lags": [1], "ar": [0.5], "ma_lags": [], "ma": [], "fallback": False}
-    assert np.allclose(forecast_values([0, 1, 3], walk, 3), [4.0, 4.5, 4.75])
-    season = {**walk, "d": 0, "seasonal": 2, "ar_lags": [], "ar": []}
-    assert np.allclose(forecast_values([1, 5, 2, 6], season, 4), [2, 6, 2, 6])
+def test_series_fit_recovers_an_autoregression(spark):
+    rng = np.random.default_rng(1)
+    w = np.zeros(3000)
+    for t in range(2, len(w)):
+        w[t] = 0.3 * w[t - 1] + 0.15 * w[t - 2] + rng.normal()
+    fit = fit_series(series_of(spark, "w", np.cumsum(w)), "source_country", (2, 1)).first()
+    assert abs(fit.phi1 - 0.3) < 0.05 and abs(fit.phi2 - 0.15) < 0.05 and not fit.fallback
+    design = np.column_stack([np.ones(len(w) - 3), w[2:-1], w[1:-2]])
+    least = np.linalg.lstsq(design, w[3:], rcond=None)[0]
+    assert (fit.intercept, fit.phi1, fit.phi2) == pytest.approx(tuple(least), abs=5e-3)
+    chosen = select_order(series_of(spark, "w", w), "source_country").first()
+    assert (chosen.p, chosen.d) == (2, 0)
+    assert select_order(series_of(spark, "w", np.cumsum(w)), "source_country").first().d == 1
+
+
+def test_series_forecasts_by_hand(spark):
+    columns = "source_country STRING, p INT, d INT, seasonal INT, intercept DOUBLE, phi1 DOUBLE, phi2 DOUBLE"
+
+    def ahead(values, steps, *model):
+        params = spark.createDataFrame([("k", *model)], columns)
+        return [r.forecast for r in forecast_series(params, series_of(spark, "k", values), steps).orderBy("step").collect()]
+
+    assert np.allclose(ahead([0, 1, 3], 3, 1, 1, 0, 0.0, 0.5, 0.0), [4.0, 4.5, 4.75])
+    assert np.allclose(ahead(range(14), 3, 0, 0, 7, 0.0, 0.0, 0.0), [7, 8, 9])
+    assert np.allclose(ahead([1, 2], 2, 2, 0, 0, 1.0, 0.5, 0.25), [2.25, 2.625])
+    x = [3.0, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5, 8]
+    change = lambda i: (x[i] - x[i - 7]) - (x[i - 1] - x[i - 8])
+    expected = x[5] + (x[11] - x[4]) + 0.5 * change(11)
+    assert np.allclose(ahead(x, 1, 1, 1, 7, 0.0, 0.5, 0.0), [expected])
 
 
 def test_short_and_constant_series_fall_back(spark):
@@ -217,15 +217,16 @@ def test_short_and_constant_series_fall_back(spark):
 def test_order_choice_is_the_minimum(spark):
     df = daily(spark, days=200)
     tried = candidate_orders(df, "target_country").collect()
-    chosen = {r.target_country: r.aic for r in select_order(df, "target_country").collect()}
-    assert len(tried) == 18
-    for key, aic in chosen.items():
-        assert aic == min(r.aic for r in tried if r.target_country == key)
+    assert len(tried) == 12
+    for chosen in select_order(df, "target_country").collect():
+        same = [r for r in tried if r.target_country == chosen.target_country]
+        assert chosen.spread == min(r.spread for r in same)
+        assert chosen.aic == min(r.aic for r in same if r.d == chosen.d)
 
 
 def test_seasonal_model_follows_the_week(spark):
     df = daily(spark, days=210)
-    params = fit_series(df, "target_country", (1, 1, 1), 7)
+    params = fit_series(df, "target_country", (1, 1), 7)
     got = forecast_series(params, df, 14, "target_country").filter("target_country = 'a'").orderBy("date").collect()
     values = [r.forecast for r in got]
     assert max(range(7), key=lambda i: values[i]) == max(range(7, 14), key=lambda i: values[i]) - 7

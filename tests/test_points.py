@@ -128,7 +128,7 @@ def test_csv_round_trip_with_quotes_and_lines(spark, folder):
     values.update(id_indicator=5, content='say "hi",\nthen go', source_latitude=1.5, created_indicator=dt.datetime(2024, 1, 1, 2, 3, 4))
     df = spark.createDataFrame([tuple(values.values())], INDICATOR_SCHEMA)
     write_csv(df, f"{folder}/csv")
-    assert rows(read_indicators_csv(spark, f"{folder}/csv")) == rows(df)
+    assert rows(read_indicators_csv(spark, f"{folder}/csv", multi_line=True)) == rows(df)
 
 
 def test_csv_cells_that_do_not_fit_become_null(spark, folder):
@@ -138,6 +138,9 @@ def test_csv_cells_that_do_not_fit_become_null(spark, folder):
 
     got = read_indicators_csv(spark, f"{folder}/in.csv", struct_of("id INT, n INT"))
     assert rows(got) == [(1, None), (2, 3)]
+    swapped = read_indicators_csv(spark, f"{folder}/in.csv", struct_of("n INT, absent STRING, id BIGINT"))
+    assert rows(swapped) == [(None, None, 1), (3, None, 2)]
+    assert rows(read_indicators_csv(spark, f"{folder}/in.csv", struct_of("a STRING, b STRING"), header=False).filter("a <> 'id'")) == [("1", "x"), ("2", "3")]
 
 
 def test_messages_and_documents(spark, folder):

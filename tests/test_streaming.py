@@ -240,13 +240,13 @@ def test_points_of_alternate_records_and_running_counts(spark):
 def test_live_forecast_continues_the_history(spark, folder):
     from test_models import daily
 
-    from threatlens.models.features import forecast_features
-    from threatlens.models.forests import fit_forecast_forest
+    from threatlens.models.forests import direct_features, fit_direct_forest
     from threatlens.models.labels import encode_labels
+    from threatlens.operators.enrich import densify_daily
 
     counts = daily(spark)
     dictionary = fit_labels(counts, ["target_country"])
-    model = fit_forecast_forest(encode_labels(forecast_features(counts, counted=True), dictionary, ["target_country"]), trees=4, depth=4)
+    model = fit_direct_forest(direct_features(encode_labels(densify_daily(counts, "target_country"), dictionary, ["target_country"]), (1, 7)), trees=4, depth=4)
     forecast = forest_forecaster(model, dictionary, days=3, history=lambda: counts)
     bucket = ensure_bucket(spark, folder, FORECAST_BUCKET)
     live = LivePath(ensure_bucket(spark, folder, ROLLUP_BUCKET), forecast_bucket=bucket, forecast=forecast)

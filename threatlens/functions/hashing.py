@@ -21,6 +21,18 @@ def mix(key: Column, seed: int = 0) -> Column:
     return F.pmod(small * F.lit(MULTIPLIER) + F.lit(seed), F.lit(MODULUS))
 
 
+def draw(key: Column, n: int, seed: int = 0) -> Column:
+    """An even draw from 0 .. n - 1, n up to 2^31, fixed by an integer id and the seed.
+
+    Two rounds of multiplying and folding the high bits down reach all 32 bits; the
+    draw is their share of n, so it reads the high ones.
+    """
+    x = mix(key, seed)
+    for _ in range(2):
+        x = F.pmod(x.bitwiseXOR(F.shiftright(x, 15)).bitwiseAND(F.lit((1 << 31) - 1)) * F.lit(MULTIPLIER), F.lit(MODULUS))
+    return F.shiftright(x * F.lit(n), 32)
+
+
 def scatter(key: Column, seed: int = 0) -> Column:
     """The high half of ``mix``, 0 .. 65535.
 

@@ -13,7 +13,7 @@ from threatlens.models.labels import encode_labels
 from threatlens.operators.clean import project, require
 from threatlens.operators.enrich import densify_daily
 from threatlens.operators.rollups import daily_counts
-from threatlens.operators.skew import hot_keys, salted_join
+from threatlens.operators.skew import hot_keys, lookup_join
 from threatlens.schema import CLUSTER_FIELDS, NOT_FOR_MODELS
 from threatlens.session import materialize
 
@@ -103,9 +103,11 @@ def average_rank(
             (F.col("_before") + F.col("_instants_before") + (F.col("_n") + 1) / F.lit(2.0)).alias(name),
         )
     )
-    hot = hot_keys(instants, [key, "_ts"], "_n")
     apart = [c for c in spread if c in df.columns]
-    ranked = salted_join(df.withColumn("_ts", F.col(ts)), ranks, [key, "_ts"], "left", hot=hot, spread=apart)
+    ranked = lookup_join(
+        df.withColumn("_ts", F.col(ts)), materialize(ranks, "ranks"), [key, "_ts"], "left",
+        hot=hot_keys(instants, [key, "_ts"], "_n"), spread=apart,
+    )
     return ranked.withColumn(name, F.coalesce(name, F.lit(0.0))).drop("_ts")
 
 

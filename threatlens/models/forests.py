@@ -1,30 +1,28 @@
-"""Forest models on Spark ML, and a recursive forecast that walks their trees."""
+"""Forest models on Spark ML, and a direct forecast with the horizon as a feature."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import Broadcast
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from threatlens.functions import date_parts
 from threatlens.functions.hashing import split_bucket
 from threatlens.models.features import LAGS
-from threatlens.session import scratch_path, send_by_value
-
-send_by_value(__name__)
+from threatlens.operators.clean import require
 
 # --- fixed values: feature columns of each model ---
 FORECAST_FEATURES = (
     "target_country_encoded", "lag_1", "lag_7", "lag_30",
     "year", "month", "day", "day_of_week", "is_weekend",
 )
+DIRECT_FEATURES = ("target_country_encoded", "horizon", *FORECAST_FEATURES[1:])
 ATTACK_COUNT_FEATURES = (
     "source_country_encoded", "year", "month", "day", "day_of_week", "cumulative_attacks",
 )
@@ -38,8 +36,8 @@ TARGET_FEATURES = (
 TREES = 100
 SEED = 42
 DEPTH = 10
-MAX_NODES = 4_000_000  # a larger forest is not copied to the executors
-OTHER = -1.0
+# Days ahead that a direct forecast is trained on; those between are interpolated by the trees.
+HORIZONS = (1, 2, 4, 7, 14, 30, 60, 120, 240, 480, 730)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -70,8 +68,9 @@ def with_random_split(df: DataFrame, key: str, share: float = 0.8, seed: int = S
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Apply a fitted or loaded pipeline; ids and times stay on the rows."""
-    return model.transform(df).drop("_features", "rawPrediction", "probability", "_label")
+    """Apply a fitted or loaded pipeline; ids and times stay on the rows. Features that
+    are null count as 0, as they did in the fit."""
+    return model.transform(_filled(df, model.stages[0].getInputCols())).drop("_features", "rawPrediction", "probability", "_label")
 
 
 # ---- daily count of a target country, from its own history ----
@@ -115,52 +114,38 @@ class ClassForest:
         self.model, self.codes, self.features, self.label = model, list(codes), tuple(features), label
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``predicted``: a label code, or -1 for the folded class."""
-        scored = score(self.model, _filled(df, self.features))
-        options = F.array(F.lit(OTHER), *[F.lit(float(code)) for code in self.codes])
-        return scored.withColumn("predicted", F.element_at(options, F.col("_predicted").cast("int") + 1)).drop(
-            "_predicted"
-        )
-
-
-def _fit_classes(
-    df: DataFrame, label: str, features: Sequence[str], trees: int, depth: int, seed: int, classes: int
-) -> ClassForest:
-    """Equal training rows are merged into weighted ones before the fit."""
+        """Add ``predicted``, a label code."""
+        names = IndexToString(inputCol="_predicted", outputCol="_name", labels=[str(c) for c in self.codes])
+        scored = names.transform(score(self.model, df))
+        return scored.withColumn("predicted", F.col("_name").cast("double")).drop("_predicted", "_name")
+
+
+def _fit_classes(df: DataFrame, label: str, features: Sequence[str], trees: int, depth: int, seed: int) -> ClassForest:
+    """Every code that a training row has is a class. Equal rows are merged into weighted
+    ones before the fit."""
     merged = (
         _filled(df.filter("is_train"), features)
         .groupBy(*features, F.col(label).cast("bigint").alias(label))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        .withColumn("_name", F.col(label).cast("string"))
     )
-    top = (
-        merged.groupBy(label).agg(F.sum("weight").alias("_n"))
-        .orderBy(F.col("_n").desc(), label).limit(classes).collect()
-    )
-    codes = [row[label] for row in top]
-    labelled = merged.withColumn(
-        "_label",
-        F.coalesce(F.array_position(F.array(*[F.lit(c) for c in codes]), F.col(label)), F.lit(0)).cast("double"),
-    )
+    indexer = StringIndexer(inputCol="_name", outputCol="_label", stringOrderType="alphabetAsc").fit(merged)
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", predictionCol="_predicted", weightCol="weight",
         numTrees=trees, maxDepth=depth, seed=seed, maxMemoryInMB=1024,
     )
-    model = Pipeline(stages=[_assembler(features), forest]).fit(_spread(labelled))
-    return ClassForest(model, codes, features, label)
+    model = Pipeline(stages=[_assembler(features), forest]).fit(_spread(indexer.transform(merged)))
+    return ClassForest(model, [int(name) for name in indexer.labels], features, label)
 
 
-def fit_family(
-    prepared: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, classes: int = 100
-) -> ClassForest:
-    """Classify the malware family; families beyond the top ``classes`` share one class."""
-    return _fit_classes(prepared, "malware_family_encoded", FAMILY_FEATURES, trees, depth, seed, classes)
+def fit_family(prepared: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> ClassForest:
+    """Classify the malware family."""
+    return _fit_classes(prepared, "malware_family_encoded", FAMILY_FEATURES, trees, depth, seed)
 
 
-def fit_target(
-    prepared: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, classes: int = 300
-) -> ClassForest:
+def fit_target(prepared: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> ClassForest:
     """Classify the target country."""
-    return _fit_classes(prepared, "target_country_encoded", TARGET_FEATURES, trees, depth, seed, classes)
+    return _fit_classes(prepared, "target_country_encoded", TARGET_FEATURES, trees, depth, seed)
 
 
 def actual_vs_predicted(
@@ -171,129 +156,48 @@ def actual_vs_predicted(
     return scored.select(key, ts, F.col(actual).cast("double").alias("actual"), "predicted")
 
 
-# ---- recursive forecast ----
+# ---- direct forecast ----
 
 
-def read_trees(model: RandomForestRegressionModel, spark) -> dict[str, np.ndarray]:
-    """The forest as flat arrays, read from its saved node table.
+def direct_features(
+    series: DataFrame, horizons: Sequence[int] = HORIZONS, key: str = "target_country",
+    day: str = "date", value: str = "num_attacks", lags: Sequence[int] = LAGS,
+) -> DataFrame:
+    """Training rows of a direct forecast, from a gap-free daily series per key.
 
-    A forest has at most trees x 2^(depth + 1) nodes; the count is checked
-    before anything is collected.
+    A day is a row for every horizon h: its value, its calendar, and the last values that
+    were known h days before (the last one as ``lag_1``, the one a week and a month back
+    as ``lag_7`` and ``lag_30``). Rows that reach before the series are left out.
     """
-    nodes = int(model.totalNumNodes)
-    if nodes > MAX_NODES:
-        raise ValueError(f"forest of {nodes} nodes is too large to copy to executors")
-    path = scratch_path(spark, "forest")
-    model.write().save(path)
-    table = spark.read.parquet(f"{path}/data")
-    expected = {"id", "prediction", "leftChild", "rightChild", "split"}
-    if set(table.columns) != {"treeID", "nodeData"} or not expected <= set(table.schema["nodeData"].dataType.names):
-        raise RuntimeError(f"unexpected node table: {table.schema.simpleString()}")
-    if table.filter(F.col("nodeData.split.numCategories") > 0).limit(1).count():
-        raise ValueError("categorical splits are not supported")
-    flat = (
-        table.select(
-            "treeID",
-            F.col("nodeData.id").alias("id"),
-            F.col("nodeData.prediction").alias("prediction"),
-            F.col("nodeData.leftChild").alias("left"),
-            F.col("nodeData.rightChild").alias("right"),
-            F.col("nodeData.split.featureIndex").alias("feature"),
-            F.coalesce(F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)), F.lit(0.0)).alias("threshold"),
-        )
-        .orderBy("treeID", "id")
-        .toPandas()
-    )
-    sizes = flat.groupby("treeID").size().to_numpy()
-    roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    base = np.repeat(roots, sizes)
-    leaf = flat["left"].to_numpy() < 0
-    row = np.arange(len(flat))
-    children = np.where(leaf[:, None], row[:, None], flat[["left", "right"]].to_numpy() + base[:, None])
-    return {
-        "roots": roots,
-        "children": children.ravel(),  # left and right of node i at 2 i and 2 i + 1; a leaf leads to itself
-        "feature": np.where(leaf, 0, flat["feature"].to_numpy()),
-        "threshold": flat["threshold"].to_numpy(dtype=float),
-        "prediction": flat["prediction"].to_numpy(dtype=float),
-        "depth": np.array(model.getMaxDepth()),
-    }
-
-
-def predict_rows(trees: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
-    """Mean prediction of all trees for each feature row, one level at a time."""
-    at = np.broadcast_to(trees["roots"], (len(rows), len(trees["roots"])))
-    for _ in range(int(trees["depth"])):
-        go_right = np.take_along_axis(rows, trees["feature"][at], axis=1) > trees["threshold"][at]
-        at = trees["children"][2 * at + go_right]
-    return trees["prediction"][at].mean(axis=1)
-
-
-def share_trees(model: PipelineModel, spark) -> Broadcast:
-    """Copy the checked arrays of a pipeline's forest to the executors, once for many
-    forecasts."""
-    forest = next(stage for stage in model.stages if isinstance(stage, RandomForestRegressionModel))
-    return spark.sparkContext.broadcast(read_trees(forest, spark))
-
-
-def forecast_recursive(
-    model: PipelineModel | Broadcast,
-    history: DataFrame,
-    days: int = 730,
-    key: str = "target_country",
-    code: str = "target_country_encoded",
-    day: str = "date",
-    value: str = "num_attacks",
-    lags: Sequence[int] = LAGS,
-    keys_per_group: int = 128,
+    window = W.partitionBy(key).orderBy(day)
+    known = F.array(*[
+        F.struct(F.lit(h).alias("horizon"), *[F.lag(value, h + lag - 1).over(window).alias(f"lag_{lag}") for lag in lags]) for h in horizons
+    ])
+    rows = series.withColumn("_known", known).select(*series.columns, F.inline("_known"))
+    return date_parts(require(rows, [f"lag_{lag}" for lag in lags]), day, hour=False)
+
+
+def fit_direct_forest(features: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> PipelineModel:
+    """Fit a direct forecast on the rows of ``direct_features`` with their key's code."""
+    return fit_forecast_forest(features, trees=trees, depth=depth, seed=seed, names=DIRECT_FEATURES)
+
+
+def forecast_direct(
+    model: PipelineModel, history: DataFrame, days: int = 730, key: str = "target_country",
+    code: str = "target_country_encoded", day: str = "date", value: str = "num_attacks", lags: Sequence[int] = LAGS,
 ) -> DataFrame:
-    """Forecast each key ``days`` ahead, feeding predictions back as lags.
+    """(key, day, num_attacks) for the ``days`` after each key's last one.
 
-    ``history`` holds a gap-free daily series per key with its code. Only the
-    last max(lags) days of a key are needed, so only those are shuffled. Keys
-    are dealt by hash to groups of about ``keys_per_group``; a group steps through
-    the days once for all of its keys together. Returns (key, day, num_attacks).
+    ``history`` is a gap-free daily series per key with its code. The last known values
+    are one aggregate per key; a grid of days is added and scored in one transform.
+    Values before the series count as 0.
     """
-    trees = model if isinstance(model, Broadcast) else share_trees(model, history.sparkSession)
-    depth = max(lags)
     last = history.groupBy(key).agg(F.max(day).alias("_last"))
-    recent = (
-        history.join(last, key)
-        .filter(F.col(day) > F.date_sub("_last", depth))
-        .groupBy(key, code, "_last")
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.datediff("_last", day), F.col(value).cast("double")))).alias("_ago"))
-        .select(
-            key, F.col(code).cast("double").alias("_code"), "_last",
-            # Oldest first; days before the series count as 0.
-            F.transform(
-                F.sequence(F.lit(depth - 1), F.lit(0), F.lit(-1)),
-                lambda ago: F.coalesce(F.try_element_at("_ago", ago), F.lit(0.0)),
-            ).alias("_recent"),
-        )
-        .withColumn("_groups", last.agg(F.ceil(F.count(F.lit(1)) / F.lit(keys_per_group))).scalar())
-        .withColumn("_group", F.pmod(F.xxhash64(key), F.greatest("_groups", F.lit(1))))
+    ago = F.datediff("_last", day)
+    known = [F.coalesce(F.max(F.when(ago == lag - 1, F.col(value))), F.lit(0)).alias(f"lag_{lag}") for lag in lags]
+    grid = (
+        history.join(last, key).filter(ago < max(lags)).groupBy(key, code, "_last").agg(*known)
+        .withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(days))))
+        .withColumn(day, F.date_add("_last", F.col("horizon")))
     )
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        arrays = trees.value
-        values = np.zeros((len(pdf), depth + days))
-        values[:, :depth] = np.stack(pdf["_recent"].to_numpy())
-        codes = pdf["_code"].to_numpy(dtype=float)
-        start = pd.to_datetime(pdf["_last"])
-        parts = []
-        for step in range(1, days + 1):
-            dates = start + pd.Timedelta(days=step)
-            calendar = dates.dt
-            now = depth + step - 1
-            lagged = [values[:, now - lag] for lag in lags]
-            weekday = calendar.dayofweek.to_numpy()
-            rows = np.column_stack(
-                [codes, *lagged, calendar.year, calendar.month, calendar.day, weekday, (weekday >= 5) * 1]
-            ).astype(float)
-            predicted = predict_rows(arrays, rows)
-            values[:, now] = predicted
-            parts.append(pd.DataFrame({key: pdf[key].to_numpy(), day: dates.dt.date.to_numpy(), value: predicted}))
-        return pd.concat(parts, ignore_index=True)
-
-    kind = history.schema[key].dataType.simpleString()
-    return recent.groupBy("_group").applyInPandas(walk, f"{key} {kind}, {day} date, {value} double")
+    return score(model, date_parts(grid, day, hour=False)).select(key, day, F.col("predicted").alias(value))

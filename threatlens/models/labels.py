@@ -5,14 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.operators.enrich import union_all
-from threatlens.operators.skew import BROADCAST_ROWS, global_index, lookup_join
+from threatlens.operators.skew import ROWS_PER_TASK, fits_broadcast, global_index, hot_keys, lookup_join
 from threatlens.session import materialize
 
-SMALL_DOMAIN = 200_000  # values one task may sort
 MISSING = "None"  # the text a missing value is encoded under
 
 
@@ -20,26 +17,16 @@ def _as_label(name: str):
     return F.coalesce(F.col(name).cast("string"), F.lit(MISSING))
 
 
-def fit_labels(df: DataFrame, columns: Sequence[str], small: int = SMALL_DOMAIN) -> DataFrame:
-    """Learn the dictionary (column, value, code), once; a fit, so it runs jobs.
+def fit_labels(df: DataFrame, columns: Sequence[str], rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Learn the dictionary (column, value, code, n), once; a fit, so it runs jobs.
 
-    The distinct values of all columns come from one aggregate, are stored in the
-    shared folder and counted. Columns with up to ``small`` values are numbered
-    by one window per column, larger ones range by range.
+    The distinct values of all columns, and how many rows have each, come from one
+    map-side combined aggregate; they are numbered range by range.
     """
     cells = F.array(*[F.struct(F.lit(c).alias("column"), _as_label(c).alias("value")) for c in columns])
-    distinct = materialize(df.select(F.inline(cells)).distinct(), "label-values")
-    large = [row["column"] for row in distinct.groupBy("column").count().filter(F.col("count") > small).collect()]
-    window = W.partitionBy("column").orderBy("value")
-    numbered = [
-        distinct.filter(~F.col("column").isin(large))
-        .withColumn("code", (F.row_number().over(window) - 1).cast("bigint"))
-        .select("column", "value", "code")
-    ]
-    for name in large:
-        values = distinct.filter(F.col("column") == name).select("value")
-        numbered.append(global_index(values, "value", "code").select(F.lit(name).alias("column"), "value", "code"))
-    return materialize(union_all(*numbered), "labels")
+    counted = df.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    numbered = global_index(materialize(counted, "label-values"), "value", "code", within="column", rows=rows)
+    return materialize(numbered.select("column", "value", "code", "n"), "labels")
 
 
 def encode_labels(
@@ -49,16 +36,19 @@ def encode_labels(
     suffix: str = "_encoded",
 ) -> DataFrame:
     """Add the code of each column. Values the dictionary lacks get the next code
-    after the last one. One job reads the size of the dictionary per column."""
+    after the last one.
+
+    One job reads the size of the dictionary per column. Large dictionaries are joined
+    with the hot values that the fit has counted, so the rows are not counted again.
+    """
     sizes = {row["column"]: row["n"] for row in dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    large = not fits_broadcast(dictionary)
     for name in columns:
-        codes = dictionary.filter(F.col("column") == name).select(
-            F.col("value").alias("_label"), F.col("code").alias("_code")
-        )
-        size = sizes.get(name, 0)
+        codes = dictionary.filter(F.col("column") == name).select(F.col("value").alias("_label"), F.col("code").alias("_code"), "n")
+        hot = hot_keys(codes, ["_label"], "n") if large else None
         df = (
-            lookup_join(df.withColumn("_label", _as_label(name)), codes, ["_label"], fits=size <= BROADCAST_ROWS)
-            .withColumn(name + suffix, F.coalesce("_code", F.lit(size).cast("bigint")))
+            lookup_join(df.withColumn("_label", _as_label(name)), codes.drop("n"), ["_label"], hot=hot)
+            .withColumn(name + suffix, F.coalesce("_code", F.lit(sizes.get(name, 0)).cast("bigint")))
             .drop("_label", "_code")
         )
     return df

@@ -1,256 +1,142 @@
-"""Seasonal ARIMA models for many series at once.
+"""Autoregressions on differences of many daily series at once, in SQL aggregates.
 
-Spark gathers each series (one row per day, so a calendar's length) into one
-task and fits it there; thousands of series are fitted in parallel. The fit is
-the two-step least-squares method of Hannan and Rissanen (1982): a long
-autoregression estimates the shocks, then the value is regressed on its own lags
-and on lagged shocks.
+The model of a series is x with d plain differences, after one seasonal difference
+when ``seasonal`` > 0, as an autoregression of order p <= 2:
+
+    y(t) = intercept + phi1 * y(t-1) + phi2 * y(t-2) + error
+
+Its least squares follow from sums of products of y and its lags, so one grouped
+aggregate fits all orders of all keys. Orders of one differencing are fitted to the
+same days, so their AIC can be compared; the differencing is the one with the smallest
+variance of y. A series too short for its order, or constant, falls back to its mean.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.session import send_by_value
-
-send_by_value(__name__)
-
-PARAMS = """
-    p INT, d INT, q INT, seasonal INT, intercept DOUBLE,
-    ar_lags ARRAY<INT>, ar ARRAY<DOUBLE>, ma_lags ARRAY<INT>, ma ARRAY<DOUBLE>,
-    sigma2 DOUBLE, aic DOUBLE, n INT, fallback BOOLEAN
-"""
-DEFAULT_GRID = tuple(product((0, 1, 2), (0, 1, 2)))
-KPSS_LEVEL_5PCT = 0.463  # critical value, Kwiatkowski et al. (1992)
-MAX_DIFFERENCES = 2
-
+ORDERS = (0, 1, 2)
+DIFFERENCES = (0, 1)
+SEASON = 7
+# Smallest error variance taken for real; below it a series counts as constant.
+TINY = 1e-9
 
-def differenced(x: np.ndarray, d: int, seasonal: int) -> np.ndarray:
-    """d plain differences, after one seasonal difference when seasonal > 0."""
-    if seasonal:
-        x = x[seasonal:] - x[:-seasonal]
-    return np.diff(x, n=d) if d else x
 
+def _differences(df: DataFrame, key: str, day: str, value: str, ds: Sequence[int], seasonal: int) -> DataFrame:
+    """(key, d, y, y1, y2, x) for every day and number of differences."""
+    window = W.partitionBy(key).orderBy(day)
+    x = F.col(value).cast("double")
 
-def _lagged(x: np.ndarray, lags: Sequence[int], start: int) -> np.ndarray:
-    return np.column_stack([x[start - lag : len(x) - lag] for lag in lags]) if len(lags) else np.empty((len(x) - start, 0))
+    def y(d: int, back: int) -> Column:
+        def level(i: int) -> Column:
+            at = F.lag(x, i).over(window) if i else x
+            return at - F.lag(x, i + seasonal).over(window) if seasonal else at
 
+        return level(back) - level(back + 1) if d else level(back)
 
-def _shrunk(lags: Sequence[int], coefficients: np.ndarray) -> np.ndarray:
-    """Scale a lag polynomial so that its recursion cannot explode."""
-    if not len(lags):
-        return coefficients
-    polynomial = np.zeros(max(lags) + 1)
-    polynomial[0] = 1.0
-    for lag, c in zip(lags, coefficients):
-        polynomial[lag] -= c
-    radius = np.abs(np.roots(polynomial)).max(initial=0.0)
-    limit = 0.98
-    if radius < limit:
-        return coefficients
-    return coefficients * (limit / radius) ** np.asarray(lags)
+    cells = F.array(*[
+        F.struct(F.lit(d).alias("d"), y(d, 0).alias("y"), y(d, 1).alias("y1"), y(d, 2).alias("y2"), x.alias("x")) for d in ds
+    ])
+    return df.select(key, cells.alias("_cells")).select(key, F.inline("_cells"))
 
 
-def _residuals(w: np.ndarray, fit: dict) -> np.ndarray:
-    """One-step errors of the fitted recursion, starting from 0."""
-    shocks = np.zeros(len(w))
-    start = max([0, *fit["ar_lags"]])
-    for t in range(start, len(w)):
-        expected = fit["intercept"]
-        for lag, c in zip(fit["ar_lags"], fit["ar"]):
-            expected += c * w[t - lag]
-        for lag, c in zip(fit["ma_lags"], fit["ma"]):
-            if t >= lag:
-                expected += c * shocks[t - lag]
-        shocks[t] = w[t] - expected
-    return shocks
-
+def candidate_orders(
+    df: DataFrame, key: str, ds: Sequence[int] = DIFFERENCES, ps: Sequence[int] = ORDERS, seasonal: int = 0,
+    day: str = "date", value: str = "num_attacks",
+) -> DataFrame:
+    """(key, p, d, seasonal, intercept, phi1, phi2, sigma2, aic, n, spread, fallback) of every order.
 
-def fit_values(x: np.ndarray, p: int, d: int, q: int, seasonal: int = 0, skip: int = 0) -> dict:
-    """Fit one series. ``skip`` drops leading rows, so that rival orders are
-    compared on the same rows. Short or constant series give the last value."""
-    x = np.asarray(x, dtype=float)
-    extra = (seasonal, seasonal + 1) if seasonal else ()
-    ar_lags = [*range(1, p + 1), *(extra if p else extra[:1])]
-    ma_lags = [*range(1, q + 1), *(extra if q else extra[:1])]
-    fit = {
-        "p": p, "d": d, "q": q, "seasonal": seasonal, "intercept": 0.0, "ar_lags": [], "ar": [],
-        "ma_lags": [], "ma": [], "sigma2": 0.0, "aic": float("inf"), "n": len(x), "fallback": True,
+    ``df`` is a gap-free daily series per key. ``spread`` is the variance of y.
+    """
+    rows = _differences(df, key, day, value, ds, seasonal)
+    full = F.col("y2").isNotNull()
+    y, y1, y2 = (F.when(full, F.col(c)) for c in ("y", "y1", "y2"))
+    sums = rows.groupBy(key, "d").agg(
+        F.count(y2).alias("n"), F.avg("x").alias("level"), F.avg(y).alias("m"), F.avg(y1).alias("m1"), F.avg(y2).alias("m2"),
+        F.var_pop(y).alias("s00"), F.var_pop(y1).alias("s11"), F.var_pop(y2).alias("s22"),
+        F.covar_pop(y, y1).alias("s01"), F.covar_pop(y, y2).alias("s02"), F.covar_pop(y1, y2).alias("s12"),
+    )
+    c = F.col
+    both = c("s11") * c("s22") - c("s12") * c("s12")
+    zero = F.lit(0.0)
+    slopes = {
+        0: (F.lit(True), zero, zero),
+        1: (c("s11") > TINY, c("s01") / c("s11"), zero),
+        2: (both > TINY * c("s11"), (c("s01") * c("s22") - c("s02") * c("s12")) / both, (c("s02") * c("s11") - c("s01") * c("s12")) / both),
     }
-    w = differenced(x, d, seasonal) if len(x) > d + seasonal else np.empty(0)
-    longest = max([0, *ar_lags, *ma_lags])
-    long_order = min(max(2 * longest, 10), max(len(w) // 4, 1)) if ma_lags else 0
-    start = max(longest + long_order, skip)
-    columns = 1 + len(ar_lags) + len(ma_lags)
-    if len(w) - start < 2 * columns + 5 or np.ptp(w) == 0:
-        return fit
-    shocks = np.zeros(len(w))
-    if ma_lags:
-        own = np.column_stack([np.ones(len(w) - long_order), _lagged(w, range(1, long_order + 1), long_order)])
-        beta = np.linalg.lstsq(own, w[long_order:], rcond=None)[0]
-        shocks[long_order:] = w[long_order:] - own @ beta
-    design = np.column_stack([np.ones(len(w) - start), _lagged(w, ar_lags, start), _lagged(shocks, ma_lags, start)])
-    beta = np.linalg.lstsq(design, w[start:], rcond=None)[0]
-    errors = w[start:] - design @ beta
-    rows = len(errors)
-    sigma2 = float(errors @ errors / rows)
-    ar = _shrunk(ar_lags, beta[1 : 1 + len(ar_lags)])
-    ma = -_shrunk(ma_lags, -beta[1 + len(ar_lags) :])
-    mean = w[start:].mean()
-    stationary = beta[0] if np.array_equal(ar, beta[1 : 1 + len(ar_lags)]) else mean * (1 - ar.sum())
-    fit.update(
-        intercept=float(stationary), ar_lags=ar_lags, ar=[float(c) for c in ar],
-        ma_lags=ma_lags, ma=[float(c) for c in ma], sigma2=sigma2,
-        aic=float(rows * np.log(max(sigma2, 1e-12)) + 2 * (columns + 1)), fallback=False,
+    cells = []
+    for p in ps:
+        solvable, phi1, phi2 = slopes[p]
+        ok = F.coalesce(solvable & (c("n") >= p + 3), F.lit(False))
+        cells.append(F.struct(F.lit(p).alias("p"), ok.alias("_ok"), F.when(ok, phi1).otherwise(zero).alias("phi1"), F.when(ok, phi2).otherwise(zero).alias("phi2")))
+    each = sums.select("*", F.inline(F.array(*cells)))
+    usable = c("_ok")
+    sigma2 = F.greatest(c("s00") - c("phi1") * c("s01") - c("phi2") * c("s02"), F.lit(TINY))
+    return each.select(
+        key, F.when(usable, c("p")).otherwise(0).alias("p"), F.when(usable, c("d")).otherwise(0).alias("d"),
+        F.when(usable, F.lit(seasonal)).otherwise(0).alias("seasonal"),
+        F.when(usable, c("m") - c("phi1") * c("m1") - c("phi2") * c("m2")).otherwise(c("level")).alias("intercept"),
+        "phi1", "phi2",
+        F.when(usable, sigma2).alias("sigma2"), F.when(usable, c("n") * F.log(sigma2) + 2 * (c("p") + 2)).alias("aic"),
+        "n", F.when(usable, c("s00")).alias("spread"), (~usable).alias("fallback"),
     )
-    return fit
-
-
-def forecast_values(x: np.ndarray, fit: dict, steps: int) -> np.ndarray:
-    """Continue a series: future shocks are 0, differences are summed back."""
-    x = np.asarray(x, dtype=float)
-    if fit["fallback"]:
-        return np.full(steps, x[-1] if len(x) else 0.0)
-    w = differenced(x, fit["d"], fit["seasonal"])
-    shocks = np.concatenate([_residuals(w, fit), np.zeros(steps)])
-    path = np.concatenate([w, np.zeros(steps)])
-    for t in range(len(w), len(path)):
-        value = fit["intercept"]
-        for lag, c in zip(fit["ar_lags"], fit["ar"]):
-            value += c * path[t - lag]
-        for lag, c in zip(fit["ma_lags"], fit["ma"]):
-            value += c * shocks[t - lag]
-        path[t] = value
-    future = path[len(w) :]
-    base = differenced(x, 0, fit["seasonal"])
-    for level in range(fit["d"], 0, -1):
-        tail = np.diff(base, n=level - 1)[-1]
-        future = tail + np.cumsum(future)
-    if fit["seasonal"]:
-        whole = np.concatenate([x, np.zeros(steps)])
-        for step in range(steps):
-            whole[len(x) + step] = future[step] + whole[len(x) + step - fit["seasonal"]]
-        future = whole[len(x) :]
-    return future
-
-
-def differences_needed(x: np.ndarray) -> int:
-    """Differences until the KPSS level test no longer rejects at 5 percent."""
-    x = np.asarray(x, dtype=float)
-    for d in range(MAX_DIFFERENCES + 1):
-        w = np.diff(x, n=d) if d else x
-        if len(w) < 10 or np.ptp(w) == 0:
-            return d
-        e = w - w.mean()
-        bandwidth = int(np.ceil(12 * (len(w) / 100) ** 0.25))
-        variance = e @ e / len(w)
-        for lag in range(1, min(bandwidth, len(w) - 1) + 1):
-            variance += 2 * (1 - lag / (bandwidth + 1)) * (e[lag:] @ e[:-lag]) / len(w)
-        statistic = (np.cumsum(e) ** 2).sum() / len(w) ** 2 / max(variance, 1e-12)
-        if statistic < KPSS_LEVEL_5PCT:
-            return d
-    return MAX_DIFFERENCES
 
 
-def _key_ddl(df: DataFrame, key: str) -> str:
-    return f"{key} {df.schema[key].dataType.simpleString()}"
-
-
-def _frame(key: str, key_value, fits: Sequence[dict]) -> pd.DataFrame:
-    frame = pd.DataFrame(list(fits))
-    frame.insert(0, key, [key_value] * len(frame))
-    return frame
+def select_order(df: DataFrame, key: str, seasonal: int = 0, day: str = "date", value: str = "num_attacks") -> DataFrame:
+    """One model per key: the differencing of the smallest spread, then the order of the
+    lowest AIC; ties go to fewer differences and lags."""
+    tried = candidate_orders(df, key, seasonal=seasonal, day=day, value=value)
+    place = F.row_number().over(W.partitionBy(key).orderBy("fallback", F.round("spread", 9), "d", F.round("aic", 6), "p"))
+    return tried.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def fit_series(
-    df: DataFrame,
-    key: str,
-    order: tuple[int, int, int] = (1, 1, 1),
-    seasonal: int = 0,
-    day: str = "date",
-    value: str = "num_attacks",
+    df: DataFrame, key: str, order: tuple[int, int] = (1, 1), seasonal: int = 0, day: str = "date", value: str = "num_attacks"
 ) -> DataFrame:
-    """Fit one order to every series; a table of parameters, one row per key."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(day)[value].to_numpy(dtype=float)
-        return _frame(key, pdf[key].iloc[0], [fit_values(x, *order, seasonal=seasonal)])
-
-    return df.select(key, day, value).groupBy(key).applyInPandas(run, f"{_key_ddl(df, key)}, {PARAMS}")
+    """The model of one order (p, d) for every key."""
+    return candidate_orders(df, key, (order[1],), (order[0],), seasonal, day, value)
 
 
-def candidate_orders(
-    df: DataFrame,
-    key: str,
-    grid: Sequence[tuple[int, int]] = DEFAULT_GRID,
-    day: str = "date",
-    value: str = "num_attacks",
+def forecast_series(
+    params: DataFrame, history: DataFrame, steps: int = 30, key: str = "source_country", day: str = "date", value: str = "num_attacks"
 ) -> DataFrame:
-    """Every (p, q) of the grid fitted to every series, with its AIC.
+    """(key, date, step, forecast) for the next ``steps`` days of every fitted series.
 
-    The number of differences comes from the KPSS test, since AIC cannot compare
-    models of differently differenced data. A series is shuffled once for all
-    of its candidates.
+    The last days of a key are one aggregate; a fold over the steps carries them on, as an
+    expression of the plan. Where history is shorter, the missing days count as 0.
     """
-    grid = [tuple(pair) for pair in grid]
-    longest = max(max(p, q) for p, q in grid)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(day)[value].to_numpy(dtype=float)
-        d = differences_needed(x)
-        skip = longest + min(max(2 * longest, 10), max((len(x) - d) // 4, 1))
-        return _frame(key, pdf[key].iloc[0], [fit_values(x, p, d, q, skip=skip) for p, q in grid])
-
-    return df.select(key, day, value).groupBy(key).applyInPandas(run, f"{_key_ddl(df, key)}, {PARAMS}")
-
-
-def select_order(
-    df: DataFrame,
-    key: str,
-    grid: Sequence[tuple[int, int]] = DEFAULT_GRID,
-    day: str = "date",
-    value: str = "num_attacks",
-) -> DataFrame:
-    """The candidate with the lowest AIC for each series."""
-    best = W.partitionBy(key).orderBy("aic", F.col("p") + F.col("q"), "p")
-    ranked = candidate_orders(df, key, grid, day, value).withColumn("_rank", F.row_number().over(best))
-    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+    need = SEASON + 4
+    last = history.groupBy(key).agg(F.max(day).alias("_last"))
+    ago = F.datediff("_last", day)
+    recent = (
+        history.join(last, key).filter(ago < need)
+        .groupBy(key, "_last").agg(F.map_from_entries(F.collect_list(F.struct(ago, F.col(value).cast("double")))).alias("_ago"))
+        .withColumn("_path", F.transform(F.sequence(F.lit(need - 1), F.lit(0), F.lit(-1)), lambda i: F.coalesce(F.try_element_at("_ago", i), F.lit(0.0))))
+    )
 
+    def level(path: Column, back: int) -> Column:
+        """The value ``back`` days before the next one, seasonally differenced if the model is."""
+        before = F.when(F.col("seasonal") > 0, F.element_at(path, -back - SEASON)).otherwise(0.0)
+        return F.element_at(path, -back) - before
 
-def forecast_series(
-    params: DataFrame,
-    history: DataFrame,
-    steps: int = 30,
-    key: str = "source_country",
-    day: str = "date",
-    value: str = "num_attacks",
-) -> DataFrame:
-    """(key, date, step, forecast) for the next ``steps`` days of every fitted series."""
+    def y(path: Column, back: int) -> Column:
+        return level(path, back) - F.when(F.col("d") > 0, level(path, back + 1)).otherwise(0.0)
 
-    def run(fits: pd.DataFrame, past: pd.DataFrame) -> pd.DataFrame:
-        if fits.empty or past.empty:
-            return pd.DataFrame({key: [], day: [], "step": [], "forecast": []})
-        past = past.sort_values(day)
-        fit = fits.iloc[0].to_dict()
-        for name in ("ar_lags", "ar", "ma_lags", "ma"):
-            fit[name] = list(fit[name])
-        path = forecast_values(past[value].to_numpy(dtype=float), fit, steps)
-        last = pd.Timestamp(past[day].iloc[-1])
-        dates = pd.date_range(last + pd.Timedelta(days=1), periods=steps, freq="D")
-        return pd.DataFrame(
-            {key: past[key].iloc[0], day: dates.date, "step": np.arange(1, steps + 1), "forecast": path}
-        )
+    def follow(path: Column, _: Column) -> Column:
+        change = F.col("intercept") + F.col("phi1") * y(path, 1) + F.col("phi2") * y(path, 2)
+        base = F.when(F.col("seasonal") > 0, F.element_at(path, -SEASON)).otherwise(0.0) + F.when(F.col("d") > 0, level(path, 1)).otherwise(0.0)
+        return F.concat(path, F.array(change + base))
 
-    schema = f"{_key_ddl(history, key)}, {day} date, step int, forecast double"
+    whole = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("_path"), follow)
+    ahead = F.slice(whole, need + 1, steps)
     return (
-        params.groupBy(key).cogroup(history.select(key, day, value).groupBy(key)).applyInPandas(run, schema)
+        params.join(recent, key)
+        .select(key, "_last", F.posexplode(ahead).alias("_at", "forecast"))
+        .select(key, F.date_add("_last", F.col("_at") + 1).alias(day), (F.col("_at") + 1).alias("step"), "forecast")
     )
 
 

@@ -73,10 +73,15 @@ def parse_events(
         raise ValueError(f"on_error is 'null' or 'drop', not {on_error!r}")
     text = df.select(F.col(value).cast("string").alias("value"))
     if on_error == "drop":
-        text = text.filter(F.ltrim("value").startswith("{") & F.try_parse_json("value").isNotNull())
+        text = text.filter(_opens_object("value") & F.try_parse_json("value").isNotNull())
     return text.select(F.from_json("value", schema).alias("event")).select("event.*")
 
 
+def _opens_object(text: str) -> Column:
+    """Whether the text, after any of JSON's white space, begins like an object."""
+    return F.ltrim(F.col(text), F.lit(" \t\r\n")).startswith("{")
+
+
 def conform(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
     """Keep rows whose required fields are present; parsing alone cannot enforce that."""
     return require(df, required)
@@ -106,7 +111,7 @@ def flatten_document(
     """
     number = F.pmod(F.xxhash64(value), F.lit(MODULUS)) if key is None else F.col(key)
     # A filter on the parsed value would parse twice; an array of it drops the null.
-    parsed = df.filter(F.ltrim(value).startswith("{")).select(
+    parsed = df.filter(_opens_object(value)).select(
         F.explode(F.array_compact(F.array(F.try_parse_json(value)))).alias("_document"), number.alias("_key")
     )
     columns = []

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.functions.hashing import mix, split_bucket
+from threatlens.functions.hashing import draw, mix, split_bucket
 from threatlens.operators.rollups import keep_top
-from threatlens.operators.skew import BROADCAST_ROWS, global_index, hot_keys, lookup_join
+from threatlens.operators.skew import global_index, hot_keys, lookup_join
 from threatlens.session import materialize
 
 
@@ -26,7 +26,7 @@ def join_with_suffix(
     """Equi-join that renames columns found on both sides.
 
     ``on`` lists common names, or (left, right) pairs; a right key with another
-    name is kept as a column. The right side is counted first (pass a stored
+    name is kept as a column. The bytes of the right side decide (pass a stored
     table): small tables are broadcast, larger ones joined with hot left keys
     salted. ``lookup`` goes to ``lookup_join``.
     """
@@ -56,7 +56,9 @@ def join_on_key(left: DataFrame, right: DataFrame, key: str, how: str = "left")
     """Bring two frames together on a real key. Row position has no meaning in a
     distributed table, so frames are never aligned by it. A unique key cannot be
     hot, so this is Spark's plain join."""
-    return join_with_suffix(left, right, [key], how, fits=False, hot=[])
+    clashing = [c for c in right.columns if c != key and c in left.columns]
+    left, right = (side.withColumnsRenamed({c: c + end for c in clashing}) for side, end in ((left, "_x"), (right, "_y")))
+    return left.join(right, key, how).select(*left.columns, *[c for c in right.columns if c != key])
 
 
 def with_daily_count(
@@ -146,12 +148,11 @@ def assign_random(
 
     The choices are counted and numbered in the order of a unique column; pass a
     stored table. A small table is broadcast; draws are even, so beyond that size
-    no number is hot.
+    no number is hot and Spark's plain join does.
     """
-    total = choices.count()
-    numbered = global_index(choices, order, "_number")
-    drawn = facts.withColumn("_number", F.pmod(mix(F.col(key), seed), F.lit(total)))
-    return lookup_join(drawn, numbered, ["_number"], fits=total <= BROADCAST_ROWS, hot=[]).drop("_number")
+    numbered = materialize(global_index(choices, order, "_number"), "choices")
+    drawn = facts.withColumn("_number", draw(F.col(key), numbered.count(), seed))
+    return drawn.join(numbered, "_number", "left").drop("_number")
 
 
 def dedupe(df: DataFrame) -> DataFrame:

@@ -172,26 +172,20 @@ def null_profile(df: DataFrame, only_missing: bool = False) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Per column: type, rows, non-null rows, distinct values, smallest and largest text.
+    """Per column: type, rows, non-null rows, distinct values, smallest and largest value as text.
 
-    Values are counted first and summarised second, so exact distinct counts need
-    one shuffle for all columns together and partial sums before it.
+    Values are compared in their own type. Counts and bounds are one aggregate row; only
+    the exact distinct counts need a shuffle, one for all columns, of merged values.
     """
-    types = F.create_map(*[F.lit(x) for name, kind in df.dtypes for x in (name, kind)])
-    return (
-        _long(df, df.columns)
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("column")
-        .agg(
-            F.sum("n").alias("row_count"),
-            F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-            F.count("value").alias("distinct_values"),
-            F.min("value").alias("smallest"),
-            F.max("value").alias("largest"),
+    distinct = _long(df, df.columns).groupBy("column", "value").agg(F.lit(1).alias("one")).groupBy("column").agg(F.count("value").alias("distinct_values"))
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"), F.lit(kind).alias("data_type"), F.count(F.lit(1)).alias("row_count"), F.count(name).alias("non_null"),
+            F.min(name).cast("string").alias("smallest"), F.max(name).cast("string").alias("largest"),
         )
-        .withColumn("data_type", types[F.col("column")])
-    )
+        for name, kind in df.dtypes
+    ]
+    return df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells")).join(distinct, "column")
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -20,7 +20,8 @@ raw AS (
   FROM events
 ),
 messages AS (
-  SELECT CASE WHEN event_id % 7 = 0 THEN substr(body, 1, length(body) - 9) ELSE body END AS value FROM raw
+  SELECT CASE WHEN event_id % 5 = 0 THEN chr(10) || chr(9) || chr(13) || ' ' ELSE '' END
+    || CASE WHEN event_id % 7 = 0 THEN substr(body, 1, length(body) - 9) ELSE body END AS value FROM raw
 ),
 parsed AS (
   SELECT json_valid(value) AS ok, CASE WHEN json_valid(value) THEN value END AS doc FROM messages
@@ -79,7 +80,7 @@ DOCUMENTS = """,
 documents_in AS (
   SELECT id_indicator,
     CASE WHEN id_indicator % 13 = 0 THEN '[broken' ELSE
-    '{"general":{"base_indicator":{"id":' || id_indicator || ',"indicator":"' || indicator || '","type":"' || type || '"'
+    CASE WHEN id_indicator % 7 = 0 THEN chr(10) || chr(9) ELSE '' END || '{"general":{"base_indicator":{"id":' || id_indicator || ',"indicator":"' || indicator || '","type":"' || type || '"'
     || CASE WHEN id_indicator % 4 = 0 THEN '' ELSE ',"created":"' || strftime(created_indicator, '%Y-%m-%dT%H:%M:%S') || '"' END
     || '},"pulse_info":{"pulses":['
     || CASE WHEN id_indicator % 3 = 0 THEN '' ELSE '{"id":"' || id_pulse || '","author_name":"' || author_name || '","TLP":"' || TLP || '","revision":' || (id_indicator % 9) || '}' END
@@ -115,7 +116,8 @@ def nested_documents(rows):
         unless(5, part(',"geo":{"city":', city, ',"country_name":"', F.col("source_country"), '","latitude":', whole("source_latitude"), "}")),
         "}",
     )
-    return rows.select("id_indicator", F.when(missing(13), F.lit("[broken")).otherwise(value).alias("value"))
+    space = F.when(missing(7), F.lit("\n\t")).otherwise("")
+    return rows.select("id_indicator", F.when(missing(13), F.lit("[broken")).otherwise(F.concat(space, value)).alias("value"))
 
 
 @query(

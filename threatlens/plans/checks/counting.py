@@ -187,7 +187,7 @@ PROFILED = {"id_indicator": "bigint", "type": "string", "source_country": "strin
     "table_profile",
     incidents_sql(" UNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST(count(*) AS BIGINT) AS row_count, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values,
-  min(CAST({c} AS VARCHAR)) AS smallest, max(CAST({c} AS VARCHAR)) AS largest, '{kind}' AS data_type FROM incidents"""
+  CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest, '{kind}' AS data_type FROM incidents"""
         for c, kind in PROFILED.items())),
 )
 def profiled(spark, sf_dir):

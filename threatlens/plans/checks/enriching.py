@@ -221,7 +221,10 @@ def shuffled(spark, sf_dir):
 WITH places AS (
   SELECT c_custkey, c_mktsegment, c_nationkey, row_number() OVER (ORDER BY c_custkey) - 1 AS number FROM customer
 ), drawn AS (
-  SELECT event_id, (((event_id % 2147483648) * 2654435761 + 42) % 4294967296) % (SELECT count(*) FROM customer) AS number FROM events
+  SELECT event_id, (x2 * (SELECT count(*) FROM customer)) >> 32 AS number FROM (
+    SELECT event_id, ((xor(x1, x1 >> 15) & 2147483647) * 2654435761) % 4294967296 AS x2 FROM (
+      SELECT event_id, ((xor(x0, x0 >> 15) & 2147483647) * 2654435761) % 4294967296 AS x1 FROM (
+        SELECT event_id, ((event_id % 2147483648) * 2654435761 + 42) % 4294967296 AS x0 FROM events)))
 )
 SELECT d.event_id, p.c_custkey, p.c_mktsegment, p.c_nationkey FROM drawn d JOIN places p ON d.number = p.number""",
 )

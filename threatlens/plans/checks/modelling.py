@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.models.clusters import CLUSTER_FEATURES, centers_table, choose_k, fit_clusters, update_clusters
+from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters, centers_table, choose_k, fit_clusters, update_clusters
 from threatlens.models.features import ENCODED, forecast_features, min_max, prepare_features, standardize
 from threatlens.models.forests import (
     actual_vs_predicted,
+    direct_features,
     fit_attack_count,
+    fit_direct_forest,
     fit_family,
     fit_forecast_forest,
     fit_target,
-    forecast_recursive,
+    forecast_direct,
     score,
     with_random_split,
 )
@@ -22,7 +25,7 @@ from threatlens.models.series import candidate_orders, fit_ar1_diff, fit_series,
 from threatlens.operators.enrich import densify_daily, with_daily_count, with_time_split
 from threatlens.operators.rollups import keep_top
 from threatlens.plans.checks.pointing import CENTERS, CLUSTERED, assigned_sql, codes_sql
-from threatlens.plans.checks.registry import incidents_sql, orders_sql, query, six
+from threatlens.plans.checks.registry import incidents_sql, orders_sql, query, second, six
 from threatlens.plans.serving import actual_and_forecast, table_of
 from threatlens.plans.study import country_study, study_forecasts, study_series
 from threatlens.schema import CLUSTER_FIELDS
@@ -49,7 +52,7 @@ def encoded(spark, sf_dir):
         for c in ["ip", "author_name", "malware_family"])),
 )
 def dictionary(spark, sf_dir):
-    return fit_labels(incidents(spark, sf_dir), ["ip", "author_name", "malware_family"])
+    return fit_labels(incidents(spark, sf_dir), ["ip", "author_name", "malware_family"]).select("column", "value", "code")
 
 
 STANDARD = ", ".join(f"round((i.{c} - s.mean_{c}) / s.dev_{c}, 6) AS {c}" for c in CLUSTER_FIELDS)
@@ -178,14 +181,25 @@ def updated(spark, sf_dir):
     return moved.select("cluster", *axes, "n")
 
 
-@query("fit_clusters")
+@query("fit_clusters", incidents_sql("SELECT CAST(cluster AS INTEGER) AS cluster, (SELECT count(*) FROM incidents) AS rows_in_all, true AS nearest FROM range(4) r(cluster)"))
 def fitted_clusters(spark, sf_dir):
-    return centers_table(spark, fit_clusters(_coded(spark, sf_dir)))
+    """Each cluster, the rows that all of them hold, and whether its center is the mean of the rows nearest to it."""
+    coded = _coded(spark, sf_dir)
+    centers = centers_table(spark, fit_clusters(coded))
+    axes = [F.avg(c) for c in CLUSTER_FEATURES]
+    own = assign_clusters(coded, centers).groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.array(*axes).alias("mean"))
+    off = F.aggregate(F.zip_with("center", "mean", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: a + b)
+    total = own.agg(F.sum("rows")).scalar()
+    return centers.join(own, "cluster").select("cluster", total.alias("rows_in_all"), (off < 0.5).alias("nearest"))
 
 
-@query("choose_cluster_count")
+@query("choose_cluster_count", "SELECT CAST(k AS INTEGER) AS k, true AS falls, 1 AS lowest, 1 AS elbows FROM range(2, 9) r(k)")
 def cluster_counts(spark, sf_dir):
-    return choose_k(_coded(spark, sf_dir))
+    """Every k, whether its inertia is no more than a tenth above the smaller k's, and how many are marked."""
+    tried = choose_k(_coded(spark, sf_dir))
+    before = F.lag("inertia").over(W.orderBy("k"))  # seven rows
+    marks = [F.sum(F.col(c).cast("int")).over(W.partitionBy(F.lit(1))).cast("int") for c in ("is_lowest", "is_elbow")]
+    return tried.select("k", F.coalesce(F.col("inertia") <= before * 1.1, F.lit(True)).alias("falls"), marks[0].alias("lowest"), marks[1].alias("elbows"))
 
 
 def _orders_features(spark, sf_dir):
@@ -196,26 +210,60 @@ def _orders_features(spark, sf_dir):
     return materialize(with_time_split(coded_frame), "forecast-features")
 
 
-@query("fit_forecast_forest")
+FORECAST_SPLIT = """,
+lagged AS (SELECT *, lag(num_attacks, 30) OVER (PARTITION BY target_country ORDER BY date) AS lag_30 FROM dense),
+kept AS (SELECT * FROM lagged WHERE lag_30 IS NOT NULL),
+per_day AS (SELECT date, sum(count(*)) OVER (ORDER BY date) AS upto, sum(count(*)) OVER () AS every FROM kept GROUP BY date),
+cut AS (SELECT min(date) AS day FROM per_day WHERE upto >= 0.8 * every)"""
+
+
+@query(
+    "fit_forecast_forest",
+    orders_sql(FORECAST_SPLIT + """
+SELECT count(*) AS n, true AS better_than_nothing FROM kept WHERE date > (SELECT day FROM cut)"""),
+)
 def forest_scores(spark, sf_dir):
+    """Rows scored, and whether the forest errs less than saying 0 every day."""
     frame = _orders_features(spark, sf_dir)
-    model = fit_forecast_forest(frame)
-    return regression_metrics(score(model, frame.filter("NOT is_train")), "num_attacks")
+    test = frame.filter("NOT is_train")
+    scores = regression_metrics(score(fit_forecast_forest(frame), test), "num_attacks")
+    nothing = test.agg(F.avg(F.col("num_attacks") * F.col("num_attacks")).alias("zero")).scalar()
+    return scores.select("n", (F.col("mse") < nothing).alias("better_than_nothing"))
 
 
 def _forest_forecast(spark, sf_dir, days=730):
-    frame = _orders_features(spark, sf_dir)
-    return frame, forecast_recursive(fit_forecast_forest(frame.drop("is_train")), frame, days)
+    daily = materialize(daily_orders(spark, sf_dir), "daily-orders")
+    dense = materialize(encode_labels(densify_daily(daily, KEY), fit_labels(daily, [KEY]), [KEY]), "dense")
+    return dense, forecast_direct(fit_direct_forest(direct_features(dense), trees=40), dense, days)
+
+
+GRID = """,
+spans_of AS (SELECT target_country, max(date) AS last_day FROM dense GROUP BY 1),
+grid AS (SELECT target_country, last_day + CAST(unnest(range(1, {days} + 1)) AS INTEGER) AS day FROM spans_of)"""
 
 
-@query("forecast_recursive")
-def recursive(spark, sf_dir):
-    return _forest_forecast(spark, sf_dir)[1]
+@query(
+    "forecast_direct",
+    orders_sql(GRID.format(days=730) + """
+SELECT target_country, strftime(day, '%Y-%m-%d') AS date, true AS within_history FROM grid"""),
+)
+def direct(spark, sf_dir):
+    """Every key and day ahead, and whether the value lies within what the key or any other ever had."""
+    dense, ahead = _forest_forecast(spark, sf_dir)
+    most = dense.agg(F.max("num_attacks").alias("most")).scalar()
+    return ahead.select(KEY, F.date_format("date", "yyyy-MM-dd").alias("date"), F.col("num_attacks").between(F.lit(0), most).alias("within_history"))
 
 
-@query("serve_predictions")
+@query(
+    "serve_predictions",
+    orders_sql(GRID.format(days=730) + """
+SELECT target_country AS "Country", count(*) AS days, strftime(min(day), '%Y-%m-%d %H:%M:%S') AS first_day, strftime(max(day), '%Y-%m-%d %H:%M:%S') AS last_day
+FROM grid GROUP BY 1"""),
+)
 def serve_predictions(spark, sf_dir):
-    return table_of("predictions", forecast_points(_forest_forecast(spark, sf_dir)[1]))
+    shown_ = table_of("predictions", forecast_points(_forest_forecast(spark, sf_dir)[1])).filter(F.col("Number of Attacks") >= 0)
+    days = shown_.groupBy("Country").agg(F.count(F.lit(1)).alias("days"), F.min("Timestamp").alias("first_day"), F.max("Timestamp").alias("last_day"))
+    return days.select("Country", "days", second("first_day"), second("last_day"))
 
 
 def _prepared(spark, sf_dir):
@@ -225,29 +273,53 @@ def _prepared(spark, sf_dir):
     return materialize(with_random_split(counted, "id_indicator"), "prepared")
 
 
-@query("fit_attack_count")
+TEST = "(((((id_indicator % 2147483648) * 2654435761 + 42) % 4294967296) >> 16) % 100) >= 80"
+
+
+@query("fit_attack_count", incidents_sql(f"SELECT count(*) AS n, true AS better_than_mean FROM incidents WHERE {TEST}"))
 def attack_count_scores(spark, sf_dir):
+    """Rows scored, and whether the forest errs less than the mean does."""
     frame = _prepared(spark, sf_dir)
-    test = score(fit_attack_count(frame), frame.filter("NOT is_train"))
-    return regression_metrics(test, "daily_attack_count")
+    test = frame.filter("NOT is_train")
+    scores = regression_metrics(score(fit_attack_count(frame), test), "daily_attack_count")
+    return scores.select("n", (F.col("mse") < test.agg(F.var_pop("daily_attack_count")).scalar()).alias("better_than_mean"))
 
 
-@query("attack_count_actual_vs_predicted")
+@query(
+    "attack_count_actual_vs_predicted",
+    incidents_sql(f""",
+counted AS (SELECT *, count(*) OVER (PARTITION BY source_country, CAST(created_indicator AS DATE)) AS n FROM incidents)
+SELECT id_indicator, strftime(created_indicator, '%Y-%m-%d %H:%M:%S') AS created_indicator, CAST(n AS DOUBLE) AS actual, true AS predicted FROM counted WHERE {TEST}"""),
+)
 def attack_count_rows(spark, sf_dir):
+    """Ids, times and actual counts; of the prediction, whether it is a count that occurs."""
     frame = _prepared(spark, sf_dir)
-    return actual_vs_predicted(score(fit_attack_count(frame), frame.filter("NOT is_train")), "daily_attack_count")
+    rows = actual_vs_predicted(score(fit_attack_count(frame), frame.filter("NOT is_train")), "daily_attack_count")
+    most = frame.agg(F.max("daily_attack_count")).scalar()
+    return rows.select("id_indicator", second("created_indicator"), "actual", F.col("predicted").between(F.lit(0), most).alias("predicted"))
+
+
+CLASSES = incidents_sql(f"SELECT count(*) AS n, true AS known_classes FROM incidents WHERE {TEST}")
+
 
+def _classified(forest, frame, label):
+    """Rows classified, and whether every answer is a class that occurs."""
+    answers = forest.predict(frame.filter("NOT is_train"))
+    known = frame.select(F.col(label).cast("double").alias("predicted")).distinct()
+    strange = answers.join(known, "predicted", "left_anti").agg(F.count(F.lit(1))).scalar()
+    return accuracy(answers, label).select("n", (strange == 0).alias("known_classes"))
 
-@query("fit_family")
+
+@query("fit_family", CLASSES)
 def family_scores(spark, sf_dir):
     frame = _prepared(spark, sf_dir)
-    return accuracy(fit_family(frame).predict(frame.filter("NOT is_train")), "malware_family_encoded")
+    return _classified(fit_family(frame), frame, "malware_family_encoded")
 
 
-@query("fit_target")
+@query("fit_target", CLASSES)
 def target_scores(spark, sf_dir):
     frame = _prepared(spark, sf_dir)
-    return accuracy(fit_target(frame).predict(frame.filter("NOT is_train")), "target_country_encoded")
+    return _classified(fit_target(frame), frame, "target_country_encoded")
 
 
 @query(
@@ -267,41 +339,119 @@ def _dense(spark, sf_dir):
     return materialize(densify_daily(daily_orders(spark, sf_dir), KEY), "dense")
 
 
-@query("fit_arima_series")
+def _orders_tried_sql(ds: tuple[int, ...], ps: tuple[int, ...], seasonal: int) -> str:
+    """The models of all orders by sums of lag products, as CTEs that end in ``tried``."""
+    shift = f" - lag(x, {seasonal}) OVER w" if seasonal else ""
+    plain = f"SELECT target_country, date, x, x{shift} AS z FROM (SELECT target_country, date, CAST(num_attacks AS DOUBLE) AS x FROM dense) WINDOW w AS (PARTITION BY target_country ORDER BY date)"
+    parts = " UNION ALL ".join(
+        f"SELECT target_country, date, x, {d} AS d, {'z - lag(z) OVER w' if d else 'z'} AS y FROM plain WINDOW w AS (PARTITION BY target_country ORDER BY date)" for d in ds
+    )
+    fits = " UNION ALL ".join({
+        0: "SELECT *, 0 AS p, n >= 3 AS ok, 0.0::DOUBLE AS phi1, 0.0::DOUBLE AS phi2 FROM sums",
+        1: "SELECT *, 1, n >= 4 AND s11 > 1e-9, CASE WHEN n >= 4 AND s11 > 1e-9 THEN s01 / s11 ELSE 0 END, 0.0::DOUBLE FROM sums",
+        2: """SELECT *, 2, n >= 5 AND s11 * s22 - s12 * s12 > 1e-9 * s11,
+  CASE WHEN n >= 5 AND s11 * s22 - s12 * s12 > 1e-9 * s11 THEN (s01 * s22 - s02 * s12) / (s11 * s22 - s12 * s12) ELSE 0 END,
+  CASE WHEN n >= 5 AND s11 * s22 - s12 * s12 > 1e-9 * s11 THEN (s02 * s11 - s01 * s12) / (s11 * s22 - s12 * s12) ELSE 0 END FROM sums""",
+    }[p] for p in ps)
+    names = "SELECT *, 0 AS p, false AS ok, 0.0::DOUBLE AS phi1, 0.0::DOUBLE AS phi2 FROM sums WHERE false UNION ALL "
+    return f""",
+plain AS ({plain}),
+steps_of AS ({parts}),
+lagged_of AS (SELECT *, lag(y) OVER w AS y1, lag(y, 2) OVER w AS y2 FROM steps_of WINDOW w AS (PARTITION BY target_country, d ORDER BY date)),
+sums AS (
+  SELECT target_country, d, count(y2) AS n, avg(x) AS level, avg(CASE WHEN y2 IS NOT NULL THEN y END) AS m, avg(CASE WHEN y2 IS NOT NULL THEN y1 END) AS m1, avg(y2) AS m2,
+    var_pop(CASE WHEN y2 IS NOT NULL THEN y END) AS s00, var_pop(CASE WHEN y2 IS NOT NULL THEN y1 END) AS s11, var_pop(y2) AS s22,
+    covar_pop(CASE WHEN y2 IS NOT NULL THEN y END, CASE WHEN y2 IS NOT NULL THEN y1 END) AS s01,
+    covar_pop(CASE WHEN y2 IS NOT NULL THEN y END, y2) AS s02, covar_pop(CASE WHEN y2 IS NOT NULL THEN y1 END, y2) AS s12
+  FROM lagged_of GROUP BY 1, 2
+),
+fits AS ({names}{fits}),
+tried AS (
+  SELECT target_country, CAST(CASE WHEN ok THEN p ELSE 0 END AS INTEGER) AS p, CAST(CASE WHEN ok THEN d ELSE 0 END AS INTEGER) AS d,
+    CAST(CASE WHEN ok THEN {seasonal} ELSE 0 END AS INTEGER) AS seasonal,
+    CASE WHEN ok THEN m - phi1 * m1 - phi2 * m2 ELSE level END AS intercept, phi1, phi2,
+    CASE WHEN ok THEN n * ln(greatest(s00 - phi1 * s01 - phi2 * s02, 1e-9)) + 2 * (p + 2) END AS aic, n, CASE WHEN ok THEN s00 END AS spread, NOT ok AS fallback
+  FROM fits
+)"""
+
+
+MODEL = "target_country, p, d, seasonal, round(intercept, 6) AS intercept, round(phi1, 6) AS phi1, round(phi2, 6) AS phi2, round(aic, 4) AS aic, n, fallback"
+
+
+def _model(params):
+    return params.select(KEY, "p", "d", "seasonal", six("intercept"), six("phi1"), six("phi2"), F.round("aic", 4).alias("aic"), "n", "fallback")
+
+
+@query("fit_arima_series", orders_sql(_orders_tried_sql((1,), (1,), 0) + f" SELECT {MODEL} FROM tried"))
 def arima(spark, sf_dir):
-    return fit_series(_dense(spark, sf_dir), KEY)
+    return _model(fit_series(_dense(spark, sf_dir), KEY))
 
 
-@query("fit_seasonal_series")
+@query("fit_seasonal_series", orders_sql(_orders_tried_sql((1,), (1,), 7) + f" SELECT {MODEL} FROM tried"))
 def seasonal(spark, sf_dir):
-    return fit_series(_dense(spark, sf_dir), KEY, (1, 1, 1), 7)
+    return _model(fit_series(_dense(spark, sf_dir), KEY, (1, 1), 7))
 
 
-@query("candidate_orders")
+@query("candidate_orders", orders_sql(_orders_tried_sql((0, 1), (0, 1, 2), 0) + f" SELECT {MODEL} FROM tried"))
 def orders_tried(spark, sf_dir):
-    return candidate_orders(_dense(spark, sf_dir), KEY)
+    return _model(candidate_orders(_dense(spark, sf_dir), KEY))
+
 
+CHOSEN = _orders_tried_sql((0, 1), (0, 1, 2), 0) + """,
+chosen AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target_country ORDER BY fallback, round(spread, 9), d, round(aic, 6), p) AS place FROM tried) WHERE place = 1
+)"""
 
-@query("select_order")
+
+@query("select_order", orders_sql(CHOSEN + f" SELECT {MODEL} FROM chosen"))
 def order_chosen(spark, sf_dir):
-    return select_order(_dense(spark, sf_dir), KEY)
+    return _model(select_order(_dense(spark, sf_dir), KEY))
+
+
+# The model of order (1, 1) carried on step by step: y is the next change, x the next value.
+AHEAD = _orders_tried_sql((1,), (1,), 0) + """,
+ends AS (
+  SELECT target_country, max(date) AS last_day, arg_max(num_attacks, date) AS x, arg_max(num_attacks, date) - arg_max(before, date) AS y FROM (
+    SELECT *, coalesce(lag(num_attacks) OVER (PARTITION BY target_country ORDER BY date), 0) AS before FROM dense) GROUP BY 1
+),
+ahead AS (
+  SELECT target_country, last_day, 0 AS step, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, intercept, phi1, d FROM ends JOIN tried USING (target_country)
+  UNION ALL
+  SELECT target_country, last_day, step + 1, CASE WHEN d = 1 THEN x ELSE 0 END + intercept + phi1 * y, intercept + phi1 * y, intercept, phi1, d FROM ahead WHERE step < 30
+)"""
+
 
+def _ahead_sql(body: str) -> str:
+    return orders_sql(AHEAD + body).replace("WITH ", "WITH RECURSIVE ", 1)
 
-@query("forecast_series")
+
+@query("forecast_series", _ahead_sql("""
+SELECT target_country, strftime(last_day + step, '%Y-%m-%d') AS date, CAST(step AS INTEGER) AS step, round(x, 4) AS forecast FROM ahead WHERE step > 0"""))
 def series_forecast(spark, sf_dir):
     dense = _dense(spark, sf_dir)
-    return forecast_series(fit_series(dense, KEY), dense, 30, KEY)
+    ahead = forecast_series(fit_series(dense, KEY), dense, 30, KEY)
+    return ahead.select(KEY, F.date_format("date", "yyyy-MM-dd").alias("date"), "step", F.round("forecast", 4).alias("forecast"))
 
 
-@query("actual_and_forecast")
+@query("actual_and_forecast", _ahead_sql("""
+SELECT target_country, strftime(date, '%Y-%m-%d') AS date, 'actual' AS kind, CAST(num_attacks AS DOUBLE) AS value FROM dense
+UNION ALL SELECT target_country, strftime(last_day + step, '%Y-%m-%d'), 'forecast', round(x, 4) FROM ahead WHERE step > 0"""))
 def with_history(spark, sf_dir):
     dense = _dense(spark, sf_dir)
-    return actual_and_forecast(dense, forecast_series(fit_series(dense, KEY), dense, 30, KEY), KEY)
+    both = actual_and_forecast(dense, forecast_series(fit_series(dense, KEY), dense, 30, KEY), KEY)
+    return both.select(KEY, F.date_format("date", "yyyy-MM-dd").alias("date"), "kind", F.round("value", 4).alias("value"))
 
 
-@query("country_study_forecasts")
+@query(
+    "country_study_forecasts",
+    orders_sql(""",
+top AS (SELECT target_country, max(date) AS last_day FROM daily GROUP BY 1 ORDER BY sum(num_attacks) DESC, 1 LIMIT 10)
+SELECT target_country, model, strftime(last_day + CAST(step AS INTEGER), '%Y-%m-%d') AS date, CAST(step AS INTEGER) AS step, true AS finite
+FROM top, (SELECT unnest(['arima', 'sarimax']) AS model), (SELECT unnest(range(1, 31)) AS step)"""),
+)
 def study(spark, sf_dir):
-    return study_forecasts(study_series(materialize(daily_orders(spark, sf_dir), "daily-orders"), KEY), KEY)
+    ahead = study_forecasts(study_series(materialize(daily_orders(spark, sf_dir), "daily-orders"), KEY), KEY)
+    return ahead.select(KEY, "model", F.date_format("date", "yyyy-MM-dd").alias("date"), "step", (F.abs("forecast") < 1e9).alias("finite"))
 
 
 @query(

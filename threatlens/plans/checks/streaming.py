@@ -115,12 +115,19 @@ def live_rollups(spark, sf_dir):
     )
 
 
-@query("stream_online_clusters")
+@query(
+    "stream_online_clusters",
+    incidents_sql(""",
+span AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events),
+thirds AS (SELECT least((epoch_us(created_indicator) - low) * 3 // (high - low + 1), 2) AS third FROM incidents, span)
+SELECT CAST(5 AS BIGINT) AS clusters, sum(CASE third WHEN 0 THEN 0.25 WHEN 1 THEN 0.5 ELSE 1 END)::DOUBLE AS weight FROM thirds"""),
+)
 def online_clusters(spark, sf_dir):
+    """The clusters after three batches, and their weight: a batch counts half in the next one."""
     known = incidents(spark, sf_dir).select(*CLUSTERED)
     dictionary = fit_labels(known, CLUSTERED)
     encoded = encode_labels(_incident_stream(spark, sf_dir).select(*CLUSTERED), dictionary, CLUSTERED)
     first = start_centers(encode_labels(known, dictionary, CLUSTERED), 5)
     online = OnlineClusters(spark, scratch_path(spark, "centers"), first, features=CLUSTER_FEATURES)
     start_stream(encoded, online, scratch_path(spark, "progress"), available_now=True).awaitTermination()
-    return online.latest()
+    return online.latest().agg(F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("weight"))

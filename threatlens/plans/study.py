@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threatlens.models.series import fit_series, forecast_series, select_order
+from threatlens.models.series import SEASON, fit_series, forecast_series, select_order
 from threatlens.operators.enrich import densify_daily, union_all
 from threatlens.operators.rollups import daily_counts, distribution, top_n_by_sum
 from threatlens.session import materialize
 
-SEASON = 7
 STEPS = 30
 
 
@@ -37,7 +36,7 @@ def study_forecasts(series: DataFrame, key: str, steps: int = STEPS) -> DataFram
     """
     stored = materialize(series, "study-series")
     plain = forecast_series(select_order(stored, key), stored, steps, key)
-    weekly = forecast_series(fit_series(stored, key, (1, 1, 1), SEASON), stored, steps, key)
+    weekly = forecast_series(fit_series(stored, key, (1, 1), SEASON), stored, steps, key)
     return union_all(
         plain.withColumn("model", F.lit("arima")), weekly.withColumn("model", F.lit("sarimax"))
     )

@@ -66,7 +66,26 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def stored_bytes(table: DataFrame) -> int:
+    """Bytes of all files behind a table; no row is read. Other tables count as endless."""
+    spark, files = table.sparkSession, table.inputFiles()
+    if not files:
+        return sys.maxsize
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    return sum(path(file).getFileSystem(conf).getFileStatus(path(file)).getLen() for file in files)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``materialize`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def send_by_value(module: str) -> None:

@@ -12,20 +12,25 @@ from threatlens.schema import INDICATOR_SCHEMA
 
 
 def read_indicators_csv(
-    spark: SparkSession, path: str, schema: T.StructType = INDICATOR_SCHEMA, header: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = INDICATOR_SCHEMA, header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header and declared types; cells that do not fit become null.
+    """CSV with declared types; cells that do not fit become null.
 
-    Columns are taken by position, as declared; quoted cells may span lines.
+    With a header, columns are found by name (one look at the first line): those the
+    file lacks are null, those nobody declared are left out. Without one they are taken
+    by position. ``multi_line`` allows line ends inside quotes, at the price that a file
+    is read by one task; otherwise files are split.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    reader = spark.read.option("header", header).option("multiLine", multi_line).option("escape", '"').option("mode", "PERMISSIVE")
+    if not header:
+        return reader.schema(schema).csv(path)
+    found = reader.csv(path).columns
+    # Read under the file's own order with the declared types; Spark checks no names then.
+    kinds = {f.name: f.dataType for f in schema.fields}
+    own = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in found])
+    rows = reader.schema(own).csv(path)
+    return rows.select(*[F.col(f.name) if f.name in found else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def jdbc_options(name: str, options: Mapping[str, str]) -> dict[str, str]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threatlens.session import stored_bytes
+
 
 # Declared types of the tables used here; without them each read runs a job to find them.
 TABLES = {
@@ -22,12 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# A table of fewer bytes may come as one file of one split.
+SMALL_FILES = 256 << 20
+
+
 def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fact table, dealt to all cores when its files give fewer splits than there
-    are cores. A large table has splits enough and is not shuffled."""
+    """A fact table. One whose files are small is dealt to all cores, which moves no more
+    than SMALL_FILES; larger ones are read in the splits of their files, without a shuffle."""
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(spark.sparkContext.defaultParallelism) if stored_bytes(df) <= SMALL_FILES else df
 
 
 INCIDENTS = """
@@ -100,7 +105,8 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(events: DataFrame) -> DataFrame:
     """Events as JSON text, some of them damaged by a rule on the id: every seventh
-    is cut off, and every eleventh has a text where its number belongs."""
+    is cut off, every eleventh has a text where its number belongs, and every fifth
+    begins with white space."""
     def text(number):
         return F.to_json(
             F.struct(
@@ -113,8 +119,6 @@ def messages(events: DataFrame) -> DataFrame:
         )
 
     body = F.when(F.col("event_id") % 11 == 0, text(F.lit("unknown"))).otherwise(text(F.col("event_id")))
-    return events.select("event_id", body.alias("_body")).select(
-        F.when(F.col("event_id") % 7 == 0, F.expr("substring(_body, 1, length(_body) - 9)"))
-        .otherwise(F.col("_body"))
-        .alias("value")
-    )
+    cut = F.when(F.col("event_id") % 7 == 0, F.expr("substring(_body, 1, length(_body) - 9)")).otherwise(F.col("_body"))
+    space = F.when(F.col("event_id") % 5 == 0, F.lit("\n\t\r ")).otherwise("")
+    return events.select("event_id", body.alias("_body")).select(F.concat(space, cut).alias("value"))

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threatlens.functions import with_default
 from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters
-from threatlens.models.forests import forecast_recursive, share_trees
+from threatlens.models.forests import forecast_direct
 from threatlens.models.labels import encode_labels
 from threatlens.operators.enrich import densify_daily, union_all
 from threatlens.operators.points import to_points
@@ -71,19 +71,18 @@ def forest_forecaster(
     model: PipelineModel, dictionary: DataFrame, days: int = 730, key: str = "target_country",
     history: Callable[[], DataFrame] | None = None,
 ) -> Callable[[DataFrame], DataFrame]:
-    """A batch -> forecast function from a fitted forest, for ``LivePath.forecast``.
+    """A batch -> forecast function from a fitted direct forest, for ``LivePath.forecast``.
 
     The batch's daily counts are added to those of ``history`` (key, date,
-    num_attacks) when it is given. The trees are copied to the executors once.
+    num_attacks) when it is given.
     """
-    trees = share_trees(model, dictionary.sparkSession)
 
     def forecast(batch: DataFrame) -> DataFrame:
         counts = daily_counts(batch, key)
         if history is not None:
             counts = sum_by(union_all(counts, history()), [key, "date"], "num_attacks")
         series = encode_labels(densify_daily(counts, key), dictionary, [key])
-        return forecast_recursive(trees, series, days, key, f"{key}_encoded")
+        return forecast_direct(model, series, days, key, f"{key}_encoded")
 
     return forecast
 
