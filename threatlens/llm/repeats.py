@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.llm.text import BASE, INVERSE, chunks, grouped, mix, powers, ship_code
-from threatlens.session import materialize
+from threatlens.session import discard, materialize
 
 LENGTH = 50
 RUN = 18
@@ -182,23 +182,42 @@ class Suffixes:
     def __init__(self, data: np.ndarray):
         self.data = data
         self.sums, self.back = prefix_sums(data)
+        padded = np.append(data, np.zeros(7, np.uint8)).astype(np.uint64)
+        self.front = np.zeros(len(data), dtype=np.uint64)
+        for j in range(8):
+            self.front = (self.front << np.uint64(8)) | padded[j:j + len(data)]
+
+    def same(self, a: np.ndarray, b: np.ndarray, length) -> np.ndarray:
+        """Whether two suffixes agree over ``length`` bytes, by the hashes of these prefixes."""
+        return (self.sums[a + length] - self.sums[a]) * self.back[a] == (self.sums[b + length] - self.sums[b]) * self.back[b]
 
     def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many bytes, up to LENGTH, two suffixes have in common: binary search over prefix hashes."""
-        low, high = np.zeros(len(a), dtype=np.int64), np.full(len(a), LENGTH, dtype=np.int64)
+        low = np.where(self.same(a, b, LENGTH), LENGTH, 0)
+        rest = np.flatnonzero(low == 0)
+        a, b = a[rest], b[rest]
+        least, most = np.zeros(len(rest), dtype=np.int64), np.full(len(rest), LENGTH - 1, dtype=np.int64)
         for _ in range(LENGTH.bit_length()):
-            middle = (low + high + 1) // 2
-            same = (self.sums[a + middle] - self.sums[a]) * self.back[a] == (self.sums[b + middle] - self.sums[b]) * self.back[b]
-            low = np.where(same, middle, low)
-            high = np.where(same, high, middle - 1)
-            high = np.maximum(high, low)
+            middle = (least + most + 1) // 2
+            same = self.same(a, b, middle)
+            least = np.where(same, middle, least)
+            most = np.where(same, most, np.maximum(middle - 1, least))
+        low[rest] = least
         return low
 
     def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """-1, 0 or 1 as suffix a comes before, with or after suffix b."""
-        n = self.agree(a, b)
-        x, y = (self.data[np.minimum(i + n, len(self.data) - 1)].astype(np.int16) for i in (a, b))
-        return np.where(n == LENGTH, 0, np.sign(x - y))
+        """-1, 0 or 1 as suffix a comes before, with or after suffix b. Their first eight bytes,
+        as one number, settle most cases; hashes find where the others part."""
+        x, y = self.front[a], self.front[b]
+        out = (x > y).astype(np.int8) - (x < y).astype(np.int8)
+        tied = np.flatnonzero(out == 0)
+        if len(tied):
+            a, b = a[tied], b[tied]
+            n = self.agree(a, b)
+            last = len(self.data) - 1
+            x, y = self.data[np.minimum(a + n, last)], self.data[np.minimum(b + n, last)]
+            out[tied] = np.where(n == LENGTH, 0, (x > y).astype(np.int8) - (x < y).astype(np.int8))
+        return out
 
     def sort(self, suffixes: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """Order of the suffixes within each segment (numbered in order): merges of sorted runs
@@ -234,7 +253,14 @@ class Suffixes:
 def equal_windows(data: np.ndarray, windows: np.ndarray, segment: np.ndarray) -> np.ndarray:
     """A class number for each window: equal windows of a segment have equal numbers."""
     sort = Suffixes(data)
-    order = sort.sort(windows, segment)
+    # Runs of equal first bytes come first; what they leave open is sorted by merging.
+    front = sort.front[windows]
+    order = np.lexsort((front, segment))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (segment[order[1:]] != segment[order[:-1]]) | (front[order[1:]] != front[order[:-1]])
+    run = np.cumsum(new) - 1
+    tied = np.flatnonzero(np.bincount(run)[run] > 1)
+    order[tied] = order[tied][sort.sort(windows[order[tied]], run[tied])]
     a, b = windows[order[:-1]], windows[order[1:]]
     same = (segment[order[1:]] == segment[order[:-1]]) & (sort.agree(a, b) == LENGTH)
     view = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
@@ -299,6 +325,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     pieces = materialize(piece_rows(texts), "pieces")
     first = pieces.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("digest", "least")
     repeated = materialize(pieces.join(first, "digest").filter("least < doc_id").select("doc_id", "start", "stop"), "repeated-pieces")
+    discard(pieces)
     of_anchor = W.partitionBy("anchor")
     last = F.coalesce(F.element_at("others", -1), F.col("doc_id"))
     several = F.min("doc_id").over(of_anchor) < F.max(last).over(of_anchor)
@@ -314,7 +341,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def sort(batches):
-        for batch in grouped(batches, ["anchor"]):
+        for batch in grouped(batches, ["anchor"], 1 << 20):
             doc, start, stop = repeated_spans(batch)
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], names=["doc_id", "start", "stop"])
 
@@ -323,7 +350,9 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         .mapInArrow(sort, "doc_id long, start int, stop int")
     )
     whole = repeated.select("doc_id", "start", (F.col("stop") + LENGTH - 1).alias("stop"))
-    return materialize(found.union(whole).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "repeats")
+    spans = materialize(found.union(whole).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "repeats")
+    discard(shared, repeated)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import SparkSession
 
 from threatlens.session import send_by_value
 
-# Bytes of text that one step works on; its temporary arrays take about 100 times as much.
-CHUNK = 1 << 20
+# Bytes of text that one step works on; its temporary arrays take about 100 times as much
+# and should stay near the processor.
+CHUNK = 1 << 17
 # Odd, so that it has an inverse modulo 2**64; any such number would do.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
