@@ -74,7 +74,7 @@ def test_watermark_ignores_rows_that_are_too_late(spark, folder):
 def test_restart_goes_on_where_it_stopped_and_replay_changes_nothing(spark, folder):
     path, bucket = f"{folder}/in", ensure_bucket(spark, folder, ROLLUP_BUCKET)
     batch(spark, path, (1, 1, "a", "x"), (2, 2, "a", "y"))
-    live = LivePath(bucket)
+    live = LivePath(bucket, required=())
 
     def events():
         return canonical(replay_stream(spark, path, schema=spark.read.schema(SCHEMA).parquet(path).schema))
@@ -131,7 +131,7 @@ def test_one_pass_rollups_equal_the_single_functions(spark, small):
 def test_rankings_are_global_over_batches(spark, folder):
     """A is first in batch 0, C in batch 1; B, second in both, has the most in all."""
     bucket = ensure_bucket(spark, folder, ROLLUP_BUCKET)
-    live = LivePath(bucket)
+    live = LivePath(bucket, required=())
     for n, first in enumerate("AC"):
         data = [(i, dt.datetime(2024, 1, 1, 0, 1), kind, kind) for i, kind in enumerate(first * 5 + "B" * 4)]
         batch_ = spark.createDataFrame(data, "id_indicator INT, created_indicator TIMESTAMP, type STRING, target_country STRING")
@@ -142,6 +142,16 @@ def test_rankings_are_global_over_batches(spark, folder):
     assert windows == {"A": 5.0, "B": 8.0, "C": 5.0}
 
 
+def test_records_without_required_fields_are_left_out(spark, folder):
+    bucket = ensure_bucket(spark, folder, ROLLUP_BUCKET)
+    whole = dict(created_indicator=dt.datetime(2024, 1, 1), source_country="A", source_latitude=1.0, source_longitude=2.0,
+                 target_country="B", target_latitude=3.0, target_longitude=4.0)
+    rows_ = [whole, {**whole, "target_country": None}, {**whole, "source_latitude": None}, {**whole, "created_indicator": None}]
+    schema = ", ".join(f"{k} {'TIMESTAMP' if k.startswith('created') else 'DOUBLE' if k.endswith('tude') else 'STRING'}" for k in whole)
+    LivePath(bucket)(canonical(spark.createDataFrame([tuple(r.values()) for r in rows_], schema)), 0)
+    assert [r["Attack Count"] for r in serve(spark, folder, "top_10_threat_sources").collect()] == [1.0]
+
+
 def test_newest_forecast_is_served(spark, folder):
     bucket = ensure_bucket(spark, folder, FORECAST_BUCKET)
     for n, value in enumerate((90.0, 10.0)):
@@ -249,7 +259,7 @@ def test_live_forecast_continues_the_history(spark, folder):
     model = fit_direct_forest(direct_features(encode_labels(densify_daily(counts, "target_country"), dictionary, ["target_country"]), (1, 7)), trees=4, depth=4)
     forecast = forest_forecaster(model, dictionary, days=3, history=lambda: counts)
     bucket = ensure_bucket(spark, folder, FORECAST_BUCKET)
-    live = LivePath(ensure_bucket(spark, folder, ROLLUP_BUCKET), forecast_bucket=bucket, forecast=forecast)
+    live = LivePath(ensure_bucket(spark, folder, ROLLUP_BUCKET), forecast_bucket=bucket, forecast=forecast, required=())
     batch_ = canonical(spark.createDataFrame([(1, dt.datetime(2024, 4, 30, 5), "s", "a")], SCHEMA))
     live(batch_, 0)
     got = serve(spark, folder, "predictions").collect()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -15,10 +15,11 @@ from threatlens.functions import with_default
 from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters
 from threatlens.models.forests import forecast_direct
 from threatlens.models.labels import encode_labels
+from threatlens.operators.clean import conform, require_columns
 from threatlens.operators.enrich import densify_daily, union_all
 from threatlens.operators.points import to_points
 from threatlens.operators.rollups import daily_counts, sum_by
-from threatlens.schema import CLUSTER_FIELDS, CLUSTER_TAGS, INDICATOR_SCHEMA
+from threatlens.schema import CLUSTER_FIELDS, CLUSTER_TAGS, INDICATOR_SCHEMA, REQUIRED_FIELDS
 from threatlens.sinks.points import with_retries, write_points
 from threatlens.streaming.rollups import ROLLUP_COLUMNS, rollup_counts, rollup_points
 
@@ -103,7 +104,8 @@ class LivePath:
     """What a batch is written to, and the fitted models it is scored with.
 
     ``centers`` are read once when a cluster bucket is given. ``forecast`` maps a
-    batch to (target_country, date, num_attacks) rows.
+    batch to (target_country, date, num_attacks) rows. Records that lack one of the
+    ``required`` fields are left out before anything is counted.
     """
 
     rollup_bucket: str
@@ -112,6 +114,7 @@ class LivePath:
     centers: DataFrame | list | None = None
     forecast_bucket: str | None = None
     forecast: Callable[[DataFrame], DataFrame] | None = None
+    required: Sequence[str] = tuple(REQUIRED_FIELDS)
 
     def needed(self) -> list[str]:
         extra = [*CLUSTER_TAGS, *CLUSTER_FIELDS, *CLUSTERED] if self.cluster_bucket else []
@@ -120,7 +123,8 @@ class LivePath:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Process one micro-batch; usable as a foreachBatch handler."""
         several = self.cluster_bucket or self.forecast_bucket
-        kept = batch.select(*[c for c in self.needed() if c in batch.columns])
+        whole = conform(require_columns(batch, self.required), self.required)
+        kept = whole.select(*[c for c in self.needed() if c in batch.columns])
         if several:
             # Columns nobody reads are cut off before the batch is kept.
             kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
