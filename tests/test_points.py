@@ -12,7 +12,7 @@ from threatlens.operators.points import head_per_series, latest_points, pivot_fi
 from threatlens.plans.serving import TABS, serve
 from threatlens.schema import INDICATOR_SCHEMA, ROLLUP_BUCKET
 from threatlens.sinks.files import as_messages, write_csv, write_messages
-from threatlens.sinks.points import delete_points, ensure_bucket, idempotent_batch_sink, read_points, with_retries, write_frame, write_points
+from threatlens.sinks.points import compact_points, delete_points, ensure_bucket, idempotent_batch_sink, read_points, with_retries, write_frame, write_points
 from threatlens.sources.files import jdbc_options, read_documents, read_indicators_csv, read_table
 from threatlens.sources.streams import kafka_options, read_stream
 
@@ -62,6 +62,30 @@ def test_delete_rewrites_only_the_range(spark, folder):
     assert read_points(spark, bucket, "m").count() == 4
 
 
+def test_a_read_lists_only_the_months_of_its_range(spark, folder):
+    bucket = ensure_bucket(spark, folder, "b")
+    df = counts(spark, *[("a", m, 5, m) for m in range(1, 13)])
+    write_points(to_points(df, "m", ["country"], ["n"], "at"), bucket)
+    one = read_points(spark, bucket, "m", "2024-03-01", "2024-03-31")
+    assert [p.value for p in one.collect()] == [3.0] and len(one.inputFiles()) == 1
+    assert read_points(spark, bucket, "nothing", "2024-03-01").isEmpty()
+
+
+def test_compaction_keeps_sums_and_newest_values(spark, folder):
+    summed, replaced = ensure_bucket(spark, folder, "b"), ensure_bucket(spark, folder, "c")
+    for batch in range(3):
+        points = to_points(counts(spark, ("a", 1, 5, 10 - batch), ("b", 2, 5, batch)), "m", ["country"], ["n"], "at", batch)
+        write_points(points, summed)
+        write_points(points, replaced)
+    compact_points(spark, summed, "m", "2024-02-01")
+    compact_points(spark, replaced, "m", "2024-02-01", additive=False)
+    assert sorted((p.value, p.batch_id) for p in read_points(spark, summed, "m").collect()) == [(0.0, 0), (1.0, 1), (2.0, 2), (27.0, 2)]
+    assert sorted((p.value, p.batch_id) for p in read_points(spark, replaced, "m").collect()) == [(0.0, 0), (1.0, 1), (2.0, 2), (8.0, 2)]
+    assert len(read_points(spark, summed, "m", "2024-01-01", "2024-01-31").inputFiles()) == 1
+    compact_points(spark, summed, "m", "2024-02-01")
+    assert read_points(spark, summed, "m").count() == 4
+
+
 def test_last_write_wins(spark):
     df = counts(spark, ("a", 1, 1, 1))
     written = [to_points(df.withColumn("n", F.lit(float(v))), "m", ["country"], ["n"], "at", b) for b, v in ((2, 5), (0, 9), (1, 7))]

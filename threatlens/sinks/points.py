@@ -1,8 +1,9 @@
 """Points stored as Parquet, one folder per bucket.
 
 Layout: measurement / event_month / batch_id. A read for one measurement and a
-time range opens only those folders. A batch written again replaces exactly
-its own folders, so a replay cannot count twice.
+time range lists and opens only those months. A batch written again replaces exactly
+its own folders, so a replay cannot count twice. Months that are over are compacted
+into one folder each.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.operators.points import POINT_COLUMNS, to_points
+from threatlens.operators.points import POINT_COLUMNS, latest_points, to_points
 from threatlens.schema import struct_of
 from threatlens.session import materialize
 
@@ -31,16 +32,29 @@ def ensure_bucket(spark: SparkSession, root: str, name: str) -> str:
     return path
 
 
-def _stored(spark: SparkSession, bucket: str, measurement: str | None = None) -> DataFrame:
-    """The stored rows; for one measurement only its own folder is listed."""
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in a path; none if the path does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(place) if f.isDirectory()) if store.exists(place) else []
+
+
+def _months(spark: SparkSession, bucket: str, measurement: str, first: str = "", last: str = "9999-99") -> list[str]:
+    """Paths of a measurement's months from first to last; one folder is listed, no month."""
+    base = f"{bucket}/measurement={measurement}"
+    names = [n for n in _folders(spark, base) if n.startswith("event_month=")]
+    return [f"{base}/{n}" for n in names if first <= n.removeprefix("event_month=") <= last]
+
+
+def _stored(spark: SparkSession, bucket: str, measurement: str | None = None, first: str = "", last: str = "9999-99") -> DataFrame:
+    """The stored rows; for one measurement only its months from first to last are listed."""
     reader = spark.read.schema(STORED_SCHEMA).option("basePath", bucket)
     if measurement is None:
         return reader.parquet(bucket)
-    try:
-        rows = reader.parquet(f"{bucket}/measurement={measurement}")
-    except AnalysisException:  # nothing has been written under this name
-        rows = reader.parquet(bucket)
-    return rows.filter(F.col("measurement") == measurement)
+    months = _months(spark, bucket, measurement, first, last)
+    if not months:
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return reader.parquet(*months).filter(F.col("measurement") == measurement)
 
 
 def _write(rows: DataFrame, bucket: str) -> None:
@@ -68,9 +82,10 @@ def read_points(
 ) -> DataFrame:
     """Points of a measurement with since <= time < as_of (both optional).
 
-    The range also bounds the month folders, so older ones are not listed.
+    For one measurement only the months of the range are listed.
     """
-    rows = _stored(spark, bucket, measurement).filter(F.col("field").isNotNull())
+    bounds = {"first": since[:7] if since else "", "last": as_of[:7] if as_of else "9999-99"}
+    rows = _stored(spark, bucket, measurement, **bounds).filter(F.col("field").isNotNull())
     if since is not None:
         start = F.to_timestamp(F.lit(since))
         rows = rows.filter((F.col("time") >= start) & (F.col("event_month") >= F.date_format(start, "yyyy-MM")))
@@ -93,8 +108,7 @@ def delete_points(
     one row without a field, which readers skip, so that it is replaced as well.
     """
     first, last = F.to_timestamp(F.lit(start)), F.to_timestamp(F.lit(stop))
-    months = F.col("event_month").between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))
-    affected = _stored(spark, bucket, measurement).filter(months)
+    affected = _stored(spark, bucket, measurement, start[:7], stop[:7])
     kept = affected.filter(F.col("field").isNotNull() & ~((F.col("time") >= first) & (F.col("time") < last)))
     markers = affected.select(*PARTITIONS).distinct().select(
         *[F.lit(None).cast(STORED_SCHEMA[c].dataType).alias(c) if c not in PARTITIONS else F.col(c)
@@ -103,6 +117,34 @@ def delete_points(
     _write(materialize(kept.unionByName(markers), "kept-points"), bucket)
 
 
+def compact_points(spark: SparkSession, bucket: str, measurement: str, before: str, additive: bool = True) -> None:
+    """Turn the months of a measurement before the month of ``before`` into one folder each.
+
+    ``additive`` sums what batches wrote under one series and time, as roll-ups want;
+    otherwise the last batch wins, as for forecasts and clusters. The batch of a compacted
+    row is the last one that wrote to it. Run it on months that no batch writes to any more.
+    """
+    closed = [m for m in _months(spark, bucket, measurement) if m[-7:] < before[:7] and len(_folders(spark, m)) > 1]
+    if not closed:
+        return
+    rows = spark.read.schema(STORED_SCHEMA).option("basePath", bucket).parquet(*closed).filter(F.col("field").isNotNull())
+    if additive:
+        keyed = rows.withColumn("_tags", F.array_sort(F.map_entries("tags"))).groupBy("measurement", "event_month", "_tags", "field", "time")
+        merged = keyed.agg(F.sum("value").alias("value"), F.lit(None).cast("string").alias("text")).withColumn("tags", F.map_from_entries("_tags"))
+    else:
+        merged = latest_points(rows.select(*POINT_COLUMNS)).withColumn("event_month", F.date_format("time", "yyyy-MM"))
+    # One row per month: read before anything is replaced.
+    newest = materialize(rows.groupBy("event_month").agg(F.max("batch_id").alias("batch_id")), "newest")
+    whole = materialize(merged.drop("_tags", "batch_id").join(F.broadcast(newest), "event_month"), "compacted")
+    _write(whole.select(*STORED_SCHEMA.names), bucket)
+    kept = {f"event_month={r.event_month}": f"batch_id={r.batch_id}" for r in newest.collect()}
+    for month in closed:
+        for name in _folders(spark, month):
+            if name != kept[month.rpartition("/")[2]]:
+                path = spark._jvm.org.apache.hadoop.fs.Path(f"{month}/{name}")
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_frame(
     df: DataFrame, bucket: str, time_col: str = "created_indicator", measurement: str = "indicators",
     tags: tuple[str, ...] = (), batch_id: int = 0,
