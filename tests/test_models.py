@@ -13,7 +13,6 @@ from threatlens.models.clusters import (
     choose_k,
     fit_clusters,
     merge_points,
-    read_centers,
     start_centers,
     update_clusters,
 )
@@ -59,7 +58,7 @@ def test_clusters_fit_assign_and_save(spark, folder):
     again = fit_clusters(df, 4, 7, AXES)
     centers = centers_table(spark, model)
     assert rows(centers) == rows(centers_table(spark, again))
-    known = read_centers(centers)
+    known = [(r.cluster, list(r.center)) for r in centers.orderBy("cluster").collect()]
     for r in assign_clusters(df, centers, AXES).collect():
         far = [(sum((a - b) ** 2 for a, b in zip((r.x, r.y), c)), i) for i, c in known]
         assert r.cluster == min(far)[1]

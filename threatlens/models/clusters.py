@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 CLUSTER_FEATURES = ("source_country_encoded", "target_country_encoded", "malware_family_encoded")
 
 CENTERS = "cluster INT, center ARRAY<DOUBLE>, n DOUBLE"
-MAX_CENTERS = 1000  # centers become constants of the plan, so their number is bounded
 
 
 def merge_points(df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
@@ -72,21 +71,14 @@ def choose_k(
     return spark.createDataFrame(rows, "k INT, inertia DOUBLE, is_lowest BOOLEAN, is_elbow BOOLEAN")
 
 
-def read_centers(centers: DataFrame) -> list[tuple[int, list[float]]]:
-    """Centers in id order; refuses a table that is too large to be constants."""
-    rows = centers.select("cluster", "center").orderBy("cluster").limit(MAX_CENTERS + 1).collect()
-    if len(rows) > MAX_CENTERS:
-        raise ValueError(f"more than {MAX_CENTERS} centers")
-    return [(row.cluster, list(row.center)) for row in rows]
+def nearest(features: Sequence[Column], centers: Column) -> Column:
+    """Id of the center at the smallest squared distance; ties go to the smaller id.
+    ``centers`` is an array of (cluster, center)."""
+    def option(known: Column) -> Column:
+        steps = [(x - known["center"][i]) * (x - known["center"][i]) for i, x in enumerate(features)]
+        return F.struct(sum(steps, F.lit(0.0)).alias("distance"), known["cluster"].alias("cluster"))
 
-
-def nearest(features: Sequence[Column], centers: Sequence[tuple[int, Sequence[float]]]) -> Column:
-    """Id of the center at the smallest squared distance; ties go to the smaller id."""
-    options = []
-    for cluster, center in centers:
-        distance = sum(((x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(features, center)), F.lit(0.0))
-        options.append(F.struct(distance.alias("distance"), F.lit(int(cluster)).alias("cluster")))
-    return F.array_min(F.array(*options))["cluster"]
+    return F.array_min(F.transform(centers, option))["cluster"]
 
 
 def assign_clusters(
@@ -94,9 +86,14 @@ def assign_clusters(
     centers: DataFrame | Sequence[tuple[int, Sequence[float]]],
     features: Sequence[str] = CLUSTER_FEATURES,
 ) -> DataFrame:
-    """Add the nearest cluster. No join: the few centers are constants of the plan."""
-    known = read_centers(centers) if isinstance(centers, DataFrame) else list(centers)
-    return df.withColumn("cluster", nearest([F.col(c).cast("double") for c in features], known))
+    """Add the nearest cluster. No join: all centers are one value beside each row, read
+    as a scalar from their table however many they are."""
+    if isinstance(centers, DataFrame):
+        known = centers.agg(F.collect_list(F.struct("cluster", "center"))).scalar()
+    else:
+        known = F.array(*[F.struct(F.lit(int(i)).alias("cluster"), F.array(*[F.lit(float(x)) for x in c]).alias("center")) for i, c in centers])
+    placed = df.withColumn("_centers", known)
+    return placed.withColumn("cluster", nearest([F.col(c).cast("double") for c in features], F.col("_centers"))).drop("_centers")
 
 
 def update_clusters(
