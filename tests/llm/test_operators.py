@@ -246,9 +246,10 @@ def near_copies(seed: int, families: int, each: int, size: int) -> list[tuple[in
     return list(enumerate(out, 1))
 
 
-@pytest.mark.parametrize(("length", "over", "size", "crowd"), [(4, 85, 120, 24), (5, 80, 120, 2), (2, 80, 12, 2), (4, 85, 9, 1)])
-def test_components_are_exact(spark, monkeypatch, length, over, size, crowd):
-    monkeypatch.setattr(jaccard, "CROWD", crowd)
+@pytest.mark.parametrize(("length", "over", "size", "pack"), [(4, 85, 120, 64), (5, 80, 120, 3), (2, 80, 12, 2), (4, 85, 9, 1)])
+def test_components_are_exact(spark, monkeypatch, length, over, size, pack):
+    monkeypatch.setattr(jaccard, "PACK_SETS", pack)
+    monkeypatch.setattr(jaccard, "HOST_QUERIES", 3)
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
     rows = near_copies(length * size, 12, 14, size)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)

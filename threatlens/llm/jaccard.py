@@ -5,13 +5,13 @@
    sets; large groups are cut into blocks of bounded size.
 3. The shingles of a set are dealt into parts. Two sets within the allowed
    difference D leave all but D parts untouched, so with more than D parts they
-   share whole parts; how many they must share is counted. Groups that share no part
-   can't hold similar sets, and parts of which many groups have the same content are
-   dealt again.
-4. Inside a block similar sets are linked into cells. Of the cells left, a query
-   set is held against the union of a cell's tokens: only if that bound allows the
-   similarity is the cell opened and are its sets compared one by one. Cells that
-   are connected already need no comparison.
+   share whole parts; how many they must share is known. Groups that share fewer can't
+   hold similar sets. Parts of which many groups have the same content come last: two
+   groups that must share several have one of their rarest in common.
+4. Inside a block similar sets are linked into cells, and cells that are known to be
+   connected form packs. A query set is held against the union of a pack's tokens:
+   only if that bound allows the similarity is the pack opened and are its sets
+   compared one by one. Packs that are connected already need no comparison.
 
 Sizes of sets fall into classes of ratio 1.5; the smaller of two similar sets deals
 its parts also for the next class, so both sides use the same parts.
@@ -25,7 +25,6 @@ empty table gives an empty one.
 from __future__ import annotations
 
 import math
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +34,16 @@ from pyspark.sql import functions as F
 
 from threatlens.llm.graph import components
 from threatlens.llm.text import chunks, grouped, mix, shingle_sets, ship_code
-from threatlens.session import materialize
+from threatlens.session import discard, materialize
 
 RATIO = 1.5
+SPARE = 0.17
 # A block holds about this many sets, or fewer if their shingles exceed the other bound.
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 1 << 18
-# Parts with equal content in more groups than this are dealt again.
-CROWD = 24
+# A pack holds about this many similar sets; a task takes so many queries for one host.
+PACK_SETS = 64
+HOST_QUERIES = 256
 
 
 class Measure:
@@ -53,6 +54,7 @@ class Measure:
         self.tops = [1]
         while self.tops[-1] < 1 << 40:
             self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * RATIO)))
+        self.dealt = [self.parts(i) for i in range(len(self.tops))]
 
     def similar(self, common: int, a: int, b: int) -> bool:
         return common * self.under >= self.over * (a + b - common)
@@ -67,49 +69,51 @@ class Measure:
         out = []
         i = int(np.searchsorted(self.tops, n))
         while i == 0 or self.tops[i - 1] + 1 <= n or self.over * (self.tops[i - 1] + 1) <= self.under * n:
-            out.append((i, *self.parts(i)))
+            out.append((i, *self.dealt[i]))
             i += 1
         return out
 
-    @cache
     def parts(self, i: int) -> tuple[int, int]:
-        """(differences allowed, parts) of a class: more parts than differences, by as many
-        as its smallest sets are likely to leave empty."""
+        """(differences allowed, parts) of a class: more parts than differences, by a quarter
+        and as many as its smallest sets are likely to leave empty. Similar sets then share
+        many parts, which sets that have one passage in common hardly ever do."""
         differences = 2 * self.tops[i] * (self.under - self.over) // (self.over + self.under)
         least = self.over * (self.tops[i - 1] + 1 if i else 1) / self.under
         parts = differences + 1
         for _ in range(8 if differences else 0):
             empty = parts * math.exp(-least / parts)
-            parts = differences + 1 + math.ceil(1.3 * empty + 3 * math.sqrt(empty))
+            parts = differences + 3 + math.ceil(differences * SPARE + 1.3 * empty + 3 * math.sqrt(empty))
         return differences, parts
 
 
 def pair_key(tokens: np.ndarray) -> int:
-    """The group of a set: its two smallest hashes."""
-    return int(mix(tokens[:1] * np.uint64(3) + tokens[min(1, len(tokens) - 1)], 11)[0].view(np.int64))
+    """The group of a set: its two smallest hashes, as a number of 40 bits."""
+    return int(mix(tokens[:1] * np.uint64(3) + tokens[min(1, len(tokens) - 1)], 11)[0] >> np.uint64(24))
 
 
-def part_keys(tokens: np.ndarray, measure: Measure, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, need): what a set holds in each part of each of its classes, as a hash.
+def part_keys(tokens: np.ndarray, measure: Measure) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, needs, classes): what a set holds in each part of each of its classes, as a hash.
 
     Two similar sets agree in at least parts - differences parts of a class. Parts that
     are empty have no key, so ``need`` counts how many keys are left for a similar set to
-    share. Only where that would be none, empty parts have keys as well.
+    share. Only where that would be none, empty parts have keys as well. Keys have 48 bits:
+    different parts with one key only mean a candidate more.
     """
-    keys, needs = [], []
-    where = mix(tokens, 21 + seed) >> np.uint64(32)
-    what = mix(tokens, 22 + seed)
+    keys, needs, classes = [], [], []
+    where = mix(tokens, 21) >> np.uint64(32)
+    what = mix(tokens, 22)
     for name, differences, parts in measure.classes(len(tokens)):
         part = ((where * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
         sums, held = np.zeros(parts, dtype=np.uint64), np.bincount(part, minlength=parts)
         np.add.at(sums, part, what)
-        found = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(name << 32), 23 + seed))
+        found = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(name << 32), 23)) >> np.uint64(16)
         need = parts - differences - int((held == 0).sum())
         if need > 0:
             found = found[held > 0]
         keys.append(found)
         needs.append(np.full(len(found), max(need, 1), dtype=np.int32))
-    return np.concatenate(keys), np.concatenate(needs)
+        classes.append(np.full(len(found), name, dtype=np.int32))
+    return np.concatenate(keys), np.concatenate(needs), np.concatenate(classes)
 
 
 def set_rows(docs: DataFrame, key: str, text: str, measure: Measure) -> DataFrame:
@@ -136,7 +140,7 @@ def part_rows(docs: DataFrame, text: str, measure: Measure) -> DataFrame:
             keys, groups = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for tokens in shingle_sets(data, at, measure.length):
                 if len(tokens):
-                    found, _ = part_keys(tokens, measure)
+                    found, _, _ = part_keys(tokens, measure)
                     keys.append(found)
                     groups.append(np.full(len(found), pair_key(tokens), dtype=np.int64))
             key, group = np.concatenate(keys).view(np.int64), np.concatenate(groups)
@@ -181,11 +185,12 @@ def cells_of(ids: list[int], sets: list[np.ndarray], measure: Measure) -> np.nda
 
 
 def block_cells(sets: DataFrame, measure: Measure) -> DataFrame:
-    """Sets of each block with their ``cell``, tokens, and the ``keys`` that other groups may share.
+    """The cells of each block: ``cell`` (its smallest set), its ``members``, if there are
+    keys their ``sets`` of tokens, and the ``keys`` with ``needs`` and ``classes`` that sets of other
+    blocks may share.
 
-    ``sets`` has set_id, h1, grp, block, text and two lists of the group's parts:
-    ``shared`` by few groups, and ``crowded``. A crowded part is replaced by the parts of
-    another dealing, each joined with it: similar sets agree in as many of those.
+    ``sets`` has set_id, h1, grp, block, text, ``shared`` (the parts that the group shares
+    with others) and ``blocks``: with several of them all parts may be shared.
     """
 
     def work(batches):
@@ -196,77 +201,115 @@ def block_cells(sets: DataFrame, measure: Measure) -> DataFrame:
         tokens = []
         for _, data, at in chunks([batch], "text"):
             tokens += shingle_sets(data, at, measure.length)
-        # One id may have rows with other texts: keep the set that is meant.
-        h1 = np.array([int(mix(t, 31).sum(dtype=np.uint64).view(np.int64)) if len(t) else 0 for t in tokens], dtype=np.int64)
-        right = np.flatnonzero(h1 == batch.column("h1").to_numpy())
-        ids, groups, block = (batch.column(c).to_numpy()[right] for c in ("set_id", "grp", "block"))
-        sets = [tokens[i] for i in right.tolist()]
-        order = np.lexsort((ids, block, groups))
-        cut = np.flatnonzero((np.diff(groups[order]) != 0) | (np.diff(block[order]) != 0)) + 1
-        cell = np.empty(len(ids), dtype=np.int64)
-        for rows in np.split(order, cut) if len(order) else []:
-            cell[rows] = ids[rows][cells_of(ids[rows].tolist(), [sets[i] for i in rows.tolist()], measure)]
-        all_keys, all_needs = [], []
-        for i, t in zip(right.tolist(), sets):
-            few, many = (batch.column(c)[i].values.to_numpy() for c in ("shared", "crowded"))
-            keys, needs = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
-            if len(few) or len(many):
-                found, need = part_keys(t, measure)
-                mine = np.isin(found.view(np.int64), few)
-                keys.append(found[mine].view(np.int64))
-                needs.append(need[mine])
-                hot = np.intersect1d(found.view(np.int64), many)
-                if len(hot):
-                    fine, fine_need = part_keys(t, measure, 100)
-                    for key in hot.view(np.uint64):
-                        keys.append(mix(fine ^ key, 41).view(np.int64))
-                        needs.append(fine_need)
-            all_keys.append(np.concatenate(keys))
-            all_needs.append(np.concatenate(needs))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(groups), pa.array(block), pa.array(cell), pa.array([t.tobytes() for t in sets], pa.binary()),
-             pa.array(all_keys, pa.list_(pa.int64())), pa.array(all_needs, pa.list_(pa.int32()))],
-            names=["set_id", "grp", "block", "cell", "tokens", "keys", "needs"],
-        )
+        # One id may have rows with other texts, or several with this one: keep the set that is meant, once.
+        wanted, ids, groups, block = (batch.column(c).to_numpy() for c in ("h1", "set_id", "grp", "block"))
+        here = {}
+        for i, t in enumerate(tokens):
+            if len(t) and int(mix(t, 31).sum(dtype=np.uint64).view(np.int64)) == wanted[i]:
+                here.setdefault((int(groups[i]), int(block[i]), int(ids[i]), int(wanted[i])), i)
+        blocks: dict[tuple[int, int], list[int]] = {}
+        for (group, part, *_), i in sorted(here.items()):
+            blocks.setdefault((group, part), []).append(i)
+        out: list[list] = [[] for _ in range(8)]
+        for (group, part), rows in blocks.items():
+            sets = [tokens[i] for i in rows]
+            shared = batch.column("shared")[rows[0]].values.to_numpy()
+            whole = batch.column("blocks")[rows[0]].as_py() > 1
+            which = cells_of(ids[rows].tolist(), sets, measure)
+            for first in np.unique(which).tolist():
+                mine = np.flatnonzero(which == first).tolist()
+                found = [part_keys(sets[j], measure) for j in mine] if whole or len(shared) else []
+                keys = np.concatenate([np.empty(0, np.uint64), *[f[0] for f in found]]).view(np.int64)
+                needs, classes = (np.concatenate([np.empty(0, np.int32), *[f[i] for f in found]]) for i in (1, 2))
+                order = np.lexsort((needs, keys))
+                keys, needs, classes = keys[order], needs[order], classes[order]
+                keep = np.isin(keys, shared) | whole
+                keep[1:] &= keys[1:] != keys[:-1]
+                # A class with fewer keys than similar sets share can't lead to one.
+                for name in np.unique(classes[keep]):
+                    same = keep & (classes == name)
+                    if same.sum() < needs[same].min():
+                        keep &= ~same
+                for column, value in zip(out, (int(ids[rows[first]]), group, part, ids[rows][mine], [sets[j].tobytes() for j in mine] if keep.any() else [], keys[keep], needs[keep], classes[keep])):
+                    column.append(value)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=["cell", "grp", "block", "members", "sets", "keys", "needs", "classes"])
 
     n = sets.sparkSession.conf.get("spark.sql.shuffle.partitions")
     placed = sets.repartition(int(n), "grp", "block").sortWithinPartitions("grp", "block")
-    return placed.mapInArrow(work, "set_id long, grp long, block long, cell long, tokens binary, keys array<long>, needs array<int>")
+    return placed.mapInArrow(work, "cell long, grp long, block long, members array<long>, sets array<binary>, keys array<long>, needs array<int>, classes array<int>")
 
 
-def linked(pairs: DataFrame, cells: DataFrame, measure: Measure) -> DataFrame:
-    """Those of the cell pairs ``a, b`` of which some set of a is similar to some set of b.
+def linked(pairs: DataFrame, cells: DataFrame, packs: DataFrame, measure: Measure) -> DataFrame:
+    """Links ``a, b`` between the components of those pack pairs ``query, host`` of which some
+    set of one is similar to some set of the other.
 
-    ``cells`` has cell and its list of token sets. Each set of the smaller cell is a
-    query: it is held against the other cell's token union, which is opened only if
-    that overlap could do.
+    Only the cells of these packs are fetched. A host's tokens travel once, or once for
+    every HOST_QUERIES queries; a task holds one host at a time and its queries pass by.
+    A query set is held against the union of the host's tokens; only if that overlap could
+    do, the host is opened and its sets are compared one by one.
     """
 
     def verify(batches):
+        host, sets, union, least, done = None, [], None, 0, set()
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                left, right = ([np.frombuffer(t, np.uint64) for t in batch.column(c)[i].as_py()] for c in ("left", "right"))
-                if len(left) > len(right):
-                    left, right = right, left
-                union = right[0] if len(right) == 1 else np.unique(np.concatenate(right))
-                smallest = min(map(len, right))
-                for q in left:
-                    if common(q, union) < measure.least_common(len(q), max(smallest, -(-measure.over * len(q) // measure.under))):
+            found = []
+            for key, salt, query, raws in zip(*(batch.column(c) for c in ("host", "salt", "query", "sets"))):
+                if host != (key.as_py(), salt.as_py()):
+                    host, sets, union, done = (key.as_py(), salt.as_py()), [], None, set()
+                tokens = [np.frombuffer(raw, np.uint64) for raw in raws.as_py()]
+                name = query.as_py()
+                if name is None:
+                    sets += tokens
+                    continue
+                if name in done:
+                    continue
+                if union is None:
+                    union = sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets))
+                    least = min(map(len, sets))
+                for q in tokens:
+                    if common(q, union) < measure.least_common(len(q), max(least, -(-measure.over * len(q) // measure.under))):
                         continue
-                    if any(may_be_similar(measure, len(q), len(s)) and measure.similar(common(q, s), len(q), len(s)) for s in right):
-                        keep.append(i)
+                    if any(may_be_similar(measure, len(q), len(s)) and measure.similar(common(q, s), len(q), len(s)) for s in sets):
+                        done.add(name)
+                        found.append((name, host[0]))
                         break
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    left = cells.select(F.col("cell").alias("a"), F.col("sets").alias("left"))
-    right = cells.select(F.col("cell").alias("b"), F.col("sets").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(verify, "a long, b long")
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["query", "host"])
+
+    pairs = materialize(pairs, "pairs")
+    wanted = pairs.select(F.col("query").alias("pack")).union(pairs.select("host")).distinct()
+    members = materialize(cells.select("cell", "sets").join(packs.join(wanted, "pack"), "cell").select("pack", "component", "sets"), "members")
+    hosts = pairs.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / F.lit(HOST_QUERIES)).cast("long").alias("salts"))
+    sets = members.select(F.col("pack").alias("host"), "sets")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    held = sets.join(hosts, "host").select("host", each, F.lit(None).cast("long").alias("query"), "sets")
+    asked = (
+        pairs.join(hosts, "host").join(members.select(F.col("pack").alias("query"), "sets"), "query")
+        .select("host", F.pmod(F.xxhash64("query"), F.col("salts")).alias("salt"), "query", "sets")
+    )
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = held.unionByName(asked).repartition(n, "host", "salt").sortWithinPartitions("host", "salt", F.col("query").asc_nulls_first())
+    found = placed.mapInArrow(verify, "query long, host long").distinct()
+    of = members.select("pack", "component").distinct()
+    one, two = (of.select(F.col("pack").alias(c), F.col("component").alias(n)) for c, n in (("query", "a"), ("host", "b")))
+    links = materialize(found.join(one, "query").join(two, "host").select("a", "b"), "found")
+    discard(pairs, members)
+    return links
+
+
+def packed(cells: DataFrame, known: DataFrame) -> DataFrame:
+    """``cell, component, pack``: the cells of each component in packs of about PACK_SETS similar sets."""
+    node = known.select(F.col("node").alias("cell"), "component")
+    of = cells.select("cell", F.size("members").alias("n")).join(node, "cell", "left").withColumn("component", F.coalesce("component", "cell"))
+    total = of.groupBy("component").agg(F.ceil(F.sum("n") / F.lit(PACK_SETS)).cast("long").alias("packs"))
+    part = F.pmod(F.xxhash64("cell"), F.col("packs"))
+    pack = F.when(F.col("packs") > 1, F.xxhash64("component", part)).otherwise(F.col("component"))
+    return of.join(total, "component").select("cell", "component", pack.alias("pack"))
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; the component is the smallest id reachable."""
-    ship_code(__name__)
+    ship_code(docs.sparkSession, __name__)
     measure = Measure(length, over, under)
     rows = materialize(set_rows(docs, key, text, measure), "sets-of-rows")
     sets = materialize(
@@ -277,55 +320,85 @@ def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int
     of_part = W.partitionBy("part")
     several = F.min("grp").over(of_part) < F.max("grp").over(of_part)
     shared = materialize(parts.withColumn("several", several).filter("several").select("part", "grp").distinct(), "shared-parts")
-    crowds = materialize(shared.groupBy("part").agg(F.count(F.lit(1)).alias("groups")).filter(F.col("groups") > CROWD).select("part"), "crowds")
-    none = F.array().cast("array<bigint>")
-    crowded = F.col("crowded").isNotNull()
-    marked = shared.join(crowds.withColumn("crowded", F.lit(True)), "part", "left")
-    lists = marked.groupBy("grp").agg(F.collect_list(F.when(~crowded, F.col("part"))).alias("shared"), F.collect_list(F.when(crowded, F.col("part"))).alias("crowded"))
+    lists = shared.groupBy("grp").agg(F.collect_list("part").alias("shared"))
     # Blocks of the groups that need a look: several sets, or a part in common with other groups.
-    sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("n_sets"), F.sum("n").alias("shingles"))
     wanted = (
-        sizes.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("sets") > 1))
-        .withColumn("blocks", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
-        .select("grp", "blocks", F.coalesce("shared", none).alias("shared"), F.coalesce("crowded", none).alias("crowded"))
+        sizes.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("n_sets") > 1))
+        .withColumn("blocks", F.greatest(F.ceil(F.col("n_sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+        .select("grp", "blocks", F.coalesce("shared", F.array().cast("array<bigint>")).alias("shared"))
     )
-    blocks = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long")
-    chosen = sets.join(wanted, "grp").select("set_id", "h1", "grp", blocks.alias("block"), "shared", "crowded")
+    block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long").alias("block")
+    chosen = sets.join(wanted, "grp").select("set_id", "h1", "grp", block, "blocks", "shared")
     texts = docs.select(F.col(key).cast("long").alias("set_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = materialize(block_cells(texts.join(chosen, "set_id"), measure).dropDuplicates(["set_id", "grp", "cell"]), "cells")
-    inside = found.select(F.col("set_id").alias("a"), F.col("cell").alias("b")).filter("a <> b")
-    cells = materialize(found.groupBy("cell").agg(F.collect_list("tokens").alias("sets")), "cell-sets")
-    # Cells of several blocks of a group, and cells with keys in common, may hold similar sets.
-    several = wanted.filter("blocks > 1").select("grp")
-    keyed = materialize(
-        found.select("cell", F.explode(F.arrays_zip("keys", "needs")).alias("k")).select(F.col("k.keys").alias("key"), "cell", F.col("k.needs").alias("need"))
-        .union(found.join(several, "grp").select("grp", "cell", F.lit(1)))
-        .groupBy("key", "cell").agg(F.min("need").alias("need")),
-        "cell-keys",
+    cells = materialize(block_cells(texts.join(chosen, "set_id"), measure), "cells")
+    inside = cells.select(F.explode("members").alias("a"), F.col("cell").alias("b")).filter("a <> b")
+    # Only cells with keys in common may hold similar sets.
+    zipped = cells.select("cell", F.explode(F.arrays_zip("keys", "needs", "classes")).alias("k"))
+    keyed = materialize(zipped.select(F.col("k.keys").alias("key"), "cell", F.col("k.needs").alias("need"), F.col("k.classes").alias("class")), "cell-keys")
+
+    def open_keys(packs: DataFrame) -> DataFrame:
+        """``key, pack, component, class, need``: the packs of each key that several components have.
+
+        A pack that has fewer keys of a class than it must share with a similar one can't
+        have any; without its rows other keys may have one component left, so this is done
+        twice.
+        """
+        rows = keyed.join(packs, "cell").groupBy("key", "pack", "component", "class").agg(F.min("need").alias("need"))
+        for _ in range(2):
+            split = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+            rows = materialize(rows.join(split, "key"), "split-keys")
+            enough = rows.groupBy("pack", "class").agg(F.count(F.lit(1)).alias("keys"), F.min("need").alias("least")).filter("keys >= least")
+            rows = rows.join(enough.select("pack", "class"), ["pack", "class"])
+        return materialize(rows, "open-keys")
+
+    def enough(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """Those pairs ``query, host`` that share as many keys as similar sets must."""
+        keys = rows.groupBy("pack").agg(F.collect_set("key").alias("keys"))
+        one, two = (keys.select(F.col("pack").alias(c), F.col("keys").alias(f"{c}_keys")) for c in ("query", "host"))
+        least = pairs.groupBy("query", "host").agg(F.min("need").alias("need"))
+        both = least.join(one, "query").join(two, "host")
+        return both.filter(F.size(F.array_intersect("query_keys", "host_keys")) >= F.col("need")).select("query", "host")
+
+    # First each key's smallest pack against the others: families of copies become one component.
+    inside = materialize(inside, "inside-links")
+    known = components(inside)
+    packs = materialize(packed(cells, known), "packs")
+    open_ = open_keys(packs)
+    firsts = open_.groupBy("key").agg(F.min(F.struct("component", "pack")).alias("first"))
+    stars = enough(
+        open_.join(firsts, "key").filter("component <> first.component")
+        .select(F.col("pack").alias("query"), F.col("first.pack").alias("host"), "need"), open_,
     )
-
-    def enough(pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` that share as many keys as similar sets must."""
-        counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("keys"), F.min("need").alias("need"))
-        return counted.filter("keys >= need").select("a", "b")
-
-    # First each key's smallest cell against the others: families of copies become one component.
-    firsts = keyed.groupBy("key").agg(F.min("cell").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    stars = enough(keyed.join(firsts, "key").filter("a <> cell").select("a", F.col("cell").alias("b"), "need"))
-    heads = cells.select("cell", F.slice("sets", 1, 1).alias("sets"))
-    links = materialize(inside.union(linked(stars, heads, measure)), "first-links")
+    links = materialize(inside.union(linked(stars, cells, packs, measure)), "links")
+    discard(inside, known, packs, open_)
     known = components(links)
-    # Then all pairs of a key that are not connected yet.
-    labelled = keyed.join(known, keyed["cell"] == known["node"], "left").select("key", "cell", "need", F.coalesce("component", "cell").alias("component"))
-    split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    open_ = materialize(labelled.join(split, "key"), "open-keys")
-    other = open_.select("key", F.col("cell").alias("b"), F.col("need").alias("other_need"), F.col("component").alias("other"))
-    pairs = enough(
-        open_.join(other, "key").filter("component < other")
-        .select(F.col("cell").alias("a"), "b", F.greatest("need", "other_need").alias("need"))
+    packs = materialize(packed(cells, known), "packs")
+    # Then all pairs that are not connected yet. Two packs that must share some number of their
+    # keys share one of the rarest, so keys that many packs have are not looked at unless a
+    # pack has few others.
+    open_ = open_keys(packs)
+    crowd = open_.groupBy("key").agg(F.count(F.lit(1)).alias("crowd"))
+    own = W.partitionBy("pack", "class")
+    whole = open_.groupBy("pack").agg(F.collect_set("key").alias("whole"), F.min("need").alias("least"))
+    rare = (
+        open_.join(crowd, "key")
+        .withColumn("place", F.row_number().over(own.orderBy("crowd", "key")))
+        .withColumn("last", F.count(F.lit(1)).over(own) - F.min("need").over(own) + 1)
+        .filter("place <= last").select("key", "pack", "component")
+        .withColumn("keys", F.collect_set("key").over(W.partitionBy("pack"))).join(whole, "pack")
     )
-    links = materialize(links.union(linked(pairs, cells, measure)), "all-links")
-    final = components(links).select(F.col("node").alias("set_id"), "component")
+    rare = materialize(rare, "rare-keys")
+    # A pair comes up once, at the smallest of the rare keys that it has in common, and only
+    # if it shares as many keys in all as similar sets must.
+    one, two = rare.alias("one"), rare.alias("two")
+    once = F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key")
+    shares = F.size(F.array_intersect("one.whole", "two.whole")) >= F.greatest("one.least", "two.least")
+    same = (F.col("one.key") == F.col("two.key")) & (F.col("one.component") < F.col("two.component"))
+    pairs = one.join(two, same & once & shares).select(F.col("one.pack").alias("query"), F.col("two.pack").alias("host"))
+    every = materialize(links.union(linked(pairs, cells, packs, measure)), "all-links")
+    discard(shared, cells, keyed, links, known, packs, open_, rare)
+    final = components(every).select(F.col("node").alias("set_id"), "component")
     of_set = sets.join(final, "set_id", "left").select("n", "h1", "h2", F.coalesce("component", "set_id").alias("_component"))
     return (
         rows.join(of_set, ["n", "h1", "h2"], "left")
