@@ -121,7 +121,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vect
     candidates once, tile by tile, and returns at most k rows per query.
     ``is_query`` is a condition on the column ``_id``.
     """
-    ship_code(__name__)
+    ship_code(vectors.sparkSession, __name__)
     spark = vectors.sparkSession
     stored = materialize(usable(vectors, key, vector), "vectors")
     queries = stored.filter(is_query)

@@ -38,6 +38,19 @@ LENGTH = 50
 RUN = 18
 # One anchor in so many ends a piece.
 PIECE = 16
+PLACE_BITS = 24
+
+
+def _shifts(span: int) -> list[int]:
+    """Steps by which minima over 1, 2, 4 ... neighbours become minima over ``span``."""
+    width, out = 1, []
+    while width < span:
+        out.append(min(width, span - width))
+        width += out[-1]
+    return out
+
+
+SHIFTS = _shifts(LENGTH - RUN + 1)
 
 
 def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,15 +74,21 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     text = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
     valid = text[:n] == text[LENGTH - 1:]
     sums, back = prefix_sums(data)
-    value = mix((sums[RUN:] - sums[:-RUN]) * back[: len(data) - RUN + 1], 51)
-    place = np.arange(len(value), dtype=np.int32)
-    hashes, width, span = value, 1, LENGTH - RUN + 1
-    while width < span:
-        shift = min(width, span - width)
-        right = value[shift:] < value[:-shift]
-        place = np.where(right, place[shift:], place[:-shift])
-        value = np.where(right, value[shift:], value[:-shift])
-        width += shift
+    hashes = mix((sums[RUN:] - sums[:-RUN]) * back[: len(data) - RUN + 1], 51)
+    # Hash and place in one number, so that one minimum finds both; of equal hashes the
+    # leftmost. As many hash bits count for any length, so equal windows choose alike.
+    place = np.arange(len(hashes), dtype=np.uint64)
+    if len(hashes) <= 1 << PLACE_BITS:
+        best = (hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | place
+        for shift in SHIFTS:
+            best = np.minimum(best[shift:], best[:-shift])
+        place = (best & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    else:
+        value, place = hashes >> np.uint64(PLACE_BITS), place.astype(np.int64)
+        for shift in SHIFTS:
+            right = value[shift:] < value[:-shift]
+            place = np.where(right, place[shift:], place[:-shift])
+            value = np.where(right, value[shift:], value[:-shift])
     windows = np.flatnonzero(valid)
     own = place[windows]
     new = np.ones(len(windows), dtype=bool)
@@ -319,7 +338,7 @@ def repeated_spans(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, spans``: for documents that repeat earlier ones, start and stop of the bytes, unmerged."""
-    ship_code(__name__)
+    ship_code(docs.sparkSession, __name__)
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text).toDF("doc_id", "text").filter(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}")
     pieces = materialize(piece_rows(texts), "pieces")

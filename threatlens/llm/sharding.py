@@ -61,9 +61,10 @@ def number_slots(sharded: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Da
     shifted by what the ranges before it hold; how many ranges follows the rows.
     """
     cols = [c for c in sharded.columns if c != "slot"]
-    hashed = sharded.select(*cols, F.xxhash64(*cols).alias("_hash"))
-    counts = hashed.select("shard", "_hash")
-    n = max(1, -(-counts.count() // rows_per_range))
+    # Maps and variants have no hash and no order; rows that differ in them only are ordered by chance.
+    plain = [c for c, kind in sharded.dtypes if c in cols and "map<" not in kind and "variant" not in kind]
+    hashed = sharded.select(*cols, F.xxhash64(*plain).alias("_hash"))
+    n = max(1, -(-sharded.count() // rows_per_range))
     part = F.shiftright("_hash", 32)
     ranged = hashed.withColumn("_range", F.floor((part + (1 << 31)) * n / float(1 << 32)).cast("int"))
     ahead = W.partitionBy("shard").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -71,7 +72,7 @@ def number_slots(sharded: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Da
         ranged.groupBy("shard", "_range").agg(F.count(F.lit(1)).alias("_size"))
         .select("shard", "_range", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_offset"))
     )
-    before = W.partitionBy("shard", "_range").orderBy("_hash", *cols).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("shard", "_range").orderBy("_hash", *plain).rowsBetween(W.unboundedPreceding, -1)
     return (
         ranged.groupBy(*cols, "_hash", "_range").agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))

@@ -16,6 +16,9 @@ from threatlens.session import send_by_value
 # Bytes of text that one step works on; its temporary arrays take about 100 times as much
 # and should stay near the processor.
 CHUNK = 1 << 17
+# Bytes of rows that go to a Python worker at once.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 # Odd, so that it has an inverse modulo 2**64; any such number would do.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -30,10 +33,15 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[ord("0"):ord("9") + 1] = ALNUM[ord("a"):ord("z") + 1] = ALNUM[128:] = True
 
 
-def ship_code(module: str) -> None:
-    """Let the functions and classes of an operator's module run on executors without this package."""
+def ship_code(spark: SparkSession, module: str) -> None:
+    """Let the functions and classes of an operator's module run on executors without this
+    package, and bound the batches of the session by bytes: ten thousand long texts at
+    once would fill both sides of the pipe."""
     send_by_value(module)
     send_by_value(__name__)
+    now = spark.conf.get(BATCH_SETTING).rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
 def ship(spark: SparkSession, thing):
