@@ -278,7 +278,9 @@ def linked(pairs: DataFrame, cells: DataFrame, packs: DataFrame, measure: Measur
 
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.col("query").alias("pack")).union(pairs.select("host")).distinct()
-    members = materialize(cells.select("cell", "sets").join(packs.join(wanted, "pack"), "cell").select("pack", "component", "sets"), "members")
+    # One row per pack, of about PACK_SETS sets.
+    of_pack = cells.select("cell", "sets").join(packs.join(wanted, "pack"), "cell").groupBy("pack", "component")
+    members = materialize(of_pack.agg(F.flatten(F.collect_list("sets")).alias("sets")), "members")
     hosts = pairs.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / F.lit(HOST_QUERIES)).cast("long").alias("salts"))
     sets = members.select(F.col("pack").alias("host"), "sets")
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
