@@ -137,6 +137,13 @@ def test_toxicity_of_odd_rows(spark, odd, empty, clashing):
     assert toxicity.drop_toxic(clashing, labels.limit(0)).columns == clashing.columns
 
 
+def test_feature_counts_do_not_depend_on_partitions(spark):
+    rows = [(f"word{i % 7} and word{i % 5} here", int(i % 10 == 0), int(i % 10 != 0)) for i in range(200)]
+    sample = spark.createDataFrame(rows, "text string, p int, u int")
+    one, many = ({tuple(r) for r in toxicity.feature_counts(sample.repartition(n)).collect()} for n in (1, 50))
+    assert one == many and max(u for *_, u in one) == 180
+
+
 def test_the_risk_never_rewards_below_zero():
     rng = np.random.default_rng(1)
     n = 400

@@ -139,6 +139,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     return materialize(sample, "toxicity-sample"), prior
 
 
+def feature_counts(sample: DataFrame) -> DataFrame:
+    """``feature, p, u``: the positive and the unlabelled texts of the sample that hold a feature.
+
+    A partition's counts are all sent, also of features that none of its positives has.
+    """
+
+    def tally(batches):
+        p, u = np.zeros(SPACE, dtype=np.int64), np.zeros(SPACE, dtype=np.int64)
+        for rows, data, at in chunks(batches, "text"):
+            which, number = features(data, at)
+            p += np.bincount(number, rows.column("p").to_numpy()[which], minlength=SPACE).astype(np.int64)
+            u += np.bincount(number, rows.column("u").to_numpy()[which], minlength=SPACE).astype(np.int64)
+        seen = np.flatnonzero(p + u)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(p[seen]), pa.array(u[seen])], names=["feature", "p", "u"])
+
+    return sample.mapInArrow(tally, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """A classifier from labels outside the held-out quarter.
 
@@ -151,22 +169,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if not totals[0] or not totals[1] or not 0 < prior < 1:
         return Model(np.full(SPACE, -1, dtype=np.int32), np.zeros(0), 50.0 if prior == 1 else -1e3)
 
-    def tally(batches):
-        p, u = np.zeros(SPACE, dtype=np.int64), np.zeros(SPACE, dtype=np.int64)
-        for rows, data, at in chunks(batches, "text"):
-            which, number = features(data, at)
-            p += np.bincount(number, rows.column("p").to_numpy()[which], minlength=SPACE).astype(np.int64)
-            u += np.bincount(number, rows.column("u").to_numpy()[which], minlength=SPACE).astype(np.int64)
-        seen = np.flatnonzero(p)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(p[seen]), pa.array(u[seen])], names=["feature", "p", "u"])
-
     np_, nu = float(totals[0]), float(totals[1])
     pooled = (F.col("p") + F.col("u")) / (np_ + nu)
     z = (F.col("p") / np_ - F.col("u") / nu) / F.sqrt(pooled * (1 - pooled) * (1 / np_ + 1 / nu))
     chosen = (
-        sample.mapInArrow(tally, "feature long, p long, u long")
-        .groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .withColumn("z", z).filter((F.col("z") >= LEAST_Z) & (F.col("p") / np_ >= LEAST_LIFT * F.col("u") / nu)).orderBy(F.col("z").desc(), "feature").limit(FEATURES).collect()
+        feature_counts(sample).filter("p > 0").withColumn("z", z).filter((F.col("z") >= LEAST_Z) & (F.col("p") / np_ >= LEAST_LIFT * F.col("u") / nu)).orderBy(F.col("z").desc(), "feature").limit(FEATURES).collect()
     )
     place = np.full(SPACE, -1, dtype=np.int32)
     place[[row.feature for row in chosen]] = np.arange(len(chosen))
