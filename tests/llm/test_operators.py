@@ -137,6 +137,25 @@ def test_toxicity_of_odd_rows(spark, odd, empty, clashing):
     assert toxicity.drop_toxic(clashing, labels.limit(0)).columns == clashing.columns
 
 
+def test_toxicity_counts_evidence_against(spark):
+    """Among texts with the same toxic word, a word of clean texts only must lower the score."""
+    rows = [(i, "nasty fellow over there" if i % 8 == 0 else "kindly garden over there" if i % 3 else "some house over there") for i in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(1_000)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    asked = spark.createDataFrame([(1, "nasty over there"), (2, "nasty kindly over there")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score_texts(asked, model).collect()}
+    assert got[2] < got[1] - 0.05 and min(model.weights) < 0
+
+
+def test_toxicity_precision_on_noisy_labels(spark):
+    """The floor that the length of texts makes possible; the first one, 0.9, is not met (README)."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [(r.predicted, labels[r.doc_id]) for r in queries.op2_toxicity(spark, folder).filter("held_out").collect() if r.doc_id in labels]
+    assert sum(p and t for p, t in held) / sum(p for p, _ in held) > 0.85
+
+
 def test_feature_counts_do_not_depend_on_partitions(spark):
     rows = [(f"word{i % 7} and word{i % 5} here", int(i % 10 == 0), int(i % 10 != 0)) for i in range(200)]
     sample = spark.createDataFrame(rows, "text string, p int, u int")

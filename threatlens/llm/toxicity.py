@@ -9,6 +9,8 @@ unlabelled, whatever else is known of them. With the share of toxic texts pi
 where the second part can't become negative, so flexible classifiers don't fit
 below zero what must be a risk. The loss is logistic and the classifier linear in
 the presence of words and of runs of five bytes, so its output is a probability.
+Evidence counts for and against. A long text holds more features by chance, so each
+counts the less, by the root of the text's length.
 
 Null and empty texts hold no feature and get the score of the bias alone. Repeated
 rows get equal scores. Without positives every text scores 0, without labels too.
@@ -33,11 +35,11 @@ POSITIVES = 6_000
 UNLABELLED = 12_000
 # Features are hashed to this many numbers; the most telling ones are kept.
 SPACE = 1 << 20
-FEATURES = 512
+FEATURES = 2_048
 GRAM = 5
 LEAST_Z = 4.0
-# A feature must be this many times as common among the positives as in the corpus.
-LEAST_LIFT = 2.0
+# Bytes of a text whose features count once, and the length below which texts count as that long.
+TYPICAL, SHORT = 1_000, 300
 THRESHOLD = 0.3
 
 
@@ -86,20 +88,27 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, width: int, steps: int = 300, rate: float = 0.1, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
+def strength(size: np.ndarray) -> np.ndarray:
+    """What each feature of a text of so many bytes counts."""
+    return np.sqrt(TYPICAL / np.maximum(size, SHORT))
+
+
+def fit(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, width: int, steps: int = 300, rate: float = 0.1, penalty: float = 1e-3, each: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk, by Adam over all rows at once.
 
-    ``rows`` and ``columns`` say which text holds which feature. Where the
+    ``rows`` and ``columns`` say which text holds which feature, ``each`` what a
+    feature counts in each text (nothing given: 1). Where the
     corrected part of the risk has turned negative, the step goes the other way
     on that part alone, as the method asks.
     """
     n = len(positive)
+    each = np.ones(n) if each is None else each
     p, u = positive / max(positive.sum(), 1), unlabelled / max(unlabelled.sum(), 1)
     state = np.append(np.zeros(width), np.log(prior / (1 - prior)))
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     best, least = state.copy(), np.inf
     for step in range(1, steps + 1):
-        score = np.bincount(rows, state[columns], minlength=n) + state[-1]
+        score = each * np.bincount(rows, state[columns], minlength=n) + state[-1]
         as_one, as_zero = np.logaddexp(0, -score), np.logaddexp(0, score)
         corrected = u @ as_zero - prior * (p @ as_zero)
         up, down = sigmoid(score) - 1, sigmoid(score)
@@ -108,7 +117,7 @@ def fit(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, unlabelled:
             best, least = state.copy(), risk
         rest = u * down - prior * p * down
         slope = -rest if corrected < 0 else prior * p * up + rest
-        gradient = np.append(np.bincount(columns, slope[rows], minlength=width) + penalty * state[:-1], slope.sum())
+        gradient = np.append(np.bincount(columns, (slope * each)[rows], minlength=width) + penalty * state[:-1], slope.sum())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         state = state - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -173,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     pooled = (F.col("p") + F.col("u")) / (np_ + nu)
     z = (F.col("p") / np_ - F.col("u") / nu) / F.sqrt(pooled * (1 - pooled) * (1 / np_ + 1 / nu))
     chosen = (
-        feature_counts(sample).filter("p > 0").withColumn("z", z).filter((F.col("z") >= LEAST_Z) & (F.col("p") / np_ >= LEAST_LIFT * F.col("u") / nu)).orderBy(F.col("z").desc(), "feature").limit(FEATURES).collect()
+        feature_counts(sample).filter(F.col("p") + F.col("u") < np_ + nu).withColumn("z", z).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect()
     )
     place = np.full(SPACE, -1, dtype=np.int32)
     place[[row.feature for row in chosen]] = np.arange(len(chosen))
@@ -182,13 +191,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         for rows, data, at in chunks(batches, "text"):
             which, number = features(data, at, place)
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(which, np.arange(len(at))).astype(np.int32)), pa.array(number.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*rows.select(["_id", "p", "u"]).columns, lists], names=["_id", "p", "u", "held"])
+            yield pa.RecordBatch.from_arrays([*rows.select(["_id", "p", "u"]).columns, pa.array(np.diff(at).astype(np.int64)), lists], names=["_id", "p", "u", "size", "held"])
 
     kind = sample.schema["_id"].dataType.simpleString()
-    table = sample.mapInArrow(held, f"_id {kind}, p int, u int, held array<int>").orderBy("_id").toArrow()
+    table = sample.mapInArrow(held, f"_id {kind}, p int, u int, size long, held array<int>").orderBy("_id").toArrow()
     lists = table["held"].combine_chunks()
     rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-    weights, bias = fit(rows, lists.values.to_numpy(), table["p"].to_numpy().astype(float), table["u"].to_numpy().astype(float), prior, len(chosen))
+    weights, bias = fit(rows, lists.values.to_numpy(), table["p"].to_numpy().astype(float), table["u"].to_numpy().astype(float), prior, len(chosen), each=strength(table["size"].to_numpy()))
     return Model(place, weights, bias)
 
 
@@ -202,7 +211,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", threshold: fl
         m = unpack(sent)
         for rows, data, at in chunks(batches, text):
             which, number = features(data, at, m.place)
-            scores = sigmoid(np.bincount(which, m.weights[number], minlength=rows.num_rows) + m.bias)
+            scores = sigmoid(strength(np.diff(at)) * np.bincount(which, m.weights[number], minlength=rows.num_rows) + m.bias)
             new = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*rows.columns, *new], names=[*columns, "score", "predicted"])
 
