@@ -581,3 +581,30 @@ def test_the_trees_add_what_looks_like_the_base_and_no_more(spark):
     found = {r.doc_id: r for r in personal.personal_data(docs).collect()}
     assert all(len(found[i].base) == 1 for i in found if i % 4 == 0)
     assert not any(found[i].added for i in found if i % 4 in (2, 3))
+
+
+def test_planted_variants_are_added(spark):
+    rng = random.Random(19)
+    rows, variants = [], set()
+    for i in range(1_200):
+        a, b, c, d = (rng.randint(200, 999) for _ in range(4))
+        texts = [
+            f"call +1 ({a}) {b}-{c}1 now", f"call ({a}) {b}-{c}1 now", f"call 0044 {a} {b} {c} now", f"order {a}{b}{c} is packed",
+            f"write to u{a}@host{b}.com today", f"write to u{a} (at) host{b} (dot) com today", f"write to w{c}@host{d}.org today", f"row {a} {b} {c} {d} of the table",
+        ]
+        rows.append((i, texts[i % 8]))
+        if i % 8 in (1, 2, 5):
+            variants.add(i)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    added = {r.doc_id for r in personal.personal_data(docs).collect() if r.added}
+    assert len(added & variants) >= 0.9 * len(variants) and len(added - variants) <= 0.03 * len(added)
+
+
+def test_a_rare_kind_gets_a_threshold_from_all_rows(spark):
+    """Many phone-like numbers, few addresses: with one small pooled sample no address would be counted."""
+    rows = [(i, f"row {10**8 + i * 7919} of it") for i in range(6_000)]
+    rows += [(10_000 + i, f"call +1 469 555 {1000 + i} now") for i in range(60)]
+    rows += [(20_000 + i, f"write to u{i}@host.com today" if i % 2 else f"write to u{i} (at) host (dot) com today") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.added for r in personal.personal_data(docs, sample=400).collect()}
+    assert sum(bool(found[20_000 + i]) for i in range(0, 60, 2)) >= 27 and not any(found[i] for i in range(6_000))

@@ -4,11 +4,15 @@ Four kinds have a strict pattern and a check (the base): e-mail address, IPv4
 address, payment card, phone number. For each kind a second, wider pattern proposes
 candidates with high recall: other separators, spelled-out signs, no plus sign,
 ports. Candidates overlap each other and the base. Boosted trees learn from the
-format and the surroundings of a bounded sample which candidates are of the kind;
-their teacher is the base, which the features don't repeat. On a quarter of the
-sample, kept from the fit, the lowest score with the wanted precision becomes the
-kind's threshold. Candidates that reach it and touch no base span are added, of
-overlapping ones the best.
+surroundings and the rough format of a bounded sample, drawn by kind and label, where
+base matches stand. The features leave out what tells a base match from another
+candidate (plus, points, at sign, number of digits, sizes of numbers). A candidate
+that is no base match is unlabelled, not wrong; only one whose number fails the kind's
+check is. With c the mean score of base matches, at most a half, an unlabelled candidate
+with score s is right with a probability of at most (1 - c) / c * s / (1 - s). All
+candidates outside the fit are counted by kind and score, and the lowest score from
+which on that probability has the wanted mean is the kind's threshold. Candidates that
+reach it, pass the check and touch no base span are added, of overlapping ones the best.
 
 All of this is DataFrame and SQL functions. Matches keep Java's order, leftmost and
 not overlapping; possessive quantifiers and the look behind say what the plain
@@ -49,9 +53,12 @@ WIDE = {
 # What a text must hold before a pattern is tried, where that is cheap to see.
 HINTS = {"email": "@", "phone": "+"}
 BEFORE, AFTER = 32, 12
-# Bound on the candidates that the trees are fitted and their thresholds set on.
+# About so many candidates are fitted, in equal parts by kind and label; thresholds count all others.
 SAMPLE = 20_000
+FITTED = 0.75
 PRECISION = 0.97
+# Bounds of the share that the base finds of the right candidates alike in surroundings and format.
+FOUND = (0.2, 0.5)
 WORDS = {
     "says_phone": r"(?i)(?:phone|tel|call|fax|mobile)", "says_mail": r"(?i)(?:mail|contact|write)",
     "says_card": r"(?i)(?:card|visa|pay|credit)", "says_ip": r"(?i)(?:\bip\b|host|server|addr)", "says_secret": r"(?i)(?:token|password|key|secret)",
@@ -117,16 +124,13 @@ def all_matches(docs: DataFrame, text: str) -> DataFrame:
 def features(candidates: DataFrame) -> tuple[DataFrame, list[str]]:
     """Format and context of each candidate as numbers."""
     m, number = F.col("match"), digits(F.col("match"))
-    groups = F.split(F.regexp_replace(m, "[^0-9]+", " "), " ")
+    groups = F.filter(F.split(F.regexp_replace(m, "[^0-9]+", " "), " "), lambda g: g != "")
+    numeric = F.col("kind").isin("card", "phone")
     values = {
         "kind_number": F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")),
-        "chars": F.length(m), "digits": F.length(number), "digit_share": F.length(number) / F.greatest(F.length(m), F.lit(1)),
-        "groups": F.size(F.filter(groups, lambda g: g != "")), "longest_group": F.array_max(F.transform(groups, F.length)),
-        "dots": F.regexp_count(m, F.lit(r"\.")), "spaces": F.regexp_count(m, F.lit(" ")), "hyphens": F.regexp_count(m, F.lit("-")),
-        "brackets": F.regexp_count(m, F.lit(r"[(\[)\]]")), "at_signs": F.regexp_count(m, F.lit("@")),
-        "plus": m.startswith("+").cast("int"), "letters": F.regexp_count(m, F.lit("[A-Za-z]")),
-        "first_digit": F.coalesce(F.left(number, F.lit(1)).try_cast("int"), F.lit(-1)),
-        "greatest_group": F.coalesce(F.array_max(F.transform(groups, lambda g: F.left(g, F.lit(6)).try_cast("int"))), F.lit(-1)),
+        "groups": F.when(numeric, F.least(F.size(groups), F.lit(3))).otherwise(0),
+        "longest_group": F.when(numeric, F.least(F.array_max(F.transform(groups, F.length)), F.lit(6))).otherwise(0),
+        "first_digit": F.when(F.col("kind") == "card", F.left(number, F.lit(1)).try_cast("int")).otherwise(0),
         "letter_before": F.col("before").rlike("[A-Za-z0-9_]$").cast("int"), "letter_after": F.col("after").rlike("^[A-Za-z0-9_]").cast("int"),
         "sign_before": F.col("before").rlike("""[=:"'/#]\\s*$""").cast("int"), "sign_after": F.col("after").rlike("""^[="'/%]""").cast("int"),
     } | {name: F.col("before").rlike(pattern).cast("int") for name, pattern in WORDS.items()}
@@ -138,18 +142,29 @@ def overlap(a: Column, b: Column) -> Column:
 
 
 def thresholds(scored: DataFrame, precision: float) -> dict[str, float]:
-    """For each kind the lowest score, to three places, from which on at least ``precision`` of the calibration rows are right."""
+    """For each kind the lowest score, to three places, from which on unlabelled rows are right often enough.
+
+    One aggregate of at most 1,001 rows a kind over all of ``scored``, whatever its size.
+    """
     counts = (
         scored.groupBy("kind", F.floor(F.col("score") * 1000).cast("int").alias("step"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()
+        .agg(F.sum("label").alias("known"), F.sum(F.col("free").cast("int")).alias("free"), F.avg("score").alias("score")).collect()
     )
     out = {}
     for kind in KINDS:
-        n = right = 0
-        for row in sorted((r for r in counts if r.kind == kind), key=lambda r: -r.step):
-            n, right = n + row.n, right + row.right
-            if right >= precision * n:
-                out[kind] = row.step / 1000
+        rows = sorted((r for r in counts if r.kind == kind), key=lambda r: -r.step)
+        known = sum(r.known for r in rows)
+        if not known:
+            continue
+        c = min(max(sum(r.known * r.score for r in rows) / known, FOUND[0]), FOUND[1])
+        # From this score on every single row is right often enough, also where none was counted.
+        odds = precision * c / (1 - c)
+        least, n, right = odds / (1 + odds), 0, 0.0
+        for row in rows:
+            n, right = n + row.free, right + row.free * min(1.0, (1 - c) / c * row.score / max(1 - row.score, 1e-9))
+            if row.free and right >= precision * n:
+                least = min(least, row.step / 1000)
+        out[kind] = least
     return out
 
 
@@ -165,23 +180,35 @@ def find_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precis
         wide.withColumn("label", F.exists("base", lambda b: (b["number"] == F.col("number")) & overlap(b, here)).cast("double"))
         .withColumn("touched", F.exists("base", lambda b: overlap(b, here))).drop("base")
     )
+    wide = wide.withColumn("free", ~F.col("touched") & ((F.col("kind") == "phone") | passes(F.col("kind"), F.regexp_replace("match", ":[0-9]+$", ""))))
     described, names = features(wide)
     assembled = materialize(VectorAssembler(inputCols=names, outputCol="features").transform(described).drop(*names), "candidates")
-    order = F.xxhash64("tk", "kind", "start")
-    # At most ``sample`` rows, in one fixed order so that a rerun fits the same trees.
-    known = materialize(assembled.orderBy(order, "tk", "kind", "start").limit(sample).select("label", "features", "kind", (F.pmod(F.shiftright(order, 7), F.lit(4)) == 0).alias("held")), "candidate-sample")
-    sorts = {tuple(r) for r in known.select("held", "label").distinct().collect()}
-    if not {(False, 0.0), (False, 1.0)} <= sorts:
-        return base.withColumn("added", F.array().cast("array<struct<number:int,start:bigint,end:bigint,kind:string,score:double>>"))
-    trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=7, checkpointInterval=-1)
-    model = trees.fit(known.filter("NOT held").coalesce(1))
+    totals = {(r.kind, r.label): r["count"] for r in assembled.groupBy("kind", "label").count().collect()}
+    none = base.withColumn("added", F.array().cast("array<struct<number:int,start:bigint,end:bigint,kind:string,score:double>>"))
+    if {label for _, label in totals} != {0.0, 1.0}:
+        return none
+    # A hash decides who is fitted, so a rerun fits the same trees; weights restore each kind's own shares.
+    shares = {k: min(FITTED, sample / (2 * len(KINDS)) / n) for k, n in totals.items()}
+    of_kind = {kind: sum(n * shares[k, y] for (k, y), n in totals.items() if k == kind) / sum(n for (k, _), n in totals.items() if k == kind) for kind, _ in totals}
+
+    def by_stratum(values: dict) -> Column:
+        return F.coalesce(*[F.when((F.col("kind") == kind) & (F.col("label") == label), F.lit(float(v))) for (kind, label), v in values.items()])
+
+    place = F.pmod(F.xxhash64("tk", "kind", "start"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    fitted = place < by_stratum(shares)
+    weight = by_stratum({k: of_kind[k[0]] / share for k, share in shares.items()}).alias("weight")
+    known = materialize(assembled.filter(fitted).orderBy("tk", "kind", "start").select("label", "features", weight), "candidate-sample")
+    if known.select("label").distinct().count() < 2:
+        return none
+    trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=7, checkpointInterval=-1, weightCol="weight")
+    model = trees.fit(known.coalesce(1))
 
     def scored(rows: DataFrame) -> DataFrame:
         return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
 
-    least = thresholds(scored(known.filter("held")), precision)
+    least = thresholds(scored(assembled.filter(~fitted)), precision)
     limit = F.coalesce(*[F.when(F.col("kind") == kind, F.lit(t)) for kind, t in least.items()], F.lit(2.0))
-    good = scored(assembled.filter("NOT touched")).filter(F.col("score") >= limit)
+    good = scored(assembled.filter("free")).filter(F.col("score") >= limit)
     all_good = good.groupBy("tk").agg(F.collect_list(F.struct("number", "start", "end", "kind", "score")).alias("good"))
 
     def better(a: Column, b: Column) -> Column:
