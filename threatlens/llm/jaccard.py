@@ -309,6 +309,19 @@ def packed(cells: DataFrame, known: DataFrame) -> DataFrame:
     return of.join(total, "component").select("cell", "component", pack.alias("pack"))
 
 
+def groups_to_open(sizes: DataFrame, lists: DataFrame) -> DataFrame:
+    """``grp, blocks, shared`` of the groups with several sets or a part in common with other groups.
+
+    A group of several blocks keeps all its keys, so its sets carry no list of shared parts.
+    """
+    return (
+        sizes.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("n_sets") > 1))
+        .withColumn("blocks", F.greatest(F.ceil(F.col("n_sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+        .withColumn("shared", F.when(F.col("blocks") == 1, F.col("shared")))
+        .select("grp", "blocks", F.coalesce("shared", F.array().cast("array<bigint>")).alias("shared"))
+    )
+
+
 def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; the component is the smallest id reachable."""
     ship_code(docs.sparkSession, __name__)
@@ -325,11 +338,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int
     lists = shared.groupBy("grp").agg(F.collect_list("part").alias("shared"))
     # Blocks of the groups that need a look: several sets, or a part in common with other groups.
     sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("n_sets"), F.sum("n").alias("shingles"))
-    wanted = (
-        sizes.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("n_sets") > 1))
-        .withColumn("blocks", F.greatest(F.ceil(F.col("n_sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
-        .select("grp", "blocks", F.coalesce("shared", F.array().cast("array<bigint>")).alias("shared"))
-    )
+    wanted = groups_to_open(sizes, lists)
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long").alias("block")
     chosen = sets.join(wanted, "grp").select("set_id", "h1", "grp", block, "blocks", "shared")
     texts = docs.select(F.col(key).cast("long").alias("set_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
