@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from test_operators import linked_classes, overlap, shard_of
+from test_text_operators import linked_classes, overlap, shard_of
 
 from threatlens.llm import mixing, toxicity
 
@@ -55,7 +55,7 @@ def test_run_is_all_stages(spark, small):
 
 def test_odd_rows_pass_all_stages(spark, folder):
     """Nulls, empty and repeated rows, further columns, and then no rows at all."""
-    from test_operators import ODD, SCHEMA
+    from test_text_operators import ODD, SCHEMA
     from pyspark.sql import functions as F
 
     odd = spark.createDataFrame(ODD, SCHEMA).withColumn("shard", F.lit("mine")).withColumn("score", F.lit(None).cast("double"))

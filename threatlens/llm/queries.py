@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlens.llm import contamination, jaccard, mixing, neighbours, personal, repeats, resampling, sharding, tokens, toxicity
+from threatlens.llm import contamination, conversations, fingerprints, jaccard, lexical, mixing, neighbours, personal, repeats, resampling, sharding, tokens, toxicity
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -196,6 +196,93 @@ SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, n.source_size, n.target,
 FROM drawn d JOIN needs n ON d.source IS NOT DISTINCT FROM n.source JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source
 """
 
+
+def op11_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_in_order(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = conversations.gather_turns(table(spark, sf_dir, "conversations")).withColumn("base", F.expr("conv_id - conv_id % 20"))
+    heads = own.filter("conv_id = base").select("base", F.slice("turns", 1, 3).alias("head"))
+    taken = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    rebuilt = F.concat(F.slice(F.coalesce("head", F.slice("turns", 1, 0)), F.lit(1), taken), F.slice("turns", taken + 1, F.size("turns")))
+    return conversations.prefix_trie(own.join(heads, "base", "left").select("conv_id", rebuilt.alias("turns")))
+
+
+OP12_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(range(8 * length(conv_id::VARCHAR)), lambda c, i:
+    xor((CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(conv_id::VARCHAR, i // 8 + 1, 1))::BIGINT) ELSE c END) >> 1,
+      3988292384 * ((CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(conv_id::VARCHAR, i // 8 + 1, 1))::BIGINT) ELSE c END) & 1)),
+    4294967295), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d, said, words FROM (
+    SELECT h.conv_id, 0 AS part, t.p, t.said, t.words FROM heads h JOIN turns t ON t.conv_id = h.base AND t.p <= h.h
+    UNION ALL
+    SELECT h.conv_id, 1, t.p, t.said, t.words FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.p > h.h
+  )
+),
+prefixes AS MATERIALIZED (
+  SELECT conv_id, 0 AS d, '' AS k, 0 AS words FROM heads
+  UNION ALL
+  SELECT conv_id, d, md5(array_to_string(list(said) OVER (PARTITION BY conv_id ORDER BY d), ',')), words FROM rebuilt
+),
+lengths AS (SELECT conv_id, max(d) AS d FROM prefixes GROUP BY conv_id),
+nodes AS MATERIALIZED (
+  SELECT k, min(conv_id) AS conv_id, any_value(d) AS depth, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved FROM prefixes GROUP BY k
+),
+above AS MATERIALIZED (SELECT n.k, n.depth, n.saved, p.k AS up, p.d AS up_depth FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.d <= n.depth),
+children AS (SELECT up AS k, count(*) AS n_children FROM above WHERE up_depth = depth - 1 GROUP BY up),
+subtrees AS (
+  SELECT up AS k, sum(saved) AS saved_tokens, count(*) FILTER (WHERE k NOT IN (SELECT k FROM children)) AS n_leaves FROM above GROUP BY up
+),
+ends AS (
+  SELECT p.k, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids FROM prefixes p JOIN lengths l ON p.conv_id = l.conv_id AND p.d = l.d GROUP BY p.k
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::BIGINT AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN subtrees s ON s.k = n.k LEFT JOIN children c ON c.k = n.k LEFT JOIN ends e ON e.k = n.k
+LEFT JOIN above a ON a.k = n.k AND a.up_depth = n.depth - 1 LEFT JOIN nodes parent ON parent.k = a.up
+"""
+
+
+def op13_lexical_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+),
+asked AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)
+),
+lengths AS MATERIALIZED (SELECT r, doc_id, count(*) AS n FROM words GROUP BY r, doc_id),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths),
+times AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM times GROUP BY term), totals
+),
+scores AS (
+  SELECT i, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN times USING (term) JOIN weights USING (term) JOIN lengths USING (r), totals GROUP BY i, item_id, r
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scores JOIN lengths USING (r) WHERE score > 0
+) WHERE rank <= 50
+"""
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -207,8 +294,18 @@ QUERIES = {
     "op8_rendezvous_shards": op8_rendezvous_shards,
     "op9_personal_data": op9_personal_data,
     "op10_source_mix": op10_source_mix,
+    "op11_chunk_fingerprints": op11_chunk_fingerprints,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_lexical_ranking": op13_lexical_ranking,
+}
+ORACLE_SQL = {
+    "op3_benchmark_overlap": OP3_SQL,
+    "op4_jaccard_components": OP4_SQL,
+    "op7_nearest_neighbours": OP7_SQL,
+    "op10_source_mix": OP10_SQL,
+    "op12_conversation_trie": OP12_SQL,
+    "op13_lexical_ranking": OP13_SQL,
 }
-ORACLE_SQL = {"op3_benchmark_overlap": OP3_SQL, "op4_jaccard_components": OP4_SQL, "op7_nearest_neighbours": OP7_SQL, "op10_source_mix": OP10_SQL}
 
 
 def queries():
