@@ -96,7 +96,7 @@ def test_fingerprints_of_the_tables(spark, small):
 
 def test_fingerprints_of_odd_rows(spark, odd):
     rows = [(k, t) for k, t, *_ in ODD] + [(20, "same text of a document that comes three times")] * 3
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumns({c: F.lit("mine") for c in ("part", "kind", "place", "tie", "fingerprint", "n_chars")})
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumns({c: F.lit("mine") for c in ("part", "end", "place", "tie", "fingerprint", "n_chars")})
     ordered = sorted(((k, t or "") for k, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0)))
     for n in (1, 8):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))

@@ -21,6 +21,7 @@ successor.
 from __future__ import annotations
 
 import hashlib
+import json
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threatlens.llm.text import mix, ship_code
-from threatlens.session import materialize
 
 WINDOW = 16
 LEAST, NORMAL, MOST = 12, 48, 192
@@ -164,12 +164,10 @@ def fingerprint_documents(docs: DataFrame, text: str = "text", chunking: Chunkin
 
 
 EDITED = """
-kind int, part int, doc_id long, text string, n_chars long, edited_sha256 string,
-fingerprint string, edited_fingerprint string, near_edited double, near_next double
+doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double
 """
-ARROW = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-NAMES = ["kind", "part", "doc_id", "text", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-HEAD, DONE, LAST = 0, 1, 2
+ARROW = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
 def edited(text: str, after: str) -> str:
@@ -184,60 +182,75 @@ def compared(rows: list[tuple[int | None, str]], chunking: Chunking) -> Iterator
     changed = [edited(a, b).encode() for a, b in zip(texts, texts[1:])]
     prints, others = chunking.prints([t.encode() for t in texts]), chunking.prints(changed)
     for (key, text), raw, own, after, other in zip(rows, changed, prints, prints[1:], others):
-        yield (DONE, None, key, None, len(text), hashlib.sha256(raw).hexdigest(), written(own), written(other), contained(own, other), contained(own, after))
+        yield (key, len(text), hashlib.sha256(raw).hexdigest(), written(own), written(other), contained(own, other), contained(own, after))
 
 
-def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(ARROW)], names=NAMES)
+def range_of(key: Column, heads: Column, n: int) -> Column:
+    """How many of the ``n`` sorted ``heads`` a key follows or equals, less one: a binary search."""
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"] + 1, 1)
+        right = F.get(heads, middle) <= key
+        return F.struct(F.when(right, middle).otherwise(span["low"]).alias("low"), F.when(right, span["high"]).otherwise(middle - 1).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(n - 1).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), start, lambda span, i: F.when(span["low"] < span["high"], halve(span, i)).otherwise(span))["low"]
 
 
 def compare_in_order(docs: DataFrame, key: str = "doc_id", text: str = "text", chunking: Chunking | None = None) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every row.
 
-    Rows are dealt by ranges of the order and pass in that order, each held until the
-    next one comes. The last row of a range waits for the first one of the next range:
-    these two rows of each range are all that moves again. Rows alike in id and text are
-    told apart by their place in the input, so that a document repeated without end is
-    cut into ranges as well.
+    A first pass over the ids alone finds the first row of each range of the order, one
+    range per shuffle partition. Then rows are dealt by range, with a copy of each range's
+    first row at the end of the range before, so every row meets its successor while the
+    range passes by. Rows alike in id and text are told apart by their place in the input, so
+    that a document repeated without end is cut into ranges as well; an input that gives its
+    rows in another order when it is read again is refused.
     """
     spark = docs.sparkSession
     ship_code(spark, __name__)
     chunking = chunking or Chunking()
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumns({"tie": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
-    order = [F.col("doc_id").desc_nulls_last(), F.col("tie"), F.col("place")]
-    placed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
+    # Ascending in this: ids from the largest down, then rows without an id.
+    place = F.struct(
+        F.col("doc_id").isNull().alias("none"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("down"),
+        F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"),
+    )
+    rows = rows.withColumn("place", place)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.select("place").repartitionByRange(wanted, "place").select("place", F.spark_partition_id().alias("part"))
+    # One row per range.
+    heads = sorted(tuple(r.place) for r in ranged.groupBy("part").agg(F.min("place").alias("place")).select("place").collect())
+    if not heads:
+        return spark.createDataFrame([], EDITED)
+    n = len(heads)
+    kinds = rows.schema["place"].dataType.simpleString()
+    known = F.from_json(F.lit(json.dumps([dict(zip(("none", "down", "tie", "row"), h)) for h in heads])), f"array<{kinds}>")
+    first = F.get(known, F.col("part")) == F.col("place")
+    dealt = (
+        rows.withColumn("part", range_of(F.col("place"), known, n))
+        .withColumn("end", F.explode(F.when(first, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+        .withColumn("part", F.when(F.col("end"), F.pmod(F.col("part") - 1, F.lit(n))).otherwise(F.col("part")))
+        .repartitionById(n, F.col("part")).sortWithinPartitions("part", "end", "place").select("doc_id", "text", "part", "end")
+    )
 
     def pass_by(batches):
-        held, part = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            here = list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
-            if held is None:
-                part = batch.column("part")[0].as_py()
-                yield batch_of([(HEAD, part, here[0][0], here[0][1], *[None] * 6)])
-            else:
-                here.insert(0, held)
-            held = here[-1]
-            if len(here) > 1:
-                yield batch_of(list(compared(here, chunking)))
-        if held is not None:
-            yield batch_of([(LAST, part, *held, *[None] * 6)])
-
-    def join_ends(batches):
+        held: list[tuple] = []
+        part, ended = None, True
         for batch in batches:
-            pairs = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "after")))
-            found = [next(compared([(k, t), (None, after)], chunking)) for k, t, after in pairs]
-            if found:
-                yield batch_of(found)
-
-    stored = materialize(placed.mapInArrow(pass_by, EDITED), "compared")
-    # One number per range.
-    parts = sorted(r.part for r in stored.filter(F.col("kind") == LAST).select("part").collect())
-    follows = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next int")
-    heads = stored.filter(F.col("kind") == HEAD).select(F.col("part").alias("next"), F.col("text").alias("after"))
-    ends = stored.filter(F.col("kind") == LAST).select("part", "doc_id", "text").join(follows, "part").join(heads, "next")
-    whole = stored.filter(F.col("kind") == DONE).unionByName(ends.select("doc_id", "text", "after").mapInArrow(join_ends, EDITED))
-    return whole.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+            out = []
+            for here, end, key, text in zip(*(batch.column(c).to_pylist() for c in ("part", "end", "doc_id", "text"))):
+                if here != part:
+                    if not ended:
+                        raise RuntimeError("rows came in another order when read again; store the input first")
+                    out += compared(held, chunking)
+                    held, part = [], here
+                held.append((key, text))
+                ended = end
+            out += compared(held, chunking)
+            held = held[-1:]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(ARROW)], names=NAMES)
+        if not ended:
+            raise RuntimeError("rows came in another order when read again; store the input first")
+
+    return dealt.mapInArrow(pass_by, EDITED)
