@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from threatlens.llm.graph import components
 from threatlens.llm.text import chunks, grouped, mix, shingle_sets, ship_code
+from threatlens.operators.skew import hot_keys
 from threatlens.session import discard, materialize
 
 RATIO = 1.5
@@ -44,6 +45,8 @@ BLOCK_SHINGLES = 1 << 18
 # A pack holds about this many similar sets; a task takes so many queries for one host.
 PACK_SETS = 64
 HOST_QUERIES = 256
+# Up to so many packs under a key are paired as bare rows.
+FEW_PACKS = 8
 
 
 class Measure:
@@ -65,17 +68,19 @@ class Measure:
 
     def classes(self, n: int) -> list[tuple[int, int, int]]:
         """(class, differences allowed, parts) that a set of size ``n`` deals for: its own
-        class, and those of larger sets that it may still be similar to."""
+        class, and those of larger sets that it may still be similar to. The differences are
+        those that the largest similar set of the class may have from one of this size."""
         out = []
         i = int(np.searchsorted(self.tops, n))
         while i == 0 or self.tops[i - 1] + 1 <= n or self.over * (self.tops[i - 1] + 1) <= self.under * n:
-            out.append((i, *self.dealt[i]))
+            largest = min(self.tops[i], n * self.under // self.over)
+            out.append((i, (n + largest) * (self.under - self.over) // (self.over + self.under), self.dealt[i]))
             i += 1
         return out
 
-    def parts(self, i: int) -> tuple[int, int]:
-        """(differences allowed, parts) of a class: more parts than differences, by a quarter
-        and as many as its smallest sets are likely to leave empty. Similar sets then share
+    def parts(self, i: int) -> int:
+        """The parts of a class: more than the differences that its largest sets may have, by a
+        quarter and as many as its smallest sets are likely to leave empty. Similar sets then share
         many parts, which sets that have one passage in common hardly ever do."""
         differences = 2 * self.tops[i] * (self.under - self.over) // (self.over + self.under)
         least = self.over * (self.tops[i - 1] + 1 if i else 1) / self.under
@@ -83,7 +88,7 @@ class Measure:
         for _ in range(8 if differences else 0):
             empty = parts * math.exp(-least / parts)
             parts = differences + 3 + math.ceil(differences * SPARE + 1.3 * empty + 3 * math.sqrt(empty))
-        return differences, parts
+        return parts
 
 
 def pair_key(tokens: np.ndarray) -> int:
@@ -281,13 +286,16 @@ def linked(pairs: DataFrame, cells: DataFrame, packs: DataFrame, measure: Measur
     # One row per pack, of about PACK_SETS sets.
     of_pack = cells.select("cell", "sets").join(packs.join(wanted, "pack"), "cell").groupBy("pack", "component")
     members = materialize(of_pack.agg(F.flatten(F.collect_list("sets")).alias("sets")), "members")
-    hosts = pairs.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / F.lit(HOST_QUERIES)).cast("long").alias("salts"))
-    sets = members.select(F.col("pack").alias("host"), "sets")
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
-    held = sets.join(hosts, "host").select("host", each, F.lit(None).cast("long").alias("query"), "sets")
+    # Hosts of very many queries are few, see hot_keys, so the pairs need not meet by host to be salted.
+    asking = pairs.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(hot_keys(asking, ["host"], "n", HOST_QUERIES))
+    salts = F.coalesce(F.col("salts"), F.lit(1)).cast("long")
+    sets = members.join(asking.select(F.col("host").alias("pack")), "pack", "left_semi").select(F.col("pack").alias("host"), "sets")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt")
+    held = sets.join(hot, "host", "left").select("host", each, F.lit(None).cast("long").alias("query"), "sets")
     asked = (
-        pairs.join(hosts, "host").join(members.select(F.col("pack").alias("query"), "sets"), "query")
-        .select("host", F.pmod(F.xxhash64("query"), F.col("salts")).alias("salt"), "query", "sets")
+        pairs.join(hot, "host", "left").select("host", "query", F.pmod(F.xxhash64("query"), salts).alias("salt"))
+        .join(members.select(F.col("pack").alias("query"), "sets"), "query").select("host", "salt", "query", "sets")
     )
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = held.unionByName(asked).repartition(n, "host", "salt").sortWithinPartitions("host", "salt", F.col("query").asc_nulls_first())
@@ -309,15 +317,17 @@ def packed(cells: DataFrame, known: DataFrame) -> DataFrame:
     return of.join(total, "component").select("cell", "component", pack.alias("pack"))
 
 
-def groups_to_open(sizes: DataFrame, lists: DataFrame) -> DataFrame:
+def groups_to_open(sizes: DataFrame, shared: DataFrame) -> DataFrame:
     """``grp, blocks, shared`` of the groups with several sets or a part in common with other groups.
 
-    A group of several blocks keeps all its keys, so its sets carry no list of shared parts.
+    ``shared`` (the parts in common) is listed for groups of one block only, which are small:
+    a group of several blocks keeps all its keys.
     """
+    sized = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("n_sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+    parts = shared.join(sized.select("grp", "blocks"), "grp")
+    lists = parts.groupBy("grp").agg(F.collect_list(F.when(F.col("blocks") == 1, F.col("part"))).alias("shared"))
     return (
-        sizes.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("n_sets") > 1))
-        .withColumn("blocks", F.greatest(F.ceil(F.col("n_sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
-        .withColumn("shared", F.when(F.col("blocks") == 1, F.col("shared")))
+        sized.join(lists, "grp", "left").filter(F.col("shared").isNotNull() | (F.col("n_sets") > 1))
         .select("grp", "blocks", F.coalesce("shared", F.array().cast("array<bigint>")).alias("shared"))
     )
 
@@ -335,10 +345,9 @@ def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int
     of_part = W.partitionBy("part")
     several = F.min("grp").over(of_part) < F.max("grp").over(of_part)
     shared = materialize(parts.withColumn("several", several).filter("several").select("part", "grp").distinct(), "shared-parts")
-    lists = shared.groupBy("grp").agg(F.collect_list("part").alias("shared"))
     # Blocks of the groups that need a look: several sets, or a part in common with other groups.
     sizes = sets.groupBy("grp").agg(F.count(F.lit(1)).alias("n_sets"), F.sum("n").alias("shingles"))
-    wanted = groups_to_open(sizes, lists)
+    wanted = groups_to_open(sizes, shared)
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long").alias("block")
     chosen = sets.join(wanted, "grp").select("set_id", "h1", "grp", block, "blocks", "shared")
     texts = docs.select(F.col(key).cast("long").alias("set_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -385,30 +394,40 @@ def near_duplicates(docs: DataFrame, length: int = 5, over: int = 80, under: int
     discard(inside, known, packs, open_)
     known = components(links)
     packs = materialize(packed(cells, known), "packs")
-    # Then all pairs that are not connected yet. Two packs that must share some number of their
-    # keys share one of the rarest, so keys that many packs have are not looked at unless a
-    # pack has few others.
+    # Then all pairs that are not connected yet. Two packs that must share some number of the keys
+    # of a class share one of the rarest, so keys that many packs have are not looked at unless
+    # a pack has few others.
     open_ = open_keys(packs)
     crowd = open_.groupBy("key").agg(F.count(F.lit(1)).alias("crowd"))
     own = W.partitionBy("pack", "class")
-    whole = open_.groupBy("pack").agg(F.collect_set("key").alias("whole"), F.min("need").alias("least"))
-    rare = (
+    rare = materialize(
         open_.join(crowd, "key")
         .withColumn("place", F.row_number().over(own.orderBy("crowd", "key")))
         .withColumn("last", F.count(F.lit(1)).over(own) - F.min("need").over(own) + 1)
-        .filter("place <= last").select("key", "pack", "component")
-        .withColumn("keys", F.collect_set("key").over(W.partitionBy("pack"))).join(whole, "pack")
+        .filter("place <= last").select("key", "crowd", "pack", "component", "class"),
+        "rare-keys",
     )
-    rare = materialize(rare, "rare-keys")
-    # A pair comes up once, at the smallest of the rare keys that it has in common, and only
-    # if it shares as many keys in all as similar sets must.
-    one, two = rare.alias("one"), rare.alias("two")
-    once = F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key")
-    shares = F.size(F.array_intersect("one.whole", "two.whole")) >= F.greatest("one.least", "two.least")
     same = (F.col("one.key") == F.col("two.key")) & (F.col("one.component") < F.col("two.component"))
-    pairs = one.join(two, same & once & shares).select(F.col("one.pack").alias("query"), F.col("two.pack").alias("host"))
+    # Under a key of few packs each pair is one bare row; those that share enough are told by their keys afterwards.
+    one, two = (rare.filter(F.col("crowd") <= FEW_PACKS).alias(n) for n in ("one", "two"))
+    few = materialize(one.join(two, same).select(F.col("one.pack").alias("query"), F.col("two.pack").alias("host"), "one.class").distinct(), "few")
+    of_class = open_.join(crowd, "key").groupBy("pack", "class").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("crowd", "key"))), lambda k: k["key"]).alias("keys"), F.min("need").alias("least")
+    )
+    of_class = materialize(of_class, "keys-of-packs")
+    shared_keys = F.array_intersect("one.keys", "two.keys")
+    enough_keys = F.size(shared_keys) >= F.greatest("one.least", "two.least")
+    one, two = (of_class.select(F.col("pack").alias(c), "class", "keys", "least").alias(n) for c, n in (("query", "one"), ("host", "two")))
+    from_few = few.join(one, ["query", "class"]).join(two, ["host", "class"]).filter(enough_keys).select("query", "host")
+    # Under a key of many packs rows carry their keys of the class, so that a pair comes up once, at the first key that
+    # it shares, and only if it shares enough.
+    many = rare.filter(F.col("crowd") > FEW_PACKS).join(of_class, ["pack", "class"])
+    one, two = many.alias("one"), many.alias("two")
+    once = F.element_at(shared_keys, 1) == F.col("one.key")
+    from_many = one.join(two, same & enough_keys & once).select(F.col("one.pack").alias("query"), F.col("two.pack").alias("host"))
+    pairs = from_few.union(from_many).distinct()
     every = materialize(links.union(linked(pairs, cells, packs, measure)), "all-links")
-    discard(shared, cells, keyed, links, known, packs, open_, rare)
+    discard(shared, cells, keyed, links, known, packs, open_, rare, few, of_class)
     final = components(every).select(F.col("node").alias("set_id"), "component")
     of_set = sets.join(final, "set_id", "left").select("n", "h1", "h2", F.coalesce("component", "set_id").alias("_component"))
     return (
