@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="threatlens-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -57,6 +60,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_open_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch_tables() -> Iterator[list[DataFrame]]:
+    """Collect the tables that ``materialize`` stores inside and delete them at the end.
+
+    Take a table out of the list to keep it. A frame that reads one of the others can't
+    be used afterwards, so store the result first.
+    """
+    made: list[DataFrame] = []
+    _open_scopes.append(made)
+    try:
+        yield made
+    finally:
+        _open_scopes.remove(made)
+        discard(*made)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -65,19 +87,22 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.scratch = path
+    if _open_scopes:
+        _open_scopes[-1].append(stored)
     return stored
 
 
 def stored_bytes(table: DataFrame) -> int:
-    """Bytes of all files behind a table; no row is read. Other tables count as endless."""
-    spark, files = table.sparkSession, table.inputFiles()
-    if not files:
+    """Bytes of the files that a table reads, as Spark listed them when it opened the table: no row is
+    read and no file asked again. Tables that read anything but files count as endless."""
+    leaves = table._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sources = [leaves.apply(i) for i in range(leaves.size())]
+    if not sources or any("LogicalRelation" not in source.getClass().getName() for source in sources):
         return sys.maxsize
-    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
-    return sum(path(file).getFileSystem(conf).getFileStatus(path(file)).getLen() for file in files)
+    return sum(int(str(source.stats().sizeInBytes())) for source in sources)
 
 
 def discard(*tables: DataFrame) -> None:
