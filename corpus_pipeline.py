@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from threatlens.llm import contamination, jaccard, mixing, sharding, toxicity
-from threatlens.session import materialize
+from threatlens.session import discard, materialize, scratch_tables
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each is written as Parquet and read again by the next.
+
+    What a stage stored on its way is deleted when its result is, and a result when the next
+    one is there; only the last one stays in the shared folder.
+    """
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with scratch_tables() as made:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+            made.remove(docs)
+        if last is not None:
+            discard(last)
+        last = docs
     return docs
