@@ -70,3 +70,16 @@ def test_odd_rows_pass_all_stages(spark, folder):
             assert i == len(corpus_pipeline.STAGES) - 1 or docs.columns == before
         ids = {r.doc_id for r in docs.collect()}
         assert ids <= {k for k, *_ in ODD} and not ids & {9, 10} and (n == "none") == (not ids)
+
+
+def test_only_the_last_table_stays(spark, small):
+    import os
+
+    from threatlens.session import shared_dir
+
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    first, second = corpus_pipeline.run(spark, small), corpus_pipeline.run(spark, small)
+    left = set(os.listdir(root)) - before
+    assert len(left) == 2 and all(name.startswith("pipeline-shards") for name in left)
+    assert first.count() == second.count() > 0
