@@ -266,3 +266,42 @@ def test_lengths_beyond_64_bits_are_exact():
 @pytest.mark.parametrize("name", ["op12_conversation_trie", "op13_lexical_ranking"])
 def test_new_query_agrees_with_sql(spark, small, name):
     assert difference(queries.queries()[name](spark, small), duck(small), queries.oracle_sql()[name]) is None
+
+
+# 3 benchmark decontamination: shards and bytes
+
+
+def test_matches_do_not_depend_on_the_size_of_a_shard(monkeypatch):
+    import pyarrow as pa
+
+    from threatlens.llm import contamination
+    from threatlens.llm.text import bytes_of
+
+    rng = random.Random(11)
+    vocabulary = ["a", "b", "c", "dd"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(200)] + ["", "!!", None]
+    items = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (3, 5, 6, 9)]
+    tests = contamination.BenchmarkSuffixes(["1", "2", "3", "4"], pa.array(items), 4)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    answers = []
+    for size in (1, 500, 1 << 20):
+        monkeypatch.setattr(contamination, "SHARD_BYTES", size)
+        answers.append([a for _, found in contamination.shards(iter([batch.slice(i, 20) for i in range(0, len(texts), 20)]), "text", tests) for a in found])
+    assert answers[0] == answers[1] == answers[2] and len(answers[0]) == len(texts) and any(a[1] for a in answers[0])
+    # A word with the hash of a benchmark word, but other bytes, is no match.
+    other = {"zz": "a", "yy": "b"}
+    hashes = contamination.word_hashes
+
+    def colliding(data, starts, ends):
+        out = hashes(data, starts, ends)
+        for i, (a, b) in enumerate(zip(starts, ends)):
+            if (word := other.get(data[a:b].tobytes().decode())):
+                raw = np.frombuffer(word.encode(), np.uint8)
+                out[i] = hashes(raw, np.array([0]), np.array([len(raw)]))[0]
+        return out
+
+    monkeypatch.setattr(contamination, "word_hashes", colliding)
+    item = contamination.BenchmarkSuffixes(["1"], pa.array(["a b a"]), 3)
+    shard = contamination.Shard(item)
+    shard.add(*bytes_of(pa.array(["zz yy zz", "x a b a", "a yy a"])))
+    assert [bool(a[1]) for a in shard.search()] == [False, True, False]

@@ -1,10 +1,11 @@
 """Benchmark decontamination by suffix arrays of the training text.
 
-Each task sorts the suffixes of its own documents (a shard) word by word, and
-binary-searches every benchmark suffix in that order. What is found are the
-places of verbatim matches; matches that go on word after word are joined into the
-longest ones. A suffix whose first words are not all benchmark words can't match,
-so it is left out of the array before sorting.
+Each task sorts the suffixes of a batch of its documents (a shard, SHARD_BYTES of
+text) word by word, and binary-searches every benchmark suffix in that order. What is
+found are the places of verbatim matches; matches that go on word after word are
+joined into the longest ones. A suffix whose first words are not all benchmark words
+can't match, so it is left out of the array before sorting. Words are looked up by
+64-bit hashes; the words of every match are then compared byte by byte.
 
 Words are lower-cased runs of ASCII letters, digits and all characters beyond
 ASCII. A window is ``window`` words in a row of an item; an item of fewer words is
@@ -17,6 +18,8 @@ but those named like an output column.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,11 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threatlens.llm.text import ALNUM, LOWER, bytes_of, chunks, ship, ship_code, unpack, word_hashes, words
+from threatlens.operators.skew import lookup_join
 from threatlens.session import materialize
 
 WINDOW = 10
 # Bytes of benchmark text that are sent to all tasks at once; a larger benchmark takes more rounds.
 BLOCK_BYTES = 8 << 20
+# Bytes of text in one suffix array. Every benchmark suffix is looked up once in each array.
+SHARD_BYTES = 4 << 20
 
 OUTPUTS = """
 n_words bigint, spans array<struct<start:int,stop:int>>, items array<string>,
@@ -51,7 +57,10 @@ class BenchmarkSuffixes:
         data = LOWER[data]
         starts, ends, first = words(data, at, ALNUM)
         hashes = word_hashes(data, starts, ends)
-        self.vocabulary, numbers = np.unique(hashes, return_inverse=True)
+        self.vocabulary, example, numbers = np.unique(hashes, return_index=True, return_inverse=True)
+        self.words = [data[a:b].tobytes() for a, b in zip(starts[example].tolist(), ends[example].tolist())]
+        if len({data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())}) != len(self.words):
+            raise ValueError("two benchmark words have one hash")
         numbers = numbers.astype(np.int64) + 1
         self.item_ids, self.depth = item_ids, window
         self.bits = max(1, int(len(self.vocabulary) + 2).bit_length())
@@ -89,24 +98,84 @@ class BenchmarkSuffixes:
         return np.where(self.vocabulary[place] == hashes, place + 1, 0).astype(np.int64)
 
 
-def suffix_array(tests: BenchmarkSuffixes, numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Sorted places where a match can begin, and their keys in that order."""
-    n = len(numbers)
-    known = numbers > 0
-    stop = np.zeros(n + 1, dtype=bool)
-    stop[:n] = ~known
-    stop[first] = True
-    # How many known words follow from here within the document: the distance to the next stop.
-    breaks = np.flatnonzero(stop)
-    ahead = breaks[np.minimum(np.searchsorted(breaks, np.arange(n), "right"), len(breaks) - 1)] - np.arange(n)
-    places = np.flatnonzero(known & (ahead >= tests.shortest))
-    padded = np.append(numbers, 0)
-    offsets = np.arange(tests.depth)
-    end = first[np.searchsorted(first, places, "right")]
-    inside = places[:, None] + offsets < end[:, None]
-    keys = tests.keys(np.where(inside, padded[np.minimum(places[:, None] + offsets, n)], 0))
-    order = np.lexsort(keys[::-1])
-    return places[order], [k[order] for k in keys]
+class Shard:
+    """Documents whose suffixes are sorted together: each piece of text leaves its words' numbers and
+    bytes where a match may lie, no more."""
+
+    def __init__(self, tests: BenchmarkSuffixes):
+        self.tests, self.size = tests, 0
+        self.counts: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
+        self.keys: list[list[np.ndarray]] = []
+        self.firsts: list[np.ndarray] = []
+        self.pieces: list[tuple] = []
+        self.offset = 0
+
+    def add(self, data: np.ndarray, at: np.ndarray) -> None:
+        tests = self.tests
+        data = LOWER[data]
+        starts, ends, first = words(data, at, ALNUM)
+        self.counts.append(np.diff(first))
+        self.size += len(data)
+        n = len(starts)
+        if n and len(tests.item):
+            numbers = tests.numbers(word_hashes(data, starts, ends))
+            known = numbers > 0
+            stop = np.zeros(n + 1, dtype=bool)
+            stop[:n] = ~known
+            stop[first] = True
+            # How many known words follow from here within the document: the distance to the next stop.
+            breaks = np.flatnonzero(stop)
+            ahead = breaks[np.minimum(np.searchsorted(breaks, np.arange(n), "right"), len(breaks) - 1)] - np.arange(n)
+            places = np.flatnonzero(known & (ahead >= tests.shortest))
+            if len(places):
+                padded = np.append(numbers, 0)
+                offsets = np.arange(tests.depth)
+                inside = places[:, None] + offsets < first[np.searchsorted(first, places, "right")][:, None]
+                self.keys.append(tests.keys(np.where(inside, padded[np.minimum(places[:, None] + offsets, n)], 0)))
+                self.places.append(places + self.offset)
+                self.pieces.append((self.offset, numbers, data, starts, ends))
+        self.firsts.append(first[:-1] + self.offset)
+        self.offset += n
+
+    def same_words(self, place: int, length: int) -> bool:
+        """Whether the words here are those of the benchmark, byte by byte."""
+        offset, numbers, data, starts, ends = self.pieces[bisect_right(self.begins, place) - 1]
+        at = range(place - offset, place - offset + length)
+        return all(self.tests.words[numbers[i] - 1] == data[starts[i]:ends[i]].tobytes() for i in at)
+
+    def search(self) -> list[tuple]:
+        """(words, spans, items, matches) of each document, in order."""
+        tests = self.tests
+        counts = np.concatenate(self.counts) if self.counts else np.empty(0, np.int64)
+        found = {}
+        if self.places:
+            places = np.concatenate(self.places)
+            keys = [np.concatenate(k) for k in zip(*self.keys)]
+            order = np.lexsort(keys[::-1])
+            places, keys = places[order], [k[order] for k in keys]
+            left, right = bound(keys, tests.low, False), bound(keys, tests.high, True)
+            size = right - left
+            window = np.repeat(np.arange(len(size)), size)
+            place = places[np.repeat(left, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+            self.begins = [p[0] for p in self.pieces]
+            checked = {(p, n): self.same_words(p, n) for p, n in set(zip(place.tolist(), tests.length[window].tolist()))}
+            right_words = np.array([checked[x] for x in zip(place.tolist(), tests.length[window].tolist())], dtype=bool)
+            window, place = window[right_words], place[right_words]
+            first = np.concatenate(self.firsts)
+            # Documents without words begin where the next one does; the last of them has the place.
+            doc = np.searchsorted(first, place, "right") - 1
+            order = np.argsort(doc, kind="stable")
+            cuts = np.flatnonzero(np.diff(doc[order])) + 1
+            for rows in np.split(order, cuts) if len(order) else []:
+                d = int(doc[rows[0]])
+                here = place[rows] - first[d]
+                found[d] = (
+                    joined(here, here + tests.length[window[rows]]),
+                    sorted({tests.item_ids[i] for i in tests.item[window[rows]].tolist()}),
+                    longest(tests, window[rows], here),
+                )
+        return [(int(n), *found.get(d, ([], [], []))) for d, n in enumerate(counts.tolist())]
 
 
 def bound(keys: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np.ndarray:
@@ -155,73 +224,91 @@ def longest(tests: BenchmarkSuffixes, window: np.ndarray, place: np.ndarray) ->
     return [{k: v for k, v in m.items() if k != "_item"} for m in out]
 
 
-def search(tests: BenchmarkSuffixes, data: np.ndarray, at: np.ndarray) -> list[tuple]:
-    """(words, spans, items, matches) of each text of a shard."""
-    data = LOWER[data]
-    starts, ends, first = words(data, at, ALNUM)
-    counts = np.diff(first)
-    found = {}
-    if len(starts) and len(tests.item):
-        places, keys = suffix_array(tests, tests.numbers(word_hashes(data, starts, ends)), first)
-        if len(places):
-            left, right = bound(keys, tests.low, False), bound(keys, tests.high, True)
-            size = right - left
-            window = np.repeat(np.arange(len(size)), size)
-            place = places[np.repeat(left, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-            doc = np.searchsorted(first, place, "right") - 1
-            order = np.argsort(doc, kind="stable")
-            cuts = np.flatnonzero(np.diff(doc[order])) + 1
-            for rows in np.split(order, cuts) if len(order) else []:
-                d = int(doc[rows[0]])
-                here = place[rows] - first[d]
-                found[d] = (
-                    joined(here, here + tests.length[window[rows]]),
-                    sorted({tests.item_ids[i] for i in tests.item[window[rows]].tolist()}),
-                    longest(tests, window[rows], here),
-                )
-    return [(int(n), *found.get(d, ([], [], []))) for d, n in enumerate(counts.tolist())]
+NAMES = ["n_words", "spans", "items", "matches"]
+
+
+def shards(batches, column: str, tests: BenchmarkSuffixes):
+    """(rows of documents, their answers) of each suffix array."""
+    held, shard = [], Shard(tests)
+    for rows, data, at in chunks(batches, column):
+        held.append(rows)
+        shard.add(data, at)
+        if shard.size >= SHARD_BYTES:
+            yield held, shard.search()
+            held, shard = [], Shard(tests)
+    if held:
+        yield held, shard.search()
+
+
+def arrow(answers: list[tuple], first: int = 0) -> list[pa.Array]:
+    """The answers as columns, from the one of that number."""
+    return [pa.array([a[i] for a in answers], kind) for i, kind in list(enumerate(ARROW))[first:]]
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` of hit words, ``items`` found and the longest ``matches``.
 
-    The benchmark goes out in blocks of bounded size, each searched in one pass
-    over the documents; no row of the documents is shuffled.
+    A benchmark of at most half of ``block_bytes`` goes to all tasks and is searched in one
+    pass; no row of the documents is shuffled. A larger one goes out in blocks: each pass
+    stores the hits of one block by the digest of their text, and all hits meet the
+    documents once, at the end.
     """
     ship_code(docs.sparkSession, __name__)
     spark = docs.sparkSession
-    names = ["n_words", "spans", "items", "matches"]
-    columns = [c for c in docs.columns if c not in names]
+    columns = [c for c in docs.columns if c not in NAMES]
     kept = docs.select(*columns)
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), F.col(item_text).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     rounds = max(1, -(-2 * total // block_bytes))
-    result = kept
-    schema = T.StructType([*kept.schema.fields, *T.StructType.fromDDL(OUTPUTS).fields])
+
+    def block(i: int):
+        held = (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == i) if rounds > 1 else items).toArrow().combine_chunks()
+        texts = held["text"].combine_chunks() if held.num_rows else pa.array([], pa.string())
+        return ship(spark, BenchmarkSuffixes(held["item_id"].to_pylist(), texts, window))
+
+    if rounds == 1:
+        sent = block(0)
+
+        def scan(batches):
+            for held, answers in shards(batches, text, unpack(sent)):
+                done = 0
+                for rows in held:
+                    yield pa.RecordBatch.from_arrays(rows.columns + arrow(answers[done:done + rows.num_rows]), names=[*columns, *NAMES])
+                    done += rows.num_rows
+
+        return kept.mapInArrow(scan, T.StructType([*kept.schema.fields, *T.StructType.fromDDL(OUTPUTS).fields]))
+
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    texts = docs.select(digest.alias("_digest"), F.col(text).alias("text"))
+    hits = None
     for i in range(rounds):
-        block = (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == i) if rounds > 1 else items).toArrow().combine_chunks()
-        texts = block["text"].combine_chunks() if block.num_rows else pa.array([], pa.string())
-        sent = ship(spark, BenchmarkSuffixes(block["item_id"].to_pylist(), texts, window))
-
-        def scan(batches, sent=sent, later=i > 0):
-            tests = unpack(sent)
-            for rows, data, at in chunks(batches, text):
-                answers = search(tests, data, at)
-                if later:
-                    old = rows.select(names[1:]).to_pylist()
-                    answers = [
-                        (n, joined(*np.array([[s["start"], s["stop"]] for s in spans + o["spans"]], dtype=np.int64).reshape(-1, 2).T),
-                         sorted({*found, *o["items"]}), o["matches"] + matches)
-                        for (n, spans, found, matches), o in zip(answers, old)
-                    ]
-                new = [pa.array(list(column), kind) for column, kind in zip(zip(*answers), ARROW)]
-                yield pa.RecordBatch.from_arrays(rows.columns[:len(columns)] + new, names=[*columns, *names])
-
-        result = result.mapInArrow(scan, schema)
-        if rounds > 1:
-            result = materialize(result, "decontaminated")
-            sent.unpersist()
-    return result
+        sent = block(i)
+
+        def scan_hits(batches, sent=sent):
+            for held, answers in shards(batches, "text", unpack(sent)):
+                names = [n for rows in held for n in rows.column("_digest").to_pylist()]
+                hit = [j for j, a in enumerate(answers) if a[1]]
+                yield pa.RecordBatch.from_arrays([pa.array([names[j] for j in hit], pa.string()), *arrow([answers[j] for j in hit], 1)], names=["_digest", *NAMES[1:]])
+
+        found = materialize(texts.mapInArrow(scan_hits, T.StructType([T.StructField("_digest", T.StringType()), *T.StructType.fromDDL(OUTPUTS).fields[1:]])), "hits")
+        sent.unpersist()
+        hits = found if hits is None else hits.unionByName(found)
+
+    def merge(batches):
+        for batch in batches:
+            out = []
+            for name, parts in zip(batch.column("_digest").to_pylist(), batch.column("parts").to_pylist()):
+                spans = np.array([[s["start"], s["stop"]] for p in parts for s in p["spans"]], dtype=np.int64)
+                out.append((name, joined(*spans.T), sorted({n for p in parts for n in p["items"]}), [m for p in parts for m in p["matches"]]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), *[pa.array([r[i] for r in out], ARROW[i]) for i in (1, 2, 3)]], names=["_digest", *NAMES[1:]])
+
+    # Equal texts have equal hits, so there is at most one part for each block.
+    parts = hits.groupBy("_digest").agg(F.collect_set(F.struct(*NAMES[1:])).alias("parts"))
+    merged = materialize(parts.mapInArrow(merge, hits.schema), "merged-hits")
+    joined_rows = lookup_join(docs.select(*columns, digest.alias("_digest"), F.col(text).alias("_text")), merged, ["_digest"])
+    n_words = F.coalesce(F.regexp_count("_text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+    empty = [F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) for f in hits.schema.fields[1:]]
+    return joined_rows.select(*columns, n_words.alias("n_words"), *empty)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
