@@ -305,3 +305,109 @@ def test_matches_do_not_depend_on_the_size_of_a_shard(monkeypatch):
     shard = contamination.Shard(item)
     shard.add(*bytes_of(pa.array(["zz yy zz", "x a b a", "a yy a"])))
     assert [bool(a[1]) for a in shard.search()] == [False, True, False]
+
+
+# 2 toxicity by other means
+
+
+def plain_features(text):
+    """Words, and runs of five bytes, as they stand."""
+    raw = re.sub("[A-Z]", lambda m: m[0].lower(), text).encode()
+    return {("w", w) for w in re.findall(rb"[0-9a-z\x80-\xff]+", raw)} | {("g", raw[i:i + 5]) for i in range(len(raw) - 4)}
+
+
+def test_feature_counts_and_choice_are_those_of_the_texts_themselves(spark):
+    from threatlens.llm import toxicity
+
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "klmnprst" for b in ("o", "ai", "ee")] + ["Übel", "GRIM"]
+    rows = []
+    for i in range(600):
+        bad = i % 5 == 0
+        rows.append((i, " ".join(rng.choice(words[:20]) for _ in range(rng.randint(1, 12))) + (" Übel GRIM" if bad and rng.random() < 0.9 else " nice" if rng.random() < 0.3 else "")))
+    rows.append((None, "Übel without an id"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600) if i % 2], "doc_id long, toxic int")
+    learned = [(i, t) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    confirmed = [t for i, t in learned if i % 2 and i % 5 == 0]
+    p, u = Counter(f for t in confirmed for f in plain_features(t)), Counter(f for _, t in learned for f in plain_features(t))
+    flagged = spark.createDataFrame([(t, 0, 1) for _, t in learned] + [(t, 1, 0) for t in confirmed], "text string, p int, u int").repartition(5)
+    assert Counter((r.p, r.u) for r in toxicity.feature_counts(flagged).collect()) == Counter((p[f], u[f]) for f in p | u)
+    n_p, n_u = len(confirmed), len(learned)
+
+    def z(f):
+        pooled = (p[f] + u[f]) / (n_p + n_u)
+        return (p[f] / n_p - u[f] / n_u) / math.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u)) if pooled < 1 else 0
+
+    model = toxicity.train(docs, labels)
+    assert len(model.weights) == sum(abs(z(f)) >= toxicity.LEAST_Z for f in p | u) > 5
+
+
+def test_the_fit_finds_a_low_risk_as_the_definition_has_it():
+    from threatlens.llm import toxicity
+
+    rng = np.random.default_rng(3)
+    n, width, prior, penalty = 60, 4, 0.3, 1e-3
+    holds = rng.random((n, width)) < 0.4
+    positive = np.arange(n) < 15
+    holds[positive, 0] = True
+    each = rng.uniform(0.5, 1.5, n)
+
+    def risk(weights, bias):
+        loss = {1: [], 0: []}
+        for i in range(n):
+            g = each[i] * sum(weights[j] for j in range(width) if holds[i, j]) + bias
+            loss[1].append(math.log1p(math.exp(-g)) if g > -30 else -g)
+            loss[0].append(math.log1p(math.exp(g)) if g < 30 else g)
+        as_one, as_zero = (sum(loss[y][i] for i in range(n) if positive[i]) / positive.sum() for y in (1, 0))
+        unlabelled = sum(loss[0][i] for i in range(n) if not positive[i]) / (~positive).sum()
+        return prior * as_one + max(0.0, unlabelled - prior * as_zero) + penalty * sum(w * w for w in weights) / 2
+
+    rows, columns = np.nonzero(holds)
+    weights, bias = toxicity.fit(rows, columns, positive.astype(float), (~positive).astype(float), prior, width, penalty=penalty, each=each)
+    least = risk(weights, bias)
+    assert least < risk(np.zeros(width), math.log(prior / (1 - prior))) - 0.01
+    # Where the corrected part is below zero the method leaves a floor; near the result nothing is much lower.
+    for _ in range(200):
+        assert risk(weights + rng.normal(0, 0.05, width), bias + rng.normal(0, 0.05)) > least - 2e-3
+
+
+# 5 importance resampling by other means
+
+
+def test_resampling_keys_and_kept_are_those_of_the_definition(spark):
+    """Own n-grams, own counts, own order: ties and repeated rows included."""
+    from threatlens.llm import resampling
+
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice("ash oak elm fir yew".split()) for _ in range(rng.randint(1, 6)))) for i in range(120)]
+    rows += [(500, "ash oak"), (500, "ash oak"), (501, "ash oak"), (502, None), (503, "")]
+    target = [" ".join(rng.choice(["ash", "oak"]) for _ in range(4)) for _ in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    targets = spark.createDataFrame([(t,) for t in target], "text string")
+    got = resampling.resample(docs, targets).collect()
+    grams = {}
+
+    def plain(text):
+        words = re.findall(r"[0-9a-z]+", (text or "").lower())
+        return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+    # Without collisions among these few n-grams the buckets' counts are the n-grams' own.
+    aim, raw = Counter(g for t in target for g in plain(t)), Counter(g for _, t in rows for g in plain(t))
+    size = resampling.BUCKETS
+    for _, t in rows:
+        grams[t] = sum(math.log((aim[g] + 1) / (sum(aim.values()) + size)) - math.log((raw[g] + 1) / (sum(raw.values()) + size)) for g in plain(t))
+    texts = dict(rows)
+    for r in got:
+        assert r.n_grams == len(plain(texts[r.doc_id])) and r.log_weight == pytest.approx(grams[texts[r.doc_id]], abs=1e-6)
+        u = (int(hashlib.md5(f"gumbel:{r.doc_id}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        assert r.gumbel_key == pytest.approx(grams[texts[r.doc_id]] - math.log(-math.log(u)), abs=1e-6)
+    keys = sorted((r.gumbel_key for r in got), reverse=True)
+    least = keys[math.ceil(0.8 * len(rows)) - 1]
+    assert len(got) == len(rows) and all(r.kept == (r.gumbel_key >= least) for r in got)
+    # Repeated rows are kept or left together, also where they are the last ones.
+    for share in (i / len(rows) for i in range(1, len(rows))):
+        both = [r for r in resampling.resample(docs.filter("doc_id IN (500, 501, 1, 2)"), targets, share=share).collect() if r.doc_id == 500]
+        assert len({r.kept for r in both}) == 1
+        if share > 0.12:
+            break

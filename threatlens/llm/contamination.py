@@ -34,7 +34,7 @@ WINDOW = 10
 # Bytes of benchmark text that are sent to all tasks at once; a larger benchmark takes more rounds.
 BLOCK_BYTES = 8 << 20
 # Bytes of text in one suffix array. Every benchmark suffix is looked up once in each array.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 8 << 20
 
 OUTPUTS = """
 n_words bigint, spans array<struct<start:int,stop:int>>, items array<string>,

@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from threatlens.llm.text import ALNUM, BASE, INVERSE, LOWER, chunks, mix, powers, ship, ship_code, unpack, word_hashes, words
 from threatlens.session import materialize
 
-# Bounds of the training sample: confirmed toxic texts, and texts without a label.
+# Bounds of the rows that weights are fitted to: confirmed toxic texts, and texts of the whole corpus.
+# Which features to keep is counted over all texts that may be learned from.
 POSITIVES = 6_000
 UNLABELLED = 12_000
 # Features are hashed to this many numbers; the most telling ones are kept.
@@ -80,7 +81,10 @@ def features(data: np.ndarray, at: np.ndarray, place: np.ndarray | None = None)
     if place is not None:
         number = place[number].astype(np.int64)
         text, number = text[number >= 0], number[number >= 0]
-    pairs = np.unique(text * SPACE + number)
+    # Short numbers sort faster.
+    narrow = (len(at) - 1) * SPACE <= 1 << 32
+    pairs = np.sort((text * SPACE + number).astype(np.uint32 if narrow else np.int64))
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])].astype(np.int64) if len(pairs) else pairs.astype(np.int64)
     return pairs // SPACE, pairs % SPACE
 
 
@@ -148,41 +152,45 @@ def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     return materialize(sample, "toxicity-sample"), prior
 
 
-def feature_counts(sample: DataFrame) -> DataFrame:
-    """``feature, p, u``: the positive and the unlabelled texts of the sample that hold a feature.
+def feature_counts(rows: DataFrame) -> DataFrame:
+    """``feature, p, u``: how many texts with the flag ``p``, and with the flag ``u``, hold a feature.
 
     A partition's counts are all sent, also of features that none of its positives has.
     """
 
     def tally(batches):
         p, u = np.zeros(SPACE, dtype=np.int64), np.zeros(SPACE, dtype=np.int64)
-        for rows, data, at in chunks(batches, "text"):
+        for texts, data, at in chunks(batches, "text"):
             which, number = features(data, at)
-            p += np.bincount(number, rows.column("p").to_numpy()[which], minlength=SPACE).astype(np.int64)
-            u += np.bincount(number, rows.column("u").to_numpy()[which], minlength=SPACE).astype(np.int64)
+            for counts, flag in ((p, "p"), (u, "u")):
+                counts += np.bincount(number[texts.column(flag).to_numpy()[which] > 0], minlength=SPACE)
         seen = np.flatnonzero(p + u)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(p[seen]), pa.array(u[seen])], names=["feature", "p", "u"])
 
-    return sample.mapInArrow(tally, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    return rows.mapInArrow(tally, "feature long, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """A classifier from labels outside the held-out quarter.
 
-    Which features to keep is counted in Spark over the sample; the driver fits
-    weights to at most positives + unlabelled short lists of numbers.
+    Which features to keep is counted in Spark: over all texts outside the held-out
+    quarter as the unlabelled ones, over the sample's as the positive ones. The driver
+    fits weights to at most positives + unlabelled short lists of numbers.
     """
     ship_code(docs.sparkSession, __name__)
     sample, prior = training_sample(docs, labels, key, text, label, positives, unlabelled)
-    totals = sample.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
-    if not totals[0] or not totals[1] or not 0 < prior < 1:
+    some = sample.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
+    corpus = docs.filter(F.col(key).isNotNull() & ~held_out(F.col(key))).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(0).alias("p"), F.lit(1).alias("u"))
+    confirmed = sample.filter("p = 1").select("text", "p", F.lit(0).alias("u"))
+    totals = (some[0], corpus.count())
+    if not some[0] or not some[1] or not 0 < prior < 1:
         return Model(np.full(SPACE, -1, dtype=np.int32), np.zeros(0), 50.0 if prior == 1 else -1e3)
 
     np_, nu = float(totals[0]), float(totals[1])
     pooled = (F.col("p") + F.col("u")) / (np_ + nu)
     z = (F.col("p") / np_ - F.col("u") / nu) / F.sqrt(pooled * (1 - pooled) * (1 / np_ + 1 / nu))
     chosen = (
-        feature_counts(sample).filter(F.col("p") + F.col("u") < np_ + nu).withColumn("z", z).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect()
+        feature_counts(corpus.unionByName(confirmed)).filter(F.col("p") + F.col("u") < np_ + nu).withColumn("z", z).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect()
     )
     place = np.full(SPACE, -1, dtype=np.int32)
     place[[row.feature for row in chosen]] = np.arange(len(chosen))
