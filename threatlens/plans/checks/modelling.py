@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from threatlens.models.arma import PERIOD
 from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters, centers_table, choose_k, fit_clusters, update_clusters
 from threatlens.models.features import ENCODED, forecast_features, min_max, prepare_features, standardize
 from threatlens.models.forests import (
@@ -24,6 +25,7 @@ from threatlens.models.metrics import accuracy, regression_metrics
 from threatlens.models.series import candidate_orders, fit_ar1_diff, fit_series, forecast_series, select_order
 from threatlens.operators.enrich import densify_daily, with_daily_count, with_time_split
 from threatlens.operators.rollups import keep_top
+from threatlens.plans.checks.moving import SEASONAL, arma_sql, forecast_sql, recursive
 from threatlens.plans.checks.pointing import CENTERS, CLUSTERED, assigned_sql, codes_sql
 from threatlens.plans.checks.registry import incidents_sql, orders_sql, query, second, six
 from threatlens.plans.serving import actual_and_forecast, table_of
@@ -382,13 +384,13 @@ def _model(params):
     return params.select(KEY, "p", "d", "seasonal", six("intercept"), six("phi1"), six("phi2"), F.round("aic", 4).alias("aic"), "n", "fallback")
 
 
-@query("fit_arima_series", orders_sql(_orders_tried_sql((1,), (1,), 0) + f" SELECT {MODEL} FROM tried"))
-def arima(spark, sf_dir):
+@query("fit_autoregressions", orders_sql(_orders_tried_sql((1,), (1,), 0) + f" SELECT {MODEL} FROM tried"))
+def autoregressions(spark, sf_dir):
     return _model(fit_series(_dense(spark, sf_dir), KEY))
 
 
-@query("fit_seasonal_series", orders_sql(_orders_tried_sql((1,), (1,), 7) + f" SELECT {MODEL} FROM tried"))
-def seasonal(spark, sf_dir):
+@query("fit_weekly_autoregressions", orders_sql(_orders_tried_sql((1,), (1,), 7) + f" SELECT {MODEL} FROM tried"))
+def weekly_autoregressions(spark, sf_dir):
     return _model(fit_series(_dense(spark, sf_dir), KEY, (1, 1), 7))
 
 
@@ -442,16 +444,31 @@ def with_history(spark, sf_dir):
     return both.select(KEY, F.date_format("date", "yyyy-MM-dd").alias("date"), "kind", F.round("value", 4).alias("value"))
 
 
+# The chosen autoregressions carried on, the newest value first.
+WALK = """,
+newest AS (SELECT target_country, max(date) AS last_day, list(CAST(num_attacks AS DOUBLE) ORDER BY date DESC)[1:4] AS xs FROM dense GROUP BY 1),
+walk AS (
+  SELECT target_country, last_day, 0 AS step, 0.0::DOUBLE AS f, xs, intercept, phi1, phi2, d FROM newest JOIN chosen USING (target_country)
+  UNION ALL
+  SELECT target_country, last_day, step + 1, next, list_prepend(next, xs), intercept, phi1, phi2, d FROM (
+    SELECT *, intercept + CASE WHEN d = 1 THEN xs[1] + phi1 * (xs[1] - xs[2]) + phi2 * (xs[2] - xs[3]) ELSE phi1 * xs[1] + phi2 * xs[2] END AS next FROM walk WHERE step < 30
+  )
+)"""
+
+
 @query(
     "country_study_forecasts",
-    orders_sql(""",
-top AS (SELECT target_country, max(date) AS last_day FROM daily GROUP BY 1 ORDER BY sum(num_attacks) DESC, 1 LIMIT 10)
-SELECT target_country, model, strftime(last_day + CAST(step AS INTEGER), '%Y-%m-%d') AS date, CAST(step AS INTEGER) AS step, true AS finite
-FROM top, (SELECT unnest(['arima', 'sarimax']) AS model), (SELECT unnest(range(1, 31)) AS step)"""),
+    recursive(orders_sql(CHOSEN + WALK + arma_sql(SEASONAL, SEASONAL, 1, PERIOD) + forecast_sql(SEASONAL, SEASONAL, 1, PERIOD) + """,
+top AS (SELECT target_country FROM daily GROUP BY 1 ORDER BY sum(num_attacks) DESC, 1 LIMIT 10),
+both_models AS (
+  SELECT target_country, 'arima' AS model, last_day, step, f FROM walk UNION ALL SELECT target_country, 'sarimax', last_day, step, f FROM ahead
+)
+SELECT target_country, model, strftime(last_day + step, '%Y-%m-%d') AS date, CAST(step AS INTEGER) AS step, round(f, 4) AS forecast
+FROM both_models WHERE step > 0 AND target_country IN (SELECT target_country FROM top)""")),
 )
 def study(spark, sf_dir):
     ahead = study_forecasts(study_series(materialize(daily_orders(spark, sf_dir), "daily-orders"), KEY), KEY)
-    return ahead.select(KEY, "model", F.date_format("date", "yyyy-MM-dd").alias("date"), "step", (F.abs("forecast") < 1e9).alias("finite"))
+    return ahead.select(KEY, "model", F.date_format("date", "yyyy-MM-dd").alias("date"), "step", F.round("forecast", 4).alias("forecast"))
 
 
 @query(

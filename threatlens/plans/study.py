@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threatlens.models.series import SEASON, fit_series, forecast_series, select_order
+from threatlens.models.arma import PERIOD, fit_arma, forecast_arma
+from threatlens.models.series import forecast_series, select_order
 from threatlens.operators.enrich import densify_daily, union_all
 from threatlens.operators.rollups import daily_counts, distribution, top_n_by_sum
 from threatlens.session import materialize
@@ -32,11 +33,12 @@ def study_series(daily: DataFrame, key: str, n: int = 10) -> DataFrame:
 def study_forecasts(series: DataFrame, key: str, steps: int = STEPS) -> DataFrame:
     """Both models on every series: (key, model, date, step, forecast).
 
-    The daily series are stored once and read by the fits and the forecasts.
+    The autoregression of the lowest AIC, and the seasonal model of order (1, 1, 1) by
+    day and by week. The daily series are stored once and read by the fits and forecasts.
     """
     stored = materialize(series, "study-series")
     plain = forecast_series(select_order(stored, key), stored, steps, key)
-    weekly = forecast_series(fit_series(stored, key, (1, 1), SEASON), stored, steps, key)
+    weekly = forecast_arma(fit_arma(stored, key, period=PERIOD), stored, steps, key, period=PERIOD)
     return union_all(
         plain.withColumn("model", F.lit("arima")), weekly.withColumn("model", F.lit("sarimax"))
     )
