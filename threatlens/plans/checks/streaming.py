@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from threatlens.models.clusters import CLUSTER_FEATURES, start_centers
@@ -12,6 +13,7 @@ from threatlens.plans.checks.registry import incidents_sql, query, second
 from threatlens.schema import ROLLUP_BUCKET
 from threatlens.session import scratch_path
 from threatlens.sinks.points import ensure_bucket, read_points
+from threatlens.sources.replay import replay_rows
 from threatlens.sources.streams import replay_stream
 from threatlens.sources.views import incidents, messages, table
 from threatlens.streaming.live import CLUSTERED, LivePath, start_stream
@@ -131,3 +133,35 @@ def online_clusters(spark, sf_dir):
     online = OnlineClusters(spark, scratch_path(spark, "centers"), first, features=CLUSTER_FEATURES)
     start_stream(encoded, online, scratch_path(spark, "progress"), available_now=True).awaitTermination()
     return online.latest().agg(F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("weight"))
+
+
+@query(
+    "replay_rows_in_batches",
+    incidents_sql("""
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n, min(id_indicator) AS first, max(id_indicator) AS last, count(DISTINCT ip) AS ips
+FROM (SELECT id_indicator, ip, (row_number() OVER (ORDER BY id_indicator) - 1) // 1000 AS batch_id FROM incidents) GROUP BY 1"""),
+)
+def replayed_rows(spark, sf_dir):
+    """A thousand rows a cycle; the stream breaks off in its third batch and is started again."""
+    folder, out, progress = (scratch_path(spark, name) for name in ("replay", "replayed", "progress"))
+    rows = incidents(spark, sf_dir).select("id_indicator", "ip")
+    rows.repartitionByRange(3, "id_indicator").sortWithinPartitions("id_indicator").write.parquet(folder)
+    broken = []
+
+    def keep(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
+        if batch_id == 2 and not broken:
+            broken.append(batch_id)
+            raise InterruptedError("broken off")
+
+    for _ in range(2):
+        stream = replay_rows(spark, folder, 1_000).writeStream.foreachBatch(keep).option("checkpointLocation", progress).start()
+        try:
+            stream.processAllAvailable()
+        except StreamingQueryException:
+            if not broken:
+                raise
+        finally:
+            stream.stop()
+    per_batch = F.count(F.lit(1)).alias("n"), F.min("id_indicator").alias("first"), F.max("id_indicator").alias("last"), F.count_distinct("ip").alias("ips")
+    return spark.read.parquet(out).groupBy("batch_id").agg(*per_batch)
