@@ -97,3 +97,12 @@ def test_conform_enforces_required_fields(spark):
     bad = {k: v for k, v in good.items() if k != "target_country"}
     df = parse_events(texts(spark, json.dumps(good), json.dumps(bad)))
     assert df.count() == 2 and conform(df).count() == 1
+
+
+def test_records_that_repeat_a_key_are_kept_and_the_last_counts(spark):
+    texts = ['{"ip":"1.1.1.1","ip":"2.2.2.2"}', '{"geo":{"latitude":1.0,"latitude":2.5},"geo2":1}', "{not json", '{"a":1,"a":2']
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    kept = parse_events(df, struct_of("ip STRING"), on_error="drop").collect()
+    assert sorted(r.ip or "" for r in kept) == ["", "2.2.2.2"]
+    flat = flatten_document(df).collect()
+    assert len(flat) == 2 and sorted(r.source_latitude for r in flat)[0] == 2.5

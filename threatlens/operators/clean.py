@@ -73,10 +73,17 @@ def parse_events(
         raise ValueError(f"on_error is 'null' or 'drop', not {on_error!r}")
     text = df.select(F.col(value).cast("string").alias("value"))
     if on_error == "drop":
+        _read_repeated_keys(df)
         text = text.filter(_opens_object("value") & F.try_parse_json("value").isNotNull())
     return text.select(F.from_json("value", schema).alias("event")).select("event.*")
 
 
+def _read_repeated_keys(df: DataFrame) -> None:
+    """JSON allows an object to repeat a key, and the last one counts; without this setting
+    such a record counts as malformed."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def _opens_object(text: str) -> Column:
     """Whether the text, after any of JSON's white space, begins like an object."""
     return F.ltrim(F.col(text), F.lit(" \t\r\n")).startswith("{")
@@ -109,6 +116,7 @@ def flatten_document(
     None is replaced by a country picked by the number in ``key``, or by a hash of
     the document's text.
     """
+    _read_repeated_keys(df)
     number = F.pmod(F.xxhash64(value), F.lit(MODULUS)) if key is None else F.col(key)
     # A filter on the parsed value would parse twice; an array of it drops the null.
     parsed = df.filter(_opens_object(value)).select(

@@ -20,7 +20,7 @@ from threatlens.operators.points import (
 from threatlens.operators.rollups import count_by_day, count_by_month, count_by_window, daily_counts
 from threatlens.plans.checks.registry import incidents_sql, query, second
 from threatlens.plans.serving import serve, table_of
-from threatlens.schema import ROLLUP_BUCKET
+from threatlens.schema import CLUSTER_BUCKET, ROLLUP_BUCKET
 from threatlens.session import materialize, scratch_path
 from threatlens.sinks.points import delete_points, ensure_bucket, read_points, write_points
 from threatlens.sources.views import incidents
@@ -310,6 +310,19 @@ def serve_clusters(spark, sf_dir):
     return table_of("clusters", points).withColumn("Timestamp", second("Timestamp"))
 
 
+@query(
+    "serve_newest_clusters",
+    incidents_sql(assigned_sql() + """
+SELECT strftime(created_indicator, '%Y-%m-%d %H:%M:%S') AS "Timestamp", indicator, CAST(cluster AS VARCHAR) AS cluster,
+  source_latitude, source_longitude, target_latitude, target_longitude FROM assigned ORDER BY created_indicator DESC, indicator LIMIT 100"""),
+)
+def serve_newest_clusters(spark, sf_dir):
+    """The newest hundred lines of the tab, from the newest months that hold them."""
+    root, rows = scratch_path(spark, "buckets"), materialize(incidents(spark, sf_dir), "clustered")
+    write_points(cluster_points(rows, fit_labels(rows, CLUSTERED), CENTERS), ensure_bucket(spark, root, CLUSTER_BUCKET))
+    return serve(spark, root, "clusters", limit=100).withColumn("Timestamp", second("Timestamp"))
+
+
 @query(
     "serve_from_stored_rollups",
     incidents_sql("""

@@ -17,7 +17,7 @@ from threatlens.plans.serving import TABS, serve
 from threatlens.schema import ROLLUP_BUCKET, struct_of
 from threatlens.session import scratch_path
 from threatlens.sinks.files import write_csv, write_messages
-from threatlens.sinks.points import ensure_bucket, idempotent_batch_sink, read_points, write_frame
+from threatlens.sinks.points import compact_points, delete_points, ensure_bucket, idempotent_batch_sink, read_points, write_frame, write_points
 from threatlens.sources.files import read_documents, read_indicators_csv, read_table
 from threatlens.sources.views import daily_orders, incidents
 from threatlens.streaming.live import LivePath, run_rollups, start_stream
@@ -82,6 +82,29 @@ def replayed(spark, sf_dir):
     return points.groupBy(tag("source_country").alias("source_country"), "batch_id").agg(F.sum("value").alias("value"))
 
 
+@query(
+    "compacted_points_with_replay_and_delete",
+    incidents_sql("""
+SELECT source_country, CAST(count(*) AS DOUBLE) AS value, count(DISTINCT CAST(created_indicator AS DATE)) AS days FROM incidents
+WHERE NOT (created_indicator >= TIMESTAMP '2024-01-08' AND created_indicator < TIMESTAMP '2024-01-12') GROUP BY 1"""),
+)
+def compacted(spark, sf_dir):
+    """Three batches of the same days; their months are compacted, one of them comes again, some days are deleted."""
+    bucket, rows = ensure_bucket(spark, scratch_path(spark, "buckets"), ROLLUP_BUCKET), incidents(spark, sf_dir)
+
+    def write(number):
+        days = rows.filter(F.pmod("id_indicator", F.lit(3)) == number).groupBy("source_country", F.to_date("created_indicator").alias("day"))
+        write_points(to_points(days.agg(F.count(F.lit(1)).alias("n")), "counts", ["source_country"], ["n"], "day", number), bucket)
+
+    for number in (0, 1, 2):
+        write(number)
+    compact_points(spark, bucket, "counts", "9999-01-01")
+    write(1)
+    delete_points(spark, bucket, "counts", "2024-01-08", "2024-01-12")
+    points = read_points(spark, bucket, "counts")
+    return points.groupBy(tag("source_country").alias("source_country")).agg(F.sum("value").alias("value"), F.count_distinct("time").alias("days"))
+
+
 @query("stored_models_read_back", orders_sql(_orders_tried_sql((1,), (1,), 0) + f" SELECT {MODEL} FROM tried"))
 def model_trip(spark, sf_dir):
     path = scratch_path(spark, "models")

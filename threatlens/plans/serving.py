@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from threatlens.functions import year_month
 from threatlens.operators.points import changes_over_time, pivot_fields, rank_points, sum_per_day, tag
 from threatlens.schema import CLUSTER_BUCKET, CLUSTER_FIELDS, FORECAST_BUCKET, ROLLUP_BUCKET
-from threatlens.sinks.points import read_points
+from threatlens.sinks.points import newest_points, read_points
 
 
 def ranking(tag_name: str, label: str, total: str, k: int) -> Callable[[DataFrame], DataFrame]:
@@ -94,14 +94,24 @@ def table_of(name: str, points: DataFrame) -> DataFrame:
 
 
 def serve(
-    spark: SparkSession, root: str, name: str, since: str | None = None, as_of: str | None = None
+    spark: SparkSession, root: str, name: str, since: str | None = None, as_of: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """What a dashboard shows: stored points of a time range, as a sorted table."""
+    """What a dashboard shows: stored points of a time range, as a sorted table.
+
+    With a ``limit`` that many lines; tabs that begin with the newest ones then open
+    only the newest months that are needed for them.
+    """
     bucket, measurement, build, order = tab(name)
-    result = build(read_points(spark, f"{root.rstrip('/')}/{bucket}", measurement, since, as_of))
+    path = f"{root.rstrip('/')}/{bucket}"
+    if limit is not None and name in NEWEST_FIRST:
+        points = newest_points(spark, path, measurement, limit, as_of)
+        points = points if since is None else points.filter(F.col("time") >= F.to_timestamp(F.lit(since)))
+    else:
+        points = read_points(spark, path, measurement, since, as_of)
     largest_first = name in NEWEST_FIRST or order[0].endswith("Count")
     first = F.col(order[0]).desc() if largest_first else F.col(order[0]).asc()
-    return result.orderBy(first, *order[1:])
+    result = build(points).orderBy(first, *order[1:])
+    return result if limit is None else result.limit(limit)
 
 
 def actual_and_forecast(history: DataFrame, forecast: DataFrame, key: str) -> DataFrame:
