@@ -127,21 +127,37 @@ def triggered(spark, sf_dir):
     return points.agg(F.sum("value").alias("total"), (F.max("batch_id") < 99).alias("no_empty_batch"))
 
 
-SIZES = {
-    "top_10_targets_per_country": "least(count(DISTINCT target_country), 10)", "top_10_threat_sources": "least(count(DISTINCT source_country), 10)",
-    "top_10_active_ips": "least(count(DISTINCT ip), 10)", "top_attack_type": "least(count(*), 1)", "top_10_authors": "least(count(DISTINCT author_name), 10)",
-    "top_10_cities": "least(count(DISTINCT source_city), 10)", "attacks_by_creation_day": "count(DISTINCT CAST(created_indicator AS DATE))",
-    "attacks_by_creation_month": "count(DISTINCT strftime(created_indicator, '%Y-%m'))",
+def _ranked(name, column, k):
+    return f"(SELECT '{name}' AS tab, CAST({column} AS VARCHAR) AS label, CAST(count(*) AS DOUBLE) AS value FROM incidents WHERE {column} IS NOT NULL GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT {k})"
+
+
+def _each(name, label):
+    return f"(SELECT '{name}' AS tab, {label} AS label, CAST(count(*) AS DOUBLE) AS value FROM incidents GROUP BY 2)"
+
+
+# tab -> (column that names a line, column of its value, the same in SQL)
+LINES = {
+    "top_10_targets_per_country": ("Country", "Attack Count", _ranked("top_10_targets_per_country", "target_country", 10)),
+    "top_10_threat_sources": ("Country", "Attack Count", _ranked("top_10_threat_sources", "source_country", 10)),
+    "top_10_active_ips": ("IP Address", "Attack Count", _ranked("top_10_active_ips", "ip", 10)),
+    "top_attack_type": ("Attack Type", "Attack Count", _ranked("top_attack_type", "type", 1)),
+    "top_10_authors": ("Author Name", "Indicator Count", _ranked("top_10_authors", "author_name", 10)),
+    "top_10_cities": ("City", "Attack Count", _ranked("top_10_cities", "source_city", 10)),
+    "attacks_by_creation_day": ("Date", "Attack Count", _each("attacks_by_creation_day", "strftime(created_indicator, '%Y-%m-%d')")),
+    "attacks_by_creation_month": ("Year-Month", "Attack Count", _each("attacks_by_creation_month", "strftime(created_indicator, '%Y-%m')")),
+    "target_country_changes": ("Country", "Change Count", _each("target_country_changes", "target_country")),
+    "source_country_changes": ("Country", "Change Count", _each("source_country_changes", "source_country")),
 }
 
 
-@query(
-    "serve_every_tab_by_name",
-    incidents_sql(" UNION ALL ".join(f"SELECT '{name}' AS tab, CAST({size} AS BIGINT) AS lines FROM incidents" for name, size in SIZES.items())),
-)
+@query("serve_every_tab_by_name", incidents_sql(" UNION ALL ".join(sql for *_, sql in LINES.values())))
 def every_tab(spark, sf_dir):
+    """The lines of every tab made of roll-ups; windows of the change tabs are summed per country."""
     root = scratch_path(spark, "buckets")
     run_rollups(incidents(spark, sf_dir), 0, ensure_bucket(spark, root, ROLLUP_BUCKET))
-    assert set(SIZES) <= set(TABS)
-    lines = [serve(spark, root, name).agg(F.lit(name).alias("tab"), F.count(F.lit(1)).alias("lines")) for name in SIZES]
+    assert set(LINES) | {"clusters", "predictions"} == set(TABS)
+    lines = [
+        serve(spark, root, name).groupBy(F.lit(name).alias("tab"), F.col(label).cast("string").alias("label")).agg(F.sum(value).alias("value"))
+        for name, (label, value, _) in LINES.items()
+    ]
     return reduce(lambda a, b: a.unionByName(b), lines)
