@@ -411,3 +411,54 @@ def test_resampling_keys_and_kept_are_those_of_the_definition(spark):
         assert len({r.kept for r in both}) == 1
         if share > 0.12:
             break
+
+
+# 9 personal data: long texts, secrets, thresholds
+
+
+def test_a_text_with_very_many_numbers_takes_time_in_proportion(spark):
+    import time
+
+    from threatlens.llm import personal
+
+    def took(n):
+        rows = [(1, " and ".join(f"+1 ({200 + i % 700}) 555-{1000 + i % 9000}" if i % 2 else f"({200 + i % 700}) 555-{1000 + i % 9000}" for i in range(n))), (2, "call +1 (469) 555-8958 or (469) 555-8958, not x12345678y")]
+        began = time.time()
+        found = {r.doc_id: r for r in personal.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert len(found[1].base) == n // 2
+        return time.time() - began
+
+    took(100)
+    few, many = took(5_000), took(100_000)
+    # With work by the square of the matches it would be some hundred times as much.
+    assert many < 12 * max(few, 2.0)
+
+
+def test_secrets_are_listed_apart_and_columns_stay(spark):
+    from threatlens.llm import personal
+
+    rows = [(1, 'use token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" now'), (2, "PASSWORD: hunter2hunter2hunter2"), (3, "a token of 04dbebab91ab85687d33eeaaf9ac699e"), (4, None), (5, "😀 api_key='abcd-efgh_ijkl/mnop' a@b.co")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit("mine") for n in ("tk", "kind", "start", "base", "secrets", "number")})
+    got = {r.doc_id: r for r in personal.personal_data(docs).collect()}
+    texts = dict(rows)
+    found = {k: [texts[k][s.start:s.end] for s in r.secrets] for k, r in got.items()}
+    assert found == {1: ["04dbebab91ab85687d33eeaaf9ac699e1188f962"], 2: ["hunter2hunter2hunter2"], 3: [], 4: [], 5: ["abcd-efgh_ijkl/mnop"]}
+    assert {r.tk for r in got.values()} == {"mine"} == {r.number for r in got.values()} and len(got[5].base) == 1
+    clean = {r.doc_id: r.text for r in personal.redact(docs).collect()}
+    assert clean[1] == 'use token = "[secret]" now' and clean[5] == "😀 api_key='[secret]' [email]"
+
+
+def test_thresholds_are_counted_by_kind(spark):
+    from threatlens.llm import personal
+
+    rows = [("phone", 0.9, 1.0)] * 90 + [("phone", 0.6, 1.0)] * 10 + [("phone", 0.6, 0.0)] * 1 + [("phone", 0.2, 0.0)] * 500
+    rows += [("email", 0.8, 1.0)] * 50 + [("email", 0.7, 0.0)] * 50 + [("ip", 0.4, 0.0)] * 5 + [("card", 0.3, 1.0)] * 100
+    got = personal.thresholds(spark.createDataFrame(rows, "kind string, score double, label double"), 0.97)
+    assert got == {"phone": 0.6, "email": 0.8, "card": 0.3}
+
+
+def test_secrets_of_the_tables_are_found(spark):
+    """The tables hold strict forms only, so nothing is added to the four kinds; their tokens are told."""
+    got = queries.op9_personal_data(spark, "/root/testdata/sf0.01").agg(F.sum("n_added").alias("added"), F.sum("n_secret").alias("secrets")).first()
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    assert got.secrets == sum(len(re.findall(r'(?i)token = "[0-9a-f]{16,}"', t)) for t in texts) > 0

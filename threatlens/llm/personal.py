@@ -3,16 +3,20 @@ r"""Personal data: pattern spans, and further ones that gradient boosted trees a
 Four kinds have a strict pattern and a check (the base): e-mail address, IPv4
 address, payment card, phone number. For each kind a second, wider pattern proposes
 candidates with high recall: other separators, spelled-out signs, no plus sign,
-ports. Candidates overlap each other and the base. Boosted trees learn from the
-surroundings and the rough format of a bounded sample, drawn by kind and label, where
-base matches stand. The features leave out what tells a base match from another
-candidate (plus, points, at sign, number of digits, sizes of numbers). A candidate
-that is no base match is unlabelled, not wrong; only one whose number fails the kind's
-check is. With c the mean score of base matches, at most a half, an unlabelled candidate
-with score s is right with a probability of at most (1 - c) / c * s / (1 - s). All
-candidates outside the fit are counted by kind and score, and the lowest score from
-which on that probability has the wanted mean is the kind's threshold. Candidates that
-reach it, pass the check and touch no base span are added, of overlapping ones the best.
+ports. Candidates overlap each other and the base. Boosted trees learn from
+surroundings and rough format: right are candidates that touch a base match of their
+kind, wrong are those in surroundings, or of a rough format, in which the whole corpus has
+no base match of the kind. The features leave out what tells a base match from another candidate (plus,
+points, at sign, number of digits, sizes of numbers). A candidate in surroundings and
+of a format that base matches have is neither right nor wrong; it is to be decided. The trees
+are fitted to a bounded sample, drawn by kind and label; all other labelled candidates
+are counted by kind and score, and the kind's threshold is the lowest score from which on
+they are right as often as wanted and which nearly all base matches of the kind reach
+(both by ``precision``). Undecided candidates that reach it, pass the check and touch no
+base span are added, of overlapping ones the best.
+
+Secrets (long strings behind a word like token or password and a sign) are told by one
+pattern and listed apart; they are no span of the four kinds.
 
 All of this is DataFrame and SQL functions. Matches keep Java's order, leftmost and
 not overlapping; possessive quantifiers and the look behind say what the plain
@@ -57,8 +61,7 @@ BEFORE, AFTER = 32, 12
 SAMPLE = 20_000
 FITTED = 0.75
 PRECISION = 0.97
-# Bounds of the share that the base finds of the right candidates alike in surroundings and format.
-FOUND = (0.2, 0.5)
+SECRET = r"""(?i)(?<![a-z0-9+/_-])(?=[a-z0-9+/_-]{16})(?<=(?:token|password|passwd|secret|api.?key)["']?\x20?[=:]\x20?["']?)[a-z0-9+/_-]++"""
 WORDS = {
     "says_phone": r"(?i)(?:phone|tel|call|fax|mobile)", "says_mail": r"(?i)(?:mail|contact|write)",
     "says_card": r"(?i)(?:card|visa|pay|credit)", "says_ip": r"(?i)(?:\bip\b|host|server|addr)", "says_secret": r"(?i)(?:token|password|key|secret)",
@@ -91,7 +94,7 @@ def text_key(text: Column) -> Column:
 
 def all_matches(docs: DataFrame, text: str) -> DataFrame:
     """``tk, kind, base, start, end, match, before, after`` of every match of every pattern in every text."""
-    patterns = [(kind, True, BASE[kind]) for kind in KINDS] + [(kind, False, WIDE[kind]) for kind in KINDS]
+    patterns = [(kind, True, BASE[kind]) for kind in KINDS] + [(kind, False, WIDE[kind]) for kind in KINDS] + [("secret", True, SECRET)]
     rows = docs.select(text_key(F.col(text)).alias("tk"), F.col(text).alias("_text")).filter("_text IS NOT NULL")
     found = {}
     for i, (kind, base, pattern) in enumerate(patterns):
@@ -137,54 +140,96 @@ def features(candidates: DataFrame) -> tuple[DataFrame, list[str]]:
     return candidates.withColumns({n: c.cast("double") for n, c in values.items()}), list(values)
 
 
+FORMAT = ["groups", "longest_group", "first_digit"]
+CONTEXT = ["letter_before", "letter_after", "sign_before", "sign_after", *WORDS]
+
+
 def overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def meets_base(keys: list[str]) -> Column:
+    """Whether a span overlaps a base span with the same keys. The spans of one text pass once in each
+    direction: one that begins before must end after, one that begins later must begin inside."""
+    is_base = F.col("base")
+    before = W.partitionBy(*keys).orderBy("start").rangeBetween(W.unboundedPreceding, -1)
+    behind = W.partitionBy(*keys).orderBy(F.col("start").desc()).rangeBetween(W.unboundedPreceding, 0)
+    reaches = F.coalesce(F.max(F.when(is_base, F.col("end"))).over(before) > F.col("start"), F.lit(False))
+    begins = F.coalesce(F.min(F.when(is_base, F.col("start"))).over(behind) < F.col("end"), F.lit(False))
+    return reaches | begins
+
+
 def thresholds(scored: DataFrame, precision: float) -> dict[str, float]:
-    """For each kind the lowest score, to three places, from which on unlabelled rows are right often enough.
+    """For each kind the lowest score, to three places, from which on labelled rows are right often enough
+    and which nearly all right ones reach.
 
     One aggregate of at most 1,001 rows a kind over all of ``scored``, whatever its size.
     """
     counts = (
         scored.groupBy("kind", F.floor(F.col("score") * 1000).cast("int").alias("step"))
-        .agg(F.sum("label").alias("known"), F.sum(F.col("free").cast("int")).alias("free"), F.avg("score").alias("score")).collect()
+        .agg(F.sum("label").alias("right"), F.sum(1 - F.col("label")).alias("wrong")).collect()
     )
     out = {}
     for kind in KINDS:
         rows = sorted((r for r in counts if r.kind == kind), key=lambda r: -r.step)
-        known = sum(r.known for r in rows)
-        if not known:
-            continue
-        c = min(max(sum(r.known * r.score for r in rows) / known, FOUND[0]), FOUND[1])
-        # From this score on every single row is right often enough, also where none was counted.
-        odds = precision * c / (1 - c)
-        least, n, right = odds / (1 + odds), 0, 0.0
+        every, right, wrong = sum(r.right for r in rows), 0, 0
         for row in rows:
-            n, right = n + row.free, right + row.free * min(1.0, (1 - c) / c * row.score / max(1 - row.score, 1e-9))
-            if row.free and right >= precision * n:
-                least = min(least, row.step / 1000)
-        out[kind] = least
+            reached = right >= precision * every
+            right, wrong = right + row.right, wrong + row.wrong
+            if right and right >= precision * (right + wrong) and not reached:
+                out[kind] = row.step / 1000
     return out
 
 
+def apart(spans: DataFrame) -> DataFrame:
+    """``tk, added``: of spans that overlap the best ones, by score, then length, then kind."""
+    # Runs of spans that touch the one before; a text is cut into many small ones.
+    place = W.partitionBy("tk").orderBy("start", "end", "number")
+    so_far = F.max("end").over(place.rowsBetween(W.unboundedPreceding, -1))
+    begins = F.when(F.col("start") < F.coalesce(so_far, F.lit(-1)), 0).otherwise(1)
+    runs = spans.withColumn("begins", begins).withColumn("run", F.sum("begins").over(place.rowsBetween(W.unboundedPreceding, 0)))
+    each = runs.groupBy("tk", "run").agg(F.collect_list(F.struct("number", "start", "end", "kind", "score")).alias("good"))
+
+    def better(a: Column, b: Column) -> Column:
+        def rank(x: Column) -> Column:
+            return F.struct(x["score"], x["end"] - x["start"], -x["number"], -x["start"])
+
+        return rank(a) > rank(b)
+
+    best = F.filter("good", lambda a: ~F.exists("good", lambda b: overlap(a, b) & better(b, a)))
+    return each.select("tk", F.explode(best).alias("s")).groupBy("tk").agg(F.array_sort(F.collect_list("s")).alias("added"))
+
+
 def find_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
-    """``tk, base, added``: for each different text with spans, lists of kind number, kind, start, end and score."""
+    """``tk, base, added, secrets``: for each different text with spans, lists of kind number, kind, start, end and score."""
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     stored = materialize(all_matches(docs, text).withColumn("number", number), "matches")
-    accepted = stored.filter("base").filter(passes(F.col("kind"), F.col("match")))
-    base = accepted.groupBy("tk").agg(F.array_sort(F.collect_list(F.struct("number", "start", "end", "kind"))).alias("base"))
-    wide = stored.filter(~F.col("base")).drop("base").join(base, "tk", "left").withColumn("base", F.coalesce("base", F.array().cast(base.schema["base"].dataType)))
-    here = F.struct("start", "end")
+    secrets = stored.filter(F.col("kind") == "secret").groupBy("tk").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("secrets"))
+    spans = stored.filter((F.col("kind") != "secret") & (~F.col("base") | passes(F.col("kind"), F.col("match"))))
+    base = spans.filter("base").groupBy("tk").agg(F.array_sort(F.collect_list(F.struct("number", "start", "end", "kind"))).alias("base"))
     wide = (
-        wide.withColumn("label", F.exists("base", lambda b: (b["number"] == F.col("number")) & overlap(b, here)).cast("double"))
-        .withColumn("touched", F.exists("base", lambda b: overlap(b, here))).drop("base")
+        spans.withColumn("own", meets_base(["tk", "number"])).withColumn("touched", meets_base(["tk"])).filter(~F.col("base")).drop("base")
+        .withColumn("free", ~F.col("touched") & ((F.col("kind") == "phone") | passes(F.col("kind"), F.regexp_replace("match", ":[0-9]+$", ""))))
     )
-    wide = wide.withColumn("free", ~F.col("touched") & ((F.col("kind") == "phone") | passes(F.col("kind"), F.regexp_replace("match", ":[0-9]+$", ""))))
     described, names = features(wide)
-    assembled = materialize(VectorAssembler(inputCols=names, outputCol="features").transform(described).drop(*names), "candidates")
-    totals = {(r.kind, r.label): r["count"] for r in assembled.groupBy("kind", "label").count().collect()}
-    none = base.withColumn("added", F.array().cast("array<struct<number:int,start:bigint,end:bigint,kind:string,score:double>>"))
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(described.withColumns({"context": F.concat_ws(",", *CONTEXT), "format": F.concat_ws(",", *FORMAT)}))
+    assembled = materialize(vectors.drop(*names), "candidates")
+    # At most four kinds by two to the number of signs, and by a few hundred formats.
+    for name in ("context", "format"):
+        known = assembled.groupBy("kind", name).agg(F.max(F.col("own").cast("int")).alias(f"{name}_holds"))
+        assembled = assembled.join(F.broadcast(known), ["kind", name])
+    strange = (F.col("context_holds") == 0) | (F.col("format_holds") == 0)
+    labelled = assembled.withColumn("label", F.when(F.col("own"), 1.0).when(strange, 0.0))
+    added = apart(_accepted(labelled, sample, precision))
+    found = base.join(added, "tk", "full_outer").join(secrets, "tk", "full_outer")
+    return found
+
+
+def _accepted(candidates: DataFrame, sample: int, precision: float) -> DataFrame:
+    """The undecided candidates that the trees accept; none if there is only one label to learn from."""
+    told = candidates.filter(F.col("label").isNotNull())
+    totals = {(r.kind, r.label): r["count"] for r in told.groupBy("kind", "label").count().collect()}
+    none = candidates.filter(F.lit(False)).withColumn("score", F.lit(0.0))
     if {label for _, label in totals} != {0.0, 1.0}:
         return none
     # A hash decides who is fitted, so a rerun fits the same trees; weights restore each kind's own shares.
@@ -197,7 +242,7 @@ def find_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precis
     place = F.pmod(F.xxhash64("tk", "kind", "start"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     fitted = place < by_stratum(shares)
     weight = by_stratum({k: of_kind[k[0]] / share for k, share in shares.items()}).alias("weight")
-    known = materialize(assembled.filter(fitted).orderBy("tk", "kind", "start").select("label", "features", weight), "candidate-sample")
+    known = materialize(told.filter(fitted).orderBy("tk", "kind", "start").select("label", "features", weight), "candidate-sample")
     if known.select("label").distinct().count() < 2:
         return none
     trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=7, checkpointInterval=-1, weightCol="weight")
@@ -206,35 +251,26 @@ def find_spans(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precis
     def scored(rows: DataFrame) -> DataFrame:
         return model.transform(rows).withColumn("score", vector_to_array("probability")[1])
 
-    least = thresholds(scored(assembled.filter(~fitted)), precision)
+    least = thresholds(scored(told.filter(~fitted)), precision)
     limit = F.coalesce(*[F.when(F.col("kind") == kind, F.lit(t)) for kind, t in least.items()], F.lit(2.0))
-    good = scored(assembled.filter("free")).filter(F.col("score") >= limit)
-    all_good = good.groupBy("tk").agg(F.collect_list(F.struct("number", "start", "end", "kind", "score")).alias("good"))
-
-    def better(a: Column, b: Column) -> Column:
-        """Whether of two overlapping candidates the first is taken: score, then length, then kind."""
-        def rank(x: Column) -> Column:
-            return F.struct(x["score"], x["end"] - x["start"], -x["number"], -x["start"])
-
-        return rank(a) > rank(b)
-
-    added = F.array_sort(F.filter("good", lambda a: ~F.exists("good", lambda b: overlap(a, b) & better(b, a))))
-    return base.join(all_good.select("tk", added.alias("added")), "tk", "full_outer")
+    return scored(candidates.filter(F.col("free") & F.col("label").isNull())).filter(F.col("score") >= limit)
 
 
 def personal_data(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """``docs`` with ``base`` and ``added`` spans, both in the order of kind and start."""
+    """``docs`` with ``base`` and ``added`` spans, both in the order of kind and start, and ``secrets``."""
     spans = find_spans(docs.select(text), text, **options)
-    rows = docs.drop("base", "added").withColumn("tk", text_key(F.col(text)))
-    kinds = {n: spans.schema[n].dataType for n in ("base", "added")}
-    joined = rows.join(spans, "tk", "left").drop("tk")
+    key = "tk" + "_" * max([len(c) for c in docs.columns], default=0)
+    rows = docs.drop("base", "added", "secrets").withColumn(key, text_key(F.col(text)))
+    kinds = {n: spans.schema[n].dataType for n in ("base", "added", "secrets")}
+    joined = rows.join(spans.withColumnRenamed("tk", key), key, "left").drop(key)
     return joined.withColumns({n: F.coalesce(n, F.array().cast(kind)) for n, kind in kinds.items()})
 
 
 def redact(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the text's spans replaced by their kind in brackets."""
     found = personal_data(docs.withColumns({f"_kept_{c}": F.col(c) for c in docs.columns}), text, **options)
-    spans = F.array_sort(F.transform(F.concat(F.transform("base", _place), F.transform("added", _place)), lambda s: s))
+    secret = F.transform("secrets", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("secret").alias("kind")))
+    spans = F.array_sort(F.concat(F.transform("base", _place), F.transform("added", _place), secret))
 
     def cut(state: Column, s: Column) -> Column:
         return F.struct(

@@ -148,7 +148,13 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str):
         return F.coalesce(F.size(F.filter("base", lambda s: s["kind"] == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
 
-    return rows.select("doc_id", *map(count, personal.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("base", "added").alias("spans"))
+    def size(column: str, name: str):
+        return F.coalesce(F.size(column), F.lit(0)).cast("long").alias(name)
+
+    return rows.select(
+        "doc_id", *map(count, personal.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("base", "added").alias("spans"),
+        size("added", "n_added"), size("secrets", "n_secret"),
+    )
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
