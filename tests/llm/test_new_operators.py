@@ -462,3 +462,32 @@ def test_secrets_of_the_tables_are_found(spark):
     got = queries.op9_personal_data(spark, "/root/testdata/sf0.01").agg(F.sum("n_added").alias("added"), F.sum("n_secret").alias("secrets")).first()
     texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     assert got.secrets == sum(len(re.findall(r'(?i)token = "[0-9a-f]{16,}"', t)) for t in texts) > 0
+
+
+# 4 near duplicates: both ways to pairs
+
+
+@pytest.mark.parametrize("few", [1, 1_000])
+def test_links_do_not_depend_on_how_pairs_come_up(spark, monkeypatch, few):
+    """A passage that all documents share makes keys of many packs; families are linked in chains of edits."""
+    from test_text_operators import linked_classes
+
+    from threatlens.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "FEW_PACKS", few)
+    monkeypatch.setattr(jaccard, "PACK_SETS", 2)
+    monkeypatch.setattr(jaccard, "HOST_QUERIES", 3)
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for family in range(8):
+        words = passage + [f"f{family}w{i}" for i in range(40)]
+        for step in range(10):
+            words = list(words)
+            for _ in range(2):
+                words[rng.randrange(len(words))] = f"e{family}x{step}y{rng.randrange(9)}"
+            rows.append((family * 10 + step, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected = linked_classes(rows, 5, 80, 100)
+    assert len(set(expected.values())) > 8
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, 5, 80).collect()} == expected

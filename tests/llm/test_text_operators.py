@@ -286,8 +286,8 @@ def test_components_are_exact(spark, monkeypatch, length, over, size, pack):
 def test_groups_of_several_blocks_carry_no_list(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
     sizes = spark.createDataFrame([(1, 9, 90), (2, 8, 80), (3, 1, 10), (4, 1, 10)], "grp long, n_sets long, shingles long")
-    lists = spark.createDataFrame([(1, [5, 6]), (2, [5]), (3, [6])], "grp long, shared array<long>")
-    got = {r.grp: (r.blocks, r.shared) for r in jaccard.groups_to_open(sizes, lists).collect()}
+    parts = spark.createDataFrame([(5, 1), (6, 1), (5, 2), (6, 3)], "part long, grp long")
+    got = {r.grp: (r.blocks, r.shared) for r in jaccard.groups_to_open(sizes, parts).collect()}
     assert got == {1: (2, []), 2: (1, [5]), 3: (1, [6])}
 
 
