@@ -12,6 +12,8 @@ from threatlens.models.clusters import (
     centers_table,
     choose_k,
     fit_clusters,
+    fit_every_k,
+    lloyd,
     merge_points,
     start_centers,
     update_clusters,
@@ -81,6 +83,45 @@ def test_choose_k(spark):
     assert table.filter("is_elbow").count() == 1
 
 
+def test_sets_of_centers_move_together_as_each_would_alone(spark):
+    points = materialize(merge_points(blobs(spark), AXES))
+    plain = [(r.x, r.y, r.weight) for r in points.collect()]
+    starts = {2: [(0.0, 0.0), (30.0, 10.0)], 3: [(0.0, 0.0), (0.0, 1.0), (500.0, 500.0)]}
+    got = {(r.k, r.cluster): (r.center, r.n, r.inertia) for r in lloyd(points, starts, AXES, tolerance=0.0).collect()}
+    assert len(got) == 5
+    for k, centers in starts.items():
+        for _ in range(40):
+            near = [min(((x - c[0]) ** 2 + (y - c[1]) ** 2, i) for i, c in enumerate(centers)) for x, y, _ in plain]
+            own = [[p for p, (_, i) in zip(plain, near) if i == j] for j in range(k)]
+            cost = sum(p[2] * d for p, (d, _) in zip(plain, near))
+            sizes = [sum(p[2] for p in ps) for ps in own]
+            centers = [
+                tuple(sum(p[2] * p[a] for p in ps) / n for a in (0, 1)) if ps else c for ps, n, c in zip(own, sizes, centers)
+            ]
+        for i in range(k):
+            center, n, inertia = got[k, i]
+            assert center == pytest.approx(centers[i]) and n == sizes[i] and inertia == pytest.approx(cost)
+    assert got[3, 2] == ([500.0, 500.0], 0.0, got[3, 0][2])  # nobody is closest to it
+
+
+def test_every_k_is_as_good_as_a_fit_of_its_own(spark):
+    i = F.col("id")
+    df = spark.range(2000).select(*[(F.xxhash64(i, F.lit(a)) % 40 + 25.0 * (i % 5)).alias(a) for a in AXES])
+    each = {r.k: r.inertia for r in fit_every_k(df, range(2, 8), features=AXES).select("k", "inertia").distinct().collect()}
+    assert sorted(each) == [2, 3, 4, 5, 6, 7]
+    for k, inertia in each.items():
+        assert inertia <= 1.1 * fit_clusters(df, k, features=AXES).summary.trainingCost
+    weighted = merge_points(df, AXES).withColumnRenamed("weight", "n")
+    again = fit_every_k(weighted.repartition(5), range(2, 8), features=AXES, weight="n")
+    assert {r.k: r.inertia for r in again.collect()} == pytest.approx(each)
+
+
+def test_every_k_on_odd_rows(spark):
+    same = spark.createDataFrame([(1.0, 2.0)] * 3 + [(None, 2.0), (float("nan"), 1.0), (float("inf"), 1.0)], "x DOUBLE, y DOUBLE")
+    assert rows(fit_every_k(same, (2, 3), features=AXES)) == [(2, 0, [1.0, 2.0], 3.0, 0.0), (3, 0, [1.0, 2.0], 3.0, 0.0)]
+    assert choose_k(same.limit(0), (2, 3), features=AXES).count() == fit_every_k(same.filter("x > 9e9 AND x < 0"), (2,), features=AXES).count() == 0
+
+
 def test_update_moves_centers_by_decayed_mean(spark):
     centers = spark.createDataFrame([(0, [0.0, 0.0], 4.0), (1, [100.0, 100.0], 2.0)], "cluster INT, center ARRAY<DOUBLE>, n DOUBLE")
     batch = spark.createDataFrame([(3.0, 0.0), (6.0, 3.0)], "x DOUBLE, y DOUBLE")

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.models.arma import PERIOD
-from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters, centers_table, choose_k, fit_clusters, update_clusters
+from threatlens.models.clusters import CLUSTER_FEATURES, assign_clusters, centers_table, choose_k, fit_clusters, lloyd, merge_points, update_clusters
 from threatlens.models.features import ENCODED, forecast_features, min_max, prepare_features, standardize
 from threatlens.models.forests import (
     actual_vs_predicted,
@@ -161,6 +161,12 @@ def _coded(spark, sf_dir):
     return encode_labels(rows, fit_labels(rows, CLUSTERED), CLUSTERED)
 
 
+def _merged(spark, sf_dir):
+    """Equal combinations merged before they are coded: the codes stay the same."""
+    rows = materialize(incidents(spark, sf_dir).groupBy(*CLUSTERED).agg(F.count(F.lit(1)).alias("rows")), "coded")
+    return encode_labels(rows, fit_labels(rows, CLUSTERED), CLUSTERED)
+
+
 def _update_sql() -> str:
     features = [f"{c}_encoded" for c in CLUSTERED]
     rows = " UNION ALL ".join(
@@ -195,10 +201,40 @@ def fitted_clusters(spark, sf_dir):
     return centers.join(own, "cluster").select("cluster", total.alias("rows_in_all"), (off < 0.5).alias("nearest"))
 
 
+def _lloyd_sql(steps: int) -> str:
+    """Every step places all points in all sets, the last one only to measure."""
+    first = " UNION ALL ".join(
+        f"SELECT {k} AS k, {cluster} AS cluster, {x} AS x, {y} AS y, {z} AS z" for k in (2, 3, 4) for cluster, (x, y, z) in CENTERS[:k]
+    )
+    axes = ", ".join(f"CAST({c}_encoded AS DOUBLE) AS {axis}" for c, axis in zip(CLUSTERED, "xyz"))
+    text = f", points AS (SELECT {axes}, count(*) AS w FROM coded GROUP BY ALL), centers0 AS ({first})"
+    for step in range(steps + 1):
+        moved = ", ".join(f"coalesce(any_value(m.{a}), any_value(c.{a})) AS {a}" for a in "xyz")
+        text += f""",
+far{step} AS (SELECT k, cluster, p.*, (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y) + (p.z - c.z) * (p.z - c.z) AS d FROM points p, centers{step} c),
+near{step} AS (SELECT * FROM far{step} QUALIFY row_number() OVER (PARTITION BY k, x, y, z ORDER BY d, cluster) = 1),
+means{step} AS (SELECT k, cluster, sum(w) AS n, sum(w * x) / sum(w) AS x, sum(w * y) / sum(w) AS y, sum(w * z) / sum(w) AS z, sum(w * d) AS cost FROM near{step} GROUP BY 1, 2),
+centers{step + 1} AS (SELECT c.k, c.cluster, {moved} FROM centers{step} c LEFT JOIN means{step} m ON c.k = m.k AND c.cluster = m.cluster GROUP BY 1, 2)"""
+    return incidents_sql(codes_sql() + text + f"""
+SELECT CAST(c.k AS INTEGER) AS k, CAST(c.cluster AS INTEGER) AS cluster, round(c.x, 6) AS x, round(c.y, 6) AS y, round(c.z, 6) AS z,
+  CAST(coalesce(m.n, 0) AS DOUBLE) AS n, round(sum(m.cost) OVER (PARTITION BY c.k) / sum(m.n) OVER (PARTITION BY c.k), 6) AS mean_cost
+FROM centers{steps} c LEFT JOIN means{steps} m ON c.k = m.k AND c.cluster = m.cluster""")
+
+
+@query("clusters_of_every_k", _lloyd_sql(2))
+def every_k(spark, sf_dir):
+    """Two steps from given centers, for two, three and four clusters at once."""
+    points = materialize(merge_points(_merged(spark, sf_dir), weight="rows"), "points")
+    fits = lloyd(points, {k: [c for _, c in CENTERS[:k]] for k in (2, 3, 4)}, steps=2, tolerance=0.0)
+    axes = [F.round(F.col("center")[i], 6).alias(axis) for i, axis in enumerate("xyz")]
+    return fits.select("k", "cluster", *axes, "n", F.round(F.col("inertia") / F.sum("n").over(W.partitionBy("k")), 6).alias("mean_cost"))
+
+
+
 @query("choose_cluster_count", "SELECT CAST(k AS INTEGER) AS k, true AS falls, 1 AS lowest, 1 AS elbows FROM range(2, 9) r(k)")
 def cluster_counts(spark, sf_dir):
     """Every k, whether its inertia is no more than a tenth above the smaller k's, and how many are marked."""
-    tried = choose_k(_coded(spark, sf_dir))
+    tried = choose_k(_merged(spark, sf_dir), weight="rows")
     before = F.lag("inertia").over(W.orderBy("k"))  # seven rows
     marks = [F.sum(F.col(c).cast("int")).over(W.partitionBy(F.lit(1))).cast("int") for c in ("is_lowest", "is_elbow")]
     return tried.select("k", F.coalesce(F.col("inertia") <= before * 1.1, F.lit(True)).alias("falls"), marks[0].alias("lowest"), marks[1].alias("elbows"))
