@@ -6,7 +6,7 @@ import json
 from conftest import rows
 from pyspark.sql import functions as F
 
-from threatlens.models.labels import fit_labels
+from threatlens.models.labels import GrowingLabels, fit_labels
 from threatlens.operators import rollups
 from threatlens.operators.clean import parse_events
 from threatlens.operators.points import latest_points, rank_points, tag
@@ -27,7 +27,15 @@ from threatlens.streaming.live import (
     start_stream,
 )
 from threatlens.streaming.rollups import ROLLUPS, rollup_counts, rollup_points
-from threatlens.streaming.running import OnlineClusters, drain, final_state, running_count, running_top_k, stream_count_by_window
+from threatlens.streaming.running import (
+    OnlineClusters,
+    RunningTop,
+    drain,
+    final_state,
+    running_count,
+    running_top_k,
+    stream_count_by_window,
+)
 
 SCHEMA = "id_indicator BIGINT, created_indicator TIMESTAMP, source_country STRING, target_country STRING"
 
@@ -57,6 +65,55 @@ def test_running_answers_equal_the_batch_answer(spark, folder):
     assert rows(top) == [("a", 3), ("b", 3)]
 
 
+def test_leaders_by_change_equal_the_leaders_of_all_counts(spark, folder):
+    top = RunningTop(spark, f"{folder}/top", "source_country", 2)
+    changes = [[("a", 3), ("b", 3), ("c", 1)], [("c", 4), ("d", 1)], [], [("b", 4), ("a", 9)]]
+    counts: dict[str, int] = {}
+    for i, change in enumerate(changes):
+        counts.update(change)
+        frame = spark.createDataFrame(change, "source_country STRING, count BIGINT")
+        for _ in range(2):  # a replayed batch changes nothing
+            top(frame, i)
+            expected = sorted(counts.items(), key=lambda pair: (-pair[1], pair[0]))[:2]
+            assert rows(top.latest()) == sorted(expected)
+    assert {r.version for r in top.versions().select("version").distinct().collect()} == {3, 4}
+
+    stream = running_count(replay_stream(spark, three_batches(spark, folder)), "source_country")
+    whole = RunningTop(spark, f"{folder}/whole", "source_country", 2)
+    started = stream.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/p").foreachBatch(whole)
+    started.trigger(availableNow=True).start().awaitTermination()
+    assert rows(whole.latest()) == [("a", 3), ("b", 3)]
+
+
+def test_codes_of_a_stream_never_move(spark, folder):
+    labels, out = GrowingLabels(spark, f"{folder}/labels", ["c", "d"], rows=2), {}
+
+    def send(batch_id, *data):
+        frame = spark.createDataFrame(list(data), "c STRING, d INT, id INT")
+
+        def keep(coded):
+            out[batch_id] = {r.id: (r.c_encoded, r.d_encoded) for r in coded.collect()}
+
+        labels.encode(frame, batch_id, keep)
+        return out[batch_id]
+
+    first = send(0, ("m", 5, 1), ("z", 5, 2), ("m", None, 3))
+    assert first == {1: (0, 0), 2: (1, 0), 3: (0, 1)}  # a missing value is encoded as its text
+    second = send(1, ("a", 7, 4), ("z", None, 5), (None, 6, 6), ("B", 5, 7))
+    assert second == {4: (4, 3), 5: (1, 1), 6: (3, 2), 7: (2, 0)}
+    assert send(2, ("z", 7, 8)) == {8: (1, 3)}  # nothing new
+    assert send(3) == {}
+    before = rows(labels.entries())
+    assert send(1, ("a", 7, 4), ("z", None, 5), (None, 6, 6), ("B", 5, 7)) == second and rows(labels.entries()) == before
+    assert len({(r.column, r.code) for r in labels.entries().collect()}) == labels.entries().count() == 9
+
+    known = fit_labels(spark.createDataFrame([("x",), ("y",)], "c STRING"), ["c"])
+    grown = GrowingLabels(spark, f"{folder}/grown", ["c"], start=known)
+    got = []
+    grown.encode(spark.createDataFrame([("w",), ("y",)], "c STRING"), 0, lambda coded: got.extend(rows(coded)))
+    assert got == [("w", 2), ("y", 1)]
+
+
 def test_watermark_ignores_rows_that_are_too_late(spark, folder):
     path = f"{folder}/in"
     batch(spark, path, (1, 1, "a", "x"), (2, 55, "a", "x"))

@@ -6,7 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from threatlens.models.clusters import CLUSTER_FEATURES, start_centers
-from threatlens.models.labels import encode_labels, fit_labels
+from threatlens.models.labels import GrowingLabels, encode_labels, fit_labels
 from threatlens.operators.clean import parse_events
 from threatlens.plans.checks.cleaning import MESSAGE_SCHEMA, MESSAGES, PARSED, shown
 from threatlens.plans.checks.registry import incidents_sql, query, second
@@ -18,7 +18,15 @@ from threatlens.sources.streams import replay_stream
 from threatlens.sources.views import incidents, messages, table
 from threatlens.streaming.live import CLUSTERED, LivePath, start_stream
 from threatlens.streaming.rollups import ROLLUPS
-from threatlens.streaming.running import OnlineClusters, drain, final_state, running_count, running_top_k, stream_count_by_window
+from threatlens.streaming.running import (
+    OnlineClusters,
+    RunningTop,
+    drain,
+    final_state,
+    running_count,
+    running_top_k,
+    stream_count_by_window,
+)
 
 
 def _stream(spark, sf_dir):
@@ -60,6 +68,53 @@ def stream_authors(spark, sf_dir):
     return final_state(emitted, "complete")
 
 
+# Which of the three batches of _stream a row is in.
+THIRDS = """,
+span AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events),
+placed AS (SELECT incidents.*, CAST(least((epoch_us(created_indicator) - low) * 3 // (high - low + 1), 2) AS BIGINT) AS third FROM incidents, span)"""
+
+
+@query(
+    "stream_top_authors_by_change",
+    incidents_sql(THIRDS + """,
+counted AS (
+  SELECT b.third AS batch_id, author_name, count(*) AS "count" FROM placed JOIN range(3) b(third) ON placed.third <= b.third GROUP BY 1, 2
+)
+SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY "count" DESC, author_name) <= 10"""),
+)
+def stream_top_by_change(spark, sf_dir):
+    """The ten leaders after each of three batches, from the counts that changed."""
+    top = RunningTop(spark, scratch_path(spark, "leaders"), "author_name", keep=4)
+    counts = running_count(_incident_stream(spark, sf_dir), "author_name")
+    progress = scratch_path(spark, "progress")
+    stream = counts.writeStream.outputMode("update").option("checkpointLocation", progress).foreachBatch(top)
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return top.versions().withColumn("batch_id", F.col("version") - 1).drop("version")
+
+
+@query(
+    "stream_growing_labels",
+    incidents_sql(THIRDS + ", cells AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c} AS value, third FROM placed" for c in ("author_name", "ip")) + """),
+seen AS (SELECT "column", value, min(third) AS batch_id, count(*) AS "rows" FROM cells GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY batch_id, value) - 1 AS BIGINT) AS code FROM seen"""),
+)
+def growing_labels(spark, sf_dir):
+    """Every value, the batch that brought it in, its code, and the rows of three batches that carry the code."""
+    columns, out = ["author_name", "ip"], scratch_path(spark, "encoded")
+    labels = GrowingLabels(spark, scratch_path(spark, "labels"), columns)
+
+    def keep(batch, batch_id):
+        labels.encode(batch, batch_id, lambda coded: coded.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+
+    start_stream(_incident_stream(spark, sf_dir).select(*columns), keep, scratch_path(spark, "progress"), available_now=True).awaitTermination()
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"{c}_encoded").alias("code")) for c in columns
+    ])
+    carried = spark.read.parquet(out).select(F.inline(cells)).groupBy("column", "value", "code").agg(F.count(F.lit(1)).alias("rows"))
+    return labels.entries().drop("n").join(carried, ["column", "value", "code"], "left")
+
+
 @query("stream_parse_messages", f"WITH {MESSAGES} {PARSED} WHERE ok")
 def stream_parse(spark, sf_dir):
     parsed = parse_events(messages(_stream(spark, sf_dir)), MESSAGE_SCHEMA, "drop")

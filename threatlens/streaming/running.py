@@ -27,6 +27,45 @@ def running_top_k(events: DataFrame, key: str, k: int = 10, name: str = "count",
     return counts.orderBy(F.col(name).desc(), F.col(key).asc()).limit(k)
 
 
+class RunningTop:
+    """The k most frequent values so far, kept from the counts that changed.
+
+    A sink for ``running_count`` in mode ``update``. Counts only grow, so the new leaders are
+    among the old ones and the values that changed: a batch reads its changed keys and k
+    rows, however many keys the state holds, where ``running_top_k`` sorts them all. Batch n
+    reads version n and writes version n + 1, so a replayed batch writes the same again; the
+    newest ``keep`` versions stay (two at least, for the replay of the last batch).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, k: int = 10, name: str = "count", keep: int = 2,
+                 kind: str = "STRING"):
+        self.spark, self.path, self.key, self.k, self.name, self.keep = spark, path, key, k, name, max(2, keep)
+        self.schema = f"`{key}` {kind}, `{name}` BIGINT"
+        spark.createDataFrame([], self.schema).write.mode("ignore").parquet(self._at(0))
+
+    def _at(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def versions(self) -> DataFrame:
+        """All versions that are kept; version n holds the leaders after n batches."""
+        return self.spark.read.schema(f"{self.schema}, version BIGINT").parquet(self.path)
+
+    def latest(self) -> DataFrame:
+        kept = self.versions()
+        newest = kept.agg(F.max("version")).scalar()
+        return kept.filter(F.col("version") == newest).drop("version")
+
+    def __call__(self, changed: DataFrame, batch_id: int) -> None:
+        before = self.spark.read.schema(self.schema).parquet(self._at(batch_id))
+        # A leader that changed is in both with its old and its new count, which is the larger one.
+        ahead = changed.select(self.key, self.name).orderBy(F.col(self.name).desc(), F.col(self.key)).limit(self.k)
+        both = before.unionByName(ahead).groupBy(self.key).agg(F.max(self.name).alias(self.name))
+        leaders = both.orderBy(F.col(self.name).desc(), F.col(self.key)).limit(self.k)
+        leaders.coalesce(1).write.mode("overwrite").parquet(self._at(batch_id + 1))
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(self._at(batch_id + 1 - self.keep))
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def stream_count_by_window(
     events: DataFrame,
     key: str,
