@@ -14,6 +14,7 @@ from threatlens.schema import INDICATOR_SCHEMA, ROLLUP_BUCKET
 from threatlens.sinks.files import as_messages, write_csv, write_messages
 from threatlens.sinks.points import compact_points, delete_points, ensure_bucket, idempotent_batch_sink, read_points, with_retries, write_frame, write_points
 from threatlens.sources.files import jdbc_options, read_documents, read_indicators_csv, read_table
+from threatlens.sources.records import csv_records, read_quoted_csv
 from threatlens.sources.streams import kafka_options, read_stream
 
 
@@ -155,6 +156,36 @@ def test_csv_round_trip_with_quotes_and_lines(spark, folder):
     assert rows(read_indicators_csv(spark, f"{folder}/csv", multi_line=True)) == rows(df)
 
 
+def test_quoted_line_ends_in_splits_equal_one_task(spark, folder):
+    from threatlens.schema import struct_of
+
+    schema = struct_of("id INT, text STRING, n DOUBLE, absent STRING")
+    texts = ['plain', ' blanks ', 'a "quoted" one', 'two\nlines', '"\n"\n\n', 'comma, and\r\nboth', '', None, 'long\n' * 60, '""', ' é\n']
+    data = [(i, texts[i % len(texts)], None if i % 7 == 0 else i / 4) for i in range(200)]
+    df = spark.createDataFrame(data, "id INT, text STRING, n DOUBLE")
+    write_csv(df.repartition(2), f"{folder}/csv")
+    one_task = rows(read_indicators_csv(spark, f"{folder}/csv", schema, multi_line=True))
+    assert one_task == rows(df.withColumn("absent", F.lit(None)).replace("", None, "text"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("100", "1000", "100000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            if size == "100":
+                assert spark.read.text(f"{folder}/csv").rdd.getNumPartitions() >= 8
+            assert rows(read_quoted_csv(spark, f"{folder}/csv", schema)) == one_task
+            assert csv_records(spark, f"{folder}/csv").filter("first").count() == 2
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    with open(f"{folder}/bare.csv", "w", newline="") as out:
+        out.write('1,"x\r\ny",2\r\n\r\n2,z,no\r\n3,"open\n4,w,1')
+    got = rows(read_quoted_csv(spark, f"{folder}/bare.csv", struct_of("id INT, text STRING, n DOUBLE"), header=False))
+    assert got[:2] == [(1, "x\r\ny", 2.0), (2, "z", None)] and got[2][0] == 3 and len(got) == 3
+    open(f"{folder}/none.csv", "w").close()
+    assert csv_records(spark, f"{folder}/none.csv").count() == 0
+
+
 def test_csv_cells_that_do_not_fit_become_null(spark, folder):
     with open(f"{folder}/in.csv", "w") as out:
         out.write("id,n\n1,x\n2,3\n")

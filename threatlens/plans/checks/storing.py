@@ -19,6 +19,7 @@ from threatlens.session import scratch_path
 from threatlens.sinks.files import write_csv, write_messages
 from threatlens.sinks.points import compact_points, delete_points, ensure_bucket, idempotent_batch_sink, read_points, write_frame, write_points
 from threatlens.sources.files import read_documents, read_indicators_csv, read_table
+from threatlens.sources.records import read_quoted_csv
 from threatlens.sources.views import daily_orders, incidents
 from threatlens.streaming.live import LivePath, run_rollups, start_stream
 
@@ -33,6 +34,18 @@ def csv_trip(spark, sf_dir):
     return read_indicators_csv(spark, path, struct_of(EXPORTED)).select("id_indicator", "ip", "author_name", "source_latitude")
 
 
+@query(
+    "csv_line_ends_read_back",
+    incidents_sql("""SELECT id_indicator, author_name || chr(10) || '"' || ip || '",' || chr(10) AS author_name, source_latitude FROM incidents"""),
+)
+def csv_lines(spark, sf_dir):
+    """Cells with quotes, commas and line ends, read by split."""
+    path = scratch_path(spark, "csv")
+    text = F.concat("author_name", F.lit('\n"'), "ip", F.lit('",\n')).alias("author_name")
+    write_csv(incidents(spark, sf_dir).select("id_indicator", text, "source_latitude"), path)
+    return read_quoted_csv(spark, path, struct_of(EXPORTED)).select("id_indicator", "author_name", "source_latitude")
+
+
 @query("read_stored_table", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
 def stored_table(spark, sf_dir):
     return read_table(spark, "customer", {"path": sf_dir}).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; quotes are doubled so that any text can be read back."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header; quotes are doubled and blanks and line ends at either end of a cell kept,
+    so that any text can be read back; only an empty text comes back as null."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def as_messages(df: DataFrame, key: str | None = None) -> DataFrame:
