@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ from compare import difference, duck
 
 from threatlens.llm import contamination, jaccard, mixing, neighbours, personal, queries, repeats, resampling, sharding, tokens, toxicity
 
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SQL = queries.oracle_sql()
 ODD = [
     (1, "A plain text of some words, said once and then again for good measure and length", "en", "s1", 80),
@@ -403,6 +405,29 @@ def test_repeats_of_the_tables(spark, small):
     assert got == {k: (gone, runs, sha) for k, _, gone, runs, sha in without_repeats(list(texts_of(spark, small).items()))}
 
 
+def test_shuffles_of_stored_steps_take_no_disk_in_later_ones(spark, monkeypatch):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    before, left, stored = shuffled(), [], repeats.materialize
+
+    def watched(df, label):
+        table = stored(df, label)
+        until = time.monotonic() + 10
+        while shuffled() - before and time.monotonic() < until:
+            time.sleep(0.1)
+        left.append(len(shuffled() - before))
+        return table
+
+    monkeypatch.setattr(repeats, "materialize", watched)
+    rows = [(i, f"{i} " + "some words that every one of these texts has, " * 20 + f"{i % 7}" * 60) for i in range(50)]
+    setting = spark.conf.get(SHUFFLES_END)
+    assert digest(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == without_repeats(rows)
+    assert len(left) == 4 and not any(left)
+    assert spark.conf.get(SHUFFLES_END) == setting
+
+
 def test_a_hash_collision_is_found_and_mended(monkeypatch):
     data = np.frombuffer(b"a" * 60 + b"b" * 60, np.uint8)
     monkeypatch.setattr(repeats.Suffixes, "agree", lambda self, a, b: np.full(len(a), repeats.LENGTH))

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.llm.text import BASE, INVERSE, chunks, grouped, mix, powers, ship_code
-from threatlens.session import discard, materialize
+from threatlens.session import discard, materialize, shuffles_end_with_jobs
 
 LENGTH = 50
 RUN = 18
@@ -339,6 +339,11 @@ def repeated_spans(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nd
 def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, spans``: for documents that repeat earlier ones, start and stop of the bytes, unmerged."""
     ship_code(docs.sparkSession, __name__)
+    with shuffles_end_with_jobs(docs.sparkSession):
+        return _find_repeats(docs, key, text)
+
+
+def _find_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text).toDF("doc_id", "text").filter(f"doc_id IS NOT NULL AND octet_length(text) >= {LENGTH}")
     pieces = materialize(piece_rows(texts), "pieces")
