@@ -435,6 +435,38 @@ def test_a_hash_collision_is_found_and_mended(monkeypatch):
     assert kinds[0] == kinds[1] != kinds[2] == kinds[3]
 
 
+def test_windows_are_sorted_by_their_bytes_within_each_segment():
+    rng = np.random.default_rng(6)
+    data = rng.choice(np.frombuffer(b"ab\x00\xff", np.uint8), 4000, p=[0.94, 0.02, 0.02, 0.02])
+    windows = rng.permutation(len(data) - repeats.LENGTH + 1)
+    segment = rng.integers(0, 300, len(windows)) * (rng.random(len(windows)) < 0.5)
+    keys = [(int(s), data[w:w + repeats.LENGTH].tobytes()) for s, w in zip(segment, windows)]
+    suffixes = repeats.Suffixes(data)
+    order, same = suffixes.sort(windows, segment)
+    ordered = [keys[i] for i in order]
+    assert ordered == sorted(keys)
+    assert same.tolist() == [False] + [a == b for a, b in zip(ordered, ordered[1:])] and 100 < same.sum() < len(same) - 100
+    shared = suffixes.agree(windows[order[1:]], windows[order[:-1]]).tolist()
+    assert shared == [next((n for n in range(50) if a[1][n] != b[1][n]), 50) for a, b in zip(ordered, ordered[1:])]
+    kinds = repeats.equal_windows(data, windows, segment)
+    assert len(set(zip(keys, kinds.tolist()))) == len(set(keys)) == len(set(kinds.tolist()))
+    assert not len(repeats.equal_windows(data, windows[:0], segment[:0]))
+
+
+def test_a_passage_in_very_many_surroundings_is_sorted_in_few_rounds():
+    rng = np.random.default_rng(7)
+    n = 30_000
+    around = rng.integers(97, 123, (n, 80), dtype=np.uint8)
+    around[:, 20:60] = np.frombuffer(b"a line that very many of the texts share", np.uint8)
+    windows = (np.arange(n)[:, None] * 80 + np.arange(31)).ravel()
+    began = time.thread_time()
+    kinds = repeats.equal_windows(around.ravel(), windows, np.zeros(len(windows), dtype=np.int64))
+    # Merging sorted runs took over ten times as long as these rounds.
+    assert time.thread_time() - began < 4
+    texts = around.ravel().tobytes()
+    assert len(set(kinds.tolist())) == len({texts[w:w + 50] for w in windows.tolist()})
+
+
 # 7 nearest neighbours
 
 

@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by a hash-compared suffix sort.
+"""Removal of repeated byte strings by a suffix sort.
 
 A byte goes if a string of ``LENGTH`` bytes over it also starts in a document with
 a smaller id. Such a string is called a window here.
@@ -10,11 +10,9 @@ a smaller id. Such a string is called a window here.
    windows that begin in it) that an earlier document has as well, by its BLAKE2
    digest, is repeated as a whole; only the first copy of a piece goes on.
 3. What is left of the windows is sent to the task of its anchor. There the suffixes
-   at all windows of different passages are sorted by merging. Two suffixes are
-   compared by hashes of their prefixes: binary search finds how far they agree, so
-   a comparison takes a logarithmic number of steps. Neighbours that agree over the
-   whole length by hash are compared byte by byte; if that ever fails, the sort is
-   done again on the bytes themselves.
+   at all windows of different passages are sorted by their bytes: those that tie so
+   far by some more bytes in each round, until each is alone or equal to its
+   neighbours over the whole length.
 
 Null texts are empty; texts shorter than a window lose nothing. Rows without an id
 take no part and keep all. Rows of one id are one document. Other columns do not
@@ -27,11 +25,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threatlens.llm.text import BASE, INVERSE, chunks, grouped, mix, powers, ship_code
+from threatlens.llm.text import BASE, chunks, grouped, mix, ship_code
 from threatlens.session import discard, materialize, shuffles_end_with_jobs
 
 LENGTH = 50
@@ -39,6 +38,8 @@ RUN = 18
 # One anchor in so many ends a piece.
 PIECE = 16
 PLACE_BITS = 24
+# Passages whose bytes are picked at once.
+MANY = 1 << 16
 
 
 def _shifts(span: int) -> list[int]:
@@ -53,11 +54,14 @@ def _shifts(span: int) -> list[int]:
 SHIFTS = _shifts(LENGTH - RUN + 1)
 
 
-def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of byte * BASE**place, and the inverse powers that shift a difference back."""
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-    return sums, powers(INVERSE, len(data) + 1)
+def run_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of every RUN bytes in a row, from the numbers of eight bytes that make them up."""
+    words = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    out, factor = np.zeros(len(data) - RUN + 1, dtype=np.uint64), BASE
+    for place in (*range(0, RUN - 8, 8), RUN - 8):
+        out += words[place:place + len(out)] * np.uint64(factor)
+        factor = factor * BASE % (1 << 64)
+    return mix(out, 51)
 
 
 def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,8 +77,7 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         return none.view(np.uint64), none, none, none
     text = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
     valid = text[:n] == text[LENGTH - 1:]
-    sums, back = prefix_sums(data)
-    hashes = mix((sums[RUN:] - sums[:-RUN]) * back[: len(data) - RUN + 1], 51)
+    hashes = run_hashes(data)
     # Hash and place in one number, so that one minimum finds both; of equal hashes the
     # leftmost. As many hash bits count for any length, so equal windows choose alike.
     place = np.arange(len(hashes), dtype=np.uint64)
@@ -152,11 +155,24 @@ def piece_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(emit, "digest binary, doc_id long, start int, stop int")
 
 
+def rows_of(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """All values of the lists, and the row of each; a null has none."""
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return np.repeat(np.arange(len(lists)), counts), lists.flatten()
+
+
+def slices(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.BinaryArray:
+    """The bytes between each start and stop."""
+    bounds = np.concatenate([[0], np.cumsum(stop - start)])
+    picked = data[np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], stop - start)]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(picked)])
+
+
 def passage_rows(texts: DataFrame) -> DataFrame:
     """``anchor, passage, docs, starts``: windows of shared anchors outside repeated pieces.
 
     ``texts`` has doc_id, text, shared (anchors) and repeated (start and stop of
-    windows). Equal passages of a chunk become one row.
+    windows). Equal passages of a chunk become one row (of a very long text those of MANY in a row).
     """
 
     def emit(batches):
@@ -165,132 +181,85 @@ def passage_rows(texts: DataFrame) -> DataFrame:
             hashes, first, last, text = anchors(data, at)
             if not len(text):
                 continue
-            wanted = np.zeros(len(hashes), dtype=bool)
+            # Keys of anchors and documents together; two that are equal by chance only let one more passage through.
+            row, keys = rows_of(rows.column("shared"))
+            wanted = np.isin(hashes + mix(text.astype(np.uint64)), keys.to_numpy().view(np.uint64) + mix(row.astype(np.uint64)))
             gone = np.zeros(len(data) + 1, dtype=np.int32)
-            shared, repeated = rows.column("shared"), rows.column("repeated")
-            bounds = np.searchsorted(text, np.arange(len(at)))
-            for i in range(rows.num_rows):
-                keys = shared[i].values.to_numpy() if shared[i].is_valid else np.empty(0, np.int64)
-                wanted[bounds[i]:bounds[i + 1]] = np.isin(hashes[bounds[i]:bounds[i + 1]].view(np.int64), keys)
-                if repeated[i].is_valid:
-                    spans = repeated[i].values
-                    np.add.at(gone, at[i] + spans.field("start").to_numpy(), 1)
-                    np.add.at(gone, at[i] + spans.field("stop").to_numpy(), -1)
+            row, spans = rows_of(rows.column("repeated"))
+            np.add.at(gone, at[row] + spans.field("start").to_numpy(), 1)
+            np.add.at(gone, at[row] + spans.field("stop").to_numpy(), -1)
             left = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) == 0)])
             # A piece ends where an anchor's windows end, so an anchor's windows stay or go together, but for the last few.
             wanted &= left[last + 1] > left[first]
-            pick = np.flatnonzero(wanted)
-            raw = data.tobytes()
-            by_key: dict[tuple[int, bytes], tuple[list[int], list[int]]] = {}
-            for h, a, b, t in zip(hashes[pick].view(np.int64).tolist(), first[pick].tolist(), last[pick].tolist(), text[pick].tolist()):
-                docs_of, starts = by_key.setdefault((h, raw[a:b + LENGTH]), ([], []))
-                docs_of.append(int(ids[t]))
-                starts.append(a - int(at[t]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in by_key], pa.int64()), pa.array([k[1] for k in by_key], pa.binary()),
-                 pa.array([v[0] for v in by_key.values()], pa.list_(pa.int64())), pa.array([v[1] for v in by_key.values()], pa.list_(pa.int32()))],
-                names=["anchor", "passage", "docs", "starts"],
-            )
+            every = np.flatnonzero(wanted)
+            for i in range(0, len(every), MANY):
+                pick = every[i:i + MANY]
+                code = slices(data, first[pick], last[pick] + LENGTH).dictionary_encode()
+                number = code.indices.to_numpy()
+                order = np.argsort(number, kind="stable")
+                pick = pick[order]
+                bounds = np.searchsorted(number[order], np.arange(len(code.dictionary) + 1)).astype(np.int32)
+                docs_of, starts = pa.array(ids[text[pick]]), pa.array((first[pick] - at[text[pick]]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[pick[bounds[:-1]]].view(np.int64)), code.dictionary, pa.ListArray.from_arrays(bounds, docs_of), pa.ListArray.from_arrays(bounds, starts)],
+                    names=["anchor", "passage", "docs", "starts"],
+                )
 
     return texts.mapInArrow(emit, "anchor long, passage binary, docs array<long>, starts array<int>")
 
 
 class Suffixes:
-    """Suffixes of a buffer, compared over LENGTH bytes by hashes of their prefixes."""
+    """Suffixes of a buffer, compared over LENGTH bytes, several bytes at a time."""
 
     def __init__(self, data: np.ndarray):
-        self.data = data
-        self.sums, self.back = prefix_sums(data)
-        padded = np.append(data, np.zeros(7, np.uint8)).astype(np.uint64)
-        self.front = np.zeros(len(data), dtype=np.uint64)
-        for j in range(8):
-            self.front = (self.front << np.uint64(8)) | padded[j:j + len(data)]
+        # Eight bytes from any place on as one number; beyond the end there are zeros.
+        self.words = np.ndarray(len(data) + LENGTH, dtype=">u8", buffer=np.append(data, np.zeros(LENGTH + 7, np.uint8)), strides=(1,))
 
-    def same(self, a: np.ndarray, b: np.ndarray, length) -> np.ndarray:
-        """Whether two suffixes agree over ``length`` bytes, by the hashes of these prefixes."""
-        return (self.sums[a + length] - self.sums[a]) * self.back[a] == (self.sums[b + length] - self.sums[b]) * self.back[b]
+    def next_bytes(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The next n bytes, eight at most, as one number."""
+        return self.words[at].astype(np.uint64) >> np.uint64(64 - 8 * n)
 
     def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """How many bytes, up to LENGTH, two suffixes have in common: binary search over prefix hashes."""
-        low = np.where(self.same(a, b, LENGTH), LENGTH, 0)
-        rest = np.flatnonzero(low == 0)
-        a, b = a[rest], b[rest]
-        least, most = np.zeros(len(rest), dtype=np.int64), np.full(len(rest), LENGTH - 1, dtype=np.int64)
-        for _ in range(LENGTH.bit_length()):
-            middle = (least + most + 1) // 2
-            same = self.same(a, b, middle)
-            least = np.where(same, middle, least)
-            most = np.where(same, most, np.maximum(middle - 1, least))
-        low[rest] = least
-        return low
-
-    def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """-1, 0 or 1 as suffix a comes before, with or after suffix b. Their first eight bytes,
-        as one number, settle most cases; hashes find where the others part."""
-        x, y = self.front[a], self.front[b]
-        out = (x > y).astype(np.int8) - (x < y).astype(np.int8)
-        tied = np.flatnonzero(out == 0)
-        if len(tied):
-            a, b = a[tied], b[tied]
-            n = self.agree(a, b)
-            last = len(self.data) - 1
-            x, y = self.data[np.minimum(a + n, last)], self.data[np.minimum(b + n, last)]
-            out[tied] = np.where(n == LENGTH, 0, (x > y).astype(np.int8) - (x < y).astype(np.int8))
+        """How many bytes, up to LENGTH, two suffixes have in common."""
+        out = np.zeros(len(a), dtype=np.int64)
+        live = np.arange(len(a))
+        for depth in range(LENGTH):
+            live = live[self.next_bytes(a[live] + depth, 1) == self.next_bytes(b[live] + depth, 1)]
+            out[live] += 1
         return out
 
-    def sort(self, suffixes: np.ndarray, segment: np.ndarray) -> np.ndarray:
-        """Order of the suffixes within each segment (numbered in order): merges of sorted runs
-        of 1, 2, 4 ... where each suffix finds its place in the other run by binary search."""
-        order = np.arange(len(suffixes))
-        start = np.searchsorted(segment, segment, "left")
-        end = np.searchsorted(segment, segment, "right")
-        here = np.arange(len(suffixes)) - start
-        longest = int((end - start).max()) if len(order) else 0
-        width = 1
-        while width < longest:
-            mine = here // width
-            other = start + (mine ^ 1) * width
-            low, high = np.minimum(other, end), np.minimum(other + width, end)
-            first = low.copy()
-            stays = mine % 2 == 1  # of equal suffixes those of the left run come first
-            live = np.flatnonzero(low < high)
-            while len(live):
-                middle = (low[live] + high[live]) // 2
-                c = self.compare(suffixes[order[middle]], suffixes[order[live]])
-                right = (c < 0) | ((c == 0) & stays[live])
-                low[live] = np.where(right, middle + 1, low[live])
-                high[live] = np.where(right, high[live], middle)
-                live = live[low[live] < high[live]]
-            target = start + (mine // 2) * 2 * width + (here - mine * width) + (low - first)
-            merged = np.empty_like(order)
-            merged[target] = order
-            order = merged
-            width *= 2
-        return order
+    def sort(self, suffixes: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order of the suffixes within each segment, and which of them equal the one before.
+
+        Runs that tie so far are sorted by their next bytes: as many as fit into one number
+        beside the number of the run. What is alone in its run has its place, so each round
+        has fewer to sort, and all that still ties after LENGTH bytes is equal.
+        """
+        order = np.argsort(segment, kind="stable")
+        same = np.zeros(len(order), dtype=bool)
+        live, at, depth = np.arange(len(order)), suffixes[order], 0
+        heads = np.append(True, segment[order[1:]] != segment[order[:-1]])[:len(order)]
+        while len(live) and depth < LENGTH:
+            run = (np.cumsum(heads) - 1).astype(np.uint64)
+            n = min((64 - int(run[-1]).bit_length()) // 8, LENGTH - depth, 8)
+            key = self.next_bytes(at + depth, n)
+            if n < 8:
+                key |= run << np.uint64(8 * n)
+            by = np.argsort(key)
+            order[live], at, key = order[live[by]], at[by], key[by]
+            heads = np.append(True, key[1:] != key[:-1])
+            same[live] = ~heads
+            depth += n
+            tied = ~(heads & np.append(heads[1:], True))
+            live, at, heads = live[tied], at[tied], heads[tied]
+        return order, same
 
 
 def equal_windows(data: np.ndarray, windows: np.ndarray, segment: np.ndarray) -> np.ndarray:
     """A class number for each window: equal windows of a segment have equal numbers."""
-    sort = Suffixes(data)
-    # Runs of equal first bytes come first; what they leave open is sorted by merging.
-    front = sort.front[windows]
-    order = np.lexsort((front, segment))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (segment[order[1:]] != segment[order[:-1]]) | (front[order[1:]] != front[order[:-1]])
-    run = np.cumsum(new) - 1
-    tied = np.flatnonzero(np.bincount(run)[run] > 1)
-    order[tied] = order[tied][sort.sort(windows[order[tied]], run[tied])]
-    a, b = windows[order[:-1]], windows[order[1:]]
-    same = (segment[order[1:]] == segment[order[:-1]]) & (sort.agree(a, b) == LENGTH)
-    view = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
-    for i in range(0, len(a), 1 << 16):
-        j = np.flatnonzero(same[i:i + (1 << 16)]) + i
-        if (view[a[j]] != view[b[j]]).any():  # a collision: sort the bytes themselves
-            keys = [(int(s), data[w:w + LENGTH].tobytes()) for s, w in zip(segment, windows)]
-            number = {k: n for n, k in enumerate(dict.fromkeys(keys))}
-            return np.array([number[k] for k in keys], dtype=np.int64)
+    order, same = Suffixes(data).sort(windows, segment)
     out = np.empty(len(windows), dtype=np.int64)
-    out[order] = np.concatenate([[0], np.cumsum(~same)]) if len(order) else []
+    out[order] = np.cumsum(~same) - 1
     return out
 
 
