@@ -467,6 +467,61 @@ def test_a_passage_in_very_many_surroundings_is_sorted_in_few_rounds():
     assert len(set(kinds.tolist())) == len({texts[w:w + 50] for w in windows.tolist()})
 
 
+@pytest.mark.parametrize("bits", [24, 3])
+def test_anchors_are_the_leftmost_smallest_hashes_of_their_windows(monkeypatch, bits):
+    monkeypatch.setattr(repeats, "PLACE_BITS", bits)
+    rng = np.random.default_rng(8)
+    sizes = [50, 0, 49, 51, 200, 3, 700, 50, 0, 120]
+    data = rng.choice(np.frombuffer(b"abc", np.uint8), sum(sizes))
+    data[330:600] = 97
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    hashes, first, last, text, place = repeats.anchors(data, at)
+    runs = repeats.run_hashes(data)
+    by_bytes = {data[i:i + repeats.RUN].tobytes(): h for i, h in enumerate(runs.tolist())}
+    assert all(by_bytes[data[i:i + repeats.RUN].tobytes()] == h for i, h in enumerate(runs.tolist())) and len(set(by_bytes.values())) == len(by_bytes)
+    got = {w: (h, t, p) for h, a, b, t, p in zip(*(x.tolist() for x in (hashes, first, last, text, place))) for w in range(a, b + 1)}
+    span, high = repeats.LENGTH - repeats.RUN + 1, runs >> np.uint64(bits)
+    want = {}
+    for t, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist())):
+        for w in range(a, b - repeats.LENGTH + 1):
+            p = w + int(np.argmin(high[w:w + span]))
+            want[w] = (int(runs[p]), t, p)
+    assert got == want and len(first) == sum(last - first + 1) - sum(a[1:] == b[1:] for a, b in zip(list(want.values()), list(want.values())[1:]))
+
+
+def test_repeats_of_just_a_window_wherever_it_lies(spark):
+    rng = random.Random(9)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    rows = []
+    for n in (17, 18, 34, 49, 50, 51, 66, 83):
+        for before in (0, 1, 15, 16, 17, 32, 33, 70):
+            same = text(n)
+            rows += [(len(rows) + i, text(k) + same + text(after)) for i, (k, after) in enumerate([(before, 70), (70, before), (before, before)])]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert digest(repeats.remove_repeats(docs)) == without_repeats(rows)
+
+
+def test_anchors_of_short_common_words_alone_need_no_further_look(spark, monkeypatch):
+    rng, stored = random.Random(10), []
+    phrases = ["and then it was said that all of it ", "on the other hand, as it were, they "]
+    rows = [(i, "".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(60)) + rng.choice(phrases)[:26] for _ in range(10))) for i in range(20)]
+    rows += [(100, rows[7][1][500:600])]
+
+    def watched(df, label, keep=repeats.materialize):
+        table = keep(df, label)
+        if label == "shared-anchors":
+            stored.extend({r.doc_id for r in table.select("doc_id").collect()})
+        return table
+
+    monkeypatch.setattr(repeats, "materialize", watched)
+    assert digest(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == without_repeats(rows)
+    assert set(stored) == {7, 100}
+
+
 # 7 nearest neighbours
 
 

@@ -4,8 +4,9 @@ A byte goes if a string of ``LENGTH`` bytes over it also starts in a document wi
 a smaller id. Such a string is called a window here.
 
 1. The smallest hash among the short runs of a window is its anchor; equal windows
-   have equal anchors, and one anchor serves about 15 windows in a row. Anchors that
-   only one document has need no further look.
+   have equal anchors, and one anchor serves about 15 windows in a row. Every window
+   holds a number of bytes on one side of its anchor at least, so anchors that no
+   other document has with the same bytes on one side need no further look.
 2. Anchors also cut texts into pieces of some hundred bytes. A piece (with the
    windows that begin in it) that an earlier document has as well, by its BLAKE2
    digest, is repeated as a whole; only the first copy of a piece goes on.
@@ -27,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threatlens.llm.text import BASE, chunks, grouped, mix, ship_code
@@ -35,9 +35,13 @@ from threatlens.session import discard, materialize, shuffles_end_with_jobs
 
 LENGTH = 50
 RUN = 18
+# Bytes beside an anchor: as many as every window has on one side of it at least.
+REACH = (LENGTH - RUN) // 2
 # One anchor in so many ends a piece.
 PIECE = 16
 PLACE_BITS = 24
+# Anchors of a task of the shuffle come in so many parts, which are looked at one by one.
+PARTS = 4
 # Passages whose bytes are picked at once.
 MANY = 1 << 16
 
@@ -54,18 +58,26 @@ def _shifts(span: int) -> list[int]:
 SHIFTS = _shifts(LENGTH - RUN + 1)
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number."""
+    return np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+
+
 def run_hashes(data: np.ndarray) -> np.ndarray:
     """A hash of every RUN bytes in a row, from the numbers of eight bytes that make them up."""
-    words = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    words = eights(data)
     out, factor = np.zeros(len(data) - RUN + 1, dtype=np.uint64), BASE
     for place in (*range(0, RUN - 8, 8), RUN - 8):
         out += words[place:place + len(out)] * np.uint64(factor)
         factor = factor * BASE % (1 << 64)
-    return mix(out, 51)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(29)
+    return out
 
 
-def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window, text) of every anchor, in order of place.
+def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, last window, text, place) of every anchor, in order of place.
 
     A window is named by where it starts in ``data``. The anchor of a window is the
     leftmost of the smallest hashes of its runs of RUN bytes, so the windows of one
@@ -74,61 +86,122 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     none = np.empty(0, np.int64)
     n = len(data) - LENGTH + 1
     if n <= 0:
-        return none.view(np.uint64), none, none, none
-    text = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
-    valid = text[:n] == text[LENGTH - 1:]
+        return none.view(np.uint64), none, none, none, none
+    # Windows that no text begins inside of.
+    valid = np.ones(n, dtype=bool)
+    over = (at[1:-1, None] - np.arange(1, LENGTH)).ravel()
+    valid[over[(over >= 0) & (over < n)]] = False
     hashes = run_hashes(data)
     # Hash and place in one number, so that one minimum finds both; of equal hashes the
     # leftmost. As many hash bits count for any length, so equal windows choose alike.
     place = np.arange(len(hashes), dtype=np.uint64)
     if len(hashes) <= 1 << PLACE_BITS:
-        best = (hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | place
+        place |= hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)
         for shift in SHIFTS:
-            best = np.minimum(best[shift:], best[:-shift])
-        place = (best & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+            place = np.minimum(place[shift:], place[:-shift])
     else:
         value, place = hashes >> np.uint64(PLACE_BITS), place.astype(np.int64)
         for shift in SHIFTS:
             right = value[shift:] < value[:-shift]
             place = np.where(right, place[shift:], place[:-shift])
             value = np.where(right, value[shift:], value[:-shift])
-    windows = np.flatnonzero(valid)
-    own = place[windows]
-    new = np.ones(len(windows), dtype=bool)
-    new[1:] = (own[1:] != own[:-1]) | (windows[1:] != windows[:-1] + 1)
-    starts = np.flatnonzero(new)
-    stops = np.append(starts[1:], len(windows)) - 1
-    return hashes[own[starts]], windows[starts], windows[stops], text[windows[starts]].astype(np.int64)
+    moves = place[1:] != place[:-1]
+    head, tail = valid.copy(), valid.copy()
+    head[1:] &= moves | ~valid[:-1]
+    tail[:-1] &= moves | ~valid[1:]
+    first, last = np.flatnonzero(head), np.flatnonzero(tail)
+    own = place[first].astype(np.int64)
+    if len(hashes) <= 1 << PLACE_BITS:
+        own &= (1 << PLACE_BITS) - 1
+    return hashes[own], first, last, np.searchsorted(at, first, "right") - 1, own
+
+
+def sides(data: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hashes, of 16 bits each, of the REACH bytes before and after every anchor; 0 where no window needs them.
+
+    A window that begins REACH or more bytes before its anchor's place has all those before
+    it, any other one all those after it. So a window can only be equal to one of another
+    text if the anchors also agree on one side.
+    """
+    words, out = eights(data), np.zeros(len(place), dtype=np.uint32)
+    for bit, reaches, begin in ((0, first <= place - REACH, -REACH), (16, last > place - REACH, RUN)):
+        at = place[reaches] + begin
+        both = mix(words[at] * np.uint64(BASE) + words[at + REACH - 8] * np.uint64(BASE * BASE % (1 << 64)))
+        out[reaches] |= (both % np.uint64(0xFFFF) + np.uint64(1)).astype(np.uint32) << np.uint32(bit)
+    return out
+
 
+def anchor_rows(docs: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, anchors, docs, sides``: anchors of many texts at once, dealt by hash, as bytes of arrays."""
 
-def anchor_rows(docs: DataFrame) -> DataFrame:
-    """``anchor, doc_id, others``: one row per anchor of a chunk, with its first document and the rest."""
+    def packed(held):
+        hashes, ids, side = (np.concatenate(column) for column in zip(*held))
+        bucket = (hashes * np.uint64(BASE) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        order = np.sort(bucket << np.uint64(32) | np.arange(len(bucket), dtype=np.uint64))
+        order, bucket = (order & np.uint64(0xFFFFFFFF)).astype(np.int64), (order >> np.uint64(32)).astype(np.int32)
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        bounds = np.append(starts, len(bucket))
+        columns = [
+            pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((bounds * x.itemsize).astype(np.int32)), pa.py_buffer(x[order])])
+            for x in (hashes, ids, side)
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *columns], names=["bucket", "anchors", "docs", "sides"])
 
     def emit(batches):
+        held, count = [], 0
         for rows, data, at in chunks(batches, "text"):
-            ids = rows.column("doc_id").to_numpy()
-            hashes, _, _, text = anchors(data, at)
-            docs_of = ids[text] if len(text) else np.empty(0, np.int64)
-            order = np.lexsort((docs_of, hashes))
-            key, doc = hashes[order].view(np.int64), docs_of[order]
-            fresh = np.ones(len(key), dtype=bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-            key, doc = key[fresh], doc[fresh]
-            head = np.ones(len(key), dtype=bool)
-            head[1:] = key[1:] != key[:-1]
-            first = np.flatnonzero(head)
-            many = np.diff(np.append(first, len(key))) > 1
-            # Rows of one document stay together, which the shuffle's compression thanks for.
-            single = first[~many]
-            single = single[np.argsort(doc[single], kind="stable")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[single]), pa.array(doc[single]), pa.nulls(len(single), pa.list_(pa.int64()))], names=["anchor", "doc_id", "others"]
-            )
-            begin, end = first[many], np.append(first, len(key))[1:][many]
-            others = pa.array([doc[a + 1:b] for a, b in zip(begin.tolist(), end.tolist())], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(key[begin]), pa.array(doc[begin]), others], names=["anchor", "doc_id", "others"])
-
-    return docs.mapInArrow(emit, "anchor long, doc_id long, others array<long>")
+            hashes, first, last, text, place = anchors(data, at)
+            if not len(text):
+                continue
+            side = sides(data, first, last, place)
+            # Of a text that goes on repeating itself one occurrence will do.
+            fresh = np.ones(len(text), dtype=bool)
+            fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1]) | (side[1:] != side[:-1])
+            held.append((hashes[fresh], rows.column("doc_id").to_numpy()[text[fresh]], side[fresh]))
+            count += len(held[-1][0])
+            if count >= 1 << 20:
+                yield packed(held)
+                held, count = [], 0
+        if held:
+            yield packed(held)
+
+    return docs.mapInArrow(emit, "bucket int, anchors binary, docs binary, sides binary")
+
+
+def several(values: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each value, equal for equal ones, and whether more than one document has it."""
+    order = np.argsort(values)
+    values, docs = values[order], docs[order]
+    heads = np.append(True, values[1:] != values[:-1])[:len(values)]
+    starts, number = np.flatnonzero(heads), np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(heads) - 1
+    if not len(starts):
+        return number, heads
+    return number, (np.minimum.reduceat(docs, starts) < np.maximum.reduceat(docs, starts))[number]
+
+
+def shared_anchors(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, document) from whole buckets: anchors that another document has too, with the same bytes on one side."""
+
+    def array(name, kind):
+        column = batch.column(name)
+        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2], np.uint8)[bounds[0]:bounds[-1]].view(kind)
+
+    anchor, doc, side = array("anchors", np.int64), array("docs", np.int64), array("sides", np.uint32)
+    number, more = several(anchor, doc)
+    rows = np.flatnonzero(more)
+    anchor, doc, side, number = anchor[rows], doc[rows], side[rows], number[rows]
+    keep = np.zeros(len(rows), dtype=bool)
+    for tag in (side & np.uint32(0xFFFF), side >> np.uint32(16)):
+        has = np.flatnonzero(tag)
+        keep[has] |= several(number[has] << 16 | tag[has], doc[has])[1]
+    anchor, doc = anchor[keep], doc[keep]
+    order = np.lexsort((doc, anchor))
+    anchor, doc = anchor[order], doc[order]
+    fresh = np.ones(len(anchor), dtype=bool)
+    fresh[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
+    return anchor[fresh], doc[fresh]
 
 
 def piece_rows(docs: DataFrame) -> DataFrame:
@@ -137,7 +210,7 @@ def piece_rows(docs: DataFrame) -> DataFrame:
     def emit(batches):
         for rows, data, at in chunks(batches, "text"):
             ids = rows.column("doc_id").to_numpy()
-            hashes, first, last, text = anchors(data, at)
+            hashes, first, last, text, _ = anchors(data, at)
             if not len(text):
                 continue
             cut = (hashes >> np.uint64(7)) % np.uint64(PIECE) == 0
@@ -178,7 +251,7 @@ def passage_rows(texts: DataFrame) -> DataFrame:
     def emit(batches):
         for rows, data, at in chunks(batches, "text"):
             ids = rows.column("doc_id").to_numpy()
-            hashes, first, last, text = anchors(data, at)
+            hashes, first, last, text, _ = anchors(data, at)
             if not len(text):
                 continue
             # Keys of anchors and documents together; two that are equal by chance only let one more passage through.
@@ -319,19 +392,22 @@ def _find_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     first = pieces.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("digest", "least")
     repeated = materialize(pieces.join(first, "digest").filter("least < doc_id").select("doc_id", "start", "stop"), "repeated-pieces")
     discard(pieces)
-    of_anchor = W.partitionBy("anchor")
-    last = F.coalesce(F.element_at("others", -1), F.col("doc_id"))
-    several = F.min("doc_id").over(of_anchor) < F.max(last).over(of_anchor)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def share(batches):
+        for batch in grouped(batches, ["bucket"], 1 << 20):
+            anchor, doc = shared_anchors(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(doc)], names=["anchor", "doc_id"])
+
     shared = materialize(
-        anchor_rows(texts).withColumn("several", several).filter("several")
-        .select("anchor", F.explode(F.concat(F.array("doc_id"), F.coalesce("others", F.array().cast("array<bigint>")))).alias("doc_id")),
+        anchor_rows(texts, n * PARTS).repartitionById(n, F.expr(f"bucket div {PARTS}").cast("int")).sortWithinPartitions("bucket")
+        .mapInArrow(share, "anchor long, doc_id long"),
         "shared-anchors",
     )
     per_doc = (
         shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("shared"))
         .join(repeated.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("repeated")), "doc_id", "left")
     )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def sort(batches):
         for batch in grouped(batches, ["anchor"], 1 << 20):
