@@ -117,7 +117,9 @@ def all_matches(docs: DataFrame, text: str) -> DataFrame:
             F.right(left, F.lit(BEFORE)).alias("before"), F.left(right, F.lit(AFTER)).alias("after"),
         )
 
-    one = searched.select("tk", "f.kind", "f.base", F.explode(F.transform("f.matches", piece)).alias("p")).select("tk", "kind", "base", "p.*")
+    # Kind and base leave the struct first: else all matches of the text would go along with each of them.
+    matched = searched.select("tk", "f.kind", "f.base", F.transform("f.matches", piece).alias("all"))
+    one = matched.select("tk", "kind", "base", F.explode("all").alias("p")).select("tk", "kind", "base", "p.*")
     until = W.partitionBy("tk", "kind", "base").orderBy("n")
     size = F.length("match").cast("long")
     end = F.sum(F.col("gap") + size).over(until)
